@@ -18,17 +18,34 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def sql_lit(v) -> str:
+    """SQL literal text for a Python str/number/bool/None."""
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return "true" if v else "false"
+    if isinstance(v, (int, float)):
+        return repr(v)
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def map_sql(mapping: dict) -> str:
+    return "map(" + ", ".join(f"{sql_lit(k)}, {sql_lit(v)}" for k, v in mapping.items()) + ")"
+
+
 def _lit_map(mapping: dict) -> Column:
-    items = []
-    for k, v in mapping.items():
-        items += [F.lit(k), F.lit(v)]
-    return F.create_map(*items)
+    # built as one SQL expression: a single JVM call instead of 2n
+    return F.expr(map_sql(mapping))
 
 
 # F1 -------------------------------------------------------------------------
+_TOKENS_SQL = ", ".join(sql_lit(t) for t in NULL_TOKENS)
+
+
 def null_token(c) -> Column:
     """'' / 'n/a' / 'None' (exact, case-sensitive) -> null."""
-    c = _col(c)
+    if isinstance(c, str):
+        return F.expr(f"CASE WHEN `{c}` IN ({_TOKENS_SQL}) THEN NULL ELSE `{c}` END")
     return F.when(c.isin(*NULL_TOKENS), F.lit(None)).otherwise(c)
 
 
@@ -38,21 +55,21 @@ def standardize_nulls(df: DataFrame, cols: Iterable[str] | None = None) -> DataF
     cols = set(cols) if cols is not None else None
     out = []
     for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
-        if cols is not None and f.name not in cols:
-            out.append(c)
-            continue
+        n = f"`{f.name}`"
         t = f.dataType
-        if isinstance(t, T.StringType):
-            c = null_token(c)
+        if cols is not None and f.name not in cols:
+            out.append(n)
+        elif isinstance(t, T.StringType):
+            out.append(f"CASE WHEN {n} IN ({_TOKENS_SQL}) THEN NULL ELSE {n} END AS {n}")
         elif isinstance(t, (T.DoubleType, T.FloatType)):
-            c = F.when(F.isnan(c), F.lit(None)).otherwise(c)
+            out.append(f"CASE WHEN isnan({n}) THEN NULL ELSE {n} END AS {n}")
         elif isinstance(t, T.ArrayType) and isinstance(t.elementType, T.StringType):
-            c = F.transform(c, lambda x: F.when(x.isin(*NULL_TOKENS), F.lit(None)).otherwise(x))
+            out.append(f"transform({n}, x -> CASE WHEN x IN ({_TOKENS_SQL}) THEN NULL ELSE x END) AS {n}")
         elif isinstance(t, T.ArrayType) and isinstance(t.elementType, (T.DoubleType, T.FloatType)):
-            c = F.transform(c, lambda x: F.when(F.isnan(x), F.lit(None)).otherwise(x))
-        out.append(c.alias(f.name))
-    return df.select(*out)
+            out.append(f"transform({n}, x -> CASE WHEN isnan(x) THEN NULL ELSE x END) AS {n}")
+        else:
+            out.append(n)
+    return df.selectExpr(*out)
 
 
 # F2 -------------------------------------------------------------------------
@@ -77,7 +94,8 @@ def trim_strings(df: DataFrame, cols: Iterable[str] | None = None) -> DataFrame:
     names = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     if cols is not None:
         names = [n for n in names if n in set(cols)]
-    return df.withColumns({n: strip(F.col(f"`{n}`")) for n in names}) if names else df
+    pat = f"^{_WS}+|{_WS}+$".replace("\\", "\\\\")
+    return df.withColumns({n: F.expr(f"regexp_replace(`{n}`, '{pat}', '')") for n in names}) if names else df
 
 
 # F4 -------------------------------------------------------------------------

@@ -101,10 +101,18 @@ select conv_id, list(role order by turn) as roles, list(text order by turn) as t
 from conversations group by conv_id"""
 
 
+_REGISTERED: dict = {}
+
+
 def register_tables(spark: SparkSession, sf_dir: str) -> None:
-    """Expose the driver parquet tables as temp views of the same names."""
+    """Expose the driver parquet tables as temp views of the same names
+    (once per session and folder)."""
+    key = id(spark)
+    if _REGISTERED.get(key) == sf_dir and spark.catalog.tableExists("lineitem"):
+        return
     for t in TABLES:
         spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
+    _REGISTERED[key] = sf_dir
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
