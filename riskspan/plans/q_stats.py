@@ -1 +1,337 @@
-"""Queries."""
+"""Statistics queries over the risk-shaped adapter view (fx_risk)."""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import functions as F
+
+from riskspan.operators import correlation as R
+from riskspan.operators import stats as S
+from riskspan.plans.fixtures import cte, fx, table
+from riskspan.plans.registry import query
+
+PAIRS = [("cvss", "epss_0"), ("cvss", "days_to_exploit"), ("epss_0", "days_to_exploit")]
+
+
+def r6(c):
+    return F.round(c, 6)
+
+
+def _pairs_union(spark, sf, fn, group_cols=()):
+    df = fx(spark, sf, "fx_risk")
+    parts = [fn(df, x, y, group_cols).select(*group_cols, F.lit(f"{x}~{y}").alias("pair"), F.col("n").cast("long").alias("n"),
+                                              r6(F.col("coef")).alias("coef"))
+             for x, y in PAIRS]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def _pair_sql(body: str) -> str:
+    parts = []
+    for x, y in PAIRS:
+        parts.append(body.format(x=x, y=y, pair=f"{x}~{y}"))
+    return cte("fx_risk") + "\nunion all\n".join(parts)
+
+
+PEARSON_SQL = _pair_sql("""
+select '{pair}' as pair, count(*) as n,
+  case when count(*) >= 2 and count(distinct {x}) >= 2 and count(distinct {y}) >= 2 then round(corr({x}, {y}), 6) end as coef
+from fx_risk where {x} is not null and {y} is not null""")
+
+SPEARMAN_SQL = _pair_sql("""
+select '{pair}' as pair, count(*) as n,
+  case when count(*) >= 2 and count(distinct x) >= 2 and count(distinct y) >= 2 then round(corr(rx, ry), 6) end as coef
+from (select {x} as x, {y} as y,
+        rank() over (order by {x}) + (count(*) over (partition by {x}) - 1) / 2.0 as rx,
+        rank() over (order by {y}) + (count(*) over (partition by {y}) - 1) / 2.0 as ry
+      from fx_risk where {x} is not null and {y} is not null)""")
+
+KENDALL_SQL = _pair_sql("""
+select '{pair}' as pair, n,
+  case when n >= 2 and nx >= 2 and ny >= 2 then round(s / sqrt((n * (n - 1) / 2.0 - tx) * (n * (n - 1) / 2.0 - ty)), 6) end as coef
+from (
+  select (select count(*) from fx_risk where {x} is not null and {y} is not null) as n,
+    (select count(distinct {x}) from fx_risk where {x} is not null and {y} is not null) as nx,
+    (select count(distinct {y}) from fx_risk where {x} is not null and {y} is not null) as ny,
+    (select sum(t * (t - 1) / 2.0) from (select count(*) as t from fx_risk where {x} is not null and {y} is not null group by {x})) as tx,
+    (select sum(t * (t - 1) / 2.0) from (select count(*) as t from fx_risk where {x} is not null and {y} is not null group by {y})) as ty,
+    (select sum(a.n * b.n * sign(a.x - b.x) * sign(a.y - b.y)) / 2.0
+       from (select {x} as x, {y} as y, count(*) as n from fx_risk where {x} is not null and {y} is not null group by 1, 2) a,
+            (select {x} as x, {y} as y, count(*) as n from fx_risk where {x} is not null and {y} is not null group by 1, 2) b) as s)""")
+
+
+# A14
+@query("pearson", PEARSON_SQL)
+def q_pearson(spark, sf):
+    return _pairs_union(spark, sf, R.pearson)
+
+
+# A12
+@query("spearman", SPEARMAN_SQL)
+def q_spearman(spark, sf):
+    return _pairs_union(spark, sf, R.spearman)
+
+
+# A13
+@query("kendall", KENDALL_SQL)
+def q_kendall(spark, sf):
+    return _pairs_union(spark, sf, R.kendall)
+
+
+# A16
+@query("corr_guarded", cte("fx_risk") + """
+select days_to_exploit as grp, 'cvss~days_to_exploit' as pair, count(*) as n,
+  case when count(*) >= 2 and count(distinct cvss) >= 2 and count(distinct days_to_exploit) >= 2 then round(corr(cvss, days_to_exploit), 6) end as coef
+from fx_risk where cvss is not null and days_to_exploit is not null group by days_to_exploit
+union all
+select days_to_exploit as grp, 'cvss~epss_0' as pair, count(*) as n,
+  case when count(*) >= 2 and count(distinct cvss) >= 2 and count(distinct epss_0) >= 2 then round(corr(rx, ry), 6) end as coef
+from (select days_to_exploit, cvss, epss_0,
+        rank() over (partition by days_to_exploit order by cvss) + (count(*) over (partition by days_to_exploit, cvss) - 1) / 2.0 as rx,
+        rank() over (partition by days_to_exploit order by epss_0) + (count(*) over (partition by days_to_exploit, epss_0) - 1) / 2.0 as ry
+      from fx_risk where cvss is not null and epss_0 is not null) group by days_to_exploit""")
+def q_corr_guarded(spark, sf):
+    df = fx(spark, sf, "fx_risk").withColumnRenamed("days_to_exploit", "grp").withColumn("days_to_exploit", F.col("grp"))
+    a = R.correlate(df, "cvss", "days_to_exploit", "pearson", ["grp"]).select(
+        "grp", F.lit("cvss~days_to_exploit").alias("pair"), "n", r6(F.col("coef")).alias("coef"))
+    b = R.correlate(df, "cvss", "epss_0", "spearman", ["grp"]).select(
+        "grp", F.lit("cvss~epss_0").alias("pair"), "n", r6(F.col("coef")).alias("coef"))
+    return a.unionByName(b)
+
+
+# A2
+@query("summary_metrics", cte("fx_risk") + """
+select count(*) as row_count, round(avg(days_to_exploit), 6) as avg_time_to_exploit,
+  round(avg(cvss), 6) as cvss_mean, round(stddev_samp(cvss), 6) as cvss_std,
+  round(avg(case when cvss >= 7 then cvss end), 6) as cvss_geq_mean,
+  round(stddev_samp(case when cvss >= 7 then cvss end), 6) as cvss_geq_std,
+  round(count(*) filter (where cvss >= 7) * 100.0 / count(*), 6) as cvss_geq_pct_of_total,
+  round(avg(epss_0), 6) as epss_0_mean
+from fx_risk""")
+def q_summary_metrics(spark, sf):
+    df = S.summary_metrics(fx(spark, sf, "fx_risk"), "cvss", 7.0, days="days_to_exploit", extra_means=["epss_0"])
+    return df.select(*[r6(F.col(c)).alias(c) if c != "row_count" else F.col(c) for c in df.columns])
+
+
+CONDS_SQL = [
+    ("all", "days_to_exploit is not null"), ("later_than_0", "days_to_exploit >= 0"),
+    ("sooner_than_90", "days_to_exploit <= 90"), ("within_90", "days_to_exploit >= 0 and days_to_exploit <= 90"),
+    ("negative_day", "days_to_exploit < 0"), ("high_critical_within_90", "days_to_exploit >= 0 and days_to_exploit <= 90 and cvss >= 7"),
+    ("high_critical_negative_day", "days_to_exploit < 0 and cvss >= 7"),
+]
+
+
+def _conds():
+    return {n: F.expr(c) for n, c in CONDS_SQL}
+
+
+# A3 / A4
+@query("avg_time_breakdown", cte("fx_risk") + "\nunion all\n".join(f"""
+select '{n}' as condition, count(*) filter (where {c}) as n,
+  round(count(*) filter (where {c}) * 100.0 / count(*), 6) as pct,
+  round(avg(case when {c} then days_to_exploit end), 6) as avg,
+  round(coalesce(avg(case when {c} then days_to_exploit end), 0), 6) as days,
+  round(((coalesce(avg(case when {c} then days_to_exploit end), 0) % 1 + 1) % 1) * 24, 6) as hours,
+  round(((((coalesce(avg(case when {c} then days_to_exploit end), 0) % 1 + 1) % 1) * 24 % 1 + 1) % 1) * 60, 6) as minutes,
+  round(((((((coalesce(avg(case when {c} then days_to_exploit end), 0) % 1 + 1) % 1) * 24 % 1 + 1) % 1) * 60 % 1 + 1) % 1) * 60, 6) as seconds
+from fx_risk""" for n, c in CONDS_SQL))
+def q_avg_time_breakdown(spark, sf):
+    df = S.conditional_stats(fx(spark, sf, "fx_risk"), _conds(), "days_to_exploit")
+    return df.select("condition", "n", *[r6(F.col(c)).alias(c) for c in ("pct", "avg", "days", "hours", "minutes", "seconds")])
+
+
+@query("condition_counts", cte("fx_risk") + "\nunion all\n".join(f"""
+select '{n}' as condition, count(*) filter (where {c}) as n, round(count(*) filter (where {c}) * 100.0 / count(*), 6) as pct
+from fx_risk""" for n, c in CONDS_SQL))
+def q_condition_counts(spark, sf):
+    df = S.conditional_stats(fx(spark, sf, "fx_risk"), _conds(), "days_to_exploit")
+    return df.select("condition", "n", r6(F.col("pct")).alias("pct"))
+
+
+# A5
+@query("threshold_funnel", cte("fx_risk") + """
+select count(*) filter (where cvss >= 7) as valid,
+  round(count(*) filter (where cvss >= 7) * 100.0 / count(cvss), 6) as valid_pct,
+  count(*) filter (where cvss >= 7 and epss_0 is not null) as epss_0_nonnull,
+  count(*) filter (where cvss >= 7 and epss_0 >= 0.5) as epss_0_hits,
+  round(count(*) filter (where cvss >= 7 and epss_0 >= 0.5) * 100.0 / count(*) filter (where cvss >= 7 and epss_0 is not null), 6) as epss_0_pct_valid,
+  round(count(*) filter (where cvss >= 7 and epss_0 >= 0.5) * 100.0 / count(epss_0), 6) as epss_0_pct_total
+from fx_risk""")
+def q_threshold_funnel(spark, sf):
+    df = S.threshold_funnel(fx(spark, sf, "fx_risk"), "cvss", 7.0, ["epss_0"], 0.5)
+    return df.select(*[r6(F.col(c)).alias(c) if "pct" in c else F.col(c) for c in df.columns])
+
+
+DESC_COLS = ["cvss", "epss_0", "days_to_exploit", "l_extendedprice"]
+
+
+# A6
+@query("describe_numeric", cte("fx_risk") + "\nunion all\n".join(f"""
+select '{c}' as "column", count({c}) as count, round(avg({c}), 6) as mean, round(stddev_samp({c}), 6) as std,
+  round(min({c}), 6) as min, round(quantile_cont({c}, 0.25), 6) as q25, round(quantile_cont({c}, 0.5), 6) as q50,
+  round(quantile_cont({c}, 0.75), 6) as q75, round(max({c}), 6) as max from fx_risk""" for c in DESC_COLS))
+def q_describe_numeric(spark, sf):
+    df = S.describe_numeric(fx(spark, sf, "fx_risk"), DESC_COLS)
+    return df.select("column", "count", *[r6(F.col(c)).alias(c) for c in ("mean", "std", "min", "q25", "q50", "q75", "max")])
+
+
+# A7
+@query("describe_dates", """
+select count(o_orderdate) as count,
+  make_timestamp(cast(round(avg(epoch_us(o_orderdate))) as bigint)) as mean, min(o_orderdate) as min,
+  make_timestamp(cast(round(quantile_cont(epoch_us(o_orderdate), 0.25)) as bigint)) as q25,
+  make_timestamp(cast(round(quantile_cont(epoch_us(o_orderdate), 0.5)) as bigint)) as q50,
+  make_timestamp(cast(round(quantile_cont(epoch_us(o_orderdate), 0.75)) as bigint)) as q75,
+  max(o_orderdate) as max from orders""")
+def q_describe_dates(spark, sf):
+    return S.describe_dates(table(spark, sf, "orders"), "o_orderdate")
+
+
+# A8
+@query("null_profile", cte("fx_dirty") + "\nunion all\n".join(f"""
+select '{c}' as "column", count(*) filter (where {e}) as nulls, round(count(*) filter (where {e}) * 100.0 / count(*), 6) as pct
+from fx_dirty""" for c, e in [
+    ("c_custkey", "c_custkey is null"),
+    ("category", "category is null or category in ('', 'n/a', 'None')"),
+    ("num_text", "num_text is null or num_text in ('', 'n/a', 'None')"),
+    ("flag_text", "flag_text is null or flag_text in ('', 'n/a', 'None')"),
+    ("score", "score is null or isnan(score)")]))
+def q_null_profile(spark, sf):
+    from riskspan.functions.clean import standardize_nulls
+    df = S.null_profile(standardize_nulls(fx(spark, sf, "fx_dirty")))
+    return df.select("column", "nulls", r6(F.col("pct")).alias("pct"))
+
+
+# A9 (rows-only check)
+@query("table_info")
+def q_table_info(spark, sf):
+    return S.table_info(table(spark, sf, "lineitem"))
+
+
+# A10
+@query("value_counts", cte("fx_risk") + """
+select case when cvss >= 9.0 then 'CRITICAL' when cvss >= 7.0 then 'HIGH' when cvss >= 4.0 then 'MEDIUM'
+  when cvss > 0.0 then 'LOW' when cvss = 0.0 then 'NONE' else 'UNKNOWN' end as cvss_severity, count(*) as count
+from fx_risk where days_to_exploit >= 0 group by 1""")
+def q_value_counts(spark, sf):
+    from riskspan.functions.cvss import severity
+    df = fx(spark, sf, "fx_risk").filter(F.col("days_to_exploit") >= 0)
+    return df.groupBy(severity("cvss").alias("cvss_severity")).agg(F.count(F.lit(1)).alias("count"))
+
+
+# A11
+@query("binned_counts", cte("fx_risk") + """
+, b as (select case when cvss > 0 and cvss <= 4 then 0 when cvss > 4 and cvss <= 7 then 1
+                    when cvss > 7 and cvss <= 9 then 2 when cvss > 9 and cvss <= 10 then 3 end as bin_order from fx_risk)
+select bin_order, case bin_order when 0 then '(0, 4]' when 1 then '(4, 7]' when 2 then '(7, 9]' else '(9, 10]' end as bin,
+  count(*) as count, round(count(*) * 100.0 / (select count(*) from b where bin_order is not null), 6) as pct
+from b where bin_order is not null group by bin_order""")
+def q_binned_counts(spark, sf):
+    df = S.binned_counts(fx(spark, sf, "fx_risk"), "cvss")
+    return df.select("bin_order", "bin", "count", r6(F.col("pct")).alias("pct"))
+
+
+# P10
+@query("iqr_filter", cte("fx_risk") + """
+, q as (select quantile_cont(cvss, 0.25) as q1, quantile_cont(cvss, 0.75) as q3 from fx_risk)
+select l_orderkey, l_linenumber, cvss from fx_risk, q
+where cvss >= q1 - 1.5 * (q3 - q1) and cvss <= q3 + 1.5 * (q3 - q1)""")
+def q_iqr_filter(spark, sf):
+    return S.iqr_filter(fx(spark, sf, "fx_risk"), "cvss").select("l_orderkey", "l_linenumber", "cvss")
+
+
+COHORTS_SQL = [
+    ("full_dataset", "true"), ("cvss>=7", "cvss >= 7.0"), ("epss_0>=0.5", "epss_0 >= 0.5"),
+    ("days<0", "days_to_exploit < 0"), ("days>=0", "days_to_exploit >= 0"),
+    ("days>=0_&_<=90", "days_to_exploit >= 0 and days_to_exploit <= 90"), ("days>90", "days_to_exploit > 90"),
+]
+
+
+def _cohorts():
+    return {n: F.expr(c) for n, c in COHORTS_SQL}
+
+
+# P11
+@query("cohort_membership", cte("fx_risk") + "\nunion all\n".join(
+    f"select l_orderkey, l_linenumber, '{n}' as cohort from fx_risk where {c}" for n, c in COHORTS_SQL))
+def q_cohort_membership(spark, sf):
+    return S.cohort_membership(fx(spark, sf, "fx_risk"), _cohorts()).select("l_orderkey", "l_linenumber", "cohort")
+
+
+def _cohort_sql():
+    parts = []
+    for n, c in COHORTS_SQL:
+        parts.append(f"""
+select '{n}' as cohort, count(*) as cnt, count(*) filter (where cvss >= 7) as cnt_cvss_geq_7,
+  round(count(*) filter (where cvss >= 7) * 100.0 / count(*), 6) as pct_cvss_geq_7,
+  round(avg(cvss), 6) as avg_cvss, round(avg(epss_0), 6) as avg_epss_0, round(avg(days_to_exploit), 6) as avg_days,
+  (select case when count(*) >= 2 and count(distinct cvss) >= 2 and count(distinct epss_0) >= 2 then round(corr(cvss, epss_0), 6) end
+     from fx_risk where ({c}) and cvss is not null and epss_0 is not null and days_to_exploit is not null) as pearson_cvss_epss,
+  (select case when count(*) >= 2 and count(distinct x) >= 2 and count(distinct y) >= 2 then round(corr(rx, ry), 6) end
+     from (select cvss as x, days_to_exploit as y,
+             rank() over (order by cvss) + (count(*) over (partition by cvss) - 1) / 2.0 as rx,
+             rank() over (order by days_to_exploit) + (count(*) over (partition by days_to_exploit) - 1) / 2.0 as ry
+           from fx_risk where ({c}) and cvss is not null and epss_0 is not null and days_to_exploit is not null)) as spearman_cvss_days
+from fx_risk where {c}""")
+    return cte("fx_risk") + "\nunion all\n".join(parts)
+
+
+# A21
+@query("cohort_summary", _cohort_sql())
+def q_cohort_summary(spark, sf):
+    base = S.cohort_membership(fx(spark, sf, "fx_risk"), _cohorts())
+    counts = base.groupBy("cohort").agg(
+        F.count(F.lit(1)).alias("cnt"), F.count_if(F.col("cvss") >= 7).alias("cnt_cvss_geq_7"),
+        r6(S.pct(F.count_if(F.col("cvss") >= 7), F.count(F.lit(1)))).alias("pct_cvss_geq_7"),
+        r6(F.avg("cvss")).alias("avg_cvss"), r6(F.avg("epss_0")).alias("avg_epss_0"),
+        r6(F.avg("days_to_exploit")).alias("avg_days"))
+    corr_rows = base.dropna(subset=["cvss", "epss_0", "days_to_exploit"])
+    p = R.pearson(corr_rows, "cvss", "epss_0", ["cohort"]).select("cohort", r6(F.col("coef")).alias("pearson_cvss_epss"))
+    s = R.spearman(corr_rows, "cvss", "days_to_exploit", ["cohort"]).select("cohort", r6(F.col("coef")).alias("spearman_cvss_days"))
+    return counts.join(p, "cohort", "left").join(s, "cohort", "left")
+
+
+# A22
+@query("histogram_bins", cte("fx_risk") + """
+, m as (select min(cvss) as lo, max(cvss) as hi from fx_risk)
+select cast(case when (hi - lo) / 10 > 0 then least(floor((cvss - lo) / ((hi - lo) / 10)), 9) else 0 end as int) as bin,
+  count(*) as count, round(min(lo) + cast(case when (hi - lo) / 10 > 0 then least(floor((cvss - lo) / ((hi - lo) / 10)), 9) else 0 end as int) * min((hi - lo) / 10), 6) as lo,
+  round(min(lo) + (cast(case when (hi - lo) / 10 > 0 then least(floor((cvss - lo) / ((hi - lo) / 10)), 9) else 0 end as int) + 1) * min((hi - lo) / 10), 6) as hi
+from fx_risk, m where cvss is not null group by 1""")
+def q_histogram_bins(spark, sf):
+    df = S.histogram_bins(fx(spark, sf, "fx_risk"), "cvss", 10)
+    return df.select("bin", "count", r6(F.col("lo")).alias("lo"), r6(F.col("hi")).alias("hi"))
+
+
+# A24
+@query("linear_fit", cte("fx_risk") + """
+select regr_count(epss_0, cvss) as n, round(regr_slope(epss_0, cvss), 6) as slope,
+  round(regr_intercept(epss_0, cvss), 6) as intercept, round(regr_r2(epss_0, cvss), 6) as r2 from fx_risk""")
+def q_linear_fit(spark, sf):
+    df = S.linear_fit(fx(spark, sf, "fx_risk"), "cvss", "epss_0")
+    return df.select(F.col("n").cast("long").alias("n"), *[r6(F.col(c)).alias(c) for c in ("slope", "intercept", "r2")])
+
+
+@query("scatter_bins", cte("fx_risk") + """
+, b as (select * from fx_risk where cvss is not null and days_to_exploit is not null),
+m as (select min(cvss) as xl, max(cvss) as xh, min(days_to_exploit) as yl, max(days_to_exploit) as yh from b)
+select cast(case when (xh - xl) / 10 > 0 then least(floor((cvss - xl) / ((xh - xl) / 10)), 9) else 0 end as int) as x_bin,
+  cast(case when (yh - yl) / 10 > 0 then least(floor((days_to_exploit - yl) / ((yh - yl) / 10.0)), 9) else 0 end as int) as y_bin,
+  count(*) as count from b, m group by 1, 2""")
+def q_scatter_bins(spark, sf):
+    return S.scatter_bins(fx(spark, sf, "fx_risk"), "cvss", "days_to_exploit", 10)
+
+
+# A25
+@query("box_stats", """
+with q as (select l_returnflag, count(*) as n, quantile_cont(l_extendedprice, 0.25) as q1,
+             quantile_cont(l_extendedprice, 0.5) as median, quantile_cont(l_extendedprice, 0.75) as q3
+           from lineitem group by l_returnflag)
+select q.l_returnflag, q.n, round(q.q1, 6) as q1, round(q.median, 6) as median, round(q.q3, 6) as q3,
+  round(min(case when l.l_extendedprice between q1 - 1.5 * (q3 - q1) and q3 + 1.5 * (q3 - q1) then l.l_extendedprice end), 6) as whisker_lo,
+  round(max(case when l.l_extendedprice between q1 - 1.5 * (q3 - q1) and q3 + 1.5 * (q3 - q1) then l.l_extendedprice end), 6) as whisker_hi,
+  count(*) filter (where not (l.l_extendedprice between q1 - 1.5 * (q3 - q1) and q3 + 1.5 * (q3 - q1))) as outliers
+from lineitem l join q on q.l_returnflag = l.l_returnflag group by all""")
+def q_box_stats(spark, sf):
+    df = S.box_stats(table(spark, sf, "lineitem"), "l_extendedprice", "l_returnflag")
+    return df.select("l_returnflag", "n", *[r6(F.col(c)).alias(c) for c in ("q1", "median", "q3", "whisker_lo", "whisker_hi")], "outliers")
