@@ -81,10 +81,17 @@ def epss_clean(df: DataFrame) -> DataFrame:
     df = trim_strings(df).withColumn("cve_id", validate_id("cve_id"))
     num = [c for c in df.columns if c.startswith(("epss_", "percentile_")) and not c.startswith("epss_date")]
     df = df.withColumns({c: F.col(c).try_cast("double") for c in num})
-    df = df.withColumns({
-        "change_0_to_30": percent_change("epss_0", "epss_30"),
-        "change_30_to_60": percent_change("epss_30", "epss_60"),
-        "change_total": percent_change("epss_0", "epss_60"),
-    })
+    offs = sorted(int(c.split("_")[1]) for c in num if c.startswith("epss_"))
+    if len(offs) >= 3:
+        a, b, c = offs[:3]
+        df = df.withColumns({
+            f"change_{a}_to_{b}": percent_change(f"epss_{a}", f"epss_{b}"),
+            f"change_{b}_to_{c}": percent_change(f"epss_{b}", f"epss_{c}"),
+            "change_total": percent_change(f"epss_{a}", f"epss_{c}"),
+        })
     df = standardize_nulls(df).dropDuplicates()
-    return convert_types(df, EPSS_TYPES).drop("epss_date")
+    types = dict(EPSS_TYPES)
+    types["date"] = [f"epss_date_{k}" for k in offs]
+    types["float"] = [c for c in df.columns if c.startswith(("epss_", "percentile_", "change_"))
+                      and not c.startswith("epss_date")]
+    return convert_types(df, types).drop("epss_date")
