@@ -91,6 +91,17 @@ select {_cve('l_orderkey')} as cve_id, l_shipdate as date_published,
 from lineitem where l_returnflag = 'A'""",
 }
 
+FX["fx_desc"] = """
+select doc_id, case doc_id % 9
+    when 0 then concat('Siemens PLC firmware issue. ', text)
+    when 1 then concat(text, ' Affects the OPC UA server of the smart grid.')
+    when 2 then concat(text, ' Found in Supervisory Control and Data Acquisition (scada) gateways.')
+    when 3 then concat('GE digital energy relay; ', text, ' ICS vendors notified.')
+    when 4 then concat(text, ' IEC 60870-5-104 and T&D networks; see Modbus notes.')
+    when 5 then concat(text, ' EMSx and PLCs are not affected.')
+    else text end as description
+from documents"""
+
 # fx_cwe needs one text per engine (ordered list aggregation)
 FX_CWE_SPARK = """
 select conv_id, transform(array_sort(collect_list(struct(turn, role))), x -> x.role) as roles,
