@@ -353,7 +353,7 @@ SCORE_ERA_START = "2021-04-14"
 SCORE_OFFSETS = [0, 30, 60]
 
 # Anderson-Darling: significance levels (%) and Stephens' normal-case
-# critical-value coefficients c / (1 + 0.75/n + 2.25/n^2)
+# critical-value coefficients, scaled by 1 / (1 + 4/n - 25/n^2)
 AD_SIGNIFICANCE = [15.0, 10.0, 5.0, 2.5, 1.0]
 AD_CRITICAL_BASE = [0.576, 0.656, 0.787, 0.918, 1.092]
 

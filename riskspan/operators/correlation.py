@@ -196,3 +196,27 @@ def correlate(df: DataFrame, x: str, y: str, method: str, group_cols=()) -> Data
     if method == "kendall":
         return kendall(df, x, y, group_cols)
     raise ValueError(f"Unknown correlation method: {method.title()}")
+
+
+# A15 -----------------------------------------------------------------------
+def kendall_pvalue(k: DataFrame) -> "Column":
+    """Asymptotic two-sided p-value of tau-b with the tie-corrected
+    variance of S (columns produced by ``kendall``)."""
+    from riskspan.functions.distributions import erfc
+    n = F.col("n").cast("double")
+    v0 = n * (n - 1) * (2 * n + 5)
+    var = ((v0 - F.col("x_v") - F.col("y_v")) / 18.0
+           + F.try_divide(F.col("x_v1") * F.col("y_v1"), 2 * n * (n - 1))
+           + F.try_divide(F.col("x_v2") * F.col("y_v2"), 9 * n * (n - 1) * (n - 2)))
+    z = F.try_divide(F.col("s_stat").cast("double"), F.sqrt(var))
+    return F.when(F.col("coef").isNotNull(), erfc(F.abs(z) / 2 ** 0.5))
+
+
+def with_pvalues(df: DataFrame, x: str, y: str, method: str, group_cols=()) -> DataFrame:
+    """Coefficient plus p-value: t test (Pearson, Spearman) or normal
+    approximation with ties (Kendall)."""
+    from riskspan.functions.distributions import corr_t_pvalue
+    g = list(group_cols)
+    r = correlate(df, x, y, method, g)
+    p = kendall_pvalue(r) if method == "kendall" else corr_t_pvalue(F.col("coef"), F.col("n"))
+    return r.select(*g, "n", "coef", p.alias("p_value"))

@@ -335,3 +335,53 @@ from lineitem l join q on q.l_returnflag = l.l_returnflag group by all""")
 def q_box_stats(spark, sf):
     df = S.box_stats(table(spark, sf, "lineitem"), "l_extendedprice", "l_returnflag")
     return df.select("l_returnflag", "n", *[r6(F.col(c)).alias(c) for c in ("q1", "median", "q3", "whisker_lo", "whisker_hi")], "outliers")
+
+
+# A15 (rows-only)
+@query("corr_pvalues")
+def q_corr_pvalues(spark, sf):
+    df = fx(spark, sf, "fx_risk")
+    parts = [R.with_pvalues(df, x, y, m).select(F.lit(f"{x}~{y}").alias("pair"), F.lit(m).alias("method"), "n",
+                                                 F.round("coef", 3).alias("coef"), F.round("p_value", 3).alias("p_value"))
+             for x, y in PAIRS for m in ("pearson", "spearman", "kendall")]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+# A17 (rows-only: resampling)
+@query("bootstrap_corr")
+def q_bootstrap_corr(spark, sf):
+    from riskspan.operators.bootstrap import bootstrap_correlation
+    return bootstrap_correlation(fx(spark, sf, "fx_risk"), [("cvss", "epss_0")], replicates=50)
+
+
+# A18 (rows-only)
+@query("anderson_darling")
+def q_anderson_darling(spark, sf):
+    from riskspan.operators.normality import anderson_darling
+    df = fx(spark, sf, "fx_risk")
+    return reduce(lambda a, b: a.unionByName(b), [
+        anderson_darling(df, c).select(F.lit(c).alias("variable"), "*") for c in ("cvss", "epss_0", "days_to_exploit")])
+
+
+# A19 (rows-only)
+@query("ks_normal")
+def q_ks_normal(spark, sf):
+    from riskspan.operators.normality import ks_standard_normal
+    df = fx(spark, sf, "fx_risk")
+    return reduce(lambda a, b: a.unionByName(b), [
+        ks_standard_normal(df, c).select(F.lit(c).alias("variable"), "*") for c in ("cvss", "epss_0", "days_to_exploit")])
+
+
+# A20 (rows-only)
+@query("shapiro_wilk")
+def q_shapiro_wilk(spark, sf):
+    from riskspan.operators.normality import shapiro_wilk
+    df = fx(spark, sf, "fx_risk")
+    return shapiro_wilk(df, "cvss", ["l_linenumber"])
+
+
+# A23 (rows-only)
+@query("qq_table")
+def q_qq_table(spark, sf):
+    from riskspan.operators.normality import qq_table
+    return qq_table(fx(spark, sf, "fx_risk"), "epss_0", 100)
