@@ -125,12 +125,22 @@ def _local_counts(coord_x: str, key_cols: list[str]):
     return fn
 
 
-def kendall(df: DataFrame, x: str, y: str, group_cols=(), blocks: int = 64) -> DataFrame:
-    """Exact Kendall tau-b per group (ties handled as in tau-b)."""
+def kendall(df: DataFrame, x: str, y: str, group_cols=(), target_cells: int = 20000,
+            max_blocks: int = 1024) -> DataFrame:
+    """Exact Kendall tau-b per group (ties handled as in tau-b).
+
+    The block count per group is K = clamp(sqrt(cells / target_cells), 1,
+    max_blocks), computed lazily from the group's cell count, so small
+    groups run as one block and large ones spread over K x-blocks and K
+    y-blocks of about sqrt(cells * target_cells) cells each.
+    """
     g = list(group_cols)
     c = _cells_with_ranks(df, x, y, g)
-    c = c.withColumns({"_cx": F.floor(F.col("bx") * blocks / F.col("_tot")).cast("int"),
-                       "_by": F.floor(F.col("by") * blocks / F.col("_tot")).cast("int")})
+    kexpr = F.least(F.lit(max_blocks), F.greatest(F.lit(1), F.ceil(F.sqrt(F.col("_cells") / float(target_cells))))).cast("int")
+    counts = (c.groupBy(*g) if g else c.groupBy()).agg(F.count(F.lit(1)).alias("_cells")).select(*g, kexpr.alias("_K"))
+    c = c.join(counts, on=g) if g else c.withColumn("_K", counts.select("_K").scalar())
+    c = c.withColumns({"_cx": F.floor(F.col("bx") * F.col("_K") / F.col("_tot")).cast("int"),
+                       "_by": F.floor(F.col("by") * F.col("_K") / F.col("_tot")).cast("int")})
     key = g + ["bx", "by"]
     sch_fields = [c.schema[k] for k in g] + [T.StructField("bx", T.LongType()), T.StructField("by", T.LongType()),
                                              T.StructField("lt", T.LongType()), T.StructField("le", T.LongType())]
@@ -142,9 +152,9 @@ def kendall(df: DataFrame, x: str, y: str, group_cols=(), blocks: int = 64) -> D
     t2 = c.select(*cols).groupBy(*g, "_by").applyInPandas(_local_counts("_cx", key), sch)
     # strictly lower blocks on both axes: K x K prefix grid per group
     grid = c.groupBy(*g, "_cx", "_by").agg(F.sum("n").alias("_gn"))
-    seq = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    dense = (c.select(*g).distinct() if g else c.sparkSession.range(1).select())
-    dense = dense.withColumn("_cx", seq).withColumn("_by", seq)
+    seq = F.explode(F.sequence(F.lit(0), F.col("_K") - 1))
+    dense = counts if g else c.sparkSession.range(1).select(F.lit(counts.select("_K").scalar()).alias("_K"))
+    dense = dense.withColumn("_cx", seq).withColumn("_by", seq).drop("_K")
     dense = dense.join(grid, on=g + ["_cx", "_by"], how="left").fillna(0, subset=["_gn"])
     w1 = Window.partitionBy(*g, "_by").orderBy("_cx").rowsBetween(Window.unboundedPreceding, -1)
     dense = dense.withColumn("_col", F.coalesce(F.sum("_gn").over(w1), F.lit(0)))

@@ -155,3 +155,20 @@ def compiled_dataset(exploits: DataFrame, cves: DataFrame, epss: DataFrame,
         if c not in df.columns:
             df = df.withColumn(c, F.lit(None))
     return df.select(*COMPILED_COLUMNS)
+
+
+# Q13 ------------------------------------------------------------------------
+ICS_RENAMES = {"cve_description": "cve_desc", "u_sys_created": "advisory_date", "u_sfp_cluster": "sfp_id",
+               "u_old_cat": "cwe_name", "u_new_cat": "new_cwe_cat", "u_other_cat": "impossible_to_cat_cwes",
+               "u_product_type": "product_type"}
+
+
+def ics_clean(df: DataFrame) -> DataFrame:
+    df = C.drop_by_pattern(df, prefixes=("cvss_",), suffixes=("Impact", "Priv", "Required", "updated"),
+                           names=("accessVector", "complexity"))
+    df = df.withColumn("cve_id", C.validate_id("cve_id")).withColumnsRenamed(
+        {k: v for k, v in ICS_RENAMES.items() if k in df.columns})
+    df = C.standardize_nulls(C.trim_strings(df.dropDuplicates()))
+    types = {"string": [c for c in df.columns if c not in ("advisory_date", "product_type")],
+             "date": ["advisory_date"], "category": ["product_type"]}
+    return C.convert_types(df, types)
