@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskspan.operators.ranks import value_ranks
+from riskspan.session import cut_lineage
 
 
 def _pair_base(df: DataFrame, x: str, y: str, g: list[str]) -> DataFrame:
@@ -47,7 +48,9 @@ def pearson(df: DataFrame, x: str, y: str, group_cols=()) -> DataFrame:
     return out.select(*g, "n", _guard(F.col("n"), F.col("_nx"), F.col("_ny"), F.col("_r")).alias("coef"))
 
 
-def _cells_with_ranks(df: DataFrame, x: str, y: str, g: list[str]) -> DataFrame:
+def _cells_with_ranks(df: DataFrame, x: str, y: str, g: list[str]):
+    """(x, y, n) cells joined with both rank tables; also returns the two
+    rank tables (one row per distinct value, with its multiplicity)."""
     b = _pair_base(df, x, y, g)
     cells = b.groupBy(*g, "_x", "_y").agg(F.count(F.lit(1)).alias("n"))
     rx = value_ranks(b, "_x", g, value_name="_x").select(*g, "_x", F.col("before").alias("bx"),
@@ -55,13 +58,13 @@ def _cells_with_ranks(df: DataFrame, x: str, y: str, g: list[str]) -> DataFrame:
                                                          F.col("total").alias("_tot"))
     ry = value_ranks(b, "_y", g, value_name="_y").select(*g, "_y", F.col("before").alias("by"),
                                                          F.col("rank").alias("ry"), F.col("n").alias("ty"))
-    return cells.join(rx, on=g + ["_x"]).join(ry, on=g + ["_y"])
+    return cells.join(rx, on=g + ["_x"]).join(ry, on=g + ["_y"]), rx, ry
 
 
 # A12 -----------------------------------------------------------------------
 def spearman(df: DataFrame, x: str, y: str, group_cols=()) -> DataFrame:
     g = list(group_cols)
-    c = _cells_with_ranks(df, x, y, g)
+    c, _, _ = _cells_with_ranks(df, x, y, g)
     m = (F.col("_tot") + 1) / 2.0
     dx, dy = F.col("rx") - m, F.col("ry") - m
     aggs = [F.sum("n").alias("n"), F.sum(F.col("n") * dx * dy).alias("_sxy"),
@@ -115,16 +118,6 @@ def _dominance(xs: np.ndarray, ys: np.ndarray, ns: np.ndarray):
     return lt, le
 
 
-def _local_counts(coord_x: str, key_cols: list[str]):
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        lt, le = _dominance(pdf[coord_x].to_numpy(), pdf["by"].to_numpy(), pdf["n"].to_numpy())
-        out = pdf[key_cols].copy()
-        out["lt"] = lt
-        out["le"] = le
-        return out
-    return fn
-
-
 def kendall(df: DataFrame, x: str, y: str, group_cols=(), target_cells: int = 20000,
             max_blocks: int = 1024) -> DataFrame:
     """Exact Kendall tau-b per group (ties handled as in tau-b).
@@ -134,67 +127,78 @@ def kendall(df: DataFrame, x: str, y: str, group_cols=(), target_cells: int = 20
     groups run as one block and large ones spread over K x-blocks and K
     y-blocks of about sqrt(cells * target_cells) cells each.
     """
-    g = list(group_cols)
-    c = _cells_with_ranks(df, x, y, g)
+    g0 = list(group_cols)
+    g = g0 if g0 else ["_g"]
+    src = df if g0 else df.withColumn("_g", F.lit(0))
+    c, _, _ = _cells_with_ranks(src, x, y, g)
     kexpr = F.least(F.lit(max_blocks), F.greatest(F.lit(1), F.ceil(F.sqrt(F.col("_cells") / float(target_cells))))).cast("int")
-    counts = (c.groupBy(*g) if g else c.groupBy()).agg(F.count(F.lit(1)).alias("_cells")).select(*g, kexpr.alias("_K"))
-    c = c.join(counts, on=g) if g else c.withColumn("_K", counts.select("_K").scalar())
+    counts = c.groupBy(*g).agg(F.count(F.lit(1)).alias("_cells")).select(*g, kexpr.alias("_K"))
+    # one row per group; for the single constant group that is a proven bound
+    c = c.join(counts if g0 else F.broadcast(counts), on=g)
     c = c.withColumns({"_cx": F.floor(F.col("bx") * F.col("_K") / F.col("_tot")).cast("int"),
                        "_by": F.floor(F.col("by") * F.col("_K") / F.col("_tot")).cast("int")})
+    # the ranked cell table feeds four branches below; a reliable checkpoint
+    # in the shared checkpoint folder computes it once (and survives lost
+    # executors, unlike a local checkpoint)
+    c = cut_lineage(c.select(*g, "_x", "_y", "n", "bx", "by", "tx", "ty", "_tot", "_K", "_cx", "_by"))
     key = g + ["bx", "by"]
-    sch_fields = [c.schema[k] for k in g] + [T.StructField("bx", T.LongType()), T.StructField("by", T.LongType()),
-                                             T.StructField("lt", T.LongType()), T.StructField("le", T.LongType())]
-    sch = T.StructType(sch_fields)
+    sch = T.StructType([c.schema[k] for k in g] + [
+        T.StructField("bx", T.LongType()), T.StructField("by", T.LongType()),
+        T.StructField("lt1", T.LongType()), T.StructField("le1", T.LongType()),
+        T.StructField("lt2", T.LongType()), T.StructField("le2", T.LongType())])
     cols = g + ["bx", "by", "_cx", "_by", "n"]
-    # same x-block: coordinates (bx, by)
-    t1 = c.select(*cols).groupBy(*g, "_cx").applyInPandas(_local_counts("bx", key), sch)
-    # lower x-block, same y-block: coordinates (_cx, by)
-    t2 = c.select(*cols).groupBy(*g, "_by").applyInPandas(_local_counts("_cx", key), sch)
+    # one Python stage for both local counts: each cell appears once keyed by
+    # its x-block (pairs inside the x-block) and once by its y-block (pairs
+    # from lower x-blocks inside the same y-block)
+    both = (c.select(*cols, F.lit(0).alias("_side"), F.col("_cx").alias("_blk"))
+             .unionByName(c.select(*cols, F.lit(1).alias("_side"), F.col("_by").alias("_blk"))))
+    local = both.groupBy(*g, "_side", "_blk").applyInPandas(_local_counts(key), sch)
+    local = local.groupBy(*key).agg(*[F.sum(k).alias(k) for k in ("lt1", "le1", "lt2", "le2")])
     # strictly lower blocks on both axes: K x K prefix grid per group
     grid = c.groupBy(*g, "_cx", "_by").agg(F.sum("n").alias("_gn"))
     seq = F.explode(F.sequence(F.lit(0), F.col("_K") - 1))
-    dense = counts if g else c.sparkSession.range(1).select(F.lit(counts.select("_K").scalar()).alias("_K"))
-    dense = dense.withColumn("_cx", seq).withColumn("_by", seq).drop("_K")
+    dense = counts.withColumn("_cx", seq).withColumn("_by", seq).drop("_K")
     dense = dense.join(grid, on=g + ["_cx", "_by"], how="left").fillna(0, subset=["_gn"])
     w1 = Window.partitionBy(*g, "_by").orderBy("_cx").rowsBetween(Window.unboundedPreceding, -1)
     dense = dense.withColumn("_col", F.coalesce(F.sum("_gn").over(w1), F.lit(0)))
     w2 = Window.partitionBy(*g, "_cx").orderBy("_by").rowsBetween(Window.unboundedPreceding, -1)
     t3 = dense.withColumn("t3", F.coalesce(F.sum("_col").over(w2), F.lit(0))).select(*g, "_cx", "_by", "t3")
-    parts = (c.join(t1.withColumnsRenamed({"lt": "lt1", "le": "le1"}), on=key)
-              .join(t2.withColumnsRenamed({"lt": "lt2", "le": "le2"}), on=key)
-              .join(t3, on=g + ["_cx", "_by"]))
+    parts = c.join(local, on=key).join(t3, on=g + ["_cx", "_by"])
     s_term = F.col("n") * (F.col("lt1") + F.col("lt2") + 2 * F.col("t3") + F.col("le1") + F.col("le2") - F.col("bx"))
-    agg = [F.sum(s_term).alias("_S"), F.first("_tot").alias("n"),
-           F.count_distinct("_x").alias("_nx"), F.count_distinct("_y").alias("_ny")]
-    s = parts.groupBy(*g).agg(*agg) if g else parts.agg(*agg)
-    # tie sums from the value counts
-    tx = _tie_sums(df, x, g, "x", base_x=y)
-    ty = _tie_sums(df, y, g, "y", base_x=x)
-    out = s.join(tx, on=g, how="inner").join(ty, on=g, how="inner") if g else \
-        s.withColumns({c_: tx.agg(F.first(c_)).scalar() for c_ in tx.columns}) \
-         .withColumns({c_: ty.agg(F.first(c_)).scalar() for c_ in ty.columns})
+    s = parts.groupBy(*g).agg(F.sum(s_term).alias("_S"), F.first("_tot").alias("n"))
+    # tie sums straight from the rank tables (multiplicity per distinct value)
+    rx = c.groupBy(*g, "_x").agg(F.first("tx").alias("tx"))
+    ry = c.groupBy(*g, "_y").agg(F.first("ty").alias("ty"))
+    out = s.join(_tie_sums(rx, "tx", g, "x"), on=g).join(_tie_sums(ry, "ty", g, "y"), on=g)
     n = F.col("n").cast("double")
     n0 = n * (n - 1) / 2
     tau = F.try_divide(F.col("_S"), F.sqrt((n0 - F.col("x_t2")) * (n0 - F.col("y_t2"))))
-    return out.select(*g, "n", _guard(F.col("n"), F.col("_nx"), F.col("_ny"), tau).alias("coef"),
-                      F.col("_S").alias("s_stat"), *[c_ for c_ in out.columns if c_[:2] in ("x_", "y_")])
-
-
-def _tie_sums(df: DataFrame, col: str, g: list[str], tag: str, base_x: str | None = None) -> DataFrame:
-    """Per group: sum t(t-1)/2, sum t(t-1)(2t+5), sum t(t-1), sum t(t-1)(t-2)
-    over tie groups of ``col`` (rows where both variables are present)."""
-    other = base_x
-    b = df.select(*g, F.col(col).cast("double").alias("_v"),
-                  *([F.col(other).cast("double").alias("_o")] if other else []))
-    b = b.filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    if other:
-        b = b.filter(F.col("_o").isNotNull() & ~F.isnan("_o"))
-    t = b.groupBy(*g, "_v").agg(F.count(F.lit(1)).cast("double").alias("t"))
-    a = [F.sum(F.col("t") * (F.col("t") - 1) / 2).alias(f"{tag}_t2"),
-         F.sum(F.col("t") * (F.col("t") - 1) * (2 * F.col("t") + 5)).alias(f"{tag}_v"),
-         F.sum(F.col("t") * (F.col("t") - 1)).alias(f"{tag}_v1"),
-         F.sum(F.col("t") * (F.col("t") - 1) * (F.col("t") - 2)).alias(f"{tag}_v2")]
-    return t.groupBy(*g).agg(*a) if g else t.agg(*a)
+    extra = [c_ for c_ in out.columns if c_[:2] in ("x_", "y_") and not c_.endswith("_nd")]
+    return out.select(*g0, "n", _guard(F.col("n"), F.col("x_nd"), F.col("y_nd"), tau).alias("coef"),
+                      F.col("_S").alias("s_stat"), *extra)
+
+
+def _local_counts(key_cols: list[str]):
+    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
+        side = int(pdf["_side"].iloc[0])
+        xs = pdf["bx"].to_numpy() if side == 0 else pdf["_cx"].to_numpy()
+        lt, le = _dominance(xs, pdf["by"].to_numpy(), pdf["n"].to_numpy())
+        out = pdf[key_cols].copy()
+        zero = np.zeros(len(pdf), dtype=np.int64)
+        out["lt1"], out["le1"] = (lt, le) if side == 0 else (zero, zero)
+        out["lt2"], out["le2"] = (zero, zero) if side == 0 else (lt, le)
+        return out
+    return fn
+
+
+def _tie_sums(ranks: DataFrame, tcol: str, g: list[str], tag: str) -> DataFrame:
+    """Per group: distinct values, sum t(t-1)/2, sum t(t-1)(2t+5),
+    sum t(t-1), sum t(t-1)(t-2) over the tie groups."""
+    t = F.col(tcol).cast("double")
+    return ranks.groupBy(*g).agg(
+        F.count(F.lit(1)).alias(f"{tag}_nd"),
+        F.sum(t * (t - 1) / 2).alias(f"{tag}_t2"), F.sum(t * (t - 1) * (2 * t + 5)).alias(f"{tag}_v"),
+        F.sum(t * (t - 1)).alias(f"{tag}_v1"), F.sum(t * (t - 1) * (t - 2)).alias(f"{tag}_v2"))
 
 
 def correlate(df: DataFrame, x: str, y: str, method: str, group_cols=()) -> DataFrame:

@@ -25,18 +25,17 @@ DEFAULT_BUCKETS = 1024
 
 def value_ranks(df: DataFrame, col: str, group_cols: list[str] | tuple = (),
                 buckets: int = DEFAULT_BUCKETS, value_name: str = "value") -> DataFrame:
-    g = list(group_cols)
-    vc = (df.filter(F.col(col).isNotNull())
-            .groupBy(*g, F.col(col).alias(value_name)).agg(F.count(F.lit(1)).alias("n")))
-    stats = [F.min(value_name).alias("_lo"), F.max(value_name).alias("_hi"), F.sum("n").alias("total")]
-    if g:
-        # one row per group; AQE broadcasts it when measured small, else sort-merge
-        vb = vc.join(vc.groupBy(*g).agg(*stats), on=g, how="inner")
-    else:
-        # ungrouped: three scalar subqueries (one aggregate job each)
-        vb = vc.withColumns({"_lo": vc.agg(F.min(value_name)).scalar(),
-                             "_hi": vc.agg(F.max(value_name)).scalar(),
-                             "total": vc.agg(F.sum("n")).scalar()})
+    g0 = list(group_cols)
+    # ungrouped input runs as one constant group; its per-group statistics
+    # are then exactly one row, which is broadcast (proven size bound)
+    g = g0 if g0 else ["_g"]
+    src = df if g0 else df.withColumn("_g", F.lit(0))
+    vc = (src.filter(F.col(col).isNotNull())
+             .groupBy(*g, F.col(col).alias(value_name)).agg(F.count(F.lit(1)).alias("n")))
+    stats = vc.groupBy(*g).agg(F.min(value_name).alias("_lo"), F.max(value_name).alias("_hi"),
+                               F.sum("n").alias("total"))
+    # grouped: one row per group, AQE broadcasts it when measured small
+    vb = vc.join(stats if g0 else F.broadcast(stats), on=g, how="inner")
     v = F.col(value_name).cast("double")
     span = F.col("_hi").cast("double") - F.col("_lo").cast("double")
     b = F.when(span > 0, F.least(F.floor((v - F.col("_lo").cast("double")) / span * buckets),
@@ -48,5 +47,5 @@ def value_ranks(df: DataFrame, col: str, group_cols: list[str] | tuple = (),
     w_in = Window.partitionBy(*g, "_b").orderBy(value_name).rowsBetween(Window.unboundedPreceding, -1)
     out = (vb.join(bt, on=g + ["_b"], how="inner")
              .withColumn("before", F.col("_off") + F.coalesce(F.sum("n").over(w_in), F.lit(0))))
-    return out.select(*g, value_name, "n", "before",
+    return out.select(*g0, value_name, "n", "before",
                       (F.col("before") + (F.col("n") + 1) / 2.0).alias("rank"), "total")
