@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskspan.catalog import CASE_INSENSITIVE_KEYWORDS, CASE_SENSITIVE_KEYWORDS
+from riskspan.session import spread_cpu_work
 
 # A word boundary written with explicit classes (letters, digits, '_'), the
 # same on the JVM and in RE2, instead of engine-dependent \b.
@@ -32,10 +33,17 @@ def matched_keyword(text, sensitive=CASE_SENSITIVE_KEYWORDS,
 
 def keyword_filter(df: DataFrame, field: str, sensitive=CASE_SENSITIVE_KEYWORDS,
                    insensitive=CASE_INSENSITIVE_KEYWORDS) -> DataFrame:
+    """Rows whose ``field`` has a keyword hit, with ``matched_keyword``.
+
+    A plain ``filter(matched.isNotNull())`` is pushed below the projection
+    and the regex scan runs twice per text; emitting the 0-or-1 hit through
+    ``explode`` keeps it to one evaluation.  The regex is CPU-bound, so an
+    input with fewer partitions than cores is spread first.
+    """
     if field not in df.columns:
         raise ValueError(f'Column "{field}" not found in DataFrame.')
-    return (df.withColumn("matched_keyword", matched_keyword(field, sensitive, insensitive))
-              .filter(F.col("matched_keyword").isNotNull()))
+    hit = F.array_compact(F.array(matched_keyword(field, sensitive, insensitive)))
+    return spread_cpu_work(df).select("*", F.explode(hit).alias("matched_keyword"))
 
 
 # P13 -------------------------------------------------------------------------
