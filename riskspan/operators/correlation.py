@@ -53,10 +53,12 @@ def _cells_with_ranks(df: DataFrame, x: str, y: str, g: list[str]):
     rank tables (one row per distinct value, with its multiplicity)."""
     b = _pair_base(df, x, y, g)
     cells = b.groupBy(*g, "_x", "_y").agg(F.count(F.lit(1)).alias("n"))
-    rx = value_ranks(b, "_x", g, value_name="_x").select(*g, "_x", F.col("before").alias("bx"),
+    # both rank tables come from the cell counts: the base rows are scanned
+    # once (the cell exchange is reused), not once per table
+    rx = value_ranks(cells, "_x", g, value_name="_x", weight="n").select(*g, "_x", F.col("before").alias("bx"),
                                                          F.col("rank").alias("rx"), F.col("n").alias("tx"),
                                                          F.col("total").alias("_tot"))
-    ry = value_ranks(b, "_y", g, value_name="_y").select(*g, "_y", F.col("before").alias("by"),
+    ry = value_ranks(cells, "_y", g, value_name="_y", weight="n").select(*g, "_y", F.col("before").alias("by"),
                                                          F.col("rank").alias("ry"), F.col("n").alias("ty"))
     return cells.join(rx, on=g + ["_x"]).join(ry, on=g + ["_y"]), rx, ry
 

@@ -24,14 +24,18 @@ DEFAULT_BUCKETS = 1024
 
 
 def value_ranks(df: DataFrame, col: str, group_cols: list[str] | tuple = (),
-                buckets: int = DEFAULT_BUCKETS, value_name: str = "value") -> DataFrame:
+                buckets: int = DEFAULT_BUCKETS, value_name: str = "value",
+                weight: str | None = None) -> DataFrame:
+    """Ranks of ``col`` per group; with ``weight`` each input row stands for
+    that many rows (an already aggregated table of counts)."""
     g0 = list(group_cols)
     # ungrouped input runs as one constant group; its per-group statistics
     # are then exactly one row, which is broadcast (proven size bound)
     g = g0 if g0 else ["_g"]
     src = df if g0 else df.withColumn("_g", F.lit(0))
     vc = (src.filter(F.col(col).isNotNull())
-             .groupBy(*g, F.col(col).alias(value_name)).agg(F.count(F.lit(1)).alias("n")))
+             .groupBy(*g, F.col(col).alias(value_name))
+             .agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("n")))
     stats = vc.groupBy(*g).agg(F.min(value_name).alias("_lo"), F.max(value_name).alias("_hi"),
                                F.sum("n").alias("total"))
     # grouped: one row per group, AQE broadcasts it when measured small
