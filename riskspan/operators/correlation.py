@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,10 +26,18 @@ from riskspan.session import cut_lineage
 
 
 def _pair_base(df: DataFrame, x: str, y: str, g: list[str]) -> DataFrame:
-    return df.select(*g, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y")) \
+    # "+ 0.0" turns -0.0 into 0.0, so equal values compare and group alike
+    return df.select(*g, (F.col(x).cast("double") + 0.0).alias("_x"), (F.col(y).cast("double") + 0.0).alias("_y")) \
              .filter(F.col("_x").isNotNull() & F.col("_y").isNotNull() & ~F.isnan("_x") & ~F.isnan("_y"))
 
 
+def _two_values(c: str) -> Column:
+    """2 when the column has at least two distinct values in the group, else
+    1: the guard only needs that, and min < max says it without the extra
+    shuffle of a distinct count."""
+    return F.when(F.min(c) < F.max(c), F.lit(2)).otherwise(F.lit(1))
+
+
 def _guard(n, nx, ny, value):
     """Fewer than two rows or fewer than two distinct values -> null."""
     return F.when((n >= 2) & (nx >= 2) & (ny >= 2), value)
@@ -43,7 +51,7 @@ def pearson(df: DataFrame, x: str, y: str, group_cols=()) -> DataFrame:
     # under ANSI) on constant groups, which the guard must turn into null
     aggs = [F.count(F.lit(1)).alias("n"),
             F.try_divide(F.covar_samp("_x", "_y"), F.stddev_samp("_x") * F.stddev_samp("_y")).alias("_r"),
-            F.count_distinct("_x").alias("_nx"), F.count_distinct("_y").alias("_ny")]
+            _two_values("_x").alias("_nx"), _two_values("_y").alias("_ny")]
     out = b.groupBy(*g).agg(*aggs) if g else b.agg(*aggs)
     return out.select(*g, "n", _guard(F.col("n"), F.col("_nx"), F.col("_ny"), F.col("_r")).alias("coef"))
 
@@ -71,7 +79,7 @@ def spearman(df: DataFrame, x: str, y: str, group_cols=()) -> DataFrame:
     dx, dy = F.col("rx") - m, F.col("ry") - m
     aggs = [F.sum("n").alias("n"), F.sum(F.col("n") * dx * dy).alias("_sxy"),
             F.sum(F.col("n") * dx * dx).alias("_sxx"), F.sum(F.col("n") * dy * dy).alias("_syy"),
-            F.count_distinct("_x").alias("_nx"), F.count_distinct("_y").alias("_ny")]
+            _two_values("_x").alias("_nx"), _two_values("_y").alias("_ny")]
     out = c.groupBy(*g).agg(*aggs) if g else c.agg(*aggs)
     r = F.try_divide(F.col("_sxy"), F.sqrt(F.col("_sxx") * F.col("_syy")))
     return out.select(*g, "n", _guard(F.col("n"), F.col("_nx"), F.col("_ny"), r).alias("coef"))
