@@ -167,7 +167,10 @@ def kendall(df: DataFrame, x: str, y: str, group_cols=(), target_cells: int = 20
     # strictly lower blocks on both axes: K x K prefix grid per group
     grid = c.groupBy(*g, "_cx", "_by").agg(F.sum("n").alias("_gn"))
     seq = F.explode(F.sequence(F.lit(0), F.col("_K") - 1))
-    dense = counts.withColumn("_cx", seq).withColumn("_by", seq).drop("_K")
+    # K per group read back from the checkpointed cells (``counts`` itself
+    # would re-run the rank pipeline)
+    ks = c.groupBy(*g).agg(F.max("_K").alias("_K"))
+    dense = ks.withColumn("_cx", seq).withColumn("_by", seq).drop("_K")
     dense = dense.join(grid, on=g + ["_cx", "_by"], how="left").fillna(0, subset=["_gn"])
     w1 = Window.partitionBy(*g, "_by").orderBy("_cx").rowsBetween(Window.unboundedPreceding, -1)
     dense = dense.withColumn("_col", F.coalesce(F.sum("_gn").over(w1), F.lit(0)))
