@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskspan.catalog import SCORE_BIN_EDGES
+from riskspan.operators.ranks import value_ranks
 
 
 def _c(c) -> Column:
@@ -18,6 +19,40 @@ def pct(num: Column, den: Column) -> Column:
     return F.try_divide(num.cast("double"), den.cast("double")) * 100.0
 
 
+# Exact quantiles -------------------------------------------------------------
+def exact_quantiles(df: DataFrame, col, probs, group_cols=(), names=None) -> DataFrame:
+    """Per group, the ``probs`` quantiles of ``col`` (nulls dropped) with
+    linear interpolation between order statistics: position h = p (n - 1),
+    value = x[floor h] + (h - floor h) (x[floor h + 1] - x[floor h]).
+
+    The built-in exact ``percentile`` merges a group's value counts in one
+    task, which does not hold for a hot group of continuous values.  Here the
+    order statistics come from ``value_ranks`` (one row per distinct value
+    with its rank span, computed with bounded tasks); each position is read
+    from the single distinct value whose span covers it, in one grouped
+    aggregate.  Returns the group columns, ``n`` (non-null values) and one
+    double column per prob.
+    """
+    g = list(group_cols)
+    names = list(names) if names is not None else [f"q{i}" for i in range(len(probs))]
+    src = df.select(*g, _c(col).alias("_qv"))
+    r = value_ranks(src, "_qv", g, value_name="_qv")
+    v = F.col("_qv").cast("double")
+    aggs, finals = [F.max("total").alias("_n")], []
+    for i, p in enumerate(probs):
+        h = F.lit(float(p)) * (F.col("total") - 1)
+        lo = F.floor(h)
+        hi = F.least(lo + 1, F.col("total") - 1)
+
+        def covers(idx):
+            return (F.col("before") <= idx) & (idx < F.col("before") + F.col("n"))
+        aggs += [F.max(F.when(covers(lo), v)).alias(f"_lo{i}"), F.max(F.when(covers(hi), v)).alias(f"_hi{i}")]
+        hh = F.lit(float(p)) * (F.col("_n") - 1)
+        finals.append((F.col(f"_lo{i}") + (hh - F.floor(hh)) * (F.col(f"_hi{i}") - F.col(f"_lo{i}"))).alias(names[i]))
+    out = r.groupBy(*g).agg(*aggs) if g else r.agg(*aggs)
+    return out.select(*g, F.coalesce(F.col("_n"), F.lit(0)).alias("n"), *finals)
+
+
 # A2 -------------------------------------------------------------------------
 def summary_metrics(df: DataFrame, value: str, threshold: float, days: str | None = None,
                     extra_means: list[str] = (), prefix: str | None = None) -> DataFrame:
@@ -88,26 +123,33 @@ def describe_numeric(df: DataFrame, cols: list[str]) -> DataFrame:
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
         aggs += [F.count(x).alias(f"c{i}"), F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"),
-                 F.min(x).alias(f"lo{i}"), F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"q{i}"),
-                 F.max(x).alias(f"hi{i}")]
+                 F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
     wide = df.agg(*aggs)
-    rows = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"c{i}").alias("count"),
+    # quartiles of all columns from one long (column, value) table, grouped
+    # by column name: one rank pipeline instead of one per column
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("_i"), F.col(c).cast("double").alias("_x"))
+                                         for i, c in enumerate(cols)])).alias("_r")).select("_r.*")
+    q = exact_quantiles(long, "_x", (0.25, 0.5, 0.75), ["_i"], ["q25", "q50", "q75"])
+    rows = F.explode(F.array(*[F.struct(F.lit(i).alias("_i"), F.lit(c).alias("column"), F.col(f"c{i}").alias("count"),
                                         F.col(f"m{i}").alias("mean"), F.col(f"s{i}").alias("std"),
-                                        F.col(f"lo{i}").alias("min"), F.col(f"q{i}")[0].alias("q25"),
-                                        F.col(f"q{i}")[1].alias("q50"), F.col(f"q{i}")[2].alias("q75"),
-                                        F.col(f"hi{i}").alias("max")) for i, c in enumerate(cols)]))
-    return wide.select(rows.alias("r")).select("r.*")
+                                        F.col(f"lo{i}").alias("min"), F.col(f"hi{i}").alias("max"))
+                               for i, c in enumerate(cols)]))
+    base = wide.select(rows.alias("r")).select("r.*")
+    # both sides have one row per column (a bounded size)
+    return (base.join(F.broadcast(q), "_i", "left")
+                .select("column", "count", "mean", "std", "min", "q25", "q50", "q75", "max"))
 
 
 def describe_dates(df: DataFrame, col: str) -> DataFrame:
     """Date describe over epoch microseconds, cast back to timestamps."""
     us = F.unix_micros(F.col(col).cast("timestamp"))
-    q = F.percentile(us, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
     back = lambda e: F.timestamp_micros(F.round(e).cast("long")).cast("timestamp_ntz")
-    return df.agg(F.count(us).alias("count"), back(F.avg(us)).alias("mean"), back(F.min(us)).alias("min"),
-                  q.alias("_q"), back(F.max(us)).alias("max")) \
-             .select("count", "mean", "min", back(F.col("_q")[0]).alias("q25"), back(F.col("_q")[1]).alias("q50"),
-                     back(F.col("_q")[2]).alias("q75"), "max")
+    q = exact_quantiles(df, us, (0.25, 0.5, 0.75), names=["_q0", "_q1", "_q2"])
+    a = df.agg(F.count(us).alias("count"), back(F.avg(us)).alias("mean"), back(F.min(us)).alias("min"),
+               back(F.max(us)).alias("max"))
+    # q is one row: its columns enter as scalar subqueries
+    return a.select("count", "mean", "min", *[back(q.select(f"_q{i}").scalar()).alias(n)
+                                              for i, n in enumerate(("q25", "q50", "q75"))], "max")
 
 
 # A8 -------------------------------------------------------------------------
@@ -157,9 +199,9 @@ def binned_counts(df: DataFrame, col: str, edges=SCORE_BIN_EDGES) -> DataFrame:
 # P10 ------------------------------------------------------------------------
 def iqr_bounds(df: DataFrame, col: str, k: float = 1.5) -> tuple[Column, Column]:
     """Tukey fences as scalar subqueries over one exact percentile aggregate."""
-    q = df.agg(F.percentile(F.col(col), F.array(F.lit(0.25), F.lit(0.75))).alias("q"))
-    q1 = q.select(F.col("q")[0]).scalar()
-    q3 = q.select(F.col("q")[1]).scalar()
+    q = exact_quantiles(df, col, (0.25, 0.75), names=["q1", "q3"])
+    q1 = q.select("q1").scalar()
+    q3 = q.select("q3").scalar()
     return q1 - k * (q3 - q1), q3 + k * (q3 - q1)
 
 
@@ -213,9 +255,7 @@ def box_stats(df: DataFrame, col: str, group: str | None = None, k: float = 1.5)
     outlier counts per group: two grouped aggregates joined on the group."""
     g = [group] if group else []
     base = df.filter(F.col(col).isNotNull())
-    q = base.groupBy(*g).agg(F.percentile(F.col(col), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("_q"),
-                             F.count(F.lit(1)).alias("n"))
-    q = q.select(*g, "n", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))
+    q = exact_quantiles(base, col, (0.25, 0.5, 0.75), g, ["q1", "median", "q3"])
     q = q.withColumns({"lo_fence": F.col("q1") - k * (F.col("q3") - F.col("q1")),
                        "hi_fence": F.col("q3") + k * (F.col("q3") - F.col("q1"))})
     j = base.join(q, on=g) if g else base.withColumns(

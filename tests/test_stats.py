@@ -101,3 +101,24 @@ def test_normality_direction(spark):
     assert anderson_darling(small, "v").first().statistic is None  # n < 8
     with pytest.raises(ValueError):
         anderson_darling(df, "v", significance=3.0)
+
+
+def test_exact_quantiles_match_numpy(spark):
+    import numpy as np
+    from riskspan.operators.stats import exact_quantiles
+    rng = np.random.default_rng(7)
+    # group 0 is hot (most rows, many ties); group 2 has one value; nulls dropped
+    rows = [(0, float(v)) for v in rng.integers(0, 50, 3000)]
+    rows += [(1, float(v)) for v in rng.normal(0, 1, 97)]
+    rows += [(2, 4.5), (2, None), (1, None)]
+    df = spark.createDataFrame(rows, "g int, x double")
+    probs = (0.0, 0.25, 0.5, 0.9, 1.0)
+    got = {r.g: r for r in exact_quantiles(df, "x", probs, ["g"]).collect()}
+    for g in (0, 1, 2):
+        vals = np.array([x for k, x in rows if k == g and x is not None])
+        assert got[g]["n"] == len(vals)
+        for i, p in enumerate(probs):
+            assert abs(got[g][f"q{i}"] - np.percentile(vals, p * 100)) < 1e-9
+    one = exact_quantiles(df, "x", (0.5,), names=["med"]).collect()[0]
+    allv = np.array([x for _, x in rows if x is not None])
+    assert abs(one["med"] - np.median(allv)) < 1e-9 and one["n"] == len(allv)
