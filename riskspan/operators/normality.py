@@ -154,15 +154,20 @@ def shapiro_wilk(df: DataFrame, col: str, group_cols=(), max_n: int = 5000, seed
 # A23 ------------------------------------------------------------------------
 def qq_table(df: DataFrame, col: str, points: int = 100) -> DataFrame:
     """(theoretical normal quantile, sample quantile, fitted line) at
-    ``points`` plotting positions; sample quantiles are exact percentiles."""
+    ``points`` plotting positions; sample quantiles are exact (linear
+    interpolation), computed from distributed value ranks."""
     probs = [(k - 0.5) / points for k in range(1, points + 1)]
     theo = [norm_ppf(p) for p in probs]
+    from riskspan.operators.stats import exact_quantiles
     x = F.col(col).cast("double")
-    agg = df.agg(F.percentile(x, F.array(*[F.lit(p) for p in probs])).alias("_q"),
-                 F.avg(x).alias("_m"), F.stddev_samp(x).alias("_s"))
+    names = [f"_q{i}" for i in range(points)]
+    q = exact_quantiles(df, x, probs, names=names)
+    ms = df.agg(F.avg(x).alias("_m"), F.stddev_samp(x).alias("_s"))
     rows = F.explode(F.arrays_zip(F.array(*[F.lit(t) for t in theo]).alias("theoretical"),
-                                  F.col("_q").alias("sample"),
+                                  F.array(*[F.col(n) for n in names]).alias("sample"),
                                   F.array(*[F.lit(i + 1) for i in range(points)]).alias("k")))
-    return agg.select("_m", "_s", rows.alias("r")).select(
+    # both aggregates are one row; mean and std enter as scalar subqueries
+    return q.select(ms.select("_m").scalar().alias("_m"), ms.select("_s").scalar().alias("_s"),
+                    rows.alias("r")).select(
         F.col("r.k").alias("k"), F.col("r.theoretical").alias("theoretical"), F.col("r.sample").alias("sample"),
         (F.col("_m") + F.col("_s") * F.col("r.theoretical")).alias("fitted"))
