@@ -101,8 +101,11 @@ def spread_cpu_work(df):
     """Round-robin ``df`` over the cluster's cores when its scan yields fewer
     partitions than there are cores (e.g. one large Parquet row group), so a
     CPU-heavy per-row step does not run in one task.  Inputs that already
-    have at least one partition per core are returned untouched (no shuffle).
+    have at least one partition per core are returned untouched (no shuffle),
+    and so are streaming inputs (their partitioning is per micro-batch).
     """
+    if df.isStreaming:
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < cores:
         return df.repartition(cores)
