@@ -158,16 +158,13 @@ def qq_table(df: DataFrame, col: str, points: int = 100) -> DataFrame:
     interpolation), computed from distributed value ranks."""
     probs = [(k - 0.5) / points for k in range(1, points + 1)]
     theo = [norm_ppf(p) for p in probs]
-    from riskspan.operators.stats import exact_quantiles
+    from riskspan.operators.stats import quantile_rows
     x = F.col(col).cast("double")
-    names = [f"_q{i}" for i in range(points)]
-    q = exact_quantiles(df, x, probs, names=names)
+    q = quantile_rows(df, x, probs)
     ms = df.agg(F.avg(x).alias("_m"), F.stddev_samp(x).alias("_s"))
-    rows = F.explode(F.arrays_zip(F.array(*[F.lit(t) for t in theo]).alias("theoretical"),
-                                  F.array(*[F.col(n) for n in names]).alias("sample"),
-                                  F.array(*[F.lit(i + 1) for i in range(points)]).alias("k")))
-    # both aggregates are one row; mean and std enter as scalar subqueries
-    return q.select(ms.select("_m").scalar().alias("_m"), ms.select("_s").scalar().alias("_s"),
-                    rows.alias("r")).select(
-        F.col("r.k").alias("k"), F.col("r.theoretical").alias("theoretical"), F.col("r.sample").alias("sample"),
-        (F.col("_m") + F.col("_s") * F.col("r.theoretical")).alias("fitted"))
+    theo_of_k = F.element_at(F.array(*[F.lit(t) for t in theo]), F.col("k"))
+    # mean and std (one row) enter as scalar subqueries
+    r = q.select("k", theo_of_k.alias("theoretical"), F.col("value").alias("sample"),
+                 ms.select("_m").scalar().alias("_m"), ms.select("_s").scalar().alias("_s"))
+    return r.select("k", "theoretical", "sample",
+                    (F.col("_m") + F.col("_s") * F.col("theoretical")).alias("fitted"))

@@ -53,6 +53,34 @@ def exact_quantiles(df: DataFrame, col, probs, group_cols=(), names=None) -> Dat
     return out.select(*g, F.coalesce(F.col("_n"), F.lit(0)).alias("n"), *finals)
 
 
+def quantile_rows(df: DataFrame, col, probs, group_cols=()) -> DataFrame:
+    """Long form of ``exact_quantiles`` for many probabilities: one row
+    (group, ``k`` = 1-based index of the prob, ``value``) per quantile.
+
+    Each distinct value's rank row emits only the quantile positions its span
+    covers (an array filter over the probs), so the work is one small grouped
+    aggregate per quantile instead of two conditional aggregates per prob.
+    """
+    g = list(group_cols)
+    src = df.select(*g, _c(col).alias("_qv"))
+    r = value_ranks(src, "_qv", g, value_name="_qv")
+    last = F.col("total") - 1
+    cand = F.transform(F.array(*[F.lit(float(p)) for p in probs]),
+                       lambda p, i: F.struct((i + 1).alias("k"), F.floor(p * last).alias("lo"),
+                                             F.least(F.floor(p * last) + 1, last).alias("hi"),
+                                             (p * last - F.floor(p * last)).alias("frac")))
+
+    def covers(idx):
+        return (F.col("before") <= idx) & (idx < F.col("before") + F.col("n"))
+    hits = F.filter(cand, lambda c: covers(c["lo"]) | covers(c["hi"]))
+    e = r.select(*g, F.col("_qv").cast("double").alias("_v"), "before", "n", F.explode(hits).alias("_c"))
+    agg = e.groupBy(*g, F.col("_c.k").alias("k")).agg(
+        F.max(F.when(covers(F.col("_c.lo")), F.col("_v"))).alias("_lo"),
+        F.max(F.when(covers(F.col("_c.hi")), F.col("_v"))).alias("_hi"),
+        F.max("_c.frac").alias("_f"))
+    return agg.select(*g, "k", (F.col("_lo") + F.col("_f") * (F.col("_hi") - F.col("_lo"))).alias("value"))
+
+
 # A2 -------------------------------------------------------------------------
 def summary_metrics(df: DataFrame, value: str, threshold: float, days: str | None = None,
                     extra_means: list[str] = (), prefix: str | None = None) -> DataFrame:

@@ -122,3 +122,18 @@ def test_exact_quantiles_match_numpy(spark):
     one = exact_quantiles(df, "x", (0.5,), names=["med"]).collect()[0]
     allv = np.array([x for _, x in rows if x is not None])
     assert abs(one["med"] - np.median(allv)) < 1e-9 and one["n"] == len(allv)
+
+
+def test_quantile_rows_match_numpy(spark):
+    import numpy as np
+    from riskspan.operators.stats import quantile_rows
+    rng = np.random.default_rng(11)
+    rows = [(0, float(v)) for v in rng.integers(0, 20, 2000)] + [(1, float(v)) for v in rng.normal(0, 1, 53)]
+    df = spark.createDataFrame(rows, "g int, x double")
+    probs = [(k - 0.5) / 40 for k in range(1, 41)]
+    got = {(r.g, r.k): r.value for r in quantile_rows(df, "x", probs, ["g"]).collect()}
+    assert len(got) == 2 * len(probs)
+    for g in (0, 1):
+        vals = np.array([x for k, x in rows if k == g])
+        for i, p in enumerate(probs):
+            assert abs(got[(g, i + 1)] - np.percentile(vals, p * 100)) < 1e-9
