@@ -4,8 +4,12 @@ A window with no ``partitionBy`` moves every row into one task.  Instead:
 
 1. count rows per distinct value (map-side partial aggregation, so a hot
    value costs one row per map task);
-2. cut the value range of each group into ``buckets`` equal-width buckets
-   (min / max come from a grouped aggregate);
+2. cut each group's distinct values into ``buckets`` buckets of about equal
+   size: boundaries are approximate quantiles of the distinct values (a
+   bounded sketch aggregate), and a value's bucket is the number of
+   boundaries below it.  That is monotone in the value, so offsets stay
+   exact, and outliers or skewed distributions cannot crowd the distinct
+   values into a few buckets (which equal-width buckets would);
 3. bucket totals -> offsets with a window over at most ``buckets`` rows per
    group;
 4. inside a bucket, a running sum over the distinct values of that bucket.
@@ -36,15 +40,25 @@ def value_ranks(df: DataFrame, col: str, group_cols: list[str] | tuple = (),
     vc = (src.filter(F.col(col).isNotNull())
              .groupBy(*g, F.col(col).alias(value_name))
              .agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("n")))
-    stats = vc.groupBy(*g).agg(F.min(value_name).alias("_lo"), F.max(value_name).alias("_hi"),
+    v = F.col(value_name).cast("double")
+    probs = F.array(*[F.lit(i / buckets) for i in range(1, max(buckets, 2))])
+    stats = vc.groupBy(*g).agg(F.percentile_approx(v, probs, 10000).alias("_bounds"),
                                F.sum("n").alias("total"))
-    # grouped: one row per group, AQE broadcasts it when measured small
+    # grouped: one row per group, AQE broadcasts it when measured small;
+    # ungrouped: exactly one row (buckets - 1 doubles)
     vb = vc.join(stats if g0 else F.broadcast(stats), on=g, how="inner")
-    v = F.col(value_name).cast("double")
-    span = F.col("_hi").cast("double") - F.col("_lo").cast("double")
-    b = F.when(span > 0, F.least(F.floor((v - F.col("_lo").cast("double")) / span * buckets),
-                                  F.lit(buckets - 1))).otherwise(F.lit(0)).cast("int")
-    vb = vb.withColumn("_b", b).drop("_lo", "_hi")
+    # bucket = number of boundaries below the value: a binary search over the
+    # sorted boundaries (log2(buckets) steps per distinct value)
+    nb = max(buckets - 1, 0)
+    levels = nb.bit_length()
+
+    def halve(acc, i):
+        cand = acc + F.pow(F.lit(2), F.lit(levels - 1) - i).cast("int")
+        below = (cand <= F.lit(nb)) & (F.try_element_at(F.col("_bounds"), cand) < v)
+        return F.when(below, cand).otherwise(acc)
+    b = F.aggregate(F.sequence(F.lit(0), F.lit(levels - 1)), F.lit(0), halve) if levels else F.lit(0)
+    vb = vb.withColumn("_b", b)
+    vb = vb.drop("_bounds")
     bt = vb.groupBy(*g, "_b").agg(F.sum("n").alias("_bn"))
     w_off = Window.partitionBy(*g).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     bt = bt.withColumn("_off", F.coalesce(F.sum("_bn").over(w_off), F.lit(0))).drop("_bn")

@@ -137,3 +137,18 @@ def test_quantile_rows_match_numpy(spark):
         vals = np.array([x for k, x in rows if k == g])
         for i, p in enumerate(probs):
             assert abs(got[(g, i + 1)] - np.percentile(vals, p * 100)) < 1e-9
+
+
+def test_value_ranks_with_outlier_and_groups(spark):
+    # one far outlier: equal-width buckets would put every other value into
+    # bucket 0; ranks must stay exact whatever the bucket layout
+    rng = np.random.default_rng(3)
+    vals = [float(x) for x in rng.integers(0, 300, 2000)] + [1e12, -5.0]
+    rows = [(i % 2, v) for i, v in enumerate(vals)]
+    df = spark.createDataFrame(rows, "g int, v double")
+    got = {(r.g, r.value): (r.before, r.rank) for r in value_ranks(df, "v", ["g"], buckets=8).collect()}
+    pdf = pd.DataFrame(rows, columns=["g", "v"])
+    pdf["rank"] = pdf.groupby("g")["v"].rank(method="average")
+    pdf["before"] = pdf.groupby("g")["v"].rank(method="min") - 1
+    for r in pdf.drop_duplicates(["g", "v"]).itertuples():
+        assert got[(r.g, r.v)] == (r.before, r.rank)
