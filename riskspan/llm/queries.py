@@ -3,12 +3,59 @@ production parameters to whole tables."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
 from riskspan.llm.common import documents
+from riskspan.llm.line_dedup import remove_repeated_lines
+from riskspan.llm.packing import pack_documents
+from riskspan.llm.quality import fit_quality, score_quality
 from riskspan.llm.substring_dedup import remove_repeats
 from riskspan.llm.suffix_dedup import remove_repeated_bytes
 
+MIN_LINES = 2
+
+
+def op1_line_dedup(spark, sf_dir):
+    out = remove_repeated_lines(documents(spark, sf_dir).select("doc_id", "text"), MIN_LINES)
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256"))
+
+
+OP1_SQL = """
+with d as (select doc_id, string_split(text, chr(10)) as ls from documents where text is not null),
+starts as (
+  select doc_id, i, ls[i] || chr(10) || ls[i + 1] as run
+  from (select doc_id, ls, unnest(range(1, len(ls))) as i from d)),
+later as (
+  select doc_id, i from (
+    select doc_id, i, row_number() over (partition by run order by doc_id, i) as nth from starts)
+  where nth > 1),
+gone as (select distinct doc_id, p from (select doc_id, unnest([i, i + 1]) as p from later)),
+lines as (select doc_id, unnest(range(1, len(ls) + 1)) as p, unnest(ls) as line from d),
+kept as (
+  select l.doc_id, count(*) as n_lines, count(g.p) as n_removed,
+    coalesce(string_agg(case when g.p is null then l.line end, chr(10) order by l.p), '') as kept_text
+  from lines l left join gone g on g.doc_id = l.doc_id and g.p = l.p group by l.doc_id)
+select doc_id, coalesce(n_lines, 0) as n_lines, coalesce(n_removed, 0) as n_removed,
+  sha256(coalesce(kept_text, '')) as kept_sha256
+from (select doc_id from documents) left join kept using (doc_id)"""
+
+
+def held_out(divisor: int, rest: int):
+    """Whether crc32(doc_id as text) leaves ``rest``; a null id does not."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % divisor == rest, F.lit(False))
+
+
+def op3_quality_classifier(spark, sf_dir):
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
+    model = fit_quality(docs, labels, ~held_out(3, 1))
+    return score_quality(docs, model).select("doc_id", held_out(3, 1).alias("held_out"), "score", "predicted")
+
+
+def op8_best_fit_packing(spark, sf_dir):
+    return pack_documents(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), 2048)
+
 
 def op9_substring_dedup(spark, sf_dir):
     out = remove_repeats(documents(spark, sf_dir).select("doc_id", "text"), window=35)
@@ -20,5 +67,6 @@ def op10_suffix_dedup(spark, sf_dir):
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op9_substring_dedup, op10_suffix_dedup)}
-ORACLE: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op3_quality_classifier, op8_best_fit_packing, op9_substring_dedup,
+                                   op10_suffix_dedup)}
+ORACLE: dict[str, str] = {"op1_line_dedup": OP1_SQL}
