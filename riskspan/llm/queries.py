@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 
 from riskspan.llm.common import documents
 from riskspan.llm.line_dedup import remove_repeated_lines
+from riskspan.llm.near_dedup import near_duplicates
 from riskspan.llm.packing import pack_documents
 from riskspan.llm.quality import fit_quality, score_quality
 from riskspan.llm.substring_dedup import remove_repeats
 from riskspan.llm.suffix_dedup import remove_repeated_bytes
+from riskspan.llm.vector_search import top_inner_products, whole_vectors
 
 MIN_LINES = 2
 
@@ -46,6 +48,11 @@ def held_out(divisor: int, rest: int):
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % divisor == rest, F.lit(False))
 
 
+def op2_topk_search(spark, sf_dir):
+    vectors = whole_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), 64)
+    return top_inner_products(vectors, F.col("id") % 20 == 0, 20)
+
+
 def op3_quality_classifier(spark, sf_dir):
     docs = documents(spark, sf_dir).select("doc_id", "text")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
@@ -53,6 +60,11 @@ def op3_quality_classifier(spark, sf_dir):
     return score_quality(docs, model).select("doc_id", held_out(3, 1).alias("held_out"), "score", "predicted")
 
 
+def op4_minhash_near_dedup(spark, sf_dir):
+    return near_duplicates(documents(spark, sf_dir), words=4, percent=80) \
+        .select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op8_best_fit_packing(spark, sf_dir):
     return pack_documents(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), 2048)
 
@@ -67,6 +79,7 @@ def op10_suffix_dedup(spark, sf_dir):
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op3_quality_classifier, op8_best_fit_packing, op9_substring_dedup,
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_topk_search, op3_quality_classifier, op4_minhash_near_dedup,
+                                   op8_best_fit_packing, op9_substring_dedup,
                                    op10_suffix_dedup)}
 ORACLE: dict[str, str] = {"op1_line_dedup": OP1_SQL}
