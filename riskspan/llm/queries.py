@@ -6,7 +6,10 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
+from riskspan.llm.bpe import encode_digests
 from riskspan.llm.common import documents
+from riskspan.llm.fingerprints import fingerprint_documents
+from riskspan.llm.language_id import fit_language, identify_language
 from riskspan.llm.line_dedup import remove_repeated_lines
 from riskspan.llm.near_dedup import near_duplicates
 from riskspan.llm.packing import pack_documents
@@ -65,6 +68,22 @@ def op4_minhash_near_dedup(spark, sf_dir):
         .select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op5_fingerprints(spark, sf_dir):
+    return fingerprint_documents(documents(spark, sf_dir))
+
+
+def op6_language_id(spark, sf_dir):
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    model = fit_language(docs, ~held_out(4, 2))
+    return identify_language(docs.select("doc_id", "text"), model) \
+        .select("doc_id", held_out(4, 2).alias("held_out"), "lang_pred", "score")
+
+
+def op7_bpe(spark, sf_dir):
+    out = encode_digests(documents(spark, sf_dir).select("doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"))
+    return out.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
 def op8_best_fit_packing(spark, sf_dir):
     return pack_documents(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), 2048)
 
@@ -80,6 +99,7 @@ def op10_suffix_dedup(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_topk_search, op3_quality_classifier, op4_minhash_near_dedup,
+                                   op5_fingerprints, op6_language_id, op7_bpe,
                                    op8_best_fit_packing, op9_substring_dedup,
                                    op10_suffix_dedup)}
 ORACLE: dict[str, str] = {"op1_line_dedup": OP1_SQL}
