@@ -19,7 +19,7 @@ from riskspan.llm.queries import MIN_LINES, held_out
 from riskspan.llm.substring_dedup import substring_stage
 
 CAPACITY = 2048
-REPEAT_WORDS = 50
+REPEAT_WORDS = 40
 
 
 def quality(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,7 +39,8 @@ def near_duplicates(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def substrings(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Runs of at least 50 words that occur twice go."""
+    """Runs of at least 40 words that occur twice go (passages of over 50 words,
+    also where their first and last words touch other text)."""
     return substring_stage(docs, REPEAT_WORDS)
 
 

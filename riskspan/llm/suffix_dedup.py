@@ -61,8 +61,10 @@ class Parser:
         phrase = phrase[phrase + self.core <= offsets[text + 1]]
         reach = self.window - self.core  # farthest trigger whose core the window covers
         # windows by their first trigger: cut the runs of places after each
-        # trigger and where the next trigger comes into reach
-        marks = np.unique(np.concatenate([lo0, hi0, phrase + 1, np.maximum(phrase - reach, 0)]))
+        # trigger and, in long gaps, where the next trigger comes into reach
+        far = phrase - reach
+        far = far[far > np.append(-1, phrase[:-1])] if len(phrase) else far
+        marks = np.unique(np.concatenate([lo0, hi0, phrase + 1, np.maximum(far, 0)]))
         lo, hi = marks[:-1], marks[1:]
         owner = np.searchsorted(offsets, lo, "right") - 1
         good = hi <= hi0[owner]
