@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskspan.session import scratch_dir
@@ -170,6 +170,10 @@ def carried(docs: DataFrame, text: str = "text") -> DataFrame:
 def uncarried(df: DataFrame, docs: DataFrame, text: str = "text", **made) -> DataFrame:
     """The columns of ``docs`` again, in their order, then those in ``made``.
     A made column takes the place of an input column of the same name."""
+    return _rebuilt(df, docs, text, made)
+
+
+def _rebuilt(df: DataFrame, docs: DataFrame, text: str, made: dict) -> DataFrame:
     names = {k.lower(): k for k in made}
     out = []
     for c in docs.columns:
@@ -182,11 +186,11 @@ def uncarried(df: DataFrame, docs: DataFrame, text: str = "text", **made) -> Dat
     return df.select(*out, *[made[k].alias(k) for k in names.values()])
 
 
-def with_text(docs: DataFrame, df: DataFrame, new: "F.Column", text: str = "text", **made) -> DataFrame:
+def with_text(docs: DataFrame, df: DataFrame, new: Column, text: str = "text") -> DataFrame:
     """``uncarried`` with the text replaced; a numeric column ``n_chars``
     follows the new text."""
-    made = {text: new, **made}
+    made = {text: new}
     for name, kind in docs.dtypes:
         if name.lower() == "n_chars" and kind in ("bigint", "int"):
             made[name] = F.length(new).cast(kind)
-    return uncarried(df, docs, text, **made)
+    return _rebuilt(df, docs, text, made)
