@@ -1,8 +1,9 @@
 """Adapter views that shape the driver tables into the reference's inputs.
 
 The same SQL text runs on Spark (as temp views) and on DuckDB (as CTEs in the
-oracle), so both engines start from identical rows.  IDs use seven digits so
-they never collide at larger scale factors.
+oracle), so both engines start from identical rows.  An ID holds the last
+seven digits of its key; the digits above move the year on, so that keys below
+10**9 have different IDs.
 """
 
 from __future__ import annotations
@@ -14,9 +15,21 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders",
           "benchmark", "labels", "conversations"]
 
 
+def cve_id_sql(key: str, year: str, digits: int = 7, step: int = 1) -> str:
+    """CVE-20yy-nnnnnnn of an integer key.  ``year`` (0-99) may depend on the
+    last digits of the key only; ``step`` years lie between keys that differ
+    by ten million."""
+    low = f"cast({key} % 10000000 as varchar(10))"
+    above = f"cast(({key} - {key} % 10000000) / 10000000 as bigint)"
+    return (f"concat('CVE-20', lpad(cast(({year} + {step} * {above}) % 100 as varchar(4)), 2, '0'), '-', "
+            f"lpad({low}, cast(greatest({digits}, length({low})) as int), '0'))")
+
+
 def _cve(key: str) -> str:
-    return (f"concat('CVE-', cast(2000 + {key} % 25 as varchar(4)), '-', "
-            f"lpad(cast({key} as varchar(10)), 7, '0'))")
+    return cve_id_sql(key, f"{key} % 25")
+
+
+USER_CVE = cve_id_sql("user_id", "24")
 
 
 FX = {
@@ -60,12 +73,12 @@ select {_cve('o_orderkey')} as cve_id,
   case o_orderkey % 4 when 0 then '2.0' when 1 then '3.0' when 2 then '3.1' else '4.0' end as cvss_version,
   o_orderdate + interval '1' day as date_published
 from orders where o_orderkey % 3 <> 1""",
-    "fx_epss_hist": """
-select concat('CVE-2024-', lpad(cast(user_id as varchar(10)), 7, '0')) as cve_id,
+    "fx_epss_hist": f"""
+select {USER_CVE} as cve_id,
   cast(ts as date) as score_date, round(max(value) / 500, 5) as epss, round(min(value) / 500, 5) as percentile
 from events group by user_id, cast(ts as date)""",
-    "fx_first_exploit": """
-select concat('CVE-2024-', lpad(cast(user_id as varchar(10)), 7, '0')) as cve_id,
+    "fx_first_exploit": f"""
+select {USER_CVE} as cve_id,
   min(cast(ts as date)) as earliest_date
 from events where event_type = 'purchase' group by user_id""",
     "fx_dirty": """

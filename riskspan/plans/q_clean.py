@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from riskspan.functions import clean as C
 from riskspan.functions.numeric import transform_numeric
-from riskspan.plans.fixtures import cte, fx, table
+from riskspan.plans.fixtures import cte, cve_id_sql, fx, table
 from riskspan.plans.jobs import kev_clean, nvd_clean, poc_clean
 from riskspan.plans.q_core import ID_RE, NVD_SQL
 from riskspan.plans.registry import query
@@ -289,8 +289,8 @@ def q_poc_clean(spark, sf):
     return poc_clean(raw)
 
 
-KEV_RAW = """
-select concat('CVE-', cast(2000 + o_orderkey % 25 as varchar(4)), '-', lpad(cast(o_orderkey as varchar(10)), 7, '0')) as cveID,
+KEV_RAW = f"""
+select {cve_id_sql("o_orderkey", "o_orderkey % 25")} as cveID,
   concat(' vendor ', cast(o_custkey % 50 as varchar(10))) as vendorProject,
   concat('product ', cast(o_custkey % 7 as varchar(10))) as product,
   o_orderpriority as vulnerabilityName,

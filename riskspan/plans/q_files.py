@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from riskspan.functions import clean as C
 from riskspan.functions.numeric import impute_scores
-from riskspan.plans.fixtures import cte, fx, register_tables, table
+from riskspan.plans.fixtures import cte, cve_id_sql, fx, register_tables, table
 from riskspan.plans.q_core import ID_RE, epss_table
 from riskspan.plans.registry import query
 from riskspan.session import scratch_dir
@@ -107,9 +107,9 @@ def q_subtable_clean(spark, sf):
                                              "cwe_consequence_note"], "integer": ["rel_cwe_id"]})
 
 
-ICS_RAW = """
-select case when c_custkey % 7 = 0 then concat(' cve-2019-', lpad(cast(c_custkey as varchar(10)), 5, '0'), ' ')
-            else concat('CVE-2020-', lpad(cast(c_custkey as varchar(10)), 5, '0')) end as cve_id,
+ICS_RAW = f"""
+select case when c_custkey % 7 = 0 then concat(' ', lower({cve_id_sql("c_custkey", "19", 5, 2)}), ' ')
+            else {cve_id_sql("c_custkey", "20", 5, 2)} end as cve_id,
   c_name as cve_description, '2021-03-0' || cast(c_custkey % 9 + 1 as varchar(1)) as u_sys_created,
   cast(c_nationkey as varchar(10)) as u_sfp_cluster, c_mktsegment as u_old_cat,
   case when c_custkey % 4 = 0 then 'n/a' else lower(c_mktsegment) end as u_new_cat, '' as u_other_cat,

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from riskspan.catalog import CASE_INSENSITIVE_KEYWORDS, CASE_SENSITIVE_KEYWORDS
 from riskspan.operators import filters as P
-from riskspan.plans.fixtures import cte, fx, register_tables, table
+from riskspan.plans.fixtures import USER_CVE, cte, fx, register_tables, table
 from riskspan.plans.registry import query
 from riskspan.sources import nested as N
 from riskspan.sources import synth as Y
@@ -72,12 +72,12 @@ def q_cve_field_extract(spark, sf):
 
 
 # S8 / S9
-@query("poc_file_summary", """
-select concat('CVE-2024-', lpad(cast(user_id as varchar), 7, '0')) as cve_id, count(*) as exploit_count,
+@query("poc_file_summary", f"""
+select {USER_CVE} as cve_id, count(*) as exploit_count,
   min(strftime(ts, '%Y-%m-%dT%H:%M:%S')) as earliest_date
 from events group by user_id""")
 def q_poc_file_summary(spark, sf):
-    listings = N.poc_listings(table(spark, sf, "events"))
+    listings = N.poc_listings(table(spark, sf, "events"), F.expr(USER_CVE))
     return N.poc_file_summary(listings, "listing").select("cve_id", "exploit_count", "earliest_date")
 
 

@@ -160,12 +160,12 @@ def cve_documents(cve: DataFrame) -> DataFrame:
     return cve.select("k", F.to_json(doc).alias("doc"))
 
 
-def poc_listings(events: DataFrame) -> DataFrame:
-    """One PoC listing (JSON array) per user and day: bounded groups."""
-    item = F.struct(F.concat(F.lit("CVE-2024-"), F.lpad(F.col("user_id").cast("string"), 7, "0")).alias("name"),
+def poc_listings(events: DataFrame, name: Column) -> DataFrame:
+    """PoC listings (JSON arrays): the events of a user and hour."""
+    item = F.struct(name.alias("name"),
                     F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("created_at"),
                     F.array(F.col("event_type")).alias("topics"))
-    return (events.groupBy("user_id", F.to_date("ts").alias("day"))
+    return (events.groupBy("user_id", F.date_trunc("hour", "ts").alias("hour"))
                   .agg(F.to_json(F.array_sort(F.collect_list(item))).alias("listing")))
 
 
@@ -209,6 +209,8 @@ def platform_unpivot(df: DataFrame, id_col: str) -> DataFrame:
     return df.select(F.col(id_col), F.explode(allp).alias("p")).select(id_col, "p.*")
 
 
+# FIXED VALUE: records on one page of the source
+NVD_PAGE = 2000
 METRIC_PRIORITY = ["cvssMetricV40", "cvssMetricV31", "cvssMetricV30", "cvssMetricV2"]
 
 
@@ -226,9 +228,10 @@ def nvd_pages(nvd: DataFrame) -> DataFrame:
                        v2.alias("cvssMetricV2"))
     vuln = F.struct(F.struct(F.col("cve_id").alias("id"), F.col("date_published").alias("published"),
                              metrics.alias("metrics")).alias("cve"))
-    # about 2^20 pages whatever the input size: records per page stay small
-    page = F.pmod(F.xxhash64("cve_id"), F.lit(1 << 20))
-    return nvd.groupBy(page.alias("page")).agg(F.collect_list(vuln).alias("vulnerabilities"))
+    # a page holds the records of 2,000 consecutive numbers of a year, as the source pages do
+    number = F.substring("cve_id", 10, 7).cast("long")
+    return nvd.groupBy(F.substring("cve_id", 5, 4).alias("year"), F.floor(number / NVD_PAGE).alias("page")) \
+        .agg(F.collect_list(vuln).alias("vulnerabilities")).select("vulnerabilities")
 
 
 def nvd_best_metric(pages: DataFrame) -> DataFrame:
