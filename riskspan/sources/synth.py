@@ -11,10 +11,30 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# FIXED VALUES: severity mix and score ranges of the synthetic generator
-SEVERITY_WEIGHTS = [("Low", 0.15), ("Medium", 0.35), ("High", 0.35), ("Critical", 0.15)]
-SEVERITY_RANGES = {"Low": (0.1, 3.9), "Medium": (4.0, 6.9), "High": (7.0, 8.9), "Critical": (9.0, 10.0)}
-SEVERITY_EXPLOIT_MULT = {"Low": 0.2, "Medium": 0.6, "High": 1.2, "Critical": 2.0}
+# FIXED VALUES: severity mix, score ranges, exploit factors and patch times
+SEVERITY_WEIGHTS = [("Low", 0.15), ("Medium", 0.30), ("High", 0.40), ("Critical", 0.15)]
+SEVERITY_RANGES = {"Low": (2.0, 3.9), "Medium": (4.0, 6.9), "High": (7.0, 8.9), "Critical": (9.0, 10.0)}
+SEVERITY_EXPLOIT_MULT = {"Low": 0.5, "Medium": 0.8, "High": 1.2, "Critical": 1.5}
+TIME_TO_PATCH = {"Low": (365, 450), "Medium": (270, 365), "High": (180, 270), "Critical": (150, 180)}
+EXPLOIT_RATE = 0.07
+
+# FIXED VALUES: industry sectors and their risk
+INDUSTRIES = [("Power Generation", 5), ("Power Transmission", 5), ("Energy Distribution", 4), ("Water Treatment", 4),
+              ("Oil and Gas", 5), ("Manufacturing", 3), ("Chemical Processing", 4), ("Transportation", 3),
+              ("Building Automation", 2)]
+
+# FIXED VALUES: integer columns drawn evenly from a range, both ends included
+EVEN_COLUMNS = [("iiot_integration_level", 0, 3), ("legacy_system_dependency", 0, 4),
+                ("component_interconnection_score", 1, 5), ("system_complexity", 1, 5),
+                ("financial_impact_score", 1, 5), ("regulatory_impact_score", 0, 3),
+                ("supply_chain_risk_score", 0, 4), ("attack_complexity", 1, 5),
+                ("patch_implementation_complexity", 1, 5), ("system_recovery_time", 1, 168),
+                ("patch_testing_impact", 0, 4), ("deployment_risk", 1, 5), ("detection_complexity_score", 1, 5),
+                ("alert_generation_rate", 0, 100), ("response_time_required", 1, 24),
+                ("geographic_impact_scope", 1, 4), ("operational_technology_impact", 0, 5),
+                ("network_segmentation_level", 0, 3), ("access_control_level", 1, 4),
+                ("attack_vector_complexity", 1, 5), ("attack_chain_length", 1, 10), ("required_access_level", 0, 3),
+                ("authentication_requirements", 0, 3)]
 
 
 def uniform(key: Column, seed: int, stream: int) -> Column:
@@ -32,39 +52,59 @@ def clamp_int(x: Column, lo: int, hi: int) -> Column:
     return F.least(F.lit(hi), F.greatest(F.lit(lo), x.cast("int")))
 
 
+def _by_severity(table: dict, part: int) -> Column:
+    return F.coalesce(*[F.when(F.col("severity") == n, F.lit(v[part])) for n, v in table.items()])
+
+
 def synth_generate(seed_rows: DataFrame, key: str, seed: int = 1945) -> DataFrame:
+    """One generated vulnerability per row of ``seed_rows``."""
     k = F.col(key)
-    u = uniform(k, seed, 1)
-    sev = None
-    acc = 0.0
-    for name, w in SEVERITY_WEIGHTS:
-        acc += w
-        sev = F.when(u < acc, F.lit(name)) if sev is None else sev.when(u < acc, F.lit(name))
-    sev = sev.otherwise(F.lit(SEVERITY_WEIGHTS[-1][0]))
-    lo = F.coalesce(*[F.when(sev == n, F.lit(r[0])) for n, r in SEVERITY_RANGES.items()])
-    hi = F.coalesce(*[F.when(sev == n, F.lit(r[1])) for n, r in SEVERITY_RANGES.items()])
-    mult = F.coalesce(*[F.when(sev == n, F.lit(m)) for n, m in SEVERITY_EXPLOIT_MULT.items()])
-    cvss = F.round(lo + uniform(k, seed, 2) * (hi - lo), 1)
-    df = seed_rows.select(k.alias("row_key"), sev.alias("severity"), mult.alias("_mult"), cvss.alias("cvss_score"))
-    rk = F.col("row_key")
+    streams = iter(range(1, 1000))
+
+    def draw(lo: float = 0.0, hi: float = 1.0) -> Column:
+        return F.lit(lo) + uniform(F.col("row_key"), seed, next(streams)) * (F.lit(hi) - F.lit(lo))
+
+    def whole(lo: int, hi: int) -> Column:
+        return randint(F.col("row_key"), seed, next(streams), lo, hi)
+
+    df = seed_rows.select(k.alias("row_key"))
+    acc, turn = 0.0, draw()
+    severity = F
+    for name, weight in SEVERITY_WEIGHTS:
+        acc += weight
+        severity = severity.when(turn < acc, F.lit(name))
+    df = df.withColumn("severity", severity.otherwise(F.lit(SEVERITY_WEIGHTS[-1][0])))
+    lo, hi = _by_severity(SEVERITY_RANGES, 0), _by_severity(SEVERITY_RANGES, 1)
+    df = df.withColumn("cvss_score", F.round(lo + draw() * (hi - lo), 1))
+    tenth = F.col("cvss_score") / 10
+    factor = F.coalesce(*[F.when(F.col("severity") == n, F.lit(m)) for n, m in SEVERITY_EXPLOIT_MULT.items()])
+    from_day, to_day = _by_severity(TIME_TO_PATCH, 0), _by_severity(TIME_TO_PATCH, 1)
     df = df.withColumns({
-        "exploited": (uniform(rk, seed, 3) < F.col("_mult") * 0.07 * 3.0).cast("int"),
-        "device_criticality": randint(rk, seed, 4, 1, 5),
-        "iiot_integration_level": randint(rk, seed, 5, 0, 3),
-        "system_complexity": randint(rk, seed, 6, 1, 5),
-        "supply_chain_risk_score": randint(rk, seed, 7, 0, 4),
-        "attack_complexity": randint(rk, seed, 8, 1, 5),
-        "published_date": F.date_add(F.lit("2023-01-01").cast("date"), randint(rk, seed, 9, 0, 729)),
-    })
-    df = df.withColumn("device_criticality_adjusted",
-                       clamp_int(F.col("device_criticality") * 0.7 + F.col("cvss_score") / 10 * 5 * 0.3, 1, 5))
+        "exploited": (draw() < tenth * tenth * factor * EXPLOIT_RATE).cast("int"),
+        "device_criticality_adjusted": clamp_int(whole(1, 5) * 0.7 + tenth * 5 * 0.3, 1, 5),
+        "time_to_patch_release": F.floor(from_day + draw() * (to_day - from_day)).cast("int"),
+        "published_year": whole(2023, 2024),
+        "_industry": whole(0, len(INDUSTRIES) - 1),
+        **{name: whole(a, b) for name, a, b in EVEN_COLUMNS}})
+    hit, level = F.col("exploited") == 1, F.col("device_criticality_adjusted")
+    industry = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(r).alias("risk")) for n, r in INDUSTRIES])
     df = df.withColumns({
-        "operational_impact_score": clamp_int(F.col("device_criticality_adjusted") * 0.6 + F.col("cvss_score") / 10 * 5 * 0.4, 0, 5),
-        "nation_state_threat_level": clamp_int(F.col("device_criticality_adjusted") / 5 * 3 + uniform(rk, seed, 10) * 0.3 * 3, 0, 3),
-        "days_until_first_exploit": F.when(F.col("exploited") == 1, randint(rk, seed, 11, 1, 180)).otherwise(F.lit(0)),
-        "cve_id": F.concat(F.lit("CVE-"), F.year("published_date").cast("string"), F.lit("-"), (F.lit(1000) + rk).cast("string")),
-    })
-    return weighted_risk_score(df.drop("_mult"), cvss="cvss_score")
+        "published_date": F.make_date("published_year", whole(1, 12), whole(1, 28)),
+        "epss_score": F.round(F.when(hit, draw(0.3, 0.819)).otherwise(F.lit(0.01) + draw() * (tenth * 0.3 - 0.01)), 3),
+        "exploitability_score": F.round(draw() * 10, 2),
+        "operational_impact_score": clamp_int(level * 0.6 + tenth * 5 * 0.4, 0, 5),
+        "physical_impact_potential": clamp_int(level * 0.7 + draw() * 0.3 * 4, 0, 4),
+        "cascade_effect_score": clamp_int(level * 0.5 + F.col("system_complexity") * 0.5, 0, 5),
+        "days_until_first_exploit": F.when(hit, whole(1, 180)).otherwise(F.lit(0)),
+        "exploit_success_rate": F.round(F.when(hit, draw(0.3, 1.0)).otherwise(draw(0.0, 0.3)), 3),
+        "nation_state_threat_level": clamp_int(level / 5 * 3 + draw() * 0.3 * 3, 0, 3),
+        "mitigation_effectiveness": F.round(draw(), 3),
+        "false_positive_rate": F.round(draw() * 0.5, 3),
+        "industry_sector": industry[F.col("_industry")]["name"],
+        "industry_sector_risk": industry[F.col("_industry")]["risk"],
+        "cve_id": F.concat(F.lit("CVE-"), F.col("published_year").cast("string"), F.lit("-"),
+                           (F.lit(1000) + F.col("row_key")).cast("string"))})
+    return weighted_risk_score(df.drop("_industry", "published_year"), cvss="cvss_score")
 
 
 def risk_components(li: DataFrame) -> DataFrame:
