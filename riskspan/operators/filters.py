@@ -7,7 +7,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskspan.catalog import CASE_INSENSITIVE_KEYWORDS, CASE_SENSITIVE_KEYWORDS
-from riskspan.session import spread_cpu_work
 
 # A word boundary written with explicit classes (letters, digits, '_'), the
 # same on the JVM and in RE2, instead of engine-dependent \b.
@@ -43,7 +42,7 @@ def keyword_filter(df: DataFrame, field: str, sensitive=CASE_SENSITIVE_KEYWORDS,
     if field not in df.columns:
         raise ValueError(f'Column "{field}" not found in DataFrame.')
     hit = F.array_compact(F.array(matched_keyword(field, sensitive, insensitive)))
-    return spread_cpu_work(df).select("*", F.explode(hit).alias("matched_keyword"))
+    return df.select("*", F.explode(hit).alias("matched_keyword"))
 
 
 # P13 -------------------------------------------------------------------------

@@ -12,7 +12,6 @@ from riskspan.functions import clean as C
 from riskspan.functions import cvss as V
 from riskspan.functions.dates import add_days, days_between, earliest_date
 from riskspan.operators.joins import left_join_indicator
-from riskspan.session import spread_cpu_work
 
 CVE_TYPES = {
     "string": ["cve_id", "cve_desc", "solution", "cvss_v2_vector", "cvss_v3_vector", "cvss_v4_vector"],
@@ -38,14 +37,11 @@ def cve_clean(df: DataFrame, key_for_report: str | None = None) -> DataFrame:
 
     Works on list-wrapped extractions and on already-flat rows: list steps
     run only for list columns.  Metric columns always exist (fixed schema).
-    The per-row work up to the dedupe shuffle is CPU-bound, so an input with
-    fewer partitions than cores is spread first.
     """
-    df = spread_cpu_work(df)
     for s, v in (("cvss_v3_1", "cvss_v3_1_vector"), ("cvss_v4", "cvss_v4_vector")):
         if _is_array(df, s) and _is_array(df, v):
-            p = V.max_pair(s, v)
-            df = df.withColumns({s: p["score"], v: p["vector"]})
+            df = df.withColumn("_top", V.max_pair(s, v)) \
+                .withColumns({s: F.col("_top.score"), v: F.col("_top.vector")}).drop("_top")
     df = df.withColumns({c: C.first_item(c) for c in CVE_FIRST_ITEM if _is_array(df, c)})
     lists = [c for c in df.columns if _is_array(df, c) and c not in CVE_SUBTABLE_COLS
              and c not in ("is_kev", "solution", "cwe_desc")]

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -50,6 +49,12 @@ def get_session(master: str | None = None, app: str = "riskspan",
     return spark
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Whether driver and executors are one process on this machine."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
@@ -66,6 +71,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not is_local(spark):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="riskspan-ckpt-")
     spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
@@ -84,29 +91,3 @@ def cut_lineage(df):
     """
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
-
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default
-
-
-def spread_cpu_work(df):
-    """Round-robin ``df`` over the cluster's cores when its scan yields fewer
-    partitions than there are cores (e.g. one large Parquet row group), so a
-    CPU-heavy per-row step does not run in one task.  Inputs that already
-    have at least one partition per core are returned untouched (no shuffle),
-    and so are streaming inputs (their partitioning is per micro-batch).
-    """
-    if df.isStreaming:
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
