@@ -42,13 +42,6 @@ def _lit_map(mapping: dict) -> Column:
 _TOKENS_SQL = ", ".join(sql_lit(t) for t in NULL_TOKENS)
 
 
-def null_token(c) -> Column:
-    """'' / 'n/a' / 'None' (exact, case-sensitive) -> null."""
-    if isinstance(c, str):
-        return F.expr(f"CASE WHEN `{c}` IN ({_TOKENS_SQL}) THEN NULL ELSE `{c}` END")
-    return F.when(c.isin(*NULL_TOKENS), F.lit(None)).otherwise(c)
-
-
 def standardize_nulls(df: DataFrame, cols: Iterable[str] | None = None) -> DataFrame:
     """Null standardization: string tokens, NaN in floats, and the same inside
     string arrays.  Other types are left as they are (already SQL nulls)."""
@@ -241,19 +234,16 @@ def flatten_singletons(df: DataFrame, cols: Iterable[str], key: str | None = Non
             and isinstance(df.schema[c].dataType, T.ArrayType)]
     if not cand:
         return df, {}
-    aggs = []
-    for c in cand:
-        multi = F.size(F.col(c)) > 1
-        aggs.append(F.count_if(multi).alias(f"n__{c}"))
-        if key:
-            aggs.append(F.slice(F.array_sort(F.collect_set(F.when(multi, F.col(key)))), 1, 5).alias(f"k__{c}"))
+    aggs = [F.count_if(F.size(F.col(c)) > 1).alias(f"n__{c}") for c in cand]
     stats = df.agg(*aggs).first()  # one row, size bounded by the column count
     report = {}
     changes = {}
     for c in cand:
         n = stats[f"n__{c}"]
         if n:
-            report[c] = (n, list(stats[f"k__{c}"]) if key else [])
+            # the five smallest keys: each task passes on five rows at most
+            some = df.where(F.size(F.col(c)) > 1).select(F.col(key)).distinct().orderBy(key).limit(5).collect() if key else []
+            report[c] = (n, [r[0] for r in some])
         else:
             changes[c] = F.get(F.col(c), 0)
     if report and on_multi == "error":
@@ -319,7 +309,3 @@ def drop_by_pattern(df: DataFrame, prefixes=(), suffixes=(), names=()) -> DataFr
             if c in names or any(c.startswith(p) for p in prefixes)
             or any(c.endswith(s) for s in suffixes)]
     return df.drop(*gone)
-
-
-def coalesce_all(cols: list) -> Column:
-    return reduce(lambda a, b: F.coalesce(a, b), [_col(c) for c in cols])
