@@ -2,11 +2,11 @@
 platform lists (S11), NVD pages (S12), nested search results (S19), value
 type profiles (P15).
 
-Known fields are read with typed Spark expressions.  The reference's
-any-depth path search (a path ``a.b.c`` matches ``a``, then ``b`` anywhere
-below it, then ``c`` anywhere below that) has no built-in equivalent, so it
-runs as a small per-document Python helper inside an Arrow-batched pandas UDF
-over the JSON text; Spark partitions and schedules the documents.
+Known fields are read with typed Spark expressions.  The any-depth path
+search (a path ``a.b.c`` matches ``a``, then ``b`` anywhere below it, then
+``c`` anywhere below that) has no built-in equivalent, so it runs as a small
+per-document Python helper inside an Arrow-batched pandas UDF over the JSON
+text; Spark partitions and schedules the documents.
 """
 
 from __future__ import annotations
@@ -22,39 +22,62 @@ from riskspan.catalog import CVE_FIELD_PATHS
 
 
 # --- S4: any-depth path search -------------------------------------------
-def _search(node, keys, out) -> bool:
-    """Collect matches of ``keys`` below ``node`` into ``out``; returns the
-    'found' flag with the reference's semantics (for a list only the last
-    item's flag counts; a final-key hit in a dict ends that dict's search;
-    a non-final hit descends and the dict's values are searched again)."""
-    if not keys or not isinstance(node, (dict, list)):
-        return False
-    if isinstance(node, list):
-        flag = False
-        for item in node:
-            flag = _search(item, keys, out)
-        return flag
-    head, rest = keys[0], keys[1:]
-    flag = False
-    if head in node:
-        if not rest:
-            v = node[head]
-            out.extend(v) if isinstance(v, list) else out.append(v)
-            return True
-        flag = _search(node[head], rest, out)
-    for v in node.values():
-        flag = _search(v, keys, out) or flag
-    return flag
+def path_hits(doc, path: str) -> list:
+    """Values that ``path`` reaches in a parsed document, in match order.
+
+    Each pending item is (order, node, number of keys matched on the way).  A
+    node that holds the next key opens a match one level deeper; unless that
+    key is the last one, which ends the search of its object, the search for
+    the same key also goes on below.  ``order`` sorts a match that goes
+    deeper before the ones that look further among the object's members.
+    """
+    keys = path.split(".")
+    pending, hits = [((), doc, 0)], []
+    while pending:
+        order, node, done = pending.pop()
+        if isinstance(node, list):
+            pending += [((*order, i), item, done) for i, item in enumerate(node)]
+        elif isinstance(node, dict):
+            value, there = node.get(keys[done]), keys[done] in node
+            if there and done == len(keys) - 1:
+                hits.append((order, value))
+                continue
+            if there:
+                pending.append(((*order, -1), value, done + 1))
+            pending += [((*order, i), member, done) for i, member in enumerate(node.values())]
+    out: list = []
+    for _, value in sorted(hits, key=lambda h: h[0]):
+        out += value if isinstance(value, list) else [value]
+    return out
+
+
+def _last_branch_hit(doc, path: str) -> bool:
+    """Whether a search of ``path`` ends successfully: of a list only its
+    last item counts, of an object any member."""
+    keys = path.split(".")
+    pending = [(doc, 0)]
+    while pending:
+        node, done = pending.pop()
+        if isinstance(node, list):
+            pending += [(node[-1], done)] if node else []
+        elif isinstance(node, dict):
+            if keys[done] in node:
+                if done == len(keys) - 1:
+                    return True
+                pending.append((node[keys[done]], done + 1))
+            pending += [(member, done) for member in node.values()]
+    return False
 
 
 def deep_search(doc, paths: list[str]) -> list:
-    """First path (in order) whose search succeeds gives the hits; [None]
-    when nothing is found."""
+    """Values of the alternatives, up to the first whose search succeeds;
+    [None] without any."""
     out: list = []
-    for p in paths:
-        if _search(doc, p.split("."), out):
+    for path in paths:
+        out += path_hits(doc, path)
+        if _last_branch_hit(doc, path):
             break
-    return out if out else [None]
+    return out or [None]
 
 
 def _as_text(v):
@@ -79,25 +102,67 @@ def deep_search_col(json_col, paths: list[str]) -> Column:
     return _udf(c)
 
 
-def extract_cve_fields(docs: DataFrame, json_col: str, catalogue: dict = CVE_FIELD_PATHS) -> DataFrame:
-    """One list-valued column per catalogue field (every value list-
-    wrapped as in the extraction stage).  Each document is parsed once."""
-    fields = list(catalogue)
-    schema = T.StructType([T.StructField(f, T.ArrayType(T.StringType())) for f in fields])
-
-    @F.pandas_udf(schema)
-    def _udf(s: pd.Series) -> pd.DataFrame:
-        rows = []
-        for txt in s:
-            try:
-                doc = json.loads(txt)
-            except (TypeError, ValueError):
-                rows.append({f: None for f in fields})
-                continue
-            rows.append({f: [_as_text(v) for v in deep_search(doc, [catalogue[f]])] for f in fields})
-        return pd.DataFrame(rows, columns=fields)
+# --- S5: the known fields, typed -------------------------------------------
+_SCORE = "struct<baseScore:double, vectorString:string>"
+_PROBLEMS = "array<struct<descriptions:array<struct<lang:string, description:string, cweId:string, type:string>>>>"
+_AFFECTED = ("array<struct<vendor:string, product:string, defaultStatus:string, cpes:array<string>, "
+             "versions:array<struct<version:string, status:string, versionType:string, lessThan:string, "
+             "lessThanOrEqual:string>>>>")
+_OTHER = ("struct<type:string, content:struct<options:array<struct<Exploitation:string, Automatable:string, "
+          "`Technical Impact`:string>>>>")
+_METRICS = (f"array<struct<cvssV2_0:{_SCORE}, cvssV3_0:{_SCORE}, cvssV3_1:{_SCORE}, cvssV4_0:{_SCORE}, other:{_OTHER}>>")
+_CONTAINER = ("descriptions:array<struct<lang:string, value:string>>, datePublic:string, "
+              f"problemTypes:{_PROBLEMS}, affected:{_AFFECTED}, solutions:array<struct<lang:string, value:string>>, "
+              f"source:struct<discovery:string>, metrics:{_METRICS}")
+CVE_SCHEMA = ("cveMetadata struct<cveId:string, state:string, dateReserved:string, datePublished:string>, "
+              f"containers struct<cna:struct<{_CONTAINER}>, adp:array<struct<{_CONTAINER}>>>")
+
+
+def _member(name: str):
+    return lambda x: x.getField(name)
+
+
+def _reach(root: Column, kind: T.DataType, steps: list[str]) -> Column:
+    """``array`` of the values that ``steps`` lead to, lists on the way
+    opened, missing values left out."""
+    values, is_list = (root, True) if isinstance(kind, T.ArrayType) else (F.array(root), False)
+    kind = kind.elementType if is_list else kind
+    values = F.filter(F.coalesce(values, F.array().cast(T.ArrayType(kind))), lambda x: x.isNotNull())
+    for step in steps:
+        inner = kind[step].dataType
+        values = F.transform(values, _member(step))
+        values = F.filter(values, lambda x: x.isNotNull())
+        if isinstance(inner, T.ArrayType):
+            values = F.filter(F.flatten(values), lambda x: x.isNotNull())
+            inner = inner.elementType
+        kind = inner
+    return values
 
-    return docs.select(_udf(F.col(json_col)).alias("_r")).select("_r.*")
+
+def extract_cve_fields(docs: DataFrame, json_col: str, catalogue: dict = CVE_FIELD_PATHS) -> DataFrame:
+    """One list-valued column per catalogue field, every value wrapped in
+    a list, [null] without any.  Documents are parsed once into a typed
+    record; scores are numbers and descriptions keep their language.  A path
+    that names a container (cna, adp) looks there, other paths look in both;
+    members that are null count as missing."""
+    rec = docs.select("*", F.from_json(F.col(json_col), CVE_SCHEMA).alias("_rec"))
+    kinds = {f.name: f.dataType for f in rec.schema["_rec"].dataType.fields}
+    boxes = {f.name: f.dataType for f in kinds["containers"].fields}
+    out = []
+    for name, path in catalogue.items():
+        steps = path.split(".")
+        if steps[0] == "cveMetadata":
+            found = _reach(F.col("_rec.cveMetadata"), kinds["cveMetadata"], steps[1:])
+        else:
+            steps = steps[1:] if steps[0] == "containers" else steps
+            named = [s for s in steps if s in boxes]
+            rest = [s for s in steps if s not in boxes]
+            if rest[0] == "content":
+                rest = ["metrics", "other", *rest]
+            parts = [_reach(F.col(f"_rec.containers.{b}"), boxes[b], rest) for b in (named or list(boxes))]
+            found = F.concat(*parts) if len(parts) > 1 else parts[0]
+        out.append(F.when(F.size(found) > 0, found).otherwise(F.array(F.lit(None))).alias(name))
+    return rec.select(*out)
 
 
 # --- S3: JSON document scans ------------------------------------------------

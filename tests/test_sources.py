@@ -65,3 +65,47 @@ def test_cwe_xml_children(spark):
     assert e["80"].cwe_desc == "" and e["80"].cwe_consequence_scope == []
     plats = sorted((r.cwe_id, r.type, r.name) for r in W.extract_platforms(w).collect())
     assert plats == [("79", "Language", "C"), ("79", "Technology", None)]
+
+
+def test_search_order_and_list_ends():
+    # a match that goes deeper comes before the other members
+    assert N.deep_search({"x": {"a": {"b": 1}}, "a": {"b": 2}}, ["a.b"]) == [2, 1]
+    # of a list only the last item decides whether the next path is tried
+    doc = {"l": [{"a": 1}, {"z": 0}], "b": 5}
+    assert N.deep_search(doc, ["l.a", "b"]) == [1, 5]
+    assert N.deep_search({"l": [{"z": 0}, {"a": 1}], "b": 5}, ["l.a", "b"]) == [1]
+    assert N.deep_search({"a": {"a": 3}}, ["a"]) == [{"a": 3}]
+    assert N.deep_search([], ["a"]) == [None]
+
+
+def test_typed_fields_of_a_record(spark):
+    score = lambda s, v: {"baseScore": s, "vectorString": v}
+    doc = {"cveMetadata": {"cveId": "CVE-2024-1000", "state": "PUBLISHED"},
+           "containers": {"cna": {"descriptions": [{"lang": "en", "value": "one"}, {"lang": "de", "value": "zwei"}],
+                                  "problemTypes": [{"descriptions": [{"lang": "en", "description": "d", "cweId": "CWE-1"}]}],
+                                  "metrics": [{"cvssV3_1": score(9.8, "a")}, {"cvssV3_1": score(10.0, "b")}],
+                                  "source": {"discovery": "EXTERNAL"}},
+                          "adp": [{"problemTypes": [{"descriptions": [{"cweId": "CWE-2"}]}],
+                                   "metrics": [{"other": {"type": "kev"}},
+                                               {"other": {"type": "ssvc", "content": {"options": [
+                                                   {"Exploitation": "active"}, {"Technical Impact": "total"}]}}}]}]}}
+    df = spark.createDataFrame([(json.dumps(doc),), ("{broken",)], "doc string")
+    good, bad = N.extract_cve_fields(df, "doc").collect()
+    assert good.cve_id == ["CVE-2024-1000"] and good.cve_desc == ["one", "zwei"]
+    assert good.cvss_v3_1 == [9.8, 10.0] and good.cvss_v3_1_vector == ["a", "b"] and good.cvss_v2 == [None]
+    assert good.cwe_id == ["CWE-1", "CWE-2"] and good.cwe_desc[0].description == "d"
+    assert good.is_kev == ["kev", "ssvc"] and good.ssvc_exploitation == ["active"] and good.ssvc_tech_impact == ["total"]
+    assert good.cve_discovery == ["EXTERNAL"] and all(v == [None] for v in bad)
+
+
+def test_extract_then_clean(spark):
+    from riskspan.plans.jobs import cve_clean
+    score = lambda s, v: {"baseScore": s, "vectorString": v}
+    doc = {"cveMetadata": {"cveId": " cve-2024-1000 ", "state": "PUBLISHED", "datePublished": "2024-02-01T00:00:00"},
+           "containers": {"cna": {"descriptions": [{"lang": "en", "value": "one"}],
+                                  "metrics": [{"cvssV3_1": score(9.8, "CVSS:3.1/AV:N")}, {"cvssV3_1": score(10.0, "CVSS:3.1/AV:L")}]},
+                          "adp": [{"metrics": [{"other": {"type": "kev"}}]}]}}
+    rejected = {"cveMetadata": {"cveId": "CVE-2024-1001", "state": "REJECTED"}}
+    df = spark.createDataFrame([(json.dumps(doc),), (json.dumps(rejected),)], "doc string")
+    rows = cve_clean(N.extract_cve_fields(df, "doc")).collect()
+    assert [(r.cve_id, r.cvss, r.kev, r.cve_desc) for r in rows] == [("CVE-2024-1000", 10.0, True, "one")]
