@@ -42,6 +42,18 @@ def norm_sf(x: Column) -> Column:
     return 0.5 * erfc(x / math.sqrt(2.0))
 
 
+def log_norm_sf(x: Column) -> Column:
+    """log(1 - Phi(x)) without underflow: the exponent of the fit stays
+    outside the exponential in the upper tail."""
+    z = F.abs(x) / math.sqrt(2.0)
+    t = 1.0 / (1.0 + 0.5 * z)
+    poly = F.lit(_ERFC_COEFS[-1])
+    for c in reversed(_ERFC_COEFS[:-1]):
+        poly = F.lit(c) + t * poly
+    tail = F.log(0.5 * t) - z * z + poly
+    return F.when(x >= 0, tail).otherwise(F.log1p(-F.exp(tail)))
+
+
 def norm_ppf(p: float) -> float:
     from statistics import NormalDist
     return NormalDist().inv_cdf(p)

@@ -1,53 +1,53 @@
 """Bootstrap confidence for rank correlations.
 
-Resampling with replacement is expressed as Poisson(1) multiplicities (the
-standard distributed bootstrap): every row gets, per replicate, a count drawn
-from a seeded hash of (row, replicate), so no replicate is materialized on
-the driver and recomputation after a lost task gives the same draw.  The
-correlations then run grouped by replicate.
+Resampling with replacement is expressed as Poisson multiplicities (the
+standard distributed bootstrap).  Rows are first folded into (x, y, n) cells;
+n independent rows together draw Poisson(n), so one draw per cell and
+replicate stands for all its rows, and no row is replicated.  Draws come from
+a counter-based generator keyed by the cell, so a recomputed task draws the
+same.  The correlations then run on weighted cells grouped by replicate.
 """
 
 from __future__ import annotations
 
-import math
-
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskspan.operators.correlation import with_pvalues
 
 
-def _poisson1_thresholds(kmax: int = 12) -> list[float]:
-    acc, out, term = 0.0, [], math.exp(-1.0)
-    for k in range(kmax):
-        acc += term
-        out.append(acc)
-        term /= (k + 1)
-    return out
+def replicate_cells(df: DataFrame, x: str, y: str, replicates: int, seed: int = 1945) -> DataFrame:
+    """(replicate, x, y, weight) with the Poisson weight of every cell that a
+    replicate holds."""
+    cells = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).dropna() \
+        .groupBy("x", "y").agg(F.count(F.lit(1)).alias("n")) \
+        .withColumn("key", F.xxhash64("x", "y", F.lit(seed)))
 
+    def draw(batches):
+        for batch in batches:
+            xs, ys, ns, keys = (batch[c].to_numpy(zero_copy_only=False) for c in ("x", "y", "n", "key"))
+            for i in range(batch.num_rows):
+                rng = np.random.Generator(np.random.Philox(key=int(keys[i]) & ((1 << 64) - 1)))
+                weight = rng.poisson(ns[i], replicates)
+                held = np.flatnonzero(weight)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(held), pa.array(np.full(len(held), xs[i])), pa.array(np.full(len(held), ys[i])),
+                     pa.array(weight[held].astype(np.int64))], names=["replicate", "x", "y", "weight"])
 
-def replicate_rows(df: DataFrame, cols: list[str], replicates: int, seed: int = 1945) -> DataFrame:
-    """Rows repeated by their Poisson(1) count in each replicate."""
-    h = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns], F.lit(seed))
-    base = df.select(*cols, h.alias("_h"))
-    r = base.withColumn("replicate", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))))
-    u = F.pmod(F.xxhash64(F.col("_h"), F.col("replicate")), F.lit(1 << 30)) / float(1 << 30)
-    w = F.lit(0)
-    for t in _poisson1_thresholds():
-        w = w + F.when(u >= t, 1).otherwise(0)
-    r = r.withColumn("_w", w).filter(F.col("_w") > 0)
-    return r.withColumn("_k", F.explode(F.array_repeat(F.lit(1), F.col("_w")))).select("replicate", *cols)
+    return cells.mapInArrow(draw, "replicate long, x double, y double, weight long")
 
 
-def bootstrap_correlation(df: DataFrame, pairs: list[tuple[str, str]], replicates: int = 200,
+def bootstrap_correlation(df: DataFrame, pairs: list[tuple[str, str]], replicates: int = 10000,
                           alpha: float = 0.05, seed: int = 1945) -> DataFrame:
     """Per pair and method: mean and population sd of the coefficient over
     the replicates, and the % of replicates significant at ``alpha``."""
     out = None
     for x, y in pairs:
-        rep = replicate_rows(df.dropna(subset=[x, y]), [x, y], replicates, seed)
+        cells = replicate_cells(df, x, y, replicates, seed)
         for method in ("spearman", "kendall"):
-            r = with_pvalues(rep, x, y, method, ["replicate"])
+            r = with_pvalues(cells, "x", "y", method, ["replicate"], weight="weight")
             s = r.agg(F.avg("coef").alias("mean"), F.stddev_pop("coef").alias("std"),
                       (F.avg((F.col("p_value") < alpha).cast("double")) * 100).alias("pct_significant"),
                       F.count(F.lit(1)).alias("replicates"))

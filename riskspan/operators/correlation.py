@@ -25,9 +25,10 @@ from riskspan.operators.ranks import value_ranks
 from riskspan.session import cut_lineage
 
 
-def _pair_base(df: DataFrame, x: str, y: str, g: list[str]) -> DataFrame:
+def _pair_base(df: DataFrame, x: str, y: str, g: list[str], weight: str | None = None) -> DataFrame:
     # "+ 0.0" turns -0.0 into 0.0, so equal values compare and group alike
-    return df.select(*g, (F.col(x).cast("double") + 0.0).alias("_x"), (F.col(y).cast("double") + 0.0).alias("_y")) \
+    w = [F.col(weight).cast("long").alias("_w")] if weight else []
+    return df.select(*g, *w, (F.col(x).cast("double") + 0.0).alias("_x"), (F.col(y).cast("double") + 0.0).alias("_y")) \
              .filter(F.col("_x").isNotNull() & F.col("_y").isNotNull() & ~F.isnan("_x") & ~F.isnan("_y"))
 
 
@@ -56,11 +57,11 @@ def pearson(df: DataFrame, x: str, y: str, group_cols=()) -> DataFrame:
     return out.select(*g, "n", _guard(F.col("n"), F.col("_nx"), F.col("_ny"), F.col("_r")).alias("coef"))
 
 
-def _cells_with_ranks(df: DataFrame, x: str, y: str, g: list[str]):
+def _cells_with_ranks(df: DataFrame, x: str, y: str, g: list[str], weight: str | None = None):
     """(x, y, n) cells joined with both rank tables; also returns the two
     rank tables (one row per distinct value, with its multiplicity)."""
-    b = _pair_base(df, x, y, g)
-    cells = b.groupBy(*g, "_x", "_y").agg(F.count(F.lit(1)).alias("n"))
+    b = _pair_base(df, x, y, g, weight)
+    cells = b.groupBy(*g, "_x", "_y").agg((F.sum("_w") if weight else F.count(F.lit(1))).alias("n"))
     # both rank tables come from the cell counts: the base rows are scanned
     # once (the cell exchange is reused), not once per table
     rx = value_ranks(cells, "_x", g, value_name="_x", weight="n").select(*g, "_x", F.col("before").alias("bx"),
@@ -72,9 +73,9 @@ def _cells_with_ranks(df: DataFrame, x: str, y: str, g: list[str]):
 
 
 # A12 -----------------------------------------------------------------------
-def spearman(df: DataFrame, x: str, y: str, group_cols=()) -> DataFrame:
+def spearman(df: DataFrame, x: str, y: str, group_cols=(), weight: str | None = None) -> DataFrame:
     g = list(group_cols)
-    c, _, _ = _cells_with_ranks(df, x, y, g)
+    c, _, _ = _cells_with_ranks(df, x, y, g, weight)
     m = (F.col("_tot") + 1) / 2.0
     dx, dy = F.col("rx") - m, F.col("ry") - m
     aggs = [F.sum("n").alias("n"), F.sum(F.col("n") * dx * dy).alias("_sxy"),
@@ -129,19 +130,20 @@ def _dominance(xs: np.ndarray, ys: np.ndarray, ns: np.ndarray):
 
 
 def kendall(df: DataFrame, x: str, y: str, group_cols=(), target_cells: int = 20000,
-            max_blocks: int = 1024) -> DataFrame:
+            weight: str | None = None) -> DataFrame:
     """Exact Kendall tau-b per group (ties handled as in tau-b).
 
-    The block count per group is K = clamp(sqrt(cells / target_cells), 1,
-    max_blocks), computed lazily from the group's cell count, so small
-    groups run as one block and large ones spread over K x-blocks and K
-    y-blocks of about sqrt(cells * target_cells) cells each.
+    The block count per group is K = sqrt(cells / target_cells), computed
+    lazily from the group's cell count, so small groups run as one block and
+    large ones spread over K x-blocks and K y-blocks of about
+    sqrt(cells * target_cells) cells each; the K x K grid has one row for
+    every ``target_cells`` cells.
     """
     g0 = list(group_cols)
     g = g0 if g0 else ["_g"]
     src = df if g0 else df.withColumn("_g", F.lit(0))
-    c, _, _ = _cells_with_ranks(src, x, y, g)
-    kexpr = F.least(F.lit(max_blocks), F.greatest(F.lit(1), F.ceil(F.sqrt(F.col("_cells") / float(target_cells))))).cast("int")
+    c, _, _ = _cells_with_ranks(src, x, y, g, weight)
+    kexpr = F.greatest(F.lit(1), F.ceil(F.sqrt(F.col("_cells") / float(target_cells)))).cast("int")
     counts = c.groupBy(*g).agg(F.count(F.lit(1)).alias("_cells")).select(*g, kexpr.alias("_K"))
     # one row per group; for the single constant group that is a proven bound
     c = c.join(counts if g0 else F.broadcast(counts), on=g)
@@ -177,7 +179,8 @@ def kendall(df: DataFrame, x: str, y: str, group_cols=(), target_cells: int = 20
     w2 = Window.partitionBy(*g, "_cx").orderBy("_by").rowsBetween(Window.unboundedPreceding, -1)
     t3 = dense.withColumn("t3", F.coalesce(F.sum("_col").over(w2), F.lit(0))).select(*g, "_cx", "_by", "t3")
     parts = c.join(local, on=key).join(t3, on=g + ["_cx", "_by"])
-    s_term = F.col("n") * (F.col("lt1") + F.col("lt2") + 2 * F.col("t3") + F.col("le1") + F.col("le2") - F.col("bx"))
+    # near n**2 / 2: beyond a long from some 4e9 rows on
+    s_term = F.col("n").cast("decimal(19,0)") * (F.col("lt1") + F.col("lt2") + 2 * F.col("t3") + F.col("le1") + F.col("le2") - F.col("bx")).cast("decimal(18,0)")
     s = parts.groupBy(*g).agg(F.sum(s_term).alias("_S"), F.first("_tot").alias("n"))
     # tie sums straight from the rank tables (multiplicity per distinct value)
     rx = c.groupBy(*g, "_x").agg(F.first("tx").alias("tx"))
@@ -185,10 +188,10 @@ def kendall(df: DataFrame, x: str, y: str, group_cols=(), target_cells: int = 20
     out = s.join(_tie_sums(rx, "tx", g, "x"), on=g).join(_tie_sums(ry, "ty", g, "y"), on=g)
     n = F.col("n").cast("double")
     n0 = n * (n - 1) / 2
-    tau = F.try_divide(F.col("_S"), F.sqrt((n0 - F.col("x_t2")) * (n0 - F.col("y_t2"))))
+    tau = F.try_divide(F.col("_S").cast("double"), F.sqrt((n0 - F.col("x_t2")) * (n0 - F.col("y_t2"))))
     extra = [c_ for c_ in out.columns if c_[:2] in ("x_", "y_") and not c_.endswith("_nd")]
     return out.select(*g0, "n", _guard(F.col("n"), F.col("x_nd"), F.col("y_nd"), tau).alias("coef"),
-                      F.col("_S").alias("s_stat"), *extra)
+                      F.col("_S").cast("double").alias("s_stat"), *extra)
 
 
 def _local_counts(key_cols: list[str]):
@@ -214,14 +217,14 @@ def _tie_sums(ranks: DataFrame, tcol: str, g: list[str], tag: str) -> DataFrame:
         F.sum(t * (t - 1)).alias(f"{tag}_v1"), F.sum(t * (t - 1) * (t - 2)).alias(f"{tag}_v2"))
 
 
-def correlate(df: DataFrame, x: str, y: str, method: str, group_cols=()) -> DataFrame:
+def correlate(df: DataFrame, x: str, y: str, method: str, group_cols=(), weight: str | None = None) -> DataFrame:
     """A16 entry point: 'pearson' | 'spearman' | 'kendall'; others raise."""
     if method == "pearson":
         return pearson(df, x, y, group_cols)
     if method == "spearman":
-        return spearman(df, x, y, group_cols)
+        return spearman(df, x, y, group_cols, weight)
     if method == "kendall":
-        return kendall(df, x, y, group_cols)
+        return kendall(df, x, y, group_cols, weight=weight)
     raise ValueError(f"Unknown correlation method: {method.title()}")
 
 
@@ -239,11 +242,11 @@ def kendall_pvalue(k: DataFrame) -> "Column":
     return F.when(F.col("coef").isNotNull(), erfc(F.abs(z) / 2 ** 0.5))
 
 
-def with_pvalues(df: DataFrame, x: str, y: str, method: str, group_cols=()) -> DataFrame:
+def with_pvalues(df: DataFrame, x: str, y: str, method: str, group_cols=(), weight: str | None = None) -> DataFrame:
     """Coefficient plus p-value: t test (Pearson, Spearman) or normal
     approximation with ties (Kendall)."""
     from riskspan.functions.distributions import corr_t_pvalue
     g = list(group_cols)
-    r = correlate(df, x, y, method, g)
+    r = correlate(df, x, y, method, g, weight)
     p = kendall_pvalue(r) if method == "kendall" else corr_t_pvalue(F.col("coef"), F.col("n"))
     return r.select(*g, "n", "coef", p.alias("p_value"))

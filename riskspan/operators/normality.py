@@ -3,9 +3,9 @@
 Anderson-Darling and Kolmogorov-Smirnov only need, per distinct value, its
 multiplicity and the number of smaller values, which ``value_ranks`` gives
 without a global sort into one task; each statistic is then one grouped sum
-or max.  Shapiro-Wilk needs the ordered sample itself and is defined for at
-most 5000 points, so it runs per group on a deterministic bounded sample
-inside ``applyInPandas``.
+or max.  Shapiro-Wilk needs the ordered values themselves and is defined for
+at most 5000; larger groups get no statistic, and the caller samples first
+(``hash_sample_n``).
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskspan.catalog import AD_CRITICAL_BASE, AD_SIGNIFICANCE
-from riskspan.functions.distributions import norm_cdf, norm_ppf, norm_sf
+from riskspan.functions.distributions import log_norm_sf, norm_cdf, norm_ppf
 from riskspan.operators.ranks import value_ranks
 
 
@@ -43,7 +43,7 @@ def anderson_darling(df: DataFrame, col: str, group_cols=(), significance: float
     j = vr.join(m, on=g) if g else vr.withColumns({"_mean": m.select("_mean").scalar(), "_sd": m.select("_sd").scalar()})
     z = (F.col("value").cast("double") - F.col("_mean")) / F.col("_sd")
     t, b, n = F.col("n").cast("double"), F.col("before").cast("double"), F.col("total").cast("double")
-    term = t * (2 * b + t) * F.log(norm_cdf(z)) + t * (2 * n - 2 * b - t) * F.log(norm_sf(z))
+    term = t * (2 * b + t) * log_norm_sf(-z) + t * (2 * n - 2 * b - t) * log_norm_sf(z)
     s = j.groupBy(*g).agg(F.first("total").alias("n"), F.sum(term).alias("_s"))
     nn = F.col("n").cast("double")
     a2 = -nn - F.col("_s") / nn
@@ -122,33 +122,26 @@ def _swilk(x: np.ndarray):
     return w, p
 
 
-def shapiro_wilk(df: DataFrame, col: str, group_cols=(), max_n: int = 5000, seed: int = 1945) -> DataFrame:
-    """Per group: W and p on a deterministic sample of at most ``max_n``
-    values (smallest seeded hashes).  ``row_number() <= max_n`` is planned as
-    a per-partition group limit before the shuffle, so no task receives more
-    than ``max_n`` rows of a group however large the group is."""
-    from pyspark.sql import Window
+def shapiro_wilk(df: DataFrame, col: str, group_cols=(), max_n: int = 5000) -> DataFrame:
+    """Per group: n, W and p.  Null W and p where a group has more than
+    ``max_n`` values (the approximation ends there) or fewer than three;
+    only groups within the limit are gathered."""
     g = list(group_cols)
-    key = g if g else [F.lit(0).alias("_g")]
     gnames = g if g else ["_g"]
-    # hash of the whole row, so equal values in different rows are sampled
-    # independently
-    h = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns], F.lit(seed))
-    base = df.select(*key, F.col(col).cast("double").alias("_v"), h.alias("_h")).filter(F.col("_v").isNotNull())
-    w = Window.partitionBy(*gnames).orderBy("_h", "_v")
-    sample = base.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= max_n)
+    base = df if g else df.withColumn("_g", F.lit(0))
+    base = base.select(*gnames, F.col(col).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+    sizes = base.groupBy(*gnames).agg(F.count(F.lit(1)).alias("n"))
     out_schema = T.StructType([base.schema[c] for c in gnames] + [
-        T.StructField("n", T.LongType()), T.StructField("statistic", T.DoubleType()),
-        T.StructField("p_value", T.DoubleType())])
+        T.StructField("statistic", T.DoubleType()), T.StructField("p_value", T.DoubleType())])
 
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        w_, p_ = _swilk(pdf["_v"].to_numpy())
-        row = {c: pdf[c].iloc[0] for c in gnames}
-        row.update({"n": len(pdf), "statistic": w_, "p_value": p_})
-        return pd.DataFrame([row])
+        w, p = _swilk(pdf["_v"].to_numpy())
+        return pd.DataFrame([{c: pdf[c].iloc[0] for c in gnames} | {"statistic": w, "p_value": p}])
 
-    res = sample.select(*gnames, "_v").groupBy(*gnames).applyInPandas(fn, out_schema)
-    return res if g else res.drop("_g")
+    small = base.join(sizes.where(F.col("n") <= max_n), gnames, "left_semi")
+    tested = small.groupBy(*gnames).applyInPandas(fn, out_schema)
+    finite = [F.when(~F.isnan(c), F.col(c)).alias(c) for c in ("statistic", "p_value")]
+    return sizes.join(tested, gnames, "left").select(*g, "n", *finite)
 
 
 # A23 ------------------------------------------------------------------------

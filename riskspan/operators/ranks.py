@@ -4,10 +4,11 @@ A window with no ``partitionBy`` moves every row into one task.  Instead:
 
 1. count rows per distinct value (map-side partial aggregation, so a hot
    value costs one row per map task);
-2. cut the value range of each group into ``buckets`` equal-width buckets
-   (min / max come from a grouped aggregate);
-3. bucket totals -> offsets with a window over at most ``buckets`` rows per
-   group;
+2. put the values into buckets on a logarithmic scale, ``STEPS`` to each
+   power of two on either side of zero, so that values crowded near zero and
+   long tails both spread over many buckets, without a look at the data;
+3. bucket totals -> offsets with a window over the buckets of a group (at
+   most ``STEPS`` per power of two that occurs);
 4. inside a bucket, a running sum over the distinct values of that bucket.
 
 Result per (group, value): ``n`` rows, ``before`` rows with a smaller value,
@@ -17,37 +18,41 @@ Result per (group, value): ``n`` rows, ``before`` rows with a smaller value,
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKETS = 1024
+# buckets to each power of two: 2**16 cut a uniform column into pieces of
+# 1/65,536 of its upper half
+STEPS = 1 << 16
 
 
-def value_ranks(df: DataFrame, col: str, group_cols: list[str] | tuple = (),
-                buckets: int = DEFAULT_BUCKETS, value_name: str = "value",
+def log_bucket(v) -> Column:
+    """Monotone bucket number of a double; zero is 0, NaN comes last."""
+    size = F.abs(v)
+    power = F.floor(F.log2(size))
+    # a power rounded up or down at its border lands on the same number
+    inside = F.floor((size / F.pow(F.lit(2.0), power) - 1) * STEPS)
+    place = (power + 2048) * STEPS + inside
+    return (F.when(F.isnan(v), F.lit(1 << 62)).when(size == float("inf"), F.signum(v).cast("long") * (1 << 61))
+            .when(size < 1e-300, F.lit(0)).otherwise(F.signum(v).cast("long") * place).cast("long"))
+
+
+def value_ranks(df: DataFrame, col: str, group_cols: list[str] | tuple = (), value_name: str = "value",
                 weight: str | None = None) -> DataFrame:
     """Ranks of ``col`` per group; with ``weight`` each input row stands for
     that many rows (an already aggregated table of counts)."""
     g0 = list(group_cols)
-    # ungrouped input runs as one constant group; its per-group statistics
-    # are then exactly one row, which is broadcast (proven size bound)
-    g = g0 if g0 else ["_g"]
+    g = g0 if g0 else ["_g"]  # ungrouped input runs as one constant group
     src = df if g0 else df.withColumn("_g", F.lit(0))
     vc = (src.filter(F.col(col).isNotNull())
              .groupBy(*g, F.col(col).alias(value_name))
              .agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("n")))
-    stats = vc.groupBy(*g).agg(F.min(value_name).alias("_lo"), F.max(value_name).alias("_hi"),
-                               F.sum("n").alias("total"))
-    # grouped: one row per group, AQE broadcasts it when measured small
-    vb = vc.join(stats if g0 else F.broadcast(stats), on=g, how="inner")
-    v = F.col(value_name).cast("double")
-    span = F.col("_hi").cast("double") - F.col("_lo").cast("double")
-    b = F.when(span > 0, F.least(F.floor((v - F.col("_lo").cast("double")) / span * buckets),
-                                  F.lit(buckets - 1))).otherwise(F.lit(0)).cast("int")
-    vb = vb.withColumn("_b", b).drop("_lo", "_hi")
+    vb = vc.withColumn("_b", log_bucket(F.col(value_name).cast("double")))
     bt = vb.groupBy(*g, "_b").agg(F.sum("n").alias("_bn"))
-    w_off = Window.partitionBy(*g).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    bt = bt.withColumn("_off", F.coalesce(F.sum("_bn").over(w_off), F.lit(0))).drop("_bn")
+    whole = Window.partitionBy(*g)
+    w_off = whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    bt = bt.withColumns({"_off": F.coalesce(F.sum("_bn").over(w_off), F.lit(0)),
+                         "total": F.sum("_bn").over(whole)}).drop("_bn")
     w_in = Window.partitionBy(*g, "_b").orderBy(value_name).rowsBetween(Window.unboundedPreceding, -1)
     out = (vb.join(bt, on=g + ["_b"], how="inner")
              .withColumn("before", F.col("_off") + F.coalesce(F.sum("n").over(w_in), F.lit(0))))

@@ -351,7 +351,7 @@ def q_corr_pvalues(spark, sf):
 @query("bootstrap_corr")
 def q_bootstrap_corr(spark, sf):
     from riskspan.operators.bootstrap import bootstrap_correlation
-    return bootstrap_correlation(fx(spark, sf, "fx_risk"), [("cvss", "epss_0")], replicates=50)
+    return bootstrap_correlation(fx(spark, sf, "fx_risk"), [("cvss", "epss_0")], replicates=200)
 
 
 # A18 (rows-only)
@@ -376,7 +376,8 @@ def q_ks_normal(spark, sf):
 @query("shapiro_wilk")
 def q_shapiro_wilk(spark, sf):
     from riskspan.operators.normality import shapiro_wilk
-    df = fx(spark, sf, "fx_risk")
+    from riskspan.operators.filters import hash_sample_n
+    df = hash_sample_n(fx(spark, sf, "fx_risk"), "l_orderkey", 5000)  # the sampling step before the test
     return shapiro_wilk(df, "cvss", ["l_linenumber"])
 
 

@@ -73,7 +73,7 @@ def test_partition_independence(spark, pairs):
 
 def test_value_ranks_average(spark):
     df = spark.createDataFrame([(v,) for v in [3, 1, 3, 2, 3]], "v int")
-    got = {r.value: (r.n, r.before, r.rank) for r in value_ranks(df, "v", buckets=2).collect()}
+    got = {r.value: (r.n, r.before, r.rank) for r in value_ranks(df, "v").collect()}
     assert got == {1: (1, 0, 1.0), 2: (1, 1, 2.0), 3: (3, 2, 4.0)}
 
 
@@ -146,9 +146,62 @@ def test_value_ranks_with_outlier_and_groups(spark):
     vals = [float(x) for x in rng.integers(0, 300, 2000)] + [1e12, -5.0]
     rows = [(i % 2, v) for i, v in enumerate(vals)]
     df = spark.createDataFrame(rows, "g int, v double")
-    got = {(r.g, r.value): (r.before, r.rank) for r in value_ranks(df, "v", ["g"], buckets=8).collect()}
+    got = {(r.g, r.value): (r.before, r.rank) for r in value_ranks(df, "v", ["g"]).collect()}
     pdf = pd.DataFrame(rows, columns=["g", "v"])
     pdf["rank"] = pdf.groupby("g")["v"].rank(method="average")
     pdf["before"] = pdf.groupby("g")["v"].rank(method="min") - 1
     for r in pdf.drop_duplicates(["g", "v"]).itertuples():
         assert got[(r.g, r.v)] == (r.before, r.rank)
+
+
+def test_log_buckets_are_monotone(spark):
+    from riskspan.operators.ranks import log_bucket
+    from pyspark.sql import functions as F
+    import random
+    rng = random.Random(3)
+    xs = [0.0, 1e-12, -1e-12, 1e300, -1e300, 0.1, 0.25, 0.5, 1.0, 2.0, 4.0, float("inf"), float("-inf"), float("nan")]
+    xs += [s * rng.random() * 10 ** rng.randint(-9, 9) for s in (1, -1) for _ in range(500)]
+    xs += [s * v for s in (1, -1) for k in range(-30, 31) for v in (2.0 ** k * (1 - 2 ** -53), 2.0 ** k, 2.0 ** k * (1 + 2 ** -52))]
+    rows = spark.createDataFrame([(x,) for x in xs], "v double").select("v", log_bucket(F.col("v")).alias("b")).orderBy("v").collect()
+    assert [r.b for r in rows] == sorted(r.b for r in rows)
+    near = spark.createDataFrame([(i * 1e-9,) for i in range(1, 20000)], "v double")
+    assert near.groupBy(log_bucket(F.col("v"))).count().agg(F.max("count")).first()[0] < 10
+
+
+def test_bootstrap_of_tied_rows(spark):
+    import numpy as np
+    from riskspan.operators.bootstrap import bootstrap_correlation, replicate_cells
+    from pyspark.sql import functions as F
+    rng = np.random.default_rng(5)
+    x = rng.integers(0, 4, 300)
+    y = x + rng.integers(0, 4, 300)
+    df = spark.createDataFrame([(float(a), float(b)) for a, b in zip(x, y)], "x double, y double")
+    total = replicate_cells(df, "x", "y", 400).groupBy("replicate").agg(F.sum("weight").alias("n")).toPandas()["n"]
+    assert abs(total.mean() - 300) < 4 and 13 < total.std() < 22
+    got = {r.method: r for r in bootstrap_correlation(df, [("x", "y")], 400).collect()}
+
+    def rank(v):
+        order = np.unique(v, return_inverse=True, return_counts=True)
+        return (np.cumsum(order[2]) - (order[2] - 1) / 2)[order[1]]
+
+    own = []
+    for _ in range(2000):
+        i = rng.integers(0, 300, 300)
+        own.append(np.corrcoef(rank(x[i]), rank(y[i]))[0, 1])
+    assert abs(got["spearman"].std / np.std(own) - 1) < 0.12 and abs(got["spearman"].mean - np.mean(own)) < 0.01
+
+
+def test_anderson_darling_far_tail(spark):
+    import math
+    from riskspan.functions.distributions import log_norm_sf
+    from pyspark.sql import functions as F
+    zs = [-60.0, -5.0, 0.0, 3.0, 8.0, 38.0, 60.0]
+    got = [r[0] for r in spark.createDataFrame([(z,) for z in zs], "z double").select(log_norm_sf(F.col("z"))).collect()]
+    for z, v in zip(zs, got):
+        want = math.log(0.5 * math.erfc(z / math.sqrt(2))) if z < 30 else -z * z / 2 - math.log(z * math.sqrt(2 * math.pi)) + math.log1p(-1 / z ** 2)
+        assert abs(v - want) < 1e-5 * max(1, abs(want))
+
+
+def test_shapiro_needs_a_sample_above_its_limit(spark):
+    df = spark.range(0, 6000).selectExpr("id % 2 as g", "cast(id as double) as v")
+    assert [r.statistic for r in shapiro_wilk(df, "v", ["g"], max_n=100).collect()] == [None, None]
