@@ -46,18 +46,24 @@ def keyword_filter(df: DataFrame, field: str, sensitive=CASE_SENSITIVE_KEYWORDS,
 
 
 # P13 -------------------------------------------------------------------------
+def _seeded(key: str, seed: int) -> Column:
+    """First 32 bits of the MD5 of the key's text and the seed, a hash that
+    other engines have too."""
+    text = F.concat(F.col(key).cast("string"), F.lit(f"#{seed}"))
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
+
+
 def hash_sample(df: DataFrame, key: str, fraction: float, seed: int = 1945) -> DataFrame:
-    """Deterministic fraction sample: keeps a row when the seeded 64-bit hash
+    """Deterministic fraction sample: keeps a row when the seeded 32-bit hash
     of its key falls in the lowest ``fraction`` of the hash range.  The same
     key always gets the same decision, on any cluster and after retries."""
-    u = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
-    return df.filter(u < fraction)
+    return df.filter(_seeded(key, seed) < fraction * (1 << 32))
 
 
 def hash_sample_n(df: DataFrame, key: str, n: int, seed: int = 1945) -> DataFrame:
     """Fixed-size sample: the n rows with the smallest seeded hash (a top-n,
     computed as per-partition top-n then a final merge)."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), F.col(key)).limit(n)
+    return df.orderBy(_seeded(key, seed), F.col(key)).limit(n)
 
 
 # P14 -------------------------------------------------------------------------

@@ -29,6 +29,14 @@ def _cve(key: str) -> str:
     return cve_id_sql(key, f"{key} % 25")
 
 
+def _scores(days: int, score: str) -> str:
+    """Scores of a third of the exploited CVEs, some days after each exploit
+    and moved into the score era; some dates have none."""
+    return (f"select {_cve('l_orderkey')} as cve_id, "
+            f"cast(l_shipdate + interval '26' year + interval '{days}' day as date) as score_date, {score} as score "
+            f"from lineitem where l_returnflag in ('A', 'R') and l_orderkey % 3 = 0 and (l_orderkey + {days}) % 7 <> 1")
+
+
 USER_CVE = cve_id_sql("user_id", "24")
 
 
@@ -74,13 +82,13 @@ select {_cve('o_orderkey')} as cve_id,
   o_orderdate + interval '1' day as date_published
 from orders where o_orderkey % 3 <> 1""",
     "fx_epss_hist": f"""
-select {USER_CVE} as cve_id,
-  cast(ts as date) as score_date, round(max(value) / 500, 5) as epss, round(min(value) / 500, 5) as percentile
-from events group by user_id, cast(ts as date)""",
+select cve_id, score_date, round(max(score), 5) as epss, round(min(score) / 2, 5) as percentile
+from (""" + "\n  union all ".join(_scores(*x) for x in ((0, "0.01 + l_discount * 5"), (30, "0.01 + l_discount * 4"),
+                                                        (60, "0.02 + l_tax * 6"))) + """)
+group by cve_id, score_date""",
     "fx_first_exploit": f"""
-select {USER_CVE} as cve_id,
-  min(cast(ts as date)) as earliest_date
-from events where event_type = 'purchase' group by user_id""",
+select {_cve('l_orderkey')} as cve_id, cast(min(l_shipdate) + interval '26' year as date) as earliest_date
+from lineitem where l_returnflag in ('A', 'R') and l_orderkey % 3 = 0 group by l_orderkey""",
     "fx_dirty": """
 select c_custkey, case when c_custkey % 11 = 0 then 'n/a' when c_custkey % 13 = 0 then '' when c_custkey % 17 = 0 then 'None'
   when c_custkey % 5 = 0 then concat('  ', lower(c_mktsegment), ' ') else c_mktsegment end as category,

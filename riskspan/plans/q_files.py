@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from riskspan.functions import clean as C
 from riskspan.functions.numeric import impute_scores
 from riskspan.plans.fixtures import cte, cve_id_sql, fx, register_tables, table
-from riskspan.plans.q_core import ID_RE, epss_table
+from riskspan.plans.q_core import CVES_SQL, EPSS_SQL, ID_RE, epss_table
 from riskspan.plans.registry import query
 from riskspan.session import scratch_dir
 from riskspan.sources import cwe as W
@@ -25,8 +25,9 @@ def nulls(c: str) -> str:
     return f"case when {c} in ('', 'n/a', 'None') then null else {c} end"
 
 
-# S2 (rows-only: written to the shared scratch folder and read back)
-@query("csv_roundtrip")
+# S2 (written to the shared scratch folder and read back; CSV does not tell an
+# empty text from a missing one)
+@query("csv_roundtrip", cte("fx_dirty") + "select * replace (nullif(category, '') as category) from fx_dirty")
 def q_csv_roundtrip(spark, sf):
     df = fx(spark, sf, "fx_dirty")
     path = scratch_dir(spark, "csv")
@@ -34,8 +35,8 @@ def q_csv_roundtrip(spark, sf):
     return FS.read_csv(spark, path, schema=df.schema)
 
 
-# S20 (rows-only)
-@query("sink_roundtrip")
+# S20
+@query("sink_roundtrip", cte("fx_risk") + "select * from fx_risk")
 def q_sink_roundtrip(spark, sf):
     df = fx(spark, sf, "fx_risk")
     path = scratch_dir(spark, "parquet")
@@ -49,20 +50,42 @@ def q_file_audit(spark, sf):
     return N.file_audit(spark, sf)
 
 
-# S3 (rows-only)
-@query("json_doc_scan")
-def q_json_doc_scan(spark, sf):
+def _scan_records(spark, sf):
+    """Good and rejected documents of a written folder of records, some of
+    them broken."""
     docs = N.cve_documents(fx(spark, sf, "fx_cve")).select("doc")
     bad = table(spark, sf, "orders").filter(F.col("o_orderkey") % 997 == 0).select(
         F.concat(F.lit("{broken "), F.col("o_orderkey").cast("string")).alias("doc"))
     path = scratch_dir(spark, "cvejson")
     docs.unionByName(bad).write.mode("overwrite").text(path)
+    return N.scan_json_documents(spark, path, schema=None, glob="*.txt", one_per_file=False)
+
+
+# S3
+@query("json_doc_scan", cte("fx_cve") + "select cve_id_raw as cve_id, cve_state as state from fx_cve")
+def q_json_doc_scan(spark, sf):
     schema = "cveMetadata struct<cveId:string, state:string, datePublished:string>"
-    good, rejected = N.scan_json_documents(spark, path, schema=None, glob="*.txt", one_per_file=False)
-    good = good.withColumn("rec", F.from_json("doc", schema))
+    good = _scan_records(spark, sf)[0].withColumn("rec", F.from_json("doc", schema))
     return good.select(F.col("rec.cveMetadata.cveId").alias("cve_id"), F.col("rec.cveMetadata.state").alias("state"))
 
 
+# S3: what the scan rejects
+@query("json_doc_rejects", """
+select 'invalid JSON' as reason, count(*) as documents from orders where o_orderkey % 997 = 0 having count(*) > 0""")
+def q_json_doc_rejects(spark, sf):
+    return _scan_records(spark, sf)[1].groupBy("reason").agg(F.count(F.lit(1)).alias("documents"))
+
+
+# Q1 + Q2: scan, extract, clean, save
+@query("cve_pipeline", cte("fx_cve") + ", " + CVES_SQL + " select * from cves")
+def q_cve_pipeline(spark, sf):
+    from riskspan.plans.jobs import cve_clean
+    good, _ = _scan_records(spark, sf)
+    path = scratch_dir(spark, "cves")
+    FS.save_table(cve_clean(N.extract_cve_fields(good, "doc")), path)
+    return spark.read.parquet(path).select("cve_id", "public_date", "cvss", "cvss_src").distinct()
+
+
 # S10 (rows-only)
 @query("cwe_xml_scan")
 def q_cwe_xml_scan(spark, sf):
@@ -134,9 +157,7 @@ def q_ics_clean(spark, sf):
 
 
 def _impute_sql():
-    e = "epss_0", "epss_30", "epss_60"
-    return cte("fx_first_exploit", "fx_epss_hist") + ", " + __import__("riskspan.plans.q_core", fromlist=["EPSS_SQL"]).EPSS_SQL \
-        .replace("(30)", "(10)").replace("(60)", "(20)").replace("off = 30", "off = 10").replace("off = 60", "off = 20") + f"""
+    return cte("fx_first_exploit", "fx_epss_hist") + ", " + EPSS_SQL + """
 select cve_id,
   case when epss_0 is null and epss_30 is not null and epss_60 is not null then least(1.0, greatest(0.0, (epss_30 + epss_60) / 2.0)) else epss_0 end as epss_0,
   case when epss_30 is null and epss_0 is not null and epss_60 is not null then least(1.0, greatest(0.0, (epss_0 + epss_60) / 2.0)) else epss_30 end as epss_30,
@@ -150,5 +171,4 @@ from epss"""
 # F33
 @query("impute_scores", _impute_sql())
 def q_impute_scores(spark, sf):
-    e = epss_table(spark, sf, offsets=(0, 10, 20)).withColumnsRenamed({"epss_10": "epss_30", "epss_20": "epss_60"})
-    return impute_scores(e).select("cve_id", "epss_0", "epss_30", "epss_60", "imputation")
+    return impute_scores(epss_table(spark, sf)).select("cve_id", "epss_0", "epss_30", "epss_60", "imputation")

@@ -65,7 +65,7 @@ def q_earliest_exploit(spark, sf):
     return earliest_exploit(fx(spark, sf, "fx_xdb_rows"), cves=fx(spark, sf, "fx_cve"))
 
 
-OFFSETS = [0, 10, 20]
+OFFSETS = [0, 30, 60]
 
 
 # S13 / J4
@@ -73,17 +73,17 @@ OFFSETS = [0, 10, 20]
 , wanted as (
   select cve_id, cast(earliest_date as timestamp) as epss_date, o.off,
          cast(earliest_date as timestamp) + to_days(o.off) as query_date
-  from fx_first_exploit, (values (0), (10), (20)) o(off)
+  from fx_first_exploit, (values (0), (30), (60)) o(off)
   where earliest_date is not null and cast(earliest_date as timestamp) >= timestamp '2021-04-14'),
 looked as (select w.*, h.epss, h.percentile from wanted w
   left join fx_epss_hist h on h.cve_id = w.cve_id and h.score_date = cast(w.query_date as date))
 select cve_id, epss_date,
   max(case when off = 0 then query_date end) as epss_date_0, max(case when off = 0 then epss end) as epss_0,
   max(case when off = 0 then percentile end) as percentile_0,
-  max(case when off = 10 then query_date end) as epss_date_10, max(case when off = 10 then epss end) as epss_10,
-  max(case when off = 10 then percentile end) as percentile_10,
-  max(case when off = 20 then query_date end) as epss_date_20, max(case when off = 20 then epss end) as epss_20,
-  max(case when off = 20 then percentile end) as percentile_20
+  max(case when off = 30 then query_date end) as epss_date_30, max(case when off = 30 then epss end) as epss_30,
+  max(case when off = 30 then percentile end) as percentile_30,
+  max(case when off = 60 then query_date end) as epss_date_60, max(case when off = 60 then epss end) as epss_60,
+  max(case when off = 60 then percentile end) as percentile_60
 from looked group by cve_id, epss_date""")
 def q_score_at_offsets(spark, sf):
     wanted = filter_score_era(fx(spark, sf, "fx_first_exploit"))
@@ -94,7 +94,7 @@ def q_score_at_offsets(spark, sf):
 @query("score_missing", cte("fx_first_exploit", "fx_epss_hist") + """
 , wanted as (
   select cve_id, cast(cast(earliest_date as timestamp) + to_days(o.off) as date) as d
-  from fx_first_exploit, (values (0), (10), (20)) o(off)
+  from fx_first_exploit, (values (0), (30), (60)) o(off)
   where earliest_date is not null and cast(earliest_date as timestamp) >= timestamp '2021-04-14')
 select w.cve_id, strftime(w.d, '%Y-%m-%d') as date, 'No records available.' as reason
 from wanted w where not exists (select 1 from fx_epss_hist h where h.cve_id = w.cve_id and h.score_date = w.d)""")
@@ -119,19 +119,14 @@ def q_epss_clean(spark, sf):
 
 
 # A26
-@query("score_by_offset_stats", cte("fx_first_exploit", "fx_epss_hist") + ", " + EPSS_SQL.replace("(30)", "(10)").replace("(60)", "(20)")
-       .replace("off = 30", "off = 10").replace("off = 60", "off = 20") + """
+@query("score_by_offset_stats", cte("fx_first_exploit", "fx_epss_hist") + ", " + EPSS_SQL + """
 select o.off as "offset", count(v) as n, round(avg(v), 6) as mean, round(stddev_samp(v), 6) as std
 from epss, (values (0), (30), (60)) o(off),
   lateral (select case o.off when 0 then epss_0 when 30 then epss_30 else epss_60 end as v)
 group by o.off""")
 def q_score_by_offset_stats(spark, sf):
     from riskspan.operators.stats import stats_by_offset
-    e = epss_table(spark, sf, offsets=(0, 10, 20))
-    # the cleaned table names the columns by the requested offsets; relabel
-    # 10/20 as the 30/60 slots of the reference report
-    e = e.withColumnsRenamed({"epss_10": "epss_30", "epss_20": "epss_60"})
-    df = stats_by_offset(e)
+    df = stats_by_offset(epss_table(spark, sf))
     return df.select("offset", "n", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"))
 
 

@@ -26,8 +26,18 @@ def q_keyword_filter(spark, sf):
     return P.keyword_filter(fx(spark, sf, "fx_desc"), "description").select("doc_id", "matched_keyword")
 
 
-# P13 (rows-only: the hash function is Spark's own)
-@query("hash_sample")
+SEEDED = "cast('0x' || substr(md5({} || '#1945'), 1, 8) as bigint)"
+
+
+# A fixed number of rows
+@query("hash_sample_n", f"""
+select o_orderkey from orders order by {SEEDED.format("cast(o_orderkey as varchar)")}, o_orderkey limit 500""")
+def q_hash_sample_n(spark, sf):
+    return P.hash_sample_n(table(spark, sf, "orders").select("o_orderkey"), "o_orderkey", 500)
+
+
+# P13
+@query("hash_sample", cte("fx_cve") + f"select k, cve_id from fx_cve where {SEEDED.format('cve_id')} < 0.2 * 4294967296")
 def q_hash_sample(spark, sf):
     return P.hash_sample(fx(spark, sf, "fx_cve"), "cve_id", 0.2).select("k", "cve_id")
 
