@@ -119,7 +119,7 @@ CVSS_TRANSLATIONS = {
     },
 }
 
-# Unified metric <- version columns, lowest to highest priority (last
+# FIXED VALUES: Unified metric <- version columns, lowest to highest priority (last
 # non-null wins).
 CVSS_COMPILE_MAP = {
     "attack_complexity": ["attack_complexity_v2", "attack_complexity_v3",
@@ -312,7 +312,7 @@ CVE_FIELD_PATHS = {
     "is_kev": "metrics.other.type",
 }
 
-# PoC listing fields (output column -> key searched in each listing item)
+# FIXED VALUES: PoC listing fields (output column -> key searched in each listing item)
 POC_FIELDS = {
     "cve_id": "name",
     "poc_creation": "created_at",
@@ -322,7 +322,7 @@ POC_FIELDS = {
     "poc_topics": "topics",
 }
 
-# KEV catalogue column renames
+# FIXED VALUES: KEV catalogue column renames
 KEV_RENAMES = {
     "cveID": "cve_id",
     "vendorProject": "vendor",
@@ -335,7 +335,7 @@ KEV_RENAMES = {
     "cwes": "cwe_id",
 }
 
-# Ordered output of the compiled dataset
+# FIXED VALUES: Ordered output of the compiled dataset
 COMPILED_COLUMNS = [
     "cve_id", "date_public", "origin",
     "cvss", "cvss_severity", "cvss_src",
@@ -348,14 +348,39 @@ COMPILED_COLUMNS = [
     "change_0_to_30", "change_30_to_60", "change_0_to_60",
 ]
 
-# Score-history lookups start on this day (UTC)
+# FIXED VALUES: Score-history lookups start on this day (UTC)
 SCORE_ERA_START = "2021-04-14"
 SCORE_OFFSETS = [0, 30, 60]
 
-# Anderson-Darling: significance levels (%) and Stephens' normal-case
+# FIXED VALUES: Anderson-Darling: significance levels (%) and Stephens' normal-case
 # critical-value coefficients, scaled by 1 / (1 + 4/n - 25/n^2)
 AD_SIGNIFICANCE = [15.0, 10.0, 5.0, 2.5, 1.0]
 AD_CRITICAL_BASE = [0.576, 0.656, 0.787, 0.918, 1.092]
 
-# Right-closed score bins used by the synthetic-data check
+# FIXED VALUES: Right-closed score bins used by the synthetic-data check
 SCORE_BIN_EDGES = [0, 4, 7, 9, 10]
+
+# FIXED VALUES: accepted names of column types
+TYPE_ALIASES = {
+    "string": "string", "str": "string", "s": "string", "txt": "string", "text": "string",
+    "integer": "long", "int": "long", "i": "long", "int64": "long", "num": "long",
+    "numeric": "long", "number": "long",
+    "float": "double", "f": "double", "double": "double", "dbl": "double",
+    "datetime": "timestamp", "dt": "timestamp", "date": "timestamp",
+    "timestamp": "timestamp", "time": "timestamp",
+    "boolean": "boolean", "bool": "boolean", "b": "boolean",
+    "categorical": "category", "category": "category", "cat": "category", "c": "category",
+    "object": "object", "obj": "object", "o": "object",
+}
+
+# FIXED VALUES: severity of a score by CVSS version (label, lowest, highest)
+SEVERITY_BANDS = {
+    "v2": [("Low", 0.0, 3.9), ("Medium", 4.0, 6.9), ("High", 7.0, 10.0)],
+    "v3": [("None", 0.0, 0.0), ("Low", 0.1, 3.9), ("Medium", 4.0, 6.9), ("High", 7.0, 8.9), ("Critical", 9.0, 10.0)],
+}
+
+# FIXED VALUES: score columns and the version that their severity follows
+SEVERITY_VERSION = {"cvss_v2": "v2", "cvss_v3": "v3", "cvss_v3_1": "v3", "cvss_v4": "v3"}
+
+# FIXED VALUES: final severity (label, lowest score)
+FINAL_SEVERITY = [("CRITICAL", 9.0), ("HIGH", 7.0), ("MEDIUM", 4.0)]

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskspan.catalog import CVE_ID_PATTERN, ENGLISH_TAGS, NULL_TOKENS
+from riskspan.catalog import CVE_ID_PATTERN, ENGLISH_TAGS, NULL_TOKENS, TYPE_ALIASES
 
 _WS = "[ \\t\\n\\r\\f\\x0B]"
 
@@ -92,17 +92,7 @@ def trim_strings(df: DataFrame, cols: Iterable[str] | None = None) -> DataFrame:
 
 
 # F4 -------------------------------------------------------------------------
-TYPE_ALIASES = {
-    "string": "string", "str": "string", "s": "string", "txt": "string", "text": "string",
-    "integer": "long", "int": "long", "i": "long", "int64": "long", "num": "long",
-    "numeric": "long", "number": "long",
-    "float": "double", "f": "double", "double": "double", "dbl": "double",
-    "datetime": "timestamp", "dt": "timestamp", "date": "timestamp",
-    "timestamp": "timestamp", "time": "timestamp",
-    "boolean": "boolean", "bool": "boolean", "b": "boolean",
-    "categorical": "category", "category": "category", "cat": "category", "c": "category",
-    "object": "object", "obj": "object", "o": "object",
-}
+
 
 DATE_FORMATS = ["yyyy-MM-dd'T'HH:mm:ss.SSSSSSX", "yyyy-MM-dd'T'HH:mm:ss.SSSX",
                 "yyyy-MM-dd'T'HH:mm:ssX", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskspan.catalog import (COMPILED_COLUMNS, CVE_CATEGORY_MAP, KEV_RENAMES,
-                              NVD_VERSION_LABELS)
+from riskspan.catalog import (COMPILED_COLUMNS, CVE_CATEGORY_MAP, CVSS_COMPILE_MAP,
+                              KEV_RENAMES, NVD_VERSION_LABELS)
 from riskspan.functions import clean as C
 from riskspan.functions import cvss as V
 from riskspan.functions.dates import add_days, days_between, earliest_date
@@ -31,6 +31,11 @@ def _is_array(df: DataFrame, c: str) -> bool:
     return c in df.columns and isinstance(df.schema[c].dataType, T.ArrayType)
 
 
+def _public_date(df: DataFrame, cols: list[str]):
+    return earliest_date(*[F.col(c) if isinstance(df.schema[c].dataType, (T.TimestampType, T.TimestampNTZType))
+                           else C.to_timestamp_any(F.col(c).cast("string")) for c in cols])
+
+
 # Q2 -------------------------------------------------------------------------
 def cve_clean(df: DataFrame, key_for_report: str | None = None) -> DataFrame:
     """CVE records (extracted fields) -> one cleaned row per published CVE.
@@ -64,9 +69,7 @@ def cve_clean(df: DataFrame, key_for_report: str | None = None) -> DataFrame:
     df = V.compile_versions(df)
     df = df.withColumn("kev", C.array_flag("is_kev") if _is_array(df, "is_kev") else F.lit(False))
     pub = [c for c in ("mitre_cve_publish_date", "mitre_cve_public_date") if c in df.columns]
-    df = df.withColumn("public_date", earliest_date(*[C.to_timestamp_any(F.col(c).cast("string"))
-                                                      if not isinstance(df.schema[c].dataType, (T.TimestampType, T.TimestampNTZType))
-                                                      else F.col(c) for c in pub]))
+    df = df.withColumn("public_date", _public_date(df, pub))
     df = C.standardize_nulls(df)
     drop = ["cve_state", "cwe_desc", "mitre_cve_publish_date", "mitre_cve_public_date",
             "cvss_v3_1", "cvss_v3_1_vector", "is_kev"] + CVE_SUBTABLE_COLS
@@ -74,6 +77,28 @@ def cve_clean(df: DataFrame, key_for_report: str | None = None) -> DataFrame:
     return C.convert_types(df, CVE_TYPES)
 
 
+def cve_scores(df: DataFrame) -> DataFrame:
+    """What the compile job needs of the CVE records, by the rules of
+    ``cve_clean``: cve_id, public_date, cvss, cvss_src of published records,
+    distinct.  Vectors are neither decoded nor shuffled."""
+    def single(c: str):
+        return C.first_item(c) if _is_array(df, c) else F.col(c)
+
+    def score(c: str):
+        return V.max_pair(c, f"{c}_vector")["score"] if _is_array(df, c) and c in ("cvss_v3_1", "cvss_v4") else single(c)
+
+    scores = [c for c in ("cvss_v2", "cvss_v3", "cvss_v3_1", "cvss_v4") if c in df.columns]
+    dates = [c for c in ("mitre_cve_publish_date", "mitre_cve_public_date") if c in df.columns]
+    out = df.where(single("cve_state") == "PUBLISHED").select(
+        C.validate_id(single("cve_id")).alias("cve_id"), *[score(c).alias(c) for c in scores],
+        *[single(c).alias(c) for c in dates])
+    if "cvss_v3_1" in scores:
+        out = out.withColumn("cvss_v3", V.coalesce_priority("cvss_v3_1", "cvss_v3")).drop("cvss_v3_1")
+    out = V.compile_versions(out, {"cvss": CVSS_COMPILE_MAP["cvss"]})
+    return out.select("cve_id", _public_date(out, dates).alias("public_date"), F.col("cvss").cast("double").alias("cvss"),
+                      "cvss_src").distinct()
+
+
 # Q12 ------------------------------------------------------------------------
 NVD_TYPES = {"string": ["cve_id", "cvss_vector"], "datetime": ["date_published"],
              "float": ["cvss"], "category": ["cvss_src"]}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riskspan.plans.fixtures import cte, fx
-from riskspan.plans.jobs import compiled_dataset, cve_clean, nvd_clean
+from riskspan.plans.jobs import compiled_dataset, cve_clean, cve_scores, nvd_clean
 from riskspan.plans.registry import query
 from riskspan.operators.joins import (exploit_backbone, exploit_rollup,
                                       left_join_indicator, outer_join_origin)
@@ -144,6 +144,6 @@ from k"""
 
 @query("compiled_dataset", COMPILED_SQL)
 def q_compiled_dataset(spark, sf):
-    cves = cve_clean(cve_input(spark, sf))
+    cves = cve_scores(cve_input(spark, sf))
     nvd = nvd_clean(fx(spark, sf, "fx_nvd"))
     return compiled_dataset(backbone(spark, sf), cves, epss_table(spark, sf), nvd)

@@ -23,6 +23,7 @@ def test_incremental_ingest_resumes(spark):
     q = start_cve_ingest(spark, src, out, _clean, checkpoint=ck)
     q.awaitTermination(120)
     assert spark.read.parquet(out).count() == 3
+    assert [r.doc for r in spark.read.parquet(out + "-rejects").collect()] == ["{broken"]
     json.dump({"cveMetadata": {"cveId": "CVE-2024-2000", "state": "PUBLISHED"}},
               open(os.path.join(src, "CVE-2024-2000.json"), "w"))
     q = start_cve_ingest(spark, src, out, _clean, checkpoint=ck)   # resumes from the checkpoint
