@@ -67,7 +67,8 @@ def next_ids(ids: DataFrame) -> DataFrame:
     if not n:
         return ids.select("doc_id", F.col("doc_id").alias("next_id"))
     width = max(1, -(-(hi - lo + 1) * STRETCH // n))
-    stretch = F.floor((F.col("doc_id").cast("decimal(38,0)") - F.lit(lo)) / F.lit(width)).cast("long")
+    # decimals: the distance of two longs may need more than a long
+    stretch = F.expr(f"cast((cast(doc_id as decimal(20,0)) - ({lo}BD)) div {width}BD as long)")
     ids = ids.withColumn("stretch", stretch)
     # one row for each stretch of ids
     firsts = ids.groupBy("stretch").agg(F.min("doc_id").alias("first"))
@@ -80,17 +81,20 @@ def next_ids(ids: DataFrame) -> DataFrame:
 def fingerprint_documents(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
     near_edited, near_next for every row."""
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                       F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    ids = F.col("doc_id") if dict(docs.dtypes)["doc_id"] == "bigint" else F.col("doc_id").cast("long").alias("doc_id")
+    base = docs.select(ids, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     asked = base.where("doc_id is not null").groupBy("doc_id").agg(F.max(F.floor(F.length("text") / 4)).alias("need"))
     asked = asked.join(next_ids(asked.select("doc_id")), "doc_id") \
         .select(F.col("doc_id").alias("asker"), F.col("next_id").alias("doc_id"), F.col("need").cast("int").alias("need"))
-    printed = base.withColumn("own", F.expr(anchors_sql("text")))
-    heads = printed.join(asked, "doc_id").select("asker", F.expr("substring(text, 1, need)").alias("head"), "own") \
-        .groupBy("asker").agg(F.min(F.struct("head", F.col("own").alias("next"))).alias("h"))
-    out = printed.join(heads, printed.doc_id == heads.asker, "left") \
-        .select("doc_id", "text", "own", F.coalesce("h.head", F.lit("")).alias("head"),
-                F.coalesce("h.next", F.expr("cast(array() as array<bigint>)")).alias("next")) \
+    # both joins read one shuffle of texts by id; anchors are made after it
+    known, print_ = base.where("doc_id is not null"), F.expr(anchors_sql("text"))
+    heads = known.join(asked, "doc_id").select("asker", F.expr("substring(text, 1, need)").alias("head"), print_.alias("next")) \
+        .groupBy("asker").agg(F.min(F.struct("head", "next")).alias("h"))
+    paired = known.join(heads, known.doc_id == heads.asker) \
+        .select("doc_id", "text", F.col("h.head").alias("head"), F.col("h.next").alias("next"))
+    unnamed = base.where("doc_id is null") \
+        .select("doc_id", "text", F.lit("").alias("head"), F.expr("cast(array() as array<bigint>)").alias("next"))
+    out = paired.unionByName(unnamed).withColumn("own", print_) \
         .withColumn("n_chars", F.length("text").cast("long")) \
         .withColumn("edited", F.expr("concat(substring(text, 1, cast(n_chars - n_chars div 4 as int)), "
                                      "substring(head, 1, cast(n_chars div 4 as int)))")) \
