@@ -38,8 +38,10 @@ BUCKETS = 1 << 15
 GRAMS = (1, 2, 3, 4)
 SEQUENCE = 30
 UNKNOWN = "und"
-CACHE_WORDS = 300_000
-WORDS_AT_ONCE = 2_000_000
+CACHE_WORDS = 200_000
+NEW_WORDS = 10_000
+# text that is split into words and labelled together
+CHARS_AT_ONCE = 2_000_000
 
 _ROLL = Rolling(0xA0761D6478BD642F)
 
@@ -215,7 +217,8 @@ def _word_rows(model: LanguageModel, words: list[str]):
         place, rows = {}, rows[:0]
     new = list(set(words).difference(place))
     if new:
-        more = evidence([w.lower() for w in new], model.weights).astype(np.float32)
+        more = np.concatenate([evidence([w.lower() for w in new[k:k + NEW_WORDS]], model.weights)
+                               for k in range(0, len(new), NEW_WORDS)]).astype(np.float32)
         letters = np.array([any(map(str.isalpha, w)) for w in new])
         more[~letters] = np.nan  # no letter: no evidence, no vote
         place.update(zip(new, range(len(rows), len(rows) + len(new))))
@@ -228,14 +231,13 @@ def _word_rows(model: LanguageModel, words: list[str]):
 def label_texts(model: LanguageModel, texts: list[str]) -> list[tuple[str, float]]:
     """(language, score) of each text."""
     out = []
-    split = [t.split() for t in texts]
     at = 0
-    while at < len(split):
+    while at < len(texts):
         to, total = at, 0
-        while to < len(split) and (to == at or total + len(split[to]) <= WORDS_AT_ONCE):
-            total += len(split[to])
+        while to < len(texts) and (to == at or total + len(texts[to]) <= CHARS_AT_ONCE):
+            total += len(texts[to])
             to += 1
-        part = split[at:to]
+        part = [t.split() for t in texts[at:to]]
         flat = [w for ws in part for w in ws]
         size = np.array([len(ws) for ws in part], np.int64)
         mean = np.zeros((len(part), len(model.languages)))
