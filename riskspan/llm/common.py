@@ -18,6 +18,9 @@ from riskspan.session import scratch_dir
 # arrays stay small however many texts a batch holds.
 SLICE_BYTES = 1 << 20
 
+# Arrow batches between Spark and Python (a longer text has one of its own).
+BATCH_BYTES = 4 << 20
+
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
@@ -31,6 +34,13 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """Bounds the bytes of an Arrow batch for what follows in the session:
+    ten thousand rows, the default bound, can be any number of bytes."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back, which
     cuts the lineage and survives lost executors."""
@@ -143,10 +153,10 @@ def words_of(raw: np.ndarray, offsets: np.ndarray):
     return start, end, np.searchsorted(start, offsets)
 
 
-def word_codes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two 64-bit codes of every word."""
-    return (ROLL_A.spans(ROLL_A.prefix(CODE_A[raw]), start, end),
-            ROLL_B.spans(ROLL_B.prefix(CODE_B[raw]), start, end))
+def word_codes(raw: np.ndarray, start: np.ndarray, end: np.ndarray, second: bool = False) -> np.ndarray:
+    """A 64-bit code of every word; ``second``: another, unrelated one."""
+    roll, code = (ROLL_B, CODE_B) if second else (ROLL_A, CODE_A)
+    return roll.spans(roll.prefix(code[raw]), start, end)
 
 
 def pair_dtype():
@@ -162,6 +172,7 @@ def total_bytes(docs: DataFrame, text: str = "text") -> tuple[int, int]:
 def carried(docs: DataFrame, text: str = "text") -> DataFrame:
     """``row``: every column but the text, as one struct, so that no name of
     the input can clash with a working column; ``text``."""
+    small_batches(docs)
     rest = [F.col(f"`{c}`") for c in docs.columns if c.lower() != text.lower()]
     row = F.struct(*rest) if rest else F.struct(F.lit(None).cast("int").alias("_none"))
     return docs.select(row.alias("row"), F.col(f"`{text}`").cast("string").alias("text"))

@@ -37,7 +37,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from riskspan.llm.common import LOWER, ROLL_A, carried, mix64, slices, stored, text_bytes, uncarried, word_codes, words_of
+from riskspan.llm.common import (LOWER, ROLL_A, carried, mix64, slices, small_batches, stored, text_bytes, uncarried,
+                                 word_codes, words_of)
 
 SKETCH = 64
 # Nodes of a list that meet in one unit of work, from each of two blocks.
@@ -63,7 +64,7 @@ def needed(n: int, percent: int) -> int:
 def _shingle_sets(raw: np.ndarray, offsets: np.ndarray, words: int) -> list[np.ndarray]:
     raw = LOWER[raw]
     start, end, first = words_of(raw, offsets)
-    prefix = ROLL_A.prefix(word_codes(raw, start, end)[0])
+    prefix = ROLL_A.prefix(word_codes(raw, start, end))
     out = []
     for lo, hi in zip(first[:-1].tolist(), first[1:].tolist()):
         if hi - lo <= words:
@@ -109,7 +110,7 @@ def _signed(df: DataFrame, words: int, keep: str, names: list[str]) -> DataFrame
     fields += [StructField(n, LongType()) for n in ("n_shingles", "h1", "h2")]
     if keep:
         fields.append(StructField(keep, ArrayType(LongType())))
-    return df.mapInArrow(_signer(names, words, keep), StructType(fields))
+    return small_batches(df).mapInArrow(_signer(names, words, keep), StructType(fields))
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -16,46 +16,157 @@ the text are read; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import json
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from riskspan.llm.common import stored
+from riskspan.llm.bpe import byte_letters
+from riskspan.llm.common import small_batches, stored
 
-CACHE_WORDS = 400_000
+CACHE_WORDS = 150_000
 # ASCII separators that str.split() takes for white space and the tokenizer does not
 _SEPARATORS = ("\x1c", "\x1d", "\x1e", "\x1f")
+# FIXED VALUES: the published pattern that splits a word into pretokens
+_PRETOKENS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+_NEVER = 1 << 62
+_SLOTS, _SPREAD, _SHIFT = 1 << 18, 0x1E3779B97F4A7C15, 40
 
 
 class WordEncoder:
     """Token ids of whole texts for a tokenizer that drops white space: ids
-    are looked up word by word, and unknown words are encoded in batches."""
+    are looked up word by word.
+
+    New words of plain Latin letters, digits and signs are split and merged
+    here; words with other characters, whose normal form or lower case need
+    tables, and special tokens go to the library.
+    """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
+        self.path, self.library = path, None
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        vocab, end = spec["model"]["vocab"], spec["model"]["end_of_word_suffix"]
+        merges: dict[int, int] = {}
+        for rank, pair in enumerate(spec["model"]["merges"]):
+            x, y = pair if isinstance(pair, list) else pair.split(" ")
+            merges[(vocab[x] << 20) | vocab[y]] = (rank << 20) | vocab[x + y]
+        # pairs in a table of slots; a taken slot passes on to the next one
+        self.slot_key, self.slot_value = np.full(_SLOTS, -1, np.int64), np.zeros(_SLOTS, np.int64)
+        with np.errstate(over="ignore"):
+            home = ((np.array(list(merges), np.int64) * _SPREAD) >> _SHIFT & (_SLOTS - 1)).tolist()
+        taken: dict[int, tuple[int, int]] = {}
+        for slot, (key, value) in zip(home, merges.items()):
+            while slot in taken:
+                slot = (slot + 1) & (_SLOTS - 1)
+            taken[slot] = (key, value)
+        at = np.array(list(taken), np.int64)
+        self.slot_key[at], self.slot_value[at] = np.array(list(taken.values()), np.int64).reshape(-1, 2).T
+        self.inner, self.last = np.zeros(256, np.int64), np.zeros(256, np.int64)
+        for letter, byte in byte_letters().items():
+            self.inner[byte], self.last[byte] = vocab[letter], vocab[letter + end]
         self.known: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
+        self.cached: dict[str, bytes] = {}
+
+    def _by_library(self, texts: list[str]) -> list[bytes]:
+        if self.library is None:
+            from tokenizers import Tokenizer
+            self.library = Tokenizer.from_file(self.path)
+            self.library.no_truncation()
+            self.library.no_padding()
         return [np.asarray(e.ids, "<u4").tobytes()
-                for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+                for e in self.library.encode_batch(texts, add_special_tokens=False)]
+
+    def _pair(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """order << 20 | merged id of every pair, or _NEVER."""
+        key = (x << 20) | y
+        slot = (key * _SPREAD) >> _SHIFT & (_SLOTS - 1)
+        held = self.slot_key[slot]
+        out = np.where(held == key, self.slot_value[slot], _NEVER)
+        more = np.flatnonzero((held != key) & (held >= 0))
+        while len(more):
+            slot[more] = (slot[more] + 1) & (_SLOTS - 1)
+            held = self.slot_key[slot[more]]
+            hit = held == key[more]
+            out[more[hit]] = self.slot_value[slot[more[hit]]]
+            more = more[~hit & (held >= 0)]
+        return out
+
+    def _merge_all(self, data: np.ndarray) -> list[bytes]:
+        """Merges of tokens of one byte length (a row each): every round
+        takes the first pair of the lowest order in each row that has one."""
+        count, width = data.shape
+        parts = self.inner[data]
+        parts[:, -1] = self.last[data[:, -1]]
+        out: list[bytes] = [b""] * count
+        rows = np.arange(count)
+        ranks = self._pair(parts[:, :-1].reshape(-1), parts[:, 1:].reshape(-1)).reshape(count, width - 1)
+        while len(rows):
+            if width > 1:
+                at = ranks.argmin(axis=1)
+                best = ranks[np.arange(len(rows)), at]
+                done = best == _NEVER
+            else:
+                done = np.ones(len(rows), bool)
+            if done.any():
+                flat = parts[done].astype("<u4").tobytes()
+                for k, row in enumerate(rows[done].tolist()):
+                    out[row] = flat[4 * width * k:4 * width * (k + 1)]
+                go = ~done
+                rows, parts = rows[go], parts[go]
+                if not len(rows):
+                    break
+                ranks, at, best = ranks[go], at[go], best[go]
+            every, place = np.arange(len(rows)), np.arange(width - 1)
+            parts = np.take_along_axis(parts, place + (place > at[:, None]), 1)
+            parts[every, at] = best & 0xFFFFF
+            width -= 1
+            if width == 1:
+                continue
+            place = place[:width - 1]
+            ranks = np.take_along_axis(ranks, place + (place >= at[:, None]), 1)
+            right, left = np.flatnonzero(at < width - 1), np.flatnonzero(at > 0)
+            ranks[right, at[right]] = self._pair(parts[right, at[right]], parts[right, at[right] + 1])
+            ranks[left, at[left] - 1] = self._pair(parts[left, at[left] - 1], parts[left, at[left]])
+        return out
+
+    def _learn(self, new: list[str]):
+        known, cached, find = self.known, self.cached, _PRETOKENS.findall
+        other, split, fresh = [], [], set()
+        for word in new:
+            # below U+0250 texts are in normal form and lower case goes letter by letter
+            if len(word) > 100 or "<|" in word or not (word.isascii() or max(word) < "\u0250" and "\u0130" not in word):
+                other.append(word)
+                continue
+            tokens = find(word.lower())
+            split.append((word, tokens))
+            fresh.update(tokens)
+        by_size: dict[int, list[str]] = {}
+        for token in fresh.difference(cached):
+            by_size.setdefault(len(token.encode("utf-8")), []).append(token)
+        for size, tokens in by_size.items():
+            data = np.frombuffer("".join(tokens).encode("utf-8"), np.uint8).reshape(len(tokens), size)
+            cached.update(zip(tokens, self._merge_all(data)))
+        for word, tokens in split:
+            known[word] = cached[tokens[0]] if len(tokens) == 1 else b"".join([cached[t] for t in tokens])
+        known.update(zip(other, self._by_library(other) if other else []))
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
         split = [None if any(c in t for c in _SEPARATORS) else t.split() for t in texts]
         words = set().union(*[w for w in split if w]) if split else set()
-        if len(self.known) > CACHE_WORDS:
-            self.known = {}
+        if len(self.known) > CACHE_WORDS:  # keep what these texts use
+            self.known = {w: self.known[w] for w in words if w in self.known}
+        if len(self.cached) > CACHE_WORDS:
+            self.cached = {}
+        self._learn(list(words.difference(self.known)))
         known = self.known
-        new = sorted(words.difference(known))
-        known.update(zip(new, self._encode(new)))
-        return [self._encode([t])[0] if w is None else b"".join([known[x] for x in w])
+        return [self._by_library([t])[0] if w is None else b"".join([known[x] for x in w])
                 for t, w in zip(texts, split)]
 
 
@@ -96,7 +207,7 @@ def tokenized_pieces(docs: DataFrame, path: str, capacity: int, closing: int = 0
     """One row for each piece: doc_id, piece, start, length, ids_crc32 (and
     ids)."""
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + (", ids array<long>" if with_ids else "")
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
+    return small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
         .mapInArrow(_pieces(path, capacity, closing, with_ids), schema)
 
 

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from riskspan.llm.common import carried, text_bytes, uncarried
+from riskspan.llm.common import carried, small_batches, text_bytes, uncarried
 
 CHUNK = 1024
 DICTIONARY_BYTES = 32 << 10
@@ -141,7 +141,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, teach: Column, sample_rows:
             .orderBy("turn", "doc_id").limit(sample_rows)
         sample = part if sample is None else sample.unionByName(part)
     # at most 2 * sample_rows ids: a proven bound for the broadcast
-    texts = docs.select(F.col("doc_id"), F.col(text).alias("text")).join(F.broadcast(sample), "doc_id") \
+    texts = small_batches(docs).select(F.col("doc_id"), F.col(text).alias("text")).join(F.broadcast(sample), "doc_id") \
         .select(F.col("label").cast("long").alias("label"), "turn", "text")
     rows = texts.mapInArrow(_spread_chunks(sample_chunks),
                             "label long, turn long, chunks array<binary>, size long").collect()
