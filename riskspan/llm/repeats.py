@@ -23,6 +23,7 @@ from __future__ import annotations
 import pickle
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -48,7 +49,8 @@ class Slice:
     """Some texts of a group as one sequence.
 
     ``first``: place of each text's first element (one more at the end);
-    ``a``, ``b``: prefix sums of the elements' codes; ``lo``, ``hi``: windows
+    ``a``: prefix sums of the elements' codes; ``codes``: gives the second
+    codes, whose prefix sums only some rounds need; ``lo``, ``hi``: windows
     lo <= x < hi share the anchor at ``anchor`` (-1: no anchor);
     ``core``: 64-bit fingerprint of the anchor's content.
     """
@@ -56,12 +58,15 @@ class Slice:
     rows: tuple[int, int]
     first: np.ndarray
     a: np.ndarray
-    b: np.ndarray
+    codes: Callable[[], np.ndarray]
     lo: np.ndarray
     hi: np.ndarray
     anchor: np.ndarray
     core: np.ndarray
-    extra: object = None
+
+    @cached_property
+    def b(self) -> np.ndarray:
+        return ROLL_B.prefix(self.codes())
 
 
 def group_count(docs: DataFrame) -> int:
@@ -98,20 +103,23 @@ def _entries(table: pa.Table, dtype):
     return state, sent, keys
 
 
+def _unmark(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys without their mark, and which were marked."""
+    keys, top = keys.copy(), np.uint64(1 << 63)
+    last = keys["b"] if keys.dtype.names else keys
+    many = (last & top) != 0
+    last &= ~top
+    return keys, many
+
+
 def _repeated_keys(table: pa.Table, dtype) -> pa.Table:
     """For each row of a bucket: which of its keys are repeated.  A key that
-    its group holds twice is sent with its top flag set (see ``_twice``)."""
+    its group holds twice is sent with its top flag set (see ``_deal``)."""
     state, sent, keys = _entries(table, dtype)
     rows = [(g, k, t, d) for g, k, t, d in state]
     if len(keys):
-        plain = keys.copy()
-        field = "b" if plain.dtype.names else None
-        top = np.uint64(1 << 63)
-        values = plain[field] if field else plain
-        many = (values & top) != 0
-        values &= ~top
-        _, inverse, count = np.unique(plain, return_inverse=True, return_counts=True)
-        inverse = inverse.reshape(-1)
+        keys, many = _unmark(keys)
+        _, inverse, count = _distinct(keys)
         count = count + np.bincount(inverse, weights=many, minlength=len(count)).astype(np.int64)
         flags = count[inverse] > 1
         at = 0
@@ -122,34 +130,52 @@ def _repeated_keys(table: pa.Table, dtype) -> pa.Table:
 
 
 def _clear_top(keys: np.ndarray) -> np.ndarray:
-    """Keys with the top bit of the last part free for ``_twice``."""
+    """Keys with the top bit of the last part free for ``_deal``."""
     if keys.dtype.names:
         keys["b"] &= np.uint64((1 << 63) - 1)
         return keys
     return keys & np.uint64((1 << 63) - 1)
 
 
-def _twice(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys, and the same with the top bit set on those that occur
-    more than once in the group."""
-    distinct, count = np.unique(keys, return_counts=True)
-    sent = distinct.copy()
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First place of each different key, the number of the key that each
+    entry equals, and counts.  Sorts by one 64-bit part, and by all parts only
+    if two keys agree in that one."""
+    part = keys["a"] if keys.dtype.names else keys
+    order = np.argsort(part, kind="stable")
+    run = part[order]
+    new = np.ones(len(run), bool)
+    new[1:] = run[1:] != run[:-1]
+    if keys.dtype.names:
+        whole = keys[order]
+        for name in keys.dtype.names:
+            if name != "a" and (whole[name][1:] != whole[name][:-1])[~new[1:]].any():
+                _, head, inverse, count = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
+                return head, inverse.reshape(-1), count
+    number = np.cumsum(new) - 1
+    inverse = np.empty(len(keys), np.int64)
+    inverse[order] = number
+    start = np.flatnonzero(new)
+    return order[start], inverse, np.diff(np.append(start, len(keys)))
+
+
+def _deal(keys: np.ndarray, groups: int, route: str = "a"):
+    """Distinct keys by bucket, with the top bit of the last part set on those
+    that the group holds more than once; what lines the replies up again."""
+    head, inverse, count = _distinct(keys)
+    sent = keys[head]
     mark = (count > 1).astype(np.uint64) << np.uint64(63)
     if sent.dtype.names:
         sent["b"] |= mark
+        to = sent[route]
     else:
+        to = sent.copy()
         sent |= mark
-    return distinct, sent
-
-
-def _deal(keys: np.ndarray, groups: int):
-    """(bucket, keys as sent) and the order that lines replies up again."""
-    distinct, sent = _twice(keys)
-    route = ((distinct["a"] if distinct.dtype.names else distinct) % np.uint64(groups)).astype(np.int64)
-    order = np.argsort(route, kind="stable")
-    cut = np.searchsorted(route[order], np.arange(groups + 1))
+    to = (to % np.uint64(groups)).astype(np.int64)
+    order = np.argsort(to, kind="stable")
+    cut = np.searchsorted(to[order], np.arange(groups + 1))
     packed = [(k, sent[order[cut[k]:cut[k + 1]]]) for k in range(groups) if cut[k] < cut[k + 1]]
-    return distinct, order, cut, packed
+    return inverse, order, cut, packed
 
 
 def _replies(table: pa.Table, kind: int) -> dict[int, bytes]:
@@ -157,14 +183,14 @@ def _replies(table: pa.Table, kind: int) -> dict[int, bytes]:
             if t == kind}
 
 
-def _flags(keys: np.ndarray, groups: int, replies: dict[int, bytes]) -> np.ndarray:
-    """Flag of every key (not only distinct ones) from the buckets' replies."""
-    distinct, order, cut, _ = _deal(keys, groups)
-    flags = np.zeros(len(distinct), np.uint8)
+def _flags(dealt, replies: dict[int, bytes], bits: int) -> np.ndarray:
+    """Flag of every key from the buckets' replies."""
+    inverse, order, cut, _ = dealt
+    flags = np.zeros(len(order), np.uint8)
     for k, data in replies.items():
-        n = cut[k + 1] - cut[k]
-        flags[order[cut[k]:cut[k + 1]]] = np.unpackbits(np.frombuffer(data, np.uint8))[:n]
-    return flags[np.searchsorted(distinct, keys)] if len(keys) else flags
+        own = np.frombuffer(data, np.uint8)
+        flags[order[cut[k]:cut[k + 1]]] = np.unpackbits(own)[:cut[k + 1] - cut[k]] if bits == 1 else own
+    return flags[inverse]
 
 
 def _stretch_replies(table: pa.Table) -> pa.Table:
@@ -174,14 +200,10 @@ def _stretch_replies(table: pa.Table) -> pa.Table:
     state, sent, keys = _entries(table, dtype)
     rows = list(state)
     if len(keys):
-        top = np.uint64(1 << 63)
-        keys = keys.copy()
-        many = (keys["b"] & top) != 0
-        keys["b"] &= ~top
-        distinct, head, inverse, count = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
-        inverse = inverse.reshape(-1)
+        keys, many = _unmark(keys)
+        head, inverse, count = _distinct(keys)
         count = count + np.bincount(inverse, weights=many, minlength=len(count)).astype(np.int64)
-        cores, of, classes = np.unique(distinct["core"], return_inverse=True, return_counts=True)
+        _, of, classes = np.unique(keys["core"][head], return_inverse=True, return_counts=True)
         flags = (count[inverse] > 1).astype(np.uint8)
         speaks = np.zeros(len(keys), bool)
         speaks[head] = True
@@ -196,14 +218,6 @@ def _stretch_replies(table: pa.Table) -> pa.Table:
 _STRETCH = np.dtype([("core", "<u8"), ("a", "<u8"), ("b", "<u8")])
 
 
-def _deal_stretches(keys: np.ndarray, groups: int):
-    distinct, sent = _twice(keys)
-    route = (distinct["core"] % np.uint64(groups)).astype(np.int64)
-    order = np.argsort(route, kind="stable")
-    cut = np.searchsorted(route[order], np.arange(groups + 1))
-    return distinct, order, cut, [(k, sent[order[cut[k]:cut[k + 1]]]) for k in range(groups) if cut[k] < cut[k + 1]]
-
-
 def _spans(s: Slice, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     out = np.empty(len(start), pair_dtype())
     out["a"], out["b"] = ROLL_A.spans(s.a, start, end), ROLL_B.spans(s.b, start, end)
@@ -266,7 +280,7 @@ class Repeats:
         """Slices with their anchored stretches whose core is repeated."""
         parts = list(self._slices(table))
         cores = [self._cores(s) for s in parts]
-        flags = _flags(np.concatenate(cores) if cores else np.zeros(0, np.uint64), groups, state)
+        flags = _flags(_deal(np.concatenate(cores) if cores else np.zeros(0, np.uint64), groups), state, 1)
         at = 0
         for s, c in zip(parts, cores):
             yield s, self._anchored(s)[flags[at:at + len(c)] > 0]
@@ -276,7 +290,7 @@ class Repeats:
         state = _replies(replies, 1)
         keys = [_stretch_keys(s, live, self.window) for s, live in self._live(table, state, groups)]
         keys = np.concatenate(keys) if keys else np.zeros(0, _STRETCH)
-        out = _keys_table(gid, 2, _deal_stretches(keys, groups)[3])
+        out = _keys_table(gid, 2, _deal(keys, groups, "core")[3])
         return pa.concat_tables([out, _carry(gid, state, 1)])
 
     def _judged(self, table: pa.Table, first: dict, second: dict, groups: int):
@@ -284,21 +298,18 @@ class Repeats:
         parts = list(self._live(table, first, groups))
         keys = [_stretch_keys(s, live, self.window) for s, live in parts]
         every = np.concatenate(keys) if keys else np.zeros(0, _STRETCH)
-        distinct, order, cut, _ = _deal_stretches(every, groups)
-        flags = np.zeros(len(distinct), np.uint8)
-        for k, data in second.items():
-            flags[order[cut[k]:cut[k + 1]]] = np.frombuffer(data, np.uint8)
-        flags = flags[np.searchsorted(distinct, every)] if len(every) else np.zeros(0, np.uint8)
+        flags = _flags(_deal(every, groups, "core"), second, 8)
         at = 0
         for (s, live), k in zip(parts, keys):
             yield s, live, flags[at:at + len(k)]
             at += len(k)
 
-    def _open(self, s: Slice, live: np.ndarray, flags: np.ndarray, sending: bool) -> np.ndarray:
-        """Windows that are compared one by one.  Sending: those of stretches
-        that speak for their class.  Judging: those of unsettled stretches."""
+    def _open(self, s: Slice, live: np.ndarray, flags: np.ndarray) -> np.ndarray:
+        """Windows that are compared one by one: those of stretches that speak
+        for their class (an unsettled one is a class of its own), and those
+        without an anchor."""
         free = np.flatnonzero(s.anchor < 0)
-        pick = live[(flags & 2) > 0] if sending else live[((flags & 1) == 0) & ((flags & 2) > 0)]
+        pick = live[(flags & 2) > 0]
         return np.concatenate([_expand(s.lo[pick], s.hi[pick]), _expand(s.lo[free], s.hi[free])])
 
     def round3(self, gid: int, table: pa.Table, replies: pa.Table, groups: int) -> pa.Table:
@@ -306,7 +317,7 @@ class Repeats:
         first = _uncarry(first)
         keys = [np.zeros(0, pair_dtype())]
         for s, live, flags in self._judged(table, first, second, groups):
-            x = self._open(s, live, flags, True)
+            x = self._open(s, live, flags)
             keys.append(_spans(s, x, x + self.window))
         out = _keys_table(gid, 3, _deal(np.concatenate(keys), groups)[3])
         return pa.concat_tables([out, _carry(gid, first, 1), _carry(gid, second, 2)])
@@ -314,26 +325,18 @@ class Repeats:
     def last(self, gid: int, table: pa.Table, replies: pa.Table, groups: int) -> pa.Table:
         first, second = _uncarry(_replies(replies, -1)), _uncarry(_replies(replies, -2))
         third = _replies(replies, 3)
-        judged = list(self._judged(table, first, second, groups))
-        sent = [_spans(s, x, x + self.window) for s, live, flags in judged
-                for x in [self._open(s, live, flags, True)]]
+        judged = [(s, live, flags, self._open(s, live, flags))
+                  for s, live, flags in self._judged(table, first, second, groups)]
+        sent = [_spans(s, x, x + self.window) for s, _, _, x in judged]
         sent = np.concatenate(sent) if sent else np.zeros(0, pair_dtype())
-        flags3 = _flags(sent, groups, third)
-        repeated = np.unique(sent[flags3 > 0])
-        out = []
-        for s, live, flags in judged:
+        repeated = _flags(_deal(sent, groups), third, 1) > 0
+        out, at = [], 0
+        for s, live, flags, x in judged:
             n = len(s.a) - 1
-            edge = np.zeros(n + 1, np.int64)
             done = live[(flags & 1) > 0]
-            np.add.at(edge, s.lo[done], 1)
-            np.add.at(edge, s.hi[done] - 1 + self.window, -1)
-            x = self._open(s, live, flags, False)
-            if len(x) and len(repeated):
-                own = _spans(s, x, x + self.window)
-                at = np.minimum(np.searchsorted(repeated, own), len(repeated) - 1)
-                x = x[repeated[at] == own]
-                np.add.at(edge, x, 1)
-                np.add.at(edge, x + self.window, -1)
+            x, at = x[repeated[at:at + len(x)]], at + len(x)
+            edge = np.bincount(s.lo[done], minlength=n + 1) - np.bincount(s.hi[done] - 1 + self.window, minlength=n + 1)
+            edge += np.bincount(x, minlength=n + 1) - np.bincount(x + self.window, minlength=n + 1)
             covered = np.cumsum(edge[:-1]) > 0
             part = table.slice(s.rows[0], s.rows[1] - s.rows[0])
             raw, offsets = text_bytes(part["text"])

@@ -18,12 +18,13 @@ like a result column is replaced; an empty table gives an empty result.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskspan.llm.common import ROLL_A, ROLL_B, carried, uncarried, with_text, word_codes, words_of
+from riskspan.llm.common import ROLL_A, carried, uncarried, with_text, word_codes, words_of
 from riskspan.llm.repeats import Repeats, Slice
 
 GRAM = 8
@@ -52,19 +53,18 @@ class Parser:
 
     def __call__(self, raw: np.ndarray, offsets: np.ndarray) -> Slice:
         start, end, first = words_of(raw, offsets)
-        code_a, code_b = word_codes(raw, start, end)
-        a, b = ROLL_A.prefix(code_a), ROLL_B.prefix(code_b)
+        a, codes = ROLL_A.prefix(word_codes(raw, start, end)), partial(word_codes, raw, start, end, True)
         n = len(start)
         none = np.zeros(0, np.int64)
         if n < self.window:
-            return Slice((0, 0), first, a, b, none, none, none, np.zeros(0, np.uint64))
+            return Slice((0, 0), first, a, codes, none, none, none, np.zeros(0, np.uint64))
         at = np.arange(n - self.gram + 1)
         grams = ROLL_A.spans(a, at, at + self.gram)
         anchor = leftmost_minimum(grams, self.window - self.gram + 1)
         limit = np.repeat(first[1:], np.diff(first))
         x = np.flatnonzero(np.arange(n - self.window + 1) + self.window <= limit[:n - self.window + 1])
         if not len(x):
-            return Slice((0, 0), first, a, b, none, none, none, np.zeros(0, np.uint64))
+            return Slice((0, 0), first, a, codes, none, none, none, np.zeros(0, np.uint64))
         own = anchor[x]
         new = np.empty(len(x), bool)
         new[0] = True
@@ -72,7 +72,7 @@ class Parser:
         head = np.flatnonzero(new)
         size = np.diff(np.append(head, len(x)))
         lo = x[head]
-        return Slice((0, 0), first, a, b, lo, lo + size, own[head], grams[own[head]])
+        return Slice((0, 0), first, a, codes, lo, lo + size, own[head], grams[own[head]])
 
 
 def finish(s: Slice, raw: np.ndarray, offsets: np.ndarray, covered: np.ndarray):

@@ -1,7 +1,7 @@
 """Exact substring dedup over bytes by prefix-free parsing.
 
-A rolling hash of ``TRIGGER`` bytes starts a phrase wherever it falls in one
-residue class, so the parse depends on content alone and equal substrings
+A rolling hash of ``TRIGGER`` bytes starts a phrase wherever it falls in the
+lowest part of its range, so the parse depends on content alone and equal substrings
 have equal phrases inside.  A 400-byte string is then a phrase suffix (the
 bytes before its first trigger) followed by a piece of the parse (from that
 trigger on).  Equal strings are brought together in corpus order of these
@@ -26,12 +26,13 @@ from __future__ import annotations
 import hashlib
 
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskspan.llm.common import CODE_A, CODE_B, ROLL_A, ROLL_B, carried, uncarried
+from riskspan.llm.common import CODE_A, CODE_B, ROLL_A, carried, uncarried
 from riskspan.llm.repeats import Repeats, Slice
 
 TRIGGER = 8
@@ -47,15 +48,15 @@ class Parser:
 
     def __call__(self, raw: np.ndarray, offsets: np.ndarray) -> Slice:
         n = len(raw)
-        a, b = ROLL_A.prefix(CODE_A[raw]), ROLL_B.prefix(CODE_B[raw])
+        a, codes = ROLL_A.prefix(CODE_A[raw]), partial(np.take, CODE_B, raw)
         none = np.zeros(0, np.int64)
         # windows x with x + window inside their text, as runs of places
         last = offsets[1:] - self.window + 1
         lo0, hi0 = offsets[:-1], np.maximum(last, offsets[:-1])
         if not (hi0 > lo0).any():
-            return Slice((0, 0), offsets, a, b, none, none, none, np.zeros(0, np.uint64))
-        at = np.arange(n - TRIGGER + 1)
-        phrase = np.flatnonzero(ROLL_A.spans(a, at, at + TRIGGER) % np.uint64(self.period) == 0)
+            return Slice((0, 0), offsets, a, codes, none, none, none, np.zeros(0, np.uint64))
+        here = (a[TRIGGER:] - a[:-TRIGGER]) * ROLL_A.back[:n - TRIGGER + 1]
+        phrase = np.flatnonzero(here < np.uint64((1 << 64) // self.period))
         # a trigger counts where its core lies in the same text
         text = np.searchsorted(offsets, phrase, "right") - 1
         phrase = phrase[phrase + self.core <= offsets[text + 1]]
@@ -77,7 +78,7 @@ class Parser:
         cores = np.zeros(len(lo), np.uint64)
         spot = anchor[anchored]
         cores[anchored] = ROLL_A.spans(a, spot, spot + self.core)
-        return Slice((0, 0), offsets, a, b, lo, hi, anchor, cores)
+        return Slice((0, 0), offsets, a, codes, lo, hi, anchor, cores)
 
 
 def finish(s: Slice, raw: np.ndarray, offsets: np.ndarray, covered: np.ndarray):
