@@ -19,6 +19,8 @@ from riskspan.llm.queries import MIN_LINES, held_out
 from riskspan.llm.substring_dedup import substring_stage
 
 CAPACITY = 2048
+# a line of so many bytes (some 15 words) is a passage by itself
+LONE_BYTES = 80
 REPEAT_WORDS = 40
 
 
@@ -29,8 +31,8 @@ def quality(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later copies of line runs go, and documents of nothing else."""
-    return line_stage(docs, MIN_LINES)
+    """Later copies of line runs and of long lines go, and documents of nothing else."""
+    return line_stage(docs, MIN_LINES, lone_bytes=LONE_BYTES)
 
 
 def near_duplicates(spark, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,8 +8,10 @@ puts runs with a common prefix of at least ``min_lines`` lines side by side:
 each class of equal names is a longest-common-prefix interval.  The earliest
 start of a class, by (order column, place), keeps its lines; every other start
 is a later copy, and the lines it covers are deleted.  Overlapping starts
-join to the maximal repeated runs.  The first occurrence of every different
-line always stays.
+join to the maximal repeated runs.  Where ``lone_bytes`` is given, a line of at
+least so many bytes is a run of its own as well: its later copies go whatever
+lines stand around them.  The first occurrence of every different line always
+stays.
 
 Only names travel between tasks: starts are pre-aggregated by name before the
 shuffle, and the join back is one that Spark splits where a name is frequent.
@@ -42,15 +44,19 @@ def _names(lines: str, count: int) -> tuple[str, str]:
     return level(1), level(2)
 
 
-def _later_starts(base: DataFrame, min_lines: int, order: str) -> DataFrame:
-    """(key1, key2, starts): places in each document where a later copy of a
-    run of ``min_lines`` lines begins."""
+def _later_starts(base: DataFrame, min_lines: int, lone_bytes: int | None) -> DataFrame:
+    """(key1, key2, starts): twice the places in each document where a later
+    copy of a run of ``min_lines`` lines begins, one more for a lone line."""
     first, second = _names("lines", min_lines)
-    runs = base.where(F.size("lines") >= min_lines) \
-        .select("key1", "key2", "place", F.expr(f"arrays_zip({first}, {second})").alias("names")) \
-        .select("key1", "key2", "place", F.posexplode("names").alias("start", "name")) \
-        .select("key1", "key2", "place", "start", F.col("name").getField("0").alias("a"),
-                F.col("name").getField("1").alias("b"))
+    names = (f"if(size(lines) >= {min_lines}, transform(arrays_zip({first}, {second}), "
+             "(x, i) -> struct(2 * i as start, x.`0` as a, x.`1` as b)), array())")
+    if lone_bytes is not None:
+        # seeds of their own: a lone line is never equal to a run
+        lone = (f"filter(transform(lines, (x, i) -> if(octet_length(x) >= {lone_bytes}, "
+                "struct(2 * i + 1 as start, xxhash64(5, x) as a, xxhash64(6, x) as b), null)), x -> x is not null)")
+        names = f"concat({names}, {lone})"
+    runs = base.where("lines is not null").select("key1", "key2", "place", F.explode(F.expr(names)).alias("name")) \
+        .select("key1", "key2", "place", "name.start", "name.a", "name.b")
     head = F.min(F.struct("place", "key1", "key2", "start"))
     classes = runs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), head.alias("head")).where("n > 1") \
         .select("a", "b", "head")
@@ -59,14 +65,15 @@ def _later_starts(base: DataFrame, min_lines: int, order: str) -> DataFrame:
         .groupBy("key1", "key2").agg(F.collect_set("start").alias("starts"))
 
 
-def _deduped(docs: DataFrame, min_lines: int, order: str, text: str) -> DataFrame:
+def _deduped(docs: DataFrame, min_lines: int, order: str, text: str, lone_bytes: int | None) -> DataFrame:
     """row, text, kept, n_lines, n_removed."""
     base = carried(docs, text).withColumn("place", F.col("row").getField(order))
     base = base.withColumn("key1", F.xxhash64("place", "text")) \
         .withColumn("key2", F.xxhash64(F.lit(3), "text", "place")) \
         .withColumn("lines", F.split("text", "\n", -1))
-    starts = _later_starts(base, min_lines, order)
-    covered = F.expr(f"array_distinct(flatten(transform(starts, s -> sequence(s, s + {min_lines - 1}))))")
+    starts = _later_starts(base, min_lines, lone_bytes)
+    covered = F.expr(f"array_distinct(flatten(transform(starts, s -> "
+                     f"sequence(cast(s div 2 as int), cast(s div 2 as int) + if(s % 2 = 1, 0, {min_lines - 1})))))")
     kept = F.expr("array_join(transform(array_except(sequence(0, size(lines) - 1), covered), i -> lines[i]), '\n')")
     return base.drop("lines").join(starts, ["key1", "key2"], "left") \
         .withColumn("lines", F.split("text", "\n", -1)).withColumn("covered", covered) \
@@ -75,15 +82,17 @@ def _deduped(docs: DataFrame, min_lines: int, order: str, text: str) -> DataFram
                 F.greatest(F.size("covered"), F.lit(0)).cast("long").alias("n_removed"))
 
 
-def remove_repeated_lines(docs: DataFrame, min_lines: int = 2, order: str = "doc_id", text: str = "text") -> DataFrame:
+def remove_repeated_lines(docs: DataFrame, min_lines: int = 2, order: str = "doc_id", text: str = "text",
+                          lone_bytes: int | None = None) -> DataFrame:
     """``docs`` with ``kept_text``, ``n_lines`` and ``n_removed``."""
-    out = _deduped(docs, min_lines, order, text)
+    out = _deduped(docs, min_lines, order, text, lone_bytes)
     return uncarried(out, docs, text, kept_text=F.col("kept"), n_lines=F.col("n_lines"), n_removed=F.col("n_removed"))
 
 
-def line_stage(docs: DataFrame, min_lines: int = 2, order: str = "doc_id", text: str = "text") -> DataFrame:
+def line_stage(docs: DataFrame, min_lines: int = 2, order: str = "doc_id", text: str = "text",
+               lone_bytes: int | None = None) -> DataFrame:
     """``docs`` without later copies of line runs; documents that lose every
     line go."""
-    out = _deduped(docs, min_lines, order, text)
+    out = _deduped(docs, min_lines, order, text, lone_bytes)
     out = out.where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_lines")))
     return with_text(docs, out, F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text")), text)
