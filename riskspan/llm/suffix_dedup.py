@@ -1,15 +1,15 @@
-"""Exact substring dedup over bytes by prefix-free parsing.
-
-A rolling hash of ``TRIGGER`` bytes starts a phrase wherever it falls in the
-lowest part of its range, so the parse depends on content alone and equal substrings
-have equal phrases inside.  A 400-byte string is then a phrase suffix (the
-bytes before its first trigger) followed by a piece of the parse (from that
-trigger on).  Equal strings are brought together in corpus order of these
-two parts: triggers whose first bytes occur once drop out of the dictionary;
-the remaining phrase suffixes with their parse context are compared class by
-class, and only where several contexts share a trigger does each suffix get
-its own place (see ``repeats``).  Highly repetitive text costs one entry for
-each different phrase with context, however many copies there are.
+"""Exact substring dedup over bytes by anchored fingerprints.
+
+A rolling hash of ``TRIGGER`` bytes marks an anchor wherever it falls in the
+lowest part of its range, so anchors depend on content alone and equal
+substrings have equal anchors inside.  This is the trigger of prefix-free
+parsing and nothing more of it: no phrase dictionary, parse or suffix array is
+built and nothing is sorted in corpus order, because removal asks only which
+strings are equal.  Anchors whose surrounding bytes occur once drop out; whole
+stretches around the rest are compared by 128-bit fingerprints together with
+the anchor's place, and only where several contexts share an anchor does each
+string get its own place (see ``repeats``).  Highly repetitive text costs one
+entry for each different stretch, however many copies there are.
 
 Strings without a trigger in reach (runs of one short period) are entered
 directly, once for each different string of a group.
