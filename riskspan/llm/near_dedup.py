@@ -51,7 +51,7 @@ def needed(n: int, percent: int) -> int:
     Small sets are their own sketch (and that of the partner, at most n/t
     large): exactly t*n.  For large ones the shared values among the k
     smallest of the union are hypergeometric with mean t*k; six deviations
-    below the mean, fewer than one pair in 10**8 right at the limit is missed
+    below the mean, fewer than two pairs in 10**8 right at the limit are missed
     (and for less similar pairs nothing is lost).
     """
     t = percent / 100
