@@ -14,6 +14,7 @@ from riskspan.llm.line_dedup import remove_repeated_lines
 from riskspan.llm.near_dedup import near_duplicates
 from riskspan.llm.packing import pack_documents
 from riskspan.llm.quality import fit_quality, score_quality
+from riskspan.llm.spelling import count_words, spelling_variants
 from riskspan.llm.substring_dedup import remove_repeats
 from riskspan.llm.suffix_dedup import remove_repeated_bytes
 from riskspan.llm.vector_search import top_inner_products, whole_vectors
@@ -98,8 +99,13 @@ def op10_suffix_dedup(spark, sf_dir):
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op12_spelling_variants(spark, sf_dir):
+    words = count_words(documents(spark, sf_dir), least=6, occurrences=5, every=199)
+    return spelling_variants(words, ratio=5)
+
+
 QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_topk_search, op3_quality_classifier, op4_minhash_near_dedup,
                                    op5_fingerprints, op6_language_id, op7_bpe,
                                    op8_best_fit_packing, op9_substring_dedup,
-                                   op10_suffix_dedup)}
+                                   op10_suffix_dedup, op12_spelling_variants)}
 ORACLE: dict[str, str] = {"op1_line_dedup": OP1_SQL}
