@@ -55,7 +55,7 @@ def test_variants(spark, monkeypatch, letters, low, high, share, block):
 
 
 def test_long_words_differ_in_one_place(spark):
-    base = "".join(random.Random(3).choice("acgt") for _ in range(20000))
+    base = "".join(random.Random(3).choices("acgt", k=20000))
     words = [base, base[:9000] + base[9001:], base[:9000] + "x" + base[9001:], base[::-1]]
     df = spark.createDataFrame([(i, w) for i, w in enumerate(words)], "id long, word string")
     assert sorted(map(tuple, near_words(df).collect())) == [(0, 1), (0, 2), (1, 2)]
