@@ -6,6 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
+from riskspan.llm.alignment import link_counts
 from riskspan.llm.bpe import encode_digests
 from riskspan.llm.common import documents
 from riskspan.llm.fingerprints import fingerprint_documents
@@ -13,6 +14,7 @@ from riskspan.llm.language_id import fit_language, identify_language
 from riskspan.llm.line_dedup import remove_repeated_lines
 from riskspan.llm.near_dedup import near_duplicates
 from riskspan.llm.packing import pack_documents
+from riskspan.llm.pii import find_private, fit_private
 from riskspan.llm.quality import fit_quality, score_quality
 from riskspan.llm.spelling import count_words, spelling_variants
 from riskspan.llm.substring_dedup import remove_repeats
@@ -99,13 +101,25 @@ def op10_suffix_dedup(spark, sf_dir):
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op11_token_alignment(spark, sf_dir):
+    out = link_counts(documents(spark, sf_dir).select("doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"),
+                      public_tokenizers.path("piece_bpe_32k.model"))
+    return out.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 def op12_spelling_variants(spark, sf_dir):
     words = count_words(documents(spark, sf_dir), least=6, occurrences=5, every=199)
     return spelling_variants(words, ratio=5)
 
 
+def op13_pii(spark, sf_dir):
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    out = find_private(docs, fit_private(docs))
+    return out.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_topk_search, op3_quality_classifier, op4_minhash_near_dedup,
                                    op5_fingerprints, op6_language_id, op7_bpe,
                                    op8_best_fit_packing, op9_substring_dedup,
-                                   op10_suffix_dedup, op12_spelling_variants)}
+                                   op10_suffix_dedup, op11_token_alignment, op12_spelling_variants, op13_pii)}
 ORACLE: dict[str, str] = {"op1_line_dedup": OP1_SQL}
