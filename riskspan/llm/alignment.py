@@ -27,6 +27,7 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +39,10 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, Stru
 from riskspan.llm.bpe import byte_letters
 from riskspan.llm.common import carried, stored, uncarried
 
-# Cached pieces are dropped beyond so many, or so many characters.
-CACHE_PIECES, CACHE_CHARS = 300_000, 16 << 20
+# Cached pieces are dropped beyond so many, or so many characters; so many at
+# a time are encoded.
+CACHE_PIECES, CACHE_CHARS = 120_000, 8 << 20
+LEARNED = 4096
 SHIFT = 32  # a pair of ids as one long: A's id above B's
 
 _CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -113,8 +116,8 @@ class Lists:
         self.flat = np.append(self.flat, flat)
 
 
-class Aligner:
-    """Pieces of texts, encoded by both sides and aligned."""
+class Side:
+    """Both tokenizers and the bytes of their tokens."""
 
     def __init__(self, path_a: str, path_b: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -138,6 +141,19 @@ class Aligner:
         self.size_b = np.array([len(t) for t in self.bytes_b], np.int64)
         # a token of B across a word's border would make cuts wrong
         self.cuts = not any(re.search("[^▁]▁", p) for p in pieces)
+
+
+@lru_cache(2)
+def _sides(path_a: str, path_b: str) -> Side:
+    """Loaded once in a worker."""
+    return Side(path_a, path_b)
+
+
+class Aligner:
+    """Pieces of texts, encoded by both sides and aligned."""
+
+    def __init__(self, path_a: str, path_b: str):
+        self.side = _sides(path_a, path_b)
         self.clear()
 
     def clear(self):
@@ -149,7 +165,7 @@ class Aligner:
 
     def pieces(self, text: str) -> list[str]:
         """Pieces of a text without the space before each."""
-        if not self.cuts:
+        if not self.side.cuts:
             return [text]
         if text[0] != " " and text[-1] != " " and not _WIDE.search(text):
             return text.split(" ")
@@ -157,18 +173,19 @@ class Aligner:
 
     def learn(self, pieces: list[str]):
         """Encode and align pieces that are not known yet."""
-        a = [e.ids for e in self.a.encode_batch([" " + p for p in pieces], add_special_tokens=False)]
-        b = self.b.encode(pieces, out_type=int, num_threads=1)
+        side = self.side
+        a = [e.ids for e in side.a.encode_batch_fast([" " + p for p in pieces], add_special_tokens=False)]
+        b = side.b.encode(pieces, out_type=int, num_threads=1)
         whole = np.empty(len(pieces), bool)
         for k, (p, x, y) in enumerate(zip(pieces, a, b)):
             raw = b" " + p.encode()
-            whole[k] = b"".join(map(self.bytes_a.__getitem__, x)) == raw == b"".join(map(self.bytes_b.__getitem__, y))
+            whole[k] = b"".join(map(side.bytes_a.__getitem__, x)) == raw == b"".join(map(side.bytes_b.__getitem__, y))
             if not whole[k]:
                 a[k], b[k] = [], []
-        flat_a, flat_b = (np.fromiter((i for ids in side for i in ids), np.int64) for side in (a, b))
-        size_a, size_b = (np.array([len(ids) for ids in side], np.int64) for side in (a, b))
+        flat_a, flat_b = (np.fromiter((i for ids in encoded for i in ids), np.int64) for encoded in (a, b))
+        size_a, size_b = (np.array([len(ids) for ids in encoded], np.int64) for encoded in (a, b))
         # all pieces at once: offsets in their joined bytes
-        at_a, at_b = common_ends(np.cumsum(self.size_a[flat_a]), np.cumsum(self.size_b[flat_b]))
+        at_a, at_b = common_ends(np.cumsum(side.size_a[flat_a]), np.cumsum(side.size_b[flat_b]))
         first_a, first_b = np.cumsum(size_a) - size_a, np.cumsum(size_b) - size_b
         owner = np.searchsorted(first_a + size_a, at_a, "right")
         groups = np.bincount(owner, minlength=len(pieces))
@@ -192,19 +209,23 @@ class Aligner:
         a text that a side does not give back has no pieces."""
         if len(self.number) > CACHE_PIECES or self.chars > CACHE_CHARS:
             self.clear()
-        split = [self.pieces(t) if t else [] for t in texts]
-        new = list(dict.fromkeys(p for parts in split for p in parts if p not in self.number))
+        held, new = [], []
+        for text in texts:
+            parts = self.pieces(text) if text else []
+            for p in parts:
+                if p not in self.number:
+                    self.number[p] = len(self.number)
+                    self.chars += len(p)
+                    new.append(p)
+            held.append(np.fromiter(map(self.number.__getitem__, parts), np.int32, len(parts)))
+            if len(new) >= LEARNED:
+                self.learn(new)
+                new = []
         if new:
-            for p in new:
-                self.number[p] = len(self.number)
-            self.chars += sum(map(len, new))
             self.learn(new)
-        held = []
-        for parts in split:
-            found = np.fromiter(map(self.number.__getitem__, parts), np.int64, len(parts))
-            held.append(found if self.whole[found].all() else found[:0])
+        held = [found if self.whole[found].all() else found[:0] for found in held]
         ends = np.append(0, np.cumsum([len(h) for h in held])).astype(np.int64)
-        return np.concatenate(held) if held else np.zeros(0, np.int64), ends
+        return np.concatenate(held) if held else np.zeros(0, np.int32), ends
 
 
 def _sums(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
