@@ -384,3 +384,13 @@ SEVERITY_VERSION = {"cvss_v2": "v2", "cvss_v3": "v3", "cvss_v3_1": "v3", "cvss_v
 
 # FIXED VALUES: final severity (label, lowest score)
 FINAL_SEVERITY = [("CRITICAL", 9.0), ("HIGH", 7.0), ("MEDIUM", 4.0)]
+
+# FIXED VALUES: order of patch urgencies
+URGENCY_LEVELS = {"High": 3, "Medium": 2, "Low": 1}
+
+# FIXED VALUES: subtables of the CVE records (name -> list columns beside cve_id)
+CVE_SUBTABLES = {
+    "cve_cwe_connection": ["cwe_id", "cwe_desc"],
+    "cve_product": ["vendor", "product", "prod_status", "prod_defaultStatus", "prod_version", "prod_version_type",
+                    "prod_lessThan", "prod_lessThanOrEqual", "cpe"],
+}

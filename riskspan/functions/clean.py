@@ -126,31 +126,25 @@ def convert_column(c, kind: str, dtype: T.DataType | None = None) -> Column:
     return c
 
 
-def convert_types(df: DataFrame, conversions: dict) -> DataFrame:
-    """``{type_name: [columns] | '*'}`` -> per-value ``try_cast``.
-
-    A bad value becomes null on its own (the column keeps its other values).
-    Columns named but missing from the frame are ignored.
-    """
+def converted(df: DataFrame, conversions: dict) -> dict[str, Column]:
+    """The converted columns that ``conversions`` asks for."""
     types = {f.name: f.dataType for f in df.schema.fields}
     changes = {}
     for kind, cols in conversions.items():
         names = list(df.columns) if cols == "*" else [c for c in cols if c in types]
         for n in names:
             changes[n] = convert_column(F.col(f"`{n}`"), kind, types[n])
-    return df.withColumns(changes) if changes else df
+    return changes
 
 
-def rejected_counts(before: DataFrame, conversions: dict) -> DataFrame:
-    """One row: per converted column, the non-null values that failed."""
-    types = {f.name: f.dataType for f in before.schema.fields}
-    aggs = []
-    for kind, cols in conversions.items():
-        names = list(before.columns) if cols == "*" else [c for c in cols if c in types]
-        for n in names:
-            conv = convert_column(F.col(f"`{n}`"), kind, types[n])
-            aggs.append(F.count_if(F.col(f"`{n}`").isNotNull() & conv.isNull()).alias(n))
-    return before.agg(*aggs)
+def convert_types(df: DataFrame, conversions: dict) -> DataFrame:
+    """``{type_name: [columns] | '*'}`` -> per-value ``try_cast``.
+
+    A bad value becomes null on its own (the column keeps its other values).
+    Columns named but missing from the frame are ignored.
+    """
+    changes = converted(df, conversions)
+    return df.withColumns(changes) if changes else df
 
 
 # F5 -------------------------------------------------------------------------

@@ -123,6 +123,11 @@ def t_two_sided_p(t, df):
     return betainc(df / 2.0, 0.5, x)
 
 
+def normal_two_sided_p(z):
+    """Two-sided normal p-value, numpy."""
+    return np.array([math.erfc(abs(v) / math.sqrt(2.0)) for v in np.asarray(z, dtype=float).ravel()])
+
+
 @F.pandas_udf(T.DoubleType())
 def t_pvalue_udf(t: pd.Series, df: pd.Series) -> pd.Series:
     return pd.Series(t_two_sided_p(t.to_numpy(dtype=float, na_value=np.nan),

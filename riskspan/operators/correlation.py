@@ -1,38 +1,46 @@
 """Correlation coefficients (A12-A16) as distributed aggregates.
 
-* Pearson: built-in ``corr`` (single pass, mergeable partial aggregates).
+* Pearson: built-in covariance and deviations (single pass, mergeable).
 * Spearman: Pearson of average ranks.  Rows are first folded into
   (x, y, count) cells, ranks come from ``value_ranks`` (no global window),
   and the weighted, rank-centred sums give the coefficient.
-* Kendall tau-b: exact, without emitting pairs.  Needs, for each cell a,
-  the weighted count of cells with smaller x and smaller y (2-D dominance).
-  The rank plane is cut into K x K blocks: same x-block pairs are counted
-  inside one task per x-block, same y-block pairs inside one task per
-  y-block, and pairs in strictly lower blocks come from a K x K prefix-sum
-  grid.  Task sizes are bounded by the cells of one block, whatever the
-  skew of the raw data (duplicates are folded into cells first).
+* Kendall tau-b: exact, from the weighted dominance counts of the cells
+  (``dominance``): blocks of bounded size on both axes, whatever values are
+  hot, and no pairs.
+
+All pairs of columns that a call asks for run in one plan: every row becomes
+one (pair, x, y) entry for each pair whose two values it has, and entries fold
+into cells on the map side.  Building a plan starts no job.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from riskspan.operators.dominance import dominance_sums
 from riskspan.operators.ranks import value_ranks
-from riskspan.session import cut_lineage
 
 
-def _pair_base(df: DataFrame, x: str, y: str, g: list[str], weight: str | None = None) -> DataFrame:
+def _value(c: str) -> Column:
     # "+ 0.0" turns -0.0 into 0.0, so equal values compare and group alike
-    w = [F.col(weight).cast("long").alias("_w")] if weight else []
-    return df.select(*g, *w, (F.col(x).cast("double") + 0.0).alias("_x"), (F.col(y).cast("double") + 0.0).alias("_y")) \
-             .filter(F.col("_x").isNotNull() & F.col("_y").isNotNull() & ~F.isnan("_x") & ~F.isnan("_y"))
+    return F.nanvl(F.col(c).cast("double") + 0.0, F.lit(None).cast("double"))
+
 
+def pair_cells(df: DataFrame, pairs: list[tuple[str, str]], g: list[str], weight: str | None = None) -> DataFrame:
+    """(g, pair, x, y, n): rows for each combination of values of each pair
+    (its place in ``pairs``), rows without one of the two left out."""
+    columns = list(dict.fromkeys(c for p in pairs for c in p))
+    place = {c: f"_c{i}" for i, c in enumerate(columns)}
+    w = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
+    base = df.select(*g, w.alias("_w"), *[_value(c).alias(place[c]) for c in columns])
+    entries = F.explode(F.array(*[F.struct(F.lit(i).alias("pair"), F.col(place[x]).alias("x"), F.col(place[y]).alias("y"))
+                                  for i, (x, y) in enumerate(pairs)])).alias("e")
+    long = base.select(*g, "_w", entries).select(*g, "e.*", "_w").where("x is not null and y is not null")
+    return long.groupBy(*g, "pair", "x", "y").agg(F.sum("_w").alias("n"))
 
-def _two_values(c: str) -> Column:
+
+def _two_values(c) -> Column:
     """2 when the column has at least two distinct values in the group, else
     1: the guard only needs that, and min < max says it without the extra
     shuffle of a distinct count."""
@@ -45,189 +53,93 @@ def _guard(n, nx, ny, value):
 
 
 # A14 -----------------------------------------------------------------------
-def pearson(df: DataFrame, x: str, y: str, group_cols=()) -> DataFrame:
+def pearson_pairs(df: DataFrame, pairs: list[tuple[str, str]], group_cols=()) -> DataFrame:
+    """(g, pair, n, coef) of all pairs from one aggregate over the rows; each
+    pair uses the rows that have both of its values."""
     g = list(group_cols)
-    b = _pair_base(df, x, y, g)
-    # covariance / (sd * sd): the built-in corr divides by zero (an error
-    # under ANSI) on constant groups, which the guard must turn into null
-    aggs = [F.count(F.lit(1)).alias("n"),
-            F.try_divide(F.covar_samp("_x", "_y"), F.stddev_samp("_x") * F.stddev_samp("_y")).alias("_r"),
-            _two_values("_x").alias("_nx"), _two_values("_y").alias("_ny")]
-    out = b.groupBy(*g).agg(*aggs) if g else b.agg(*aggs)
-    return out.select(*g, "n", _guard(F.col("n"), F.col("_nx"), F.col("_ny"), F.col("_r")).alias("coef"))
-
-
-def _cells_with_ranks(df: DataFrame, x: str, y: str, g: list[str], weight: str | None = None):
-    """(x, y, n) cells joined with both rank tables; also returns the two
-    rank tables (one row per distinct value, with its multiplicity)."""
-    b = _pair_base(df, x, y, g, weight)
-    cells = b.groupBy(*g, "_x", "_y").agg((F.sum("_w") if weight else F.count(F.lit(1))).alias("n"))
-    # both rank tables come from the cell counts: the base rows are scanned
-    # once (the cell exchange is reused), not once per table
-    rx = value_ranks(cells, "_x", g, value_name="_x", weight="n").select(*g, "_x", F.col("before").alias("bx"),
-                                                         F.col("rank").alias("rx"), F.col("n").alias("tx"),
-                                                         F.col("total").alias("_tot"))
-    ry = value_ranks(cells, "_y", g, value_name="_y", weight="n").select(*g, "_y", F.col("before").alias("by"),
-                                                         F.col("rank").alias("ry"), F.col("n").alias("ty"))
-    return cells.join(rx, on=g + ["_x"]).join(ry, on=g + ["_y"]), rx, ry
+    aggs, rows = [], []
+    for i, (x, y) in enumerate(pairs):
+        x, y = _value(x), _value(y)
+        both = x.isNotNull() & y.isNotNull()
+        x, y = F.when(both, x), F.when(both, y)
+        # covariance / (sd * sd): the built-in corr divides by zero (an error
+        # under ANSI) on constant groups, which the guard must turn into null
+        aggs += [F.count(x).alias(f"n{i}"), _two_values(x).alias(f"a{i}"), _two_values(y).alias(f"b{i}"),
+                 F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y)).alias(f"r{i}")]
+        coef = _guard(F.col(f"n{i}"), F.col(f"a{i}"), F.col(f"b{i}"), F.col(f"r{i}"))
+        rows.append(F.struct(F.lit(i).alias("pair"), F.col(f"n{i}").alias("n"), coef.alias("coef")))
+    wide = df.groupBy(*g).agg(*aggs)
+    return wide.select(*g, F.explode(F.array(*rows)).alias("e")).select(*g, "e.*")
+
+
+def pearson(df: DataFrame, x: str, y: str, group_cols=()) -> DataFrame:
+    return pearson_pairs(df, [(x, y)], group_cols).drop("pair")
 
 
 # A12 -----------------------------------------------------------------------
-def spearman(df: DataFrame, x: str, y: str, group_cols=(), weight: str | None = None) -> DataFrame:
-    g = list(group_cols)
-    c, _, _ = _cells_with_ranks(df, x, y, g, weight)
-    m = (F.col("_tot") + 1) / 2.0
+def spearman_pairs(df: DataFrame, pairs: list[tuple[str, str]], group_cols=(), weight: str | None = None) -> DataFrame:
+    """(g, pair, n, coef) for every pair that has rows."""
+    key = [*group_cols, "pair"]
+    cells = pair_cells(df, pairs, list(group_cols), weight)
+    # both rank tables come from the cell counts: the base rows are scanned once
+    both = [value_ranks(cells, c, key, value_name=c, weight="n").select(*key, c, F.col("rank").alias(f"r{c}"), F.col("total").alias(f"t{c}"))
+            for c in ("x", "y")]
+    c = cells.join(both[0], [*key, "x"]).join(both[1].drop("ty"), [*key, "y"])
+    m = (F.col("tx") + 1) / 2.0
     dx, dy = F.col("rx") - m, F.col("ry") - m
-    aggs = [F.sum("n").alias("n"), F.sum(F.col("n") * dx * dy).alias("_sxy"),
-            F.sum(F.col("n") * dx * dx).alias("_sxx"), F.sum(F.col("n") * dy * dy).alias("_syy"),
-            _two_values("_x").alias("_nx"), _two_values("_y").alias("_ny")]
-    out = c.groupBy(*g).agg(*aggs) if g else c.agg(*aggs)
+    out = c.groupBy(*key).agg(
+        F.sum("n").alias("n"), F.sum(F.col("n") * dx * dy).alias("_sxy"), F.sum(F.col("n") * dx * dx).alias("_sxx"),
+        F.sum(F.col("n") * dy * dy).alias("_syy"), _two_values("x").alias("_nx"), _two_values("y").alias("_ny"))
     r = F.try_divide(F.col("_sxy"), F.sqrt(F.col("_sxx") * F.col("_syy")))
-    return out.select(*g, "n", _guard(F.col("n"), F.col("_nx"), F.col("_ny"), r).alias("coef"))
+    return out.select(*key, "n", _guard(F.col("n"), F.col("_nx"), F.col("_ny"), r).alias("coef"))
+
+
+def spearman(df: DataFrame, x: str, y: str, group_cols=(), weight: str | None = None) -> DataFrame:
+    return spearman_pairs(df, [(x, y)], group_cols, weight).drop("pair")
 
 
 # A13 -----------------------------------------------------------------------
-def _dominance(xs: np.ndarray, ys: np.ndarray, ns: np.ndarray):
-    """For each i: sum of ns[j] with xs[j] < xs[i] and ys[j] < ys[i] (lt) and
-    with ys[j] <= ys[i] (le).  Sweep over x with a Fenwick tree over y."""
-    m = len(xs)
-    lt = np.zeros(m, dtype=np.int64)
-    le = np.zeros(m, dtype=np.int64)
-    if m == 0:
-        return lt, le
-    uy = np.unique(ys)
-    yi = np.searchsorted(uy, ys)  # 0-based dense y index
-    size = len(uy)
-    tree = [0] * (size + 1)
-    order = np.lexsort((ys, xs))
-    xs_o = xs[order]
-    start = 0
-    while start < m:
-        end = start
-        while end < m and xs_o[end] == xs_o[start]:
-            end += 1
-        idx = order[start:end]
-        for i in idx:  # query before inserting this x-group
-            k = int(yi[i])  # count y-index < k  -> prefix(k)
-            s, j = 0, k
-            while j > 0:
-                s += tree[j]
-                j -= j & -j
-            lt[i] = s
-            s, j = 0, k + 1
-            while j > 0:
-                s += tree[j]
-                j -= j & -j
-            le[i] = s
-        for i in idx:
-            j = int(yi[i]) + 1
-            w = int(ns[i])
-            while j <= size:
-                tree[j] += w
-                j += j & -j
-        start = end
-    return lt, le
-
-
-def kendall(df: DataFrame, x: str, y: str, group_cols=(), target_cells: int = 20000,
-            weight: str | None = None) -> DataFrame:
-    """Exact Kendall tau-b per group (ties handled as in tau-b).
-
-    The block count per group is K = sqrt(cells / target_cells), computed
-    lazily from the group's cell count, so small groups run as one block and
-    large ones spread over K x-blocks and K y-blocks of about
-    sqrt(cells * target_cells) cells each; the K x K grid has one row for
-    every ``target_cells`` cells.
-    """
-    g0 = list(group_cols)
-    g = g0 if g0 else ["_g"]
-    src = df if g0 else df.withColumn("_g", F.lit(0))
-    c, _, _ = _cells_with_ranks(src, x, y, g, weight)
-    kexpr = F.greatest(F.lit(1), F.ceil(F.sqrt(F.col("_cells") / float(target_cells)))).cast("int")
-    counts = c.groupBy(*g).agg(F.count(F.lit(1)).alias("_cells")).select(*g, kexpr.alias("_K"))
-    # one row per group; for the single constant group that is a proven bound
-    c = c.join(counts if g0 else F.broadcast(counts), on=g)
-    c = c.withColumns({"_cx": F.floor(F.col("bx") * F.col("_K") / F.col("_tot")).cast("int"),
-                       "_by": F.floor(F.col("by") * F.col("_K") / F.col("_tot")).cast("int")})
-    # the ranked cell table feeds four branches below; a reliable checkpoint
-    # in the shared checkpoint folder computes it once (and survives lost
-    # executors, unlike a local checkpoint)
-    c = cut_lineage(c.select(*g, "_x", "_y", "n", "bx", "by", "tx", "ty", "_tot", "_K", "_cx", "_by"))
-    key = g + ["bx", "by"]
-    sch = T.StructType([c.schema[k] for k in g] + [
-        T.StructField("bx", T.LongType()), T.StructField("by", T.LongType()),
-        T.StructField("lt1", T.LongType()), T.StructField("le1", T.LongType()),
-        T.StructField("lt2", T.LongType()), T.StructField("le2", T.LongType())])
-    cols = g + ["bx", "by", "_cx", "_by", "n"]
-    # one Python stage for both local counts: each cell appears once keyed by
-    # its x-block (pairs inside the x-block) and once by its y-block (pairs
-    # from lower x-blocks inside the same y-block)
-    both = (c.select(*cols, F.lit(0).alias("_side"), F.col("_cx").alias("_blk"))
-             .unionByName(c.select(*cols, F.lit(1).alias("_side"), F.col("_by").alias("_blk"))))
-    local = both.groupBy(*g, "_side", "_blk").applyInPandas(_local_counts(key), sch)
-    local = local.groupBy(*key).agg(*[F.sum(k).alias(k) for k in ("lt1", "le1", "lt2", "le2")])
-    # strictly lower blocks on both axes: K x K prefix grid per group
-    grid = c.groupBy(*g, "_cx", "_by").agg(F.sum("n").alias("_gn"))
-    seq = F.explode(F.sequence(F.lit(0), F.col("_K") - 1))
-    # K per group read back from the checkpointed cells (``counts`` itself
-    # would re-run the rank pipeline)
-    ks = c.groupBy(*g).agg(F.max("_K").alias("_K"))
-    dense = ks.withColumn("_cx", seq).withColumn("_by", seq).drop("_K")
-    dense = dense.join(grid, on=g + ["_cx", "_by"], how="left").fillna(0, subset=["_gn"])
-    w1 = Window.partitionBy(*g, "_by").orderBy("_cx").rowsBetween(Window.unboundedPreceding, -1)
-    dense = dense.withColumn("_col", F.coalesce(F.sum("_gn").over(w1), F.lit(0)))
-    w2 = Window.partitionBy(*g, "_cx").orderBy("_by").rowsBetween(Window.unboundedPreceding, -1)
-    t3 = dense.withColumn("t3", F.coalesce(F.sum("_col").over(w2), F.lit(0))).select(*g, "_cx", "_by", "t3")
-    parts = c.join(local, on=key).join(t3, on=g + ["_cx", "_by"])
-    # near n**2 / 2: beyond a long from some 4e9 rows on
-    s_term = F.col("n").cast("decimal(19,0)") * (F.col("lt1") + F.col("lt2") + 2 * F.col("t3") + F.col("le1") + F.col("le2") - F.col("bx")).cast("decimal(18,0)")
-    s = parts.groupBy(*g).agg(F.sum(s_term).alias("_S"), F.first("_tot").alias("n"))
-    # tie sums straight from the rank tables (multiplicity per distinct value)
-    rx = c.groupBy(*g, "_x").agg(F.first("tx").alias("tx"))
-    ry = c.groupBy(*g, "_y").agg(F.first("ty").alias("ty"))
-    out = s.join(_tie_sums(rx, "tx", g, "x"), on=g).join(_tie_sums(ry, "ty", g, "y"), on=g)
-    n = F.col("n").cast("double")
-    n0 = n * (n - 1) / 2
-    tau = F.try_divide(F.col("_S").cast("double"), F.sqrt((n0 - F.col("x_t2")) * (n0 - F.col("y_t2"))))
-    extra = [c_ for c_ in out.columns if c_[:2] in ("x_", "y_") and not c_.endswith("_nd")]
-    return out.select(*g0, "n", _guard(F.col("n"), F.col("x_nd"), F.col("y_nd"), tau).alias("coef"),
-                      F.col("_S").cast("double").alias("s_stat"), *extra)
-
-
-def _local_counts(key_cols: list[str]):
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        side = int(pdf["_side"].iloc[0])
-        xs = pdf["bx"].to_numpy() if side == 0 else pdf["_cx"].to_numpy()
-        lt, le = _dominance(xs, pdf["by"].to_numpy(), pdf["n"].to_numpy())
-        out = pdf[key_cols].copy()
-        zero = np.zeros(len(pdf), dtype=np.int64)
-        out["lt1"], out["le1"] = (lt, le) if side == 0 else (zero, zero)
-        out["lt2"], out["le2"] = (zero, zero) if side == 0 else (lt, le)
-        return out
-    return fn
-
-
-def _tie_sums(ranks: DataFrame, tcol: str, g: list[str], tag: str) -> DataFrame:
-    """Per group: distinct values, sum t(t-1)/2, sum t(t-1)(2t+5),
-    sum t(t-1), sum t(t-1)(t-2) over the tie groups."""
-    t = F.col(tcol).cast("double")
-    return ranks.groupBy(*g).agg(
-        F.count(F.lit(1)).alias(f"{tag}_nd"),
-        F.sum(t * (t - 1) / 2).alias(f"{tag}_t2"), F.sum(t * (t - 1) * (2 * t + 5)).alias(f"{tag}_v"),
-        F.sum(t * (t - 1)).alias(f"{tag}_v1"), F.sum(t * (t - 1) * (t - 2)).alias(f"{tag}_v2"))
+def tau_b(sums: DataFrame, keys: list[str]) -> DataFrame:
+    """tau-b from dominance sums: of n(n-1)/2 pairs those tied in x or y are
+    no votes, concordant ones count for, the others against.  Keeps S and the
+    tie sums that its variance needs."""
+    n = F.col("n")
+    pairs = n * (n - 1) / 2
+    s = 2 * F.col("concordant") - pairs + F.col("x_t2") + F.col("y_t2") - F.col("both_t2")
+    tau = F.try_divide(s, F.sqrt((pairs - F.col("x_t2")) * (pairs - F.col("y_t2"))))
+    # one distinct value: every pair is tied
+    known = (n >= 2) & (F.col("x_t2") < pairs) & (F.col("y_t2") < pairs)
+    return sums.select(*keys, n.cast("long").alias("n"), F.when(known, tau).alias("coef"), s.alias("s_stat"),
+                       *[f"{axis}_{t}" for axis in "xy" for t in ("t2", "v", "v1", "v2")])
 
 
-def correlate(df: DataFrame, x: str, y: str, method: str, group_cols=(), weight: str | None = None) -> DataFrame:
+def kendall_pairs(df: DataFrame, pairs: list[tuple[str, str]], group_cols=(), target_cells: int = 50_000,
+                  weight: str | None = None) -> DataFrame:
+    """Exact Kendall tau-b (ties handled as in tau-b) for every pair that has
+    rows; blocks hold about ``target_cells`` different combinations."""
+    key = [*group_cols, "pair"]
+    return tau_b(dominance_sums(pair_cells(df, pairs, list(group_cols), weight), key, target_cells), key)
+
+
+def kendall(df: DataFrame, x: str, y: str, group_cols=(), target_cells: int = 50_000, weight: str | None = None) -> DataFrame:
+    return kendall_pairs(df, [(x, y)], group_cols, target_cells, weight).drop("pair")
+
+
+def correlate_pairs(df: DataFrame, pairs: list[tuple[str, str]], method: str, group_cols=(), weight: str | None = None) -> DataFrame:
     """A16 entry point: 'pearson' | 'spearman' | 'kendall'; others raise."""
     if method == "pearson":
-        return pearson(df, x, y, group_cols)
+        return pearson_pairs(df, pairs, group_cols)
     if method == "spearman":
-        return spearman(df, x, y, group_cols, weight)
+        return spearman_pairs(df, pairs, group_cols, weight)
     if method == "kendall":
-        return kendall(df, x, y, group_cols, weight=weight)
+        return kendall_pairs(df, pairs, group_cols, weight=weight)
     raise ValueError(f"Unknown correlation method: {method.title()}")
 
 
+def correlate(df: DataFrame, x: str, y: str, method: str, group_cols=(), weight: str | None = None) -> DataFrame:
+    return correlate_pairs(df, [(x, y)], method, group_cols, weight).drop("pair")
+
+
 # A15 -----------------------------------------------------------------------
 def kendall_pvalue(k: DataFrame) -> "Column":
     """Asymptotic two-sided p-value of tau-b with the tie-corrected
@@ -242,11 +154,14 @@ def kendall_pvalue(k: DataFrame) -> "Column":
     return F.when(F.col("coef").isNotNull(), erfc(F.abs(z) / 2 ** 0.5))
 
 
-def with_pvalues(df: DataFrame, x: str, y: str, method: str, group_cols=(), weight: str | None = None) -> DataFrame:
-    """Coefficient plus p-value: t test (Pearson, Spearman) or normal
+def with_pvalues_pairs(df: DataFrame, pairs: list[tuple[str, str]], method: str, group_cols=(), weight: str | None = None) -> DataFrame:
+    """Coefficients plus p-values: t test (Pearson, Spearman) or normal
     approximation with ties (Kendall)."""
     from riskspan.functions.distributions import corr_t_pvalue
-    g = list(group_cols)
-    r = correlate(df, x, y, method, g, weight)
+    r = correlate_pairs(df, pairs, method, group_cols, weight)
     p = kendall_pvalue(r) if method == "kendall" else corr_t_pvalue(F.col("coef"), F.col("n"))
-    return r.select(*g, "n", "coef", p.alias("p_value"))
+    return r.select(*group_cols, "pair", "n", "coef", p.alias("p_value"))
+
+
+def with_pvalues(df: DataFrame, x: str, y: str, method: str, group_cols=(), weight: str | None = None) -> DataFrame:
+    return with_pvalues_pairs(df, [(x, y)], method, group_cols, weight).drop("pair")

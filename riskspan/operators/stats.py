@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskspan.catalog import SCORE_BIN_EDGES
-from riskspan.operators.ranks import value_ranks
+from riskspan.operators.ranks import part_of, row_positions, value_ranks
 
 
 def _c(c) -> Column:
@@ -83,20 +83,38 @@ def quantile_rows(df: DataFrame, col, probs, group_cols=()) -> DataFrame:
 
 # A2 -------------------------------------------------------------------------
 def summary_metrics(df: DataFrame, value: str, threshold: float, days: str | None = None,
-                    extra_means: list[str] = (), prefix: str | None = None) -> DataFrame:
+                    extra_means: list[str] = (), prefix: str | None = None, probs: list[str] = (), prob_min: float = 0.5,
+                    changes: list[str] = ()) -> DataFrame:
     """One row: count, mean/std of ``value``, mean/std of rows at or above
-    ``threshold`` and their share (empty input -> nulls)."""
+    ``threshold`` and their share, means of ``extra_means``; for each of
+    ``probs`` the share of rows at or above ``prob_min``; means, then standard
+    deviations of ``changes`` (empty input -> nulls)."""
+    aggs = summary_aggregates(value, threshold, days, extra_means, prefix, probs, prob_min, changes)
+    return df.agg(*[a.alias(name) for name, a in aggs.items()])
+
+
+def summary_aggregates(value: str, threshold: float, days: str | None = None, extra_means: list[str] = (), prefix: str | None = None,
+                       probs: list[str] = (), prob_min: float = 0.5, changes: list[str] = ()) -> dict[str, Column]:
     p = prefix or value
-    v = F.col(value)
+    v, rows = F.col(value), F.count(F.lit(1))
     hi = v >= threshold
-    aggs = [F.count(F.lit(1)).alias("row_count")]
-    if days:
-        aggs.append(F.avg(days).alias("avg_time_to_exploit"))
-    aggs += [F.avg(v).alias(f"{p}_mean"), F.stddev_samp(v).alias(f"{p}_std"),
-             F.avg(F.when(hi, v)).alias(f"{p}_geq_mean"), F.stddev_samp(F.when(hi, v)).alias(f"{p}_geq_std"),
-             pct(F.count_if(hi), F.count(F.lit(1))).alias(f"{p}_geq_pct_of_total")]
-    aggs += [F.avg(c).alias(f"{c}_mean") for c in extra_means]
-    return df.agg(*aggs)
+    aggs = {"row_count": rows} | ({"avg_time_to_exploit": F.avg(days)} if days else {})
+    aggs |= {f"{p}_mean": F.avg(v), f"{p}_std": F.stddev_samp(v), f"{p}_geq_mean": F.avg(F.when(hi, v)),
+             f"{p}_geq_std": F.stddev_samp(F.when(hi, v)), f"{p}_geq_pct_of_total": pct(F.count_if(hi), rows)}
+    aggs |= {f"{c}_mean": F.avg(c) for c in extra_means}
+    aggs |= {f"{c}_geq_pct": pct(F.count_if(F.col(c) >= prob_min), rows) for c in probs}
+    return aggs | {f"{c}_mean": F.avg(c) for c in changes} | {f"{c}_std": F.stddev_samp(c) for c in changes}
+
+
+# Q17 / Q18 ------------------------------------------------------------------
+def one_pass_report(df: DataFrame, sections: dict[str, dict[str, Column]]) -> DataFrame:
+    """(section, metric, value) of many aggregates from one pass over the
+    rows: one wide aggregate, unpivoted."""
+    cells = [(section, metric, a) for section, aggs in sections.items() for metric, a in aggs.items()]
+    wide = df.agg(*[a.cast("double").alias(f"v{i}") for i, (_, _, a) in enumerate(cells)])
+    rows = [F.struct(F.lit(section).alias("section"), F.lit(metric).alias("metric"), F.col(f"v{i}").alias("value"))
+            for i, (section, metric, _) in enumerate(cells)]
+    return wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
 # A3 / A4 ----------------------------------------------------------------------
@@ -132,15 +150,18 @@ def threshold_funnel(df: DataFrame, score: str, score_min: float, probs: list[st
     """Of rows with score >= score_min: how many have each probability, how
     many reach prob_min, as % of those with the probability and of all
     non-null probabilities."""
+    return df.agg(*[a.alias(name) for name, a in funnel_aggregates(score, score_min, probs, prob_min).items()])
+
+
+def funnel_aggregates(score: str, score_min: float, probs: list[str], prob_min: float = 0.5) -> dict[str, Column]:
     valid = F.col(score) >= score_min
-    aggs = [F.count_if(valid).alias("valid"), pct(F.count_if(valid), F.count(score)).alias("valid_pct")]
+    aggs = {"valid": F.count_if(valid), "valid_pct": pct(F.count_if(valid), F.count(score))}
     for p in probs:
         has = valid & F.col(p).isNotNull()
         hit = has & (F.col(p) >= prob_min)
-        aggs += [F.count_if(has).alias(f"{p}_nonnull"), F.count_if(hit).alias(f"{p}_hits"),
-                 pct(F.count_if(hit), F.count_if(has)).alias(f"{p}_pct_valid"),
-                 pct(F.count_if(hit), F.count(p)).alias(f"{p}_pct_total")]
-    return df.agg(*aggs)
+        aggs |= {f"{p}_nonnull": F.count_if(has), f"{p}_hits": F.count_if(hit), f"{p}_pct_valid": pct(F.count_if(hit), F.count_if(has)),
+                 f"{p}_pct_total": pct(F.count_if(hit), F.count(p))}
+    return aggs
 
 
 # A6 / A7 --------------------------------------------------------------------
@@ -185,11 +206,7 @@ def null_profile(df: DataFrame) -> DataFrame:
     """Null count per column (NaN counts as null for floats)."""
     aggs = []
     for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
-        isnull = c.isNull()
-        if f.dataType.typeName() in ("double", "float"):
-            isnull = isnull | F.isnan(c)
-        aggs.append(F.count_if(isnull).alias(f.name))
+        aggs.append(F.count_if(_is_null(f)).alias(f.name))
     wide = df.agg(*aggs, F.count(F.lit(1)).alias("__rows"))
     rows = F.explode(F.array(*[F.struct(F.lit(f.name).alias("column"), F.col(f"`{f.name}`").alias("nulls"))
                                for f in df.schema.fields]))
@@ -197,6 +214,23 @@ def null_profile(df: DataFrame) -> DataFrame:
                                                           pct(F.col("r.nulls"), F.col("__rows")).alias("pct"))
 
 
+def _is_null(f) -> Column:
+    c = F.col(f"`{f.name}`")
+    return c.isNull() | F.isnan(c) if f.dataType.typeName() in ("double", "float") else c.isNull()
+
+
+def null_map(df: DataFrame, order_by: list[str], tiles: int = 100) -> DataFrame:
+    """(tile, column, rows, nulls): the rows in the order of ``order_by`` cut
+    into ``tiles`` runs of the same length (one more row in some), and the
+    nulls of each column in each."""
+    flags = [F.struct(F.lit(f.name).alias("column"), _is_null(f).alias("gone")) for f in df.schema.fields]
+    placed = row_positions(df.select(*[F.col(f"`{c}`") for c in order_by], F.array(*flags).alias("_flags")), order_by, "_at")
+    tile = F.floor(F.col("_at") * tiles / F.col("_at_total")).cast("int")
+    # counts by tile and column fold on the map side
+    return placed.select(tile.alias("tile"), F.explode("_flags").alias("f")).groupBy("tile", F.col("f.column").alias("column")) \
+        .agg(F.count(F.lit(1)).alias("rows"), F.count_if("f.gone").alias("nulls"))
+
+
 # A9 -------------------------------------------------------------------------
 def table_info(df: DataFrame) -> DataFrame:
     """Per column: type and non-null count, plus the row count."""
@@ -225,19 +259,22 @@ def binned_counts(df: DataFrame, col: str, edges=SCORE_BIN_EDGES) -> DataFrame:
 
 
 # P10 ------------------------------------------------------------------------
-def iqr_bounds(df: DataFrame, col: str, k: float = 1.5) -> tuple[Column, Column]:
-    """Tukey fences as scalar subqueries over one exact percentile aggregate."""
+def iqr_bounds(df: DataFrame, col: str, k: float = 1.5) -> Column:
+    """Tukey fences as one scalar subquery: struct(lo, hi)."""
     q = exact_quantiles(df, col, (0.25, 0.75), names=["q1", "q3"])
-    q1 = q.select("q1").scalar()
-    q3 = q.select("q3").scalar()
-    return q1 - k * (q3 - q1), q3 + k * (q3 - q1)
+    reach = k * (F.col("q3") - F.col("q1"))
+    return q.select(F.struct((F.col("q1") - reach).alias("lo"), (F.col("q3") + reach).alias("hi"))).scalar()
+
+
+def iqr_condition(df: DataFrame, col: str, k: float = 1.5) -> Column:
+    fences = iqr_bounds(df, col, k)
+    return F.col(col).between(fences["lo"], fences["hi"])
 
 
 def iqr_filter(df: DataFrame, col: str, k: float = 1.5) -> DataFrame:
     """Rows of ``col`` inside the fences (nulls removed as in the reference's
     comparison mask)."""
-    lo, hi = iqr_bounds(df, col, k)
-    return df.filter((F.col(col) >= lo) & (F.col(col) <= hi))
+    return df.filter(iqr_condition(df, col, k))
 
 
 # P11 / A21 ------------------------------------------------------------------
@@ -248,26 +285,51 @@ def cohort_membership(df: DataFrame, cohorts: dict, name: str = "cohort") -> Dat
 
 
 # A22 ------------------------------------------------------------------------
-def histogram_bins(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
-    """Equal-width bins between min and max (last bin closed): bin, lo, hi,
-    count."""
-    base = df.filter(F.col(col).isNotNull())
-    lo = base.agg(F.min(col).cast("double")).scalar()
-    hi = base.agg(F.max(col).cast("double")).scalar()
-    width = (hi - lo) / bins
-    idx = F.when(width > 0, F.least(F.floor((F.col(col) - lo) / width), F.lit(bins - 1))).otherwise(F.lit(0))
-    return (base.groupBy(idx.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("count"))
-                .withColumns({"lo": lo + F.col("bin") * width, "hi": lo + (F.col("bin") + 1) * width}))
+def _range(base: DataFrame, col: str) -> Column:
+    """struct(lo, hi) of a column as one scalar subquery."""
+    x = F.col(col).cast("double")
+    return base.agg(F.min(x).alias("lo"), F.max(x).alias("hi")).select(F.struct("lo", "hi")).scalar()
+
+
+def histogram_bins(df: DataFrame, col: str, bins: int = 10, edges: list[float] | None = None, discrete: bool = False,
+                   transform: str | None = None) -> DataFrame:
+    """bin, lo, hi, count of the non-null values, after ``transform``.
+
+    Equal-width bins between min and max by default; with ``edges`` (ascending)
+    the bins between them, values outside left out; ``discrete``: bins of
+    width one centred on the smallest value and its successors.  A bin holds
+    its lower end but not its upper, the last one both.  Bins without values
+    have no row.
+    """
+    from riskspan.functions.numeric import transform_numeric
+    x = transform_numeric(F.col(col), transform) if transform else F.col(col)
+    base = df.select(x.cast("double").alias("x")).filter(F.col("x").isNotNull() & ~F.isnan("x"))
+    if edges is not None:
+        if len(edges) < 2 or any(a >= b for a, b in zip(edges, edges[1:])):
+            raise ValueError("edges must ascend")
+        cuts = F.array(*[F.lit(float(e)) for e in edges])
+        inside = base.where(F.col("x").between(float(edges[0]), float(edges[-1]))).withColumn("cuts", cuts)
+        idx = F.least(part_of("x", "cuts") - 1, F.lit(len(edges) - 2))
+        counts = inside.groupBy(idx.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+        return counts.select("bin", "count", F.get(cuts, F.col("bin")).alias("lo"), F.get(cuts, F.col("bin") + 1).alias("hi"))
+    ends = _range(base, "x")
+    if discrete:
+        lo, width = ends["lo"] - 0.5, F.lit(1.0)
+        idx = F.floor(F.col("x") - lo)
+    else:
+        lo, width = ends["lo"], (ends["hi"] - ends["lo"]) / bins
+        idx = F.when(width > 0, F.least(F.floor((F.col("x") - lo) / width), F.lit(bins - 1))).otherwise(F.lit(0))
+    counts = base.groupBy(idx.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    return counts.withColumns({"lo": lo + F.col("bin") * width, "hi": lo + (F.col("bin") + 1) * width})
 
 
 def scatter_bins(df: DataFrame, x: str, y: str, bins: int = 10) -> DataFrame:
     base = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
     out = []
     for c in (x, y):
-        lo = base.agg(F.min(c).cast("double")).scalar()
-        hi = base.agg(F.max(c).cast("double")).scalar()
-        w = (hi - lo) / bins
-        out.append(F.when(w > 0, F.least(F.floor((F.col(c) - lo) / w), F.lit(bins - 1))).otherwise(F.lit(0)).cast("int"))
+        ends = _range(base, c)
+        w = (ends["hi"] - ends["lo"]) / bins
+        out.append(F.when(w > 0, F.least(F.floor((F.col(c) - ends["lo"]) / w), F.lit(bins - 1))).otherwise(F.lit(0)).cast("int"))
     return base.groupBy(out[0].alias("x_bin"), out[1].alias("y_bin")).agg(F.count(F.lit(1)).alias("count"))
 
 

@@ -112,6 +112,51 @@ select {_cve('l_orderkey')} as cve_id, l_shipdate as date_published,
 from lineitem where l_returnflag = 'A'""",
 }
 
+# CVE rows with what their full records hold besides scores: numbers of weakness
+# entries, products, solutions; texts follow from k and a place in the list
+FX["fx_cve_rec"] = f"""
+select c.*, k % 4 as n_cwe, k % 3 as n_aff, k % 3 as n_solutions,
+  case k % 4 when 0 then 'External' when 1 then 'internal' when 2 then 'upstream' end as discovery,
+  public_date - interval '10' day as reserved, concat('Issue in ', cve_id) as description
+from ({FX["fx_cve"]}) c"""
+
+# rows of the compiled dataset's numeric columns
+FX["fx_scored"] = """
+select *, (epss_30 - epss_0) / nullif(epss_0, 0) * 100.0 as change_0_to_30, (epss_60 - epss_30) / nullif(epss_30, 0) * 100.0 as change_30_to_60,
+  (epss_60 - epss_0) / nullif(epss_0, 0) * 100.0 as change_0_to_60
+from (select l_orderkey, l_linenumber, case when l_orderkey % 9 = 0 then null else round(l_quantity / 5, 1) end as cvss,
+    case when l_orderkey % 8 = 0 then null else round(l_discount * 9, 3) end as epss_0,
+    case when l_orderkey % 7 = 0 then null else round(l_discount * 8 + l_tax, 3) end as epss_30,
+    case when l_orderkey % 5 = 0 then null else round(l_discount * 7 + l_tax * 2, 3) end as epss_60,
+    cast(l_linenumber * 40 - 100 as double) as days_to_poc_exploit, cast(l_partkey % 30 + 1 as bigint) as exploit_count from lineitem) r"""
+
+# rows shaped like the synthetic vulnerability table of the cohort analysis
+FX["fx_synth"] = """
+select l_orderkey, l_linenumber,
+  case when l_orderkey % 9 = 0 then null else round(l_quantity / 5, 1) end as cvss_score,
+  cast(l_partkey % 21 as double) / 2 as exploitability_score,
+  case when l_orderkey % 8 = 0 then null else round(l_discount * 9, 3) end as epss_on_exploit_date,
+  cast(l_suppkey % 13 + l_linenumber as double) as known_exploit_attempts,
+  case when l_partkey % 31 = 0 then null else round(l_tax * 10 + l_discount, 2) end as exploit_success_rate,
+  cast((l_partkey + l_orderkey) % 200 - 40 as double) as time_to_patch,
+  case l_returnflag when 'R' then 'High' when 'A' then 'Medium' else 'Low' end as patch_urgency,
+  case l_linestatus when 'O' then 'Patch Available' else 'No Patch' end as patch_availability,
+  cast(l_suppkey % 2 as double) as relevant_to_scada,
+  cast(l_partkey % 11 as double) as operational_impact_score,
+  case when l_suppkey % 6 = 5 then null else cast(l_suppkey % 6 as double) end as device_criticality,
+  cast(l_orderkey % 90 as double) as days_to_publish,
+  case l_orderkey % 5 when 0 then 'Yes' when 1 then 'unknown' else 'No' end as regulatory_mandate,
+  case l_partkey % 3 when 0 then 'Yes' else 'No' end as patch_deployment_success,
+  case l_partkey % 7 when 0 then 'Yes' else 'No' end as nation_state_involvement,
+  case l_suppkey % 4 when 0 then 'Yes' else 'No' end as insider_access_required,
+  case (l_suppkey + l_linenumber) % 3 when 0 then 'Yes' else 'No' end as supply_chain_vulnerability,
+  cast((l_linenumber + l_orderkey) % 4 as double) as risk_level,
+  case when l_quantity >= 46 and l_linenumber = 1 then 1 else 0 end as high_risk,
+  cast(l_suppkey % 3 as double) as threat_actor_attribution,
+  round(l_quantity / 8 + l_discount * 10 + cast(l_partkey % 7 as double) / 4, 1) as securegrid_score,
+  cast(l_linenumber * 40 - 100 as double) as days_to_exploit_code
+from lineitem"""
+
 FX["fx_desc"] = """
 select doc_id, case doc_id % 9
     when 0 then concat('Siemens PLC firmware issue. ', text)

@@ -6,12 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskspan.catalog import (COMPILED_COLUMNS, CVE_CATEGORY_MAP, CVSS_COMPILE_MAP,
+from riskspan.catalog import (COMPILED_COLUMNS, CVE_CATEGORY_MAP, CVE_SUBTABLES, CVSS_COMPILE_MAP,
                               KEV_RENAMES, NVD_VERSION_LABELS)
 from riskspan.functions import clean as C
 from riskspan.functions import cvss as V
 from riskspan.functions.dates import add_days, days_between, earliest_date
 from riskspan.operators.joins import left_join_indicator
+from riskspan.sources import files as FS
+from riskspan.sources import nested as N
 
 CVE_TYPES = {
     "string": ["cve_id", "cve_desc", "solution", "cvss_v2_vector", "cvss_v3_vector", "cvss_v4_vector"],
@@ -22,9 +24,7 @@ CVE_TYPES = {
 
 CVE_FIRST_ITEM = ["cve_id", "cve_desc", "cve_state", "cve_discovery",
                   "ssvc_exploitation", "ssvc_automatable", "ssvc_tech_impact"]
-CVE_SUBTABLE_COLS = ["cwe_id", "cwe_desc", "vendor", "product", "prod_status",
-                     "prod_defaultStatus", "prod_version", "prod_version_type",
-                     "prod_lessThan", "prod_lessThanOrEqual", "cpe"]
+CVE_SUBTABLE_COLS = [c for cols in CVE_SUBTABLES.values() for c in cols]
 
 
 def _is_array(df: DataFrame, c: str) -> bool:
@@ -37,12 +37,9 @@ def _public_date(df: DataFrame, cols: list[str]):
 
 
 # Q2 -------------------------------------------------------------------------
-def cve_clean(df: DataFrame, key_for_report: str | None = None) -> DataFrame:
-    """CVE records (extracted fields) -> one cleaned row per published CVE.
-
-    Works on list-wrapped extractions and on already-flat rows: list steps
-    run only for list columns.  Metric columns always exist (fixed schema).
-    """
+def _published(df: DataFrame, key_for_report: str | None = None) -> DataFrame:
+    """Published records with single values where lists hold one item at most;
+    the lists of the subtables stay, CWE descriptions are the English texts."""
     for s, v in (("cvss_v3_1", "cvss_v3_1_vector"), ("cvss_v4", "cvss_v4_vector")):
         if _is_array(df, s) and _is_array(df, v):
             df = df.withColumn("_top", V.max_pair(s, v)) \
@@ -55,6 +52,11 @@ def cve_clean(df: DataFrame, key_for_report: str | None = None) -> DataFrame:
     df = df.filter(F.col("cve_state") == "PUBLISHED")
     if "cwe_desc" in df.columns:
         df = df.withColumn("cwe_desc", C.english_desc("cwe_desc"))
+    return df
+
+
+def _cleaned(df: DataFrame) -> DataFrame:
+    """One cleaned row per published record, without the subtables' lists."""
     if "cvss_v3_1" in df.columns:
         df = df.withColumn("cvss_v3", V.coalesce_priority("cvss_v3_1", "cvss_v3"))
     if "cvss_v3_1_vector" in df.columns:
@@ -77,6 +79,37 @@ def cve_clean(df: DataFrame, key_for_report: str | None = None) -> DataFrame:
     return C.convert_types(df, CVE_TYPES)
 
 
+def cve_clean(df: DataFrame, key_for_report: str | None = None) -> DataFrame:
+    """CVE records (extracted fields) -> one cleaned row per published CVE.
+
+    Works on list-wrapped extractions and on already-flat rows: list steps
+    run only for list columns.  Metric columns always exist (fixed schema).
+    """
+    return _cleaned(_published(df, key_for_report))
+
+
+def cve_tables(df: DataFrame, key_for_report: str | None = None) -> dict[str, DataFrame]:
+    """The cleaned table ``cve`` and its subtables (F13): one row per
+    published record with its lists, under the same validated id."""
+    records = _published(df, key_for_report)
+    tables = {"cve": _cleaned(records)}
+    for name, cols in CVE_SUBTABLES.items():
+        present = [c for c in cols if c in records.columns]
+        tables[name] = records.select(C.validate_id("cve_id").alias("cve_id"), *present)
+    return tables
+
+
+def cve_record_tables(documents: DataFrame, folder: str, json_col: str = "doc") -> dict[str, DataFrame]:
+    """Documents -> the tables of ``cve_tables``, saved under ``folder``.
+
+    Every document is parsed once: the extracted fields are a table of their
+    own, from which the others are made.  A subtable's id that the parent
+    table lacks is an error.
+    """
+    extracted = FS.save_tables({"extracted": N.extract_cve_fields(documents, json_col)}, folder)["extracted"]
+    return FS.save_tables(cve_tables(extracted), folder, parent="cve", key="cve_id")
+
+
 def cve_scores(df: DataFrame) -> DataFrame:
     """What the compile job needs of the CVE records, by the rules of
     ``cve_clean``: cve_id, public_date, cvss, cvss_src of published records,

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from riskspan.catalog import CVE_FIELD_PATHS, CVE_SUBTABLES
 from riskspan.functions import clean as C
 from riskspan.functions.numeric import impute_scores
 from riskspan.plans.fixtures import cte, cve_id_sql, fx, register_tables, table
-from riskspan.plans.q_core import CVES_SQL, EPSS_SQL, ID_RE, epss_table
+from riskspan.plans.q_core import EPSS_SQL, ID_RE, epss_table
+from riskspan.plans.q_cvss import cve_clean_sql
 from riskspan.plans.registry import query
 from riskspan.session import scratch_dir
 from riskspan.sources import cwe as W
@@ -50,10 +52,10 @@ def q_file_audit(spark, sf):
     return N.file_audit(spark, sf)
 
 
-def _scan_records(spark, sf):
+def _scan_records(spark, sf, view="fx_cve"):
     """Good and rejected documents of a written folder of records, some of
     them broken."""
-    docs = N.cve_documents(fx(spark, sf, "fx_cve")).select("doc")
+    docs = N.cve_documents(fx(spark, sf, view)).select("doc")
     bad = table(spark, sf, "orders").filter(F.col("o_orderkey") % 997 == 0).select(
         F.concat(F.lit("{broken "), F.col("o_orderkey").cast("string")).alias("doc"))
     path = scratch_dir(spark, "cvejson")
@@ -76,14 +78,95 @@ def q_json_doc_rejects(spark, sf):
     return _scan_records(spark, sf)[1].groupBy("reason").agg(F.count(F.lit(1)).alias("documents"))
 
 
-# Q1 + Q2: scan, extract, clean, save
-@query("cve_pipeline", cte("fx_cve") + ", " + CVES_SQL + " select * from cves")
+def _record_tables(spark, sf):
+    """Q1 + Q2: scan, extract, clean, save: the CVE table and its subtables."""
+    from riskspan.plans.jobs import cve_record_tables
+    good, _ = _scan_records(spark, sf, "fx_cve_rec")
+    return cve_record_tables(good, scratch_dir(spark, "cves"))
+
+
+# Q1 + Q2, all columns
+@query("cve_pipeline", cve_clean_sql("fx_cve_rec", {
+    "cve_desc": "description", "mitre_cve_res_date": "cast(reserved as timestamp)",
+    "solution": "case when n_solutions > 0 then list_aggregate(list_transform(range(1, n_solutions + 1), lambda i: concat('Update to release ', i)), 'string_agg', ' ') end",
+    "cve_discovery": "case discovery when 'External' then 'EXTERNAL' when 'internal' then 'INTERNAL' else discovery end",
+    "ssvc_exploitation": "case when k % 5 = 0 then 'POC' end", "ssvc_automatable": "case when k % 5 = 0 then 'YES' end",
+    "ssvc_tech_impact": "case when k % 5 = 0 then 'PARTIAL' end"}, kev="k % 25 = 0"))
 def q_cve_pipeline(spark, sf):
-    from riskspan.plans.jobs import cve_clean
-    good, _ = _scan_records(spark, sf)
-    path = scratch_dir(spark, "cves")
-    FS.save_table(cve_clean(N.extract_cve_fields(good, "doc")), path)
-    return spark.read.parquet(path).select("cve_id", "public_date", "cvss", "cvss_src").distinct()
+    return _record_tables(spark, sf)["cve"]
+
+
+RELEASED = "list_filter(range(1, n_aff + 1), lambda i: (k + i) % 3 <> 0)"
+CVE_LISTS = {
+    "cwe_id": "list_transform(list_filter(range(1, n_cwe + 1), lambda i: (k + i) % 5 <> 0), lambda i: concat('CWE-', (k * 7 + i) % 900)) "
+              "|| case when k % 6 = 0 then ['CWE-20'] else [] end",
+    "vendor": "list_transform(range(1, n_aff + 1), lambda i: concat('vendor ', k % 50 + i))",
+    "product": "list_transform(range(1, n_aff + 1), lambda i: concat('product ', k, '.', i))",
+    "prod_status": f"flatten(list_transform({RELEASED}, lambda i: [case when k % 2 = 1 then 'affected' else 'unaffected' end, "
+                   "case when k % 2 = 0 then 'affected' else 'unaffected' end]))",
+    "prod_defaultStatus": "list_transform(range(1, n_aff + 1), lambda i: case when (k + i) % 2 = 0 then 'affected' else 'unknown' end)",
+    "prod_version": f"flatten(list_transform({RELEASED}, lambda i: [concat(i, '.1'), concat(i, '.2')]))",
+    "prod_version_type": "case when k % 4 = 0 then ['semver'] else [] end",
+    "prod_lessThan": "case when k % 4 = 0 then [concat('2.', k % 9)] else [] end",
+    "prod_lessThanOrEqual": "case when k % 8 = 0 then [concat('3.', k % 9)] else [] end",
+    "cpe": "case when k % 4 = 0 then list_transform(range(1, k % 3 + 1), lambda i: concat('cpe:2.3:a:vendor', k % 50, ':p', i)) else [] end",
+}
+ENGLISH = "list_filter(range(1, n_cwe + 1), lambda i: (k + i) % 4 <> 2)"
+WEAKNESS = "list_transform({}, lambda i: concat('Weakness ', i, ' of ', k))"
+SOLUTIONS = "list_transform(range(1, n_solutions + 1), lambda i: concat('Update to release ', i))"
+PUBLISHED = f"(select *, upper(nullif(regexp_extract(cve_id_raw, '{ID_RE}', 0), '')) as id from fx_cve_rec where cve_state = 'PUBLISHED')"
+
+
+def or_null(items: str) -> str:
+    return f"(case when len({items}) > 0 then {items} else [null] end)"
+
+
+# Weaknesses of each record, one row for each place in the lists
+@query("cve_cwe_connection", cte("fx_cve_rec") + f"""
+select id as cve_id, unnest({or_null(CVE_LISTS['cwe_id'])}) as cwe_id, unnest({WEAKNESS.format(ENGLISH)}) as cwe_desc,
+  'cve-cwe connection' as source_table from {PUBLISHED}""")
+def q_cve_cwe_connection(spark, sf):
+    sub = _record_tables(spark, sf)["cve_cwe_connection"]
+    return C.subtable_explode(sub, "cve_id", CVE_SUBTABLES["cve_cwe_connection"], "cve-cwe connection")
+
+
+# Products of each record
+@query("cve_product_table", cte("fx_cve_rec") + "select id as cve_id, " + ", ".join(
+    f'unnest({or_null(CVE_LISTS[c])}) as "{c}"' for c in CVE_SUBTABLES["cve_product"]) + f", 'cve product table' as source_table from {PUBLISHED}")
+def q_cve_product_table(spark, sf):
+    sub = _record_tables(spark, sf)["cve_product"]
+    return C.subtable_explode(sub, "cve_id", CVE_SUBTABLES["cve_product"], "cve product table")
+
+
+CVE_FIELDS_SQL = {c: f"array_to_string({items}, '|')" for c, items in (CVE_LISTS | {
+    "cwe_desc": WEAKNESS.format("range(1, n_cwe + 1)"), "solution": SOLUTIONS}).items()} | {
+    "cve_id": "cve_id_raw", "cve_desc": "description", "cve_state": "cve_state", "mitre_cve_res_date": "strftime(reserved, '%Y-%m-%dT%H:%M:%S')",
+    "mitre_cve_publish_date": "strftime(publish_date, '%Y-%m-%dT%H:%M:%S')", "mitre_cve_public_date": "strftime(public_date, '%Y-%m-%dT%H:%M:%S')",
+    "cve_discovery": "discovery", "cvss_v2": "cast(cvss_v2 as varchar)", "cvss_v2_vector": "cvss_v2_vector", "cvss_v3": "null",
+    "cvss_v3_vector": "null", "cvss_v3_1": "cast(cvss_v3 as varchar)", "cvss_v3_1_vector": "cvss_v3_vector", "cvss_v4": "cast(cvss_v4 as varchar)",
+    "cvss_v4_vector": "cvss_v4_vector", "ssvc_exploitation": "case when k % 5 = 0 then 'PoC' end",
+    "ssvc_automatable": "case when k % 5 = 0 then 'yes' end", "ssvc_tech_impact": "case when k % 5 = 0 then 'Partial' end",
+    "is_kev": "concat_ws('|', case when k % 5 = 0 then 'ssvc' end, case when k % 25 = 0 then 'kev' end)"}
+
+
+# All fields of the catalogue, the items of each joined
+@query("cve_field_extract", cte("fx_cve_rec") + "select " + ", ".join(
+    f'coalesce({CVE_FIELDS_SQL[c]}, \'\') as "{c}"' for c in CVE_FIELD_PATHS) + " from fx_cve_rec")
+def q_cve_field_extract(spark, sf):
+    df = N.extract_cve_fields(N.cve_documents(fx(spark, sf, "fx_cve_rec")), "doc")
+    texts = df.withColumn("cwe_desc", F.transform("cwe_desc", lambda x: x["description"]))
+    return texts.select(*[F.array_join(F.col(f"`{c}`").cast("array<string>"), "|").alias(c) for c in CVE_FIELD_PATHS])
+
+
+# S4 on full records: a key at any depth, an alternative, a list that is opened
+@query("cve_deep_search", cte("fx_cve_rec") + f"""
+select k, coalesce(array_to_string({CVE_LISTS['cwe_id']}, '|'), '') as cwe, coalesce(array_to_string({CVE_LISTS['prod_status']}, '|'), '') as status,
+  coalesce(array_to_string({CVE_LISTS['cpe']}, '|'), '') as cpe from fx_cve_rec""")
+def q_cve_deep_search(spark, sf):
+    found = {"cwe": ["containers.cweId"], "status": ["containers.nothing", "affected.versions.status"], "cpe": ["adp.cpes"]}
+    # the test tables are single row groups: deal the documents out for the search
+    docs = N.cve_documents(fx(spark, sf, "fx_cve_rec")).repartition(spark.sparkContext.defaultParallelism)
+    return docs.select("k", *[F.array_join(N.deep_search("doc", paths), "|").alias(c) for c, paths in found.items()])
 
 
 # S10 (rows-only)

@@ -69,18 +69,13 @@ def q_json_path_extract(spark, sf):
     return table(spark, sf, "events").select("event_id", F.get_json_object("props", "$.k").cast("long").alias("k"))
 
 
-# S4 (any-depth search, rows-only)
-@query("json_deep_search")
+# S4 (any depth): all roles below the first path; the texts by the second alternative
+@query("json_deep_search", cte("fx_cwe") + """
+select conv_id, array_to_string(roles, '|') as roles, array_to_string(texts, '|') as texts, '' as nothing from fx_cwe""")
 def q_json_deep_search(spark, sf):
-    docs = N.conversation_documents(fx(spark, sf, "fx_cwe"))
-    return docs.select("conv_id", N.deep_search_col("doc", ["meta.role", "thread.text"]).alias("hits"))
-
-
-# S5 (rows-only)
-@query("cve_field_extract")
-def q_cve_field_extract(spark, sf):
-    docs = N.cve_documents(fx(spark, sf, "fx_cve"))
-    return N.extract_cve_fields(docs, "doc")
+    docs = N.conversation_documents(fx(spark, sf, "fx_cwe")).repartition(spark.sparkContext.defaultParallelism)
+    found = {"roles": ["meta.role", "thread.text"], "texts": ["role.turns", "thread.text"], "nothing": ["text.meta"]}
+    return docs.select("conv_id", *[F.array_join(N.deep_search("doc", paths), "|").alias(c) for c, paths in found.items()])
 
 
 # S8 / S9
@@ -93,6 +88,37 @@ def q_poc_file_summary(spark, sf):
     return N.poc_file_summary(listings, "listing").select("cve_id", "exploit_count", "earliest_date")
 
 
+# user's listings; the id is in the name, for every third user in the topics of even ones
+POC_NAME = f"case when user_id % 3 = 0 then concat('exploit ', cast(user_id as varchar(10))) else concat('poc for ', {USER_CVE}, ' (', event_type, ')') end"
+POC_BACKUP = f"case when user_id % 2 = 0 then lower({USER_CVE}) end"
+
+
+# Q8: fields found by search, one row per listing
+@query("poc_extract", f"""
+with e as (select *, strftime(ts, '%Y-%m-%dT%H:%M:%S') as created, strftime(ts + interval 1 day, '%Y-%m-%dT%H:%M:%S') as pushed,
+    {POC_NAME} as name, {POC_BACKUP} as backup from events),
+o as (select *, row_number() over (partition by user_id, date_trunc('hour', ts) order by name, created, pushed, event_id % 7, event_id % 2 desc, event_type) as nth from e)
+select count(*) as exploit_count, min(created) as earliest_date, min(name) as cve_id, min(case when nth = 1 then created end) as poc_creation,
+  min(case when nth = 1 then pushed end) as poc_uploaded, min(case when nth = 1 then event_id % 7 end) as poc_forks,
+  min(case when nth = 1 then case event_id % 2 when 0 then 'public' else 'private' end end) as poc_visibility,
+  string_agg(concat_ws(',', event_type, backup), ',' order by nth) as poc_topics
+from o group by user_id, date_trunc('hour', ts)""")
+def q_poc_extract(spark, sf):
+    listings = N.poc_listings(table(spark, sf, "events"), F.expr(POC_NAME), F.expr(POC_BACKUP))
+    out = N.poc_extract(listings, "listing")
+    return out.withColumns({"poc_topics": F.array_join("poc_topics", ","), "poc_forks": F.col("poc_forks").try_cast("long")})
+
+
+# Q8 + Q9: listings to cleaned rows, ids from names or topics
+@query("poc_pipeline", f"""
+select distinct {USER_CVE} as cve_id, count(*) as exploit_count, min(cast(date_trunc('second', ts) as timestamp)) as earliest_date
+from events where user_id % 3 <> 0 or user_id % 2 = 0 group by user_id, date_trunc('hour', ts)""")
+def q_poc_pipeline(spark, sf):
+    from riskspan.plans.jobs import poc_clean
+    listings = N.poc_listings(table(spark, sf, "events"), F.expr(POC_NAME), F.expr(POC_BACKUP))
+    return poc_clean(N.poc_extract(listings, "listing"))
+
+
 # S11
 @query("platform_unpivot", """
 select p_partkey as cwe_id, 'Language' as type, p_brand as name, 'Often' as class, p_type as prevalence from part

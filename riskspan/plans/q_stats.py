@@ -6,9 +6,12 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
+from riskspan.catalog import SCORE_BIN_EDGES
 from riskspan.operators import correlation as R
 from riskspan.operators import stats as S
+from riskspan.operators.cohorts import cohort_matrix
 from riskspan.plans.fixtures import cte, fx, table
+from riskspan.plans.q_core import ID_RE
 from riskspan.plans.registry import query
 
 PAIRS = [("cvss", "epss_0"), ("cvss", "days_to_exploit"), ("epss_0", "days_to_exploit")]
@@ -18,12 +21,9 @@ def r6(c):
     return F.round(c, 6)
 
 
-def _pairs_union(spark, sf, fn, group_cols=()):
-    df = fx(spark, sf, "fx_risk")
-    parts = [fn(df, x, y, group_cols).select(*group_cols, F.lit(f"{x}~{y}").alias("pair"), F.col("n").cast("long").alias("n"),
-                                              r6(F.col("coef")).alias("coef"))
-             for x, y in PAIRS]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+def _named_pairs(df, *more):
+    names = F.element_at(F.array(*[F.lit(f"{x}~{y}") for x, y in PAIRS]), F.col("pair") + 1)
+    return df.select(names.alias("pair"), F.col("n").cast("long").alias("n"), *(more or [r6(F.col("coef")).alias("coef")]))
 
 
 def _pair_sql(body: str) -> str:
@@ -63,19 +63,19 @@ from (
 # A14
 @query("pearson", PEARSON_SQL)
 def q_pearson(spark, sf):
-    return _pairs_union(spark, sf, R.pearson)
+    return _named_pairs(R.pearson_pairs(fx(spark, sf, "fx_risk"), PAIRS))
 
 
 # A12
 @query("spearman", SPEARMAN_SQL)
 def q_spearman(spark, sf):
-    return _pairs_union(spark, sf, R.spearman)
+    return _named_pairs(R.spearman_pairs(fx(spark, sf, "fx_risk"), PAIRS))
 
 
 # A13
 @query("kendall", KENDALL_SQL)
 def q_kendall(spark, sf):
-    return _pairs_union(spark, sf, R.kendall)
+    return _named_pairs(R.kendall_pairs(fx(spark, sf, "fx_risk"), PAIRS))
 
 
 # A16
@@ -240,6 +240,30 @@ def q_iqr_filter(spark, sf):
     return S.iqr_filter(fx(spark, sf, "fx_risk"), "cvss").select("l_orderkey", "l_linenumber", "cvss")
 
 
+# What the jobs remove and reject, counted in their own scans
+@query("removed_counts", cte("fx_cve", "fx_risk", "fx_dirty") + f"""
+, q as (select quantile_cont(cvss, 0.25) as q1, quantile_cont(cvss, 0.75) as q3 from fx_risk),
+v as (select count(*) as rows, count(nullif(regexp_extract(cve_id_raw, '{ID_RE}', 0), '')) as kept from fx_cve),
+i as (select count(*) as rows, count(*) filter (where cvss >= q1 - 1.5 * (q3 - q1) and cvss <= q3 + 1.5 * (q3 - q1)) as kept from fx_risk, q)
+select 'valid id' as step, 'rows' as what, rows as n from v union all select 'valid id', 'kept', kept from v union all select 'valid id', 'removed', rows - kept from v
+union all select 'inside fences', 'rows', rows from i union all select 'inside fences', 'kept', kept from i union all select 'inside fences', 'removed', rows - kept from i
+union all select 'types', 'num_text', count(*) filter (where num_text is not null and try_cast(num_text as bigint) is null) from fx_dirty
+union all select 'types', 'score', 0""")
+def q_removed_counts(spark, sf):
+    from riskspan.functions.clean import validate_id
+    from riskspan.operators import audit as A
+    from riskspan.session import scratch_dir
+    risk = fx(spark, sf, "fx_risk")
+    jobs = {"valid id": A.counted_filter(fx(spark, sf, "fx_cve").withColumn("cve_id", validate_id("cve_id_raw")), F.col("cve_id").isNotNull()),
+            "inside fences": A.counted_filter(risk, S.iqr_condition(risk, "cvss")),
+            "types": A.counted_convert(fx(spark, sf, "fx_dirty"), {"integer": ["num_text"], "float": ["score"]})}
+    rows = []
+    for step, (df, seen) in jobs.items():
+        df.write.parquet(scratch_dir(spark, "counted"))
+        rows += A.counts(seen, step)
+    return spark.createDataFrame(rows, "step string, what string, n long")
+
+
 COHORTS_SQL = [
     ("full_dataset", "true"), ("cvss>=7", "cvss >= 7.0"), ("epss_0>=0.5", "epss_0 >= 0.5"),
     ("days<0", "days_to_exploit < 0"), ("days>=0", "days_to_exploit >= 0"),
@@ -279,16 +303,12 @@ from fx_risk where {c}""")
 # A21
 @query("cohort_summary", _cohort_sql())
 def q_cohort_summary(spark, sf):
-    base = S.cohort_membership(fx(spark, sf, "fx_risk"), _cohorts())
-    counts = base.groupBy("cohort").agg(
-        F.count(F.lit(1)).alias("cnt"), F.count_if(F.col("cvss") >= 7).alias("cnt_cvss_geq_7"),
-        r6(S.pct(F.count_if(F.col("cvss") >= 7), F.count(F.lit(1)))).alias("pct_cvss_geq_7"),
-        r6(F.avg("cvss")).alias("avg_cvss"), r6(F.avg("epss_0")).alias("avg_epss_0"),
-        r6(F.avg("days_to_exploit")).alias("avg_days"))
-    corr_rows = base.dropna(subset=["cvss", "epss_0", "days_to_exploit"])
-    p = R.pearson(corr_rows, "cvss", "epss_0", ["cohort"]).select("cohort", r6(F.col("coef")).alias("pearson_cvss_epss"))
-    s = R.spearman(corr_rows, "cvss", "days_to_exploit", ["cohort"]).select("cohort", r6(F.col("coef")).alias("spearman_cvss_days"))
-    return counts.join(p, "cohort", "left").join(s, "cohort", "left")
+    columns = {c: F.col(c) for c in ("cvss", "epss_0", "days_to_exploit")}
+    out = cohort_matrix(fx(spark, sf, "fx_risk"), _cohorts(), {"cvss_geq_7": F.col("cvss") >= 7}, columns,
+                        columns, [("cvss", "epss_0"), ("cvss", "days_to_exploit")], ("pearson", "spearman"))
+    return out.select("cohort", "cnt", "cnt_cvss_geq_7", *[r6(F.col(c)).alias(a) for c, a in (
+        ("pct_cvss_geq_7", "pct_cvss_geq_7"), ("avg_cvss", "avg_cvss"), ("avg_epss_0", "avg_epss_0"), ("avg_days_to_exploit", "avg_days"),
+        ("pearson_cvss_vs_epss_0", "pearson_cvss_epss"), ("spearman_cvss_vs_days_to_exploit", "spearman_cvss_days"))])
 
 
 # A22
@@ -303,6 +323,93 @@ def q_histogram_bins(spark, sf):
     return df.select("bin", "count", r6(F.col("lo")).alias("lo"), r6(F.col("hi")).alias("hi"))
 
 
+EDGES = [0, 2, 3.5, 7, 9, 10]
+
+
+# Explicit edges
+@query("histogram_edges", cte("fx_risk") + f""", e as (select {EDGES} as edges),
+b as (select least(len(list_filter(edges, lambda x: x <= cvss)), {len(EDGES) - 1}) - 1 as bin, cvss from fx_risk, e
+      where cvss >= {EDGES[0]} and cvss <= {EDGES[-1]})
+select cast(bin as int) as bin, count(*) as count, cast(min(edges[bin + 1]) as double) as lo, cast(min(edges[bin + 2]) as double) as hi from b, e group by bin""")
+def q_histogram_edges(spark, sf):
+    return S.histogram_bins(fx(spark, sf, "fx_risk"), "cvss", edges=EDGES)
+
+
+# Discrete values
+@query("histogram_discrete", cte("fx_risk") + """, m as (select min(cvss) - 0.5 as lo from fx_risk)
+select cast(floor(cvss - lo) as int) as bin, count(*) as count, round(min(lo) + floor(min(cvss - lo)), 6) as lo,
+  round(min(lo) + floor(min(cvss - lo)) + 1, 6) as hi from fx_risk, m where cvss is not null group by 1""")
+def q_histogram_discrete(spark, sf):
+    df = S.histogram_bins(fx(spark, sf, "fx_risk"), "cvss", discrete=True)
+    return df.select("bin", "count", r6(F.col("lo")).alias("lo"), r6(F.col("hi")).alias("hi"))
+
+
+# Transformed values
+@query("histogram_transformed", cte("fx_risk") + """
+, t as (select sqrt(case when days_to_exploit < 0 then 0 else days_to_exploit end) as x from fx_risk),
+m as (select min(x) as lo, (max(x) - min(x)) / 8 as width from t), b as (select least(floor((x - lo) / width), 7) as bin, lo, width from t, m)
+select cast(bin as int) as bin, count(*) as count, round(min(lo) + bin * min(width), 6) as lo, round(min(lo) + (bin + 1) * min(width), 6) as hi
+from b group by bin""")
+def q_histogram_transformed(spark, sf):
+    df = S.histogram_bins(fx(spark, sf, "fx_risk"), "days_to_exploit", 8, transform="sqrt")
+    return df.select("bin", "count", r6(F.col("lo")).alias("lo"), r6(F.col("hi")).alias("hi"))
+
+
+SCORED = ["cvss", "epss_0", "epss_30", "epss_60", "change_0_to_30"]
+
+
+# Null map
+@query("null_map", cte("fx_scored") + """, p as (
+  select *, cast(floor((row_number() over (order by l_orderkey, l_linenumber, cvss, epss_0, epss_30, epss_60, exploit_count) - 1) * 40 / count(*) over ()) as int) as tile from fx_scored)
+""" + "\nunion all\n".join(f"""select tile, '{c}' as "column", count(*) as rows, count(*) filter (where {c} is null) as nulls from p group by tile""" for c in SCORED))
+def q_null_map(spark, sf):
+    key = ["l_orderkey", "l_linenumber", "cvss", "epss_0", "epss_30", "epss_60", "exploit_count"]
+    out = S.null_map(fx(spark, sf, "fx_scored").select(*key, "change_0_to_30"), key, 40)
+    return out.where(F.col("column").isin(SCORED))
+
+
+PROBS = ["epss_0", "epss_30", "epss_60"]
+CHANGES = ["change_0_to_30", "change_30_to_60", "change_0_to_60"]
+NUMBERS = ["cvss", *PROBS, "days_to_poc_exploit", "exploit_count"]
+
+
+def _report_sql() -> str:
+    rows = [("summary", "row_count", "count(*)"), ("summary", "avg_time_to_exploit", "avg(days_to_poc_exploit)"),
+            ("summary", "cvss_mean", "avg(cvss)"), ("summary", "cvss_std", "stddev_samp(cvss)"),
+            ("summary", "cvss_geq_mean", "avg(cvss) filter (where cvss >= 7)"), ("summary", "cvss_geq_std", "stddev_samp(cvss) filter (where cvss >= 7)"),
+            ("summary", "cvss_geq_pct_of_total", "count(*) filter (where cvss >= 7) * 100.0 / count(*)")]
+    rows += [("summary", f"{c}_mean", f"avg({c})") for c in PROBS + CHANGES]
+    rows += [("summary", f"{c}_geq_pct", f"count(*) filter (where {c} >= 0.5) * 100.0 / count(*)") for c in PROBS]
+    rows += [("summary", f"{c}_std", f"stddev_samp({c})") for c in CHANGES]
+    rows += [("funnel", "valid", "count(*) filter (where cvss >= 7)"), ("funnel", "valid_pct", "count(*) filter (where cvss >= 7) * 100.0 / count(cvss)")]
+    for c in PROBS:
+        has, hit = f"count(*) filter (where cvss >= 7 and {c} is not null)", f"count(*) filter (where cvss >= 7 and {c} >= 0.5)"
+        rows += [("funnel", f"{c}_nonnull", has), ("funnel", f"{c}_hits", hit), ("funnel", f"{c}_pct_valid", f"{hit} * 100.0 / {has}"),
+                 ("funnel", f"{c}_pct_total", f"{hit} * 100.0 / count({c})")]
+    rows += [("nulls", c, f"count(*) filter (where {c} is null)") for c in NUMBERS + CHANGES]
+    for c in NUMBERS:
+        rows += [("describe", f"{c}_{n}", f"{f}({c})") for n, f in (("count", "count"), ("mean", "avg"), ("std", "stddev_samp"), ("min", "min"), ("max", "max"))]
+    rows += [("bins", f"cvss_({lo}, {hi}]", f"count(*) filter (where cvss > {lo} and cvss <= {hi})") for lo, hi in zip(SCORE_BIN_EDGES, SCORE_BIN_EDGES[1:])]
+    return cte("fx_scored") + ", w as (select " + ", ".join(f"{e} as v{i}" for i, (_, _, e) in enumerate(rows)) + " from fx_scored)" + "\nunion all\n".join(
+        f"select '{a}' as section, '{b}' as metric, round(cast(v{i} as double), 6) as value from w" for i, (a, b, _) in enumerate(rows))
+
+
+def report_sections() -> dict:
+    c = F.col
+    return {"summary": S.summary_aggregates("cvss", 7.0, "days_to_poc_exploit", PROBS, probs=PROBS, changes=CHANGES),
+            "funnel": S.funnel_aggregates("cvss", 7.0, PROBS),
+            "nulls": {n: F.count_if(c(n).isNull()) for n in NUMBERS + CHANGES},
+            "describe": {f"{n}_{k}": f(n) for n in NUMBERS for k, f in (("count", F.count), ("mean", F.avg), ("std", F.stddev_samp), ("min", F.min), ("max", F.max))},
+            "bins": {f"cvss_({lo}, {hi}]": F.count_if((c("cvss") > lo) & (c("cvss") <= hi)) for lo, hi in zip(SCORE_BIN_EDGES, SCORE_BIN_EDGES[1:])}}
+
+
+# Q17 / Q18 / A2: the whole report from one scan
+@query("risk_report", _report_sql())
+def q_risk_report(spark, sf):
+    out = S.one_pass_report(fx(spark, sf, "fx_scored"), report_sections())
+    return out.withColumn("value", r6(F.col("value")))
+
+
 # A24
 @query("linear_fit", cte("fx_risk") + """
 select regr_count(epss_0, cvss) as n, round(regr_slope(epss_0, cvss), 6) as slope,
@@ -337,21 +444,15 @@ def q_box_stats(spark, sf):
     return df.select("l_returnflag", "n", *[r6(F.col(c)).alias(c) for c in ("q1", "median", "q3", "whisker_lo", "whisker_hi")], "outliers")
 
 
-# A15 (rows-only)
-@query("corr_pvalues")
-def q_corr_pvalues(spark, sf):
-    df = fx(spark, sf, "fx_risk")
-    parts = [R.with_pvalues(df, x, y, m).select(F.lit(f"{x}~{y}").alias("pair"), F.lit(m).alias("method"), "n",
-                                                 F.round("coef", 3).alias("coef"), F.round("p_value", 3).alias("p_value"))
-             for x, y in PAIRS for m in ("pearson", "spearman", "kendall")]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+BOOTSTRAP_PAIRS = [("cvss", "epss_0"), ("cvss", "days_to_poc_exploit"), ("epss_0", "days_to_poc_exploit"), ("cvss", "exploit_count"), ("epss_0", "exploit_count")]
 
 
-# A17 (rows-only: resampling)
+# A17 at its defaults (rows-only: resampling)
 @query("bootstrap_corr")
 def q_bootstrap_corr(spark, sf):
     from riskspan.operators.bootstrap import bootstrap_correlation
-    return bootstrap_correlation(fx(spark, sf, "fx_risk"), [("cvss", "epss_0")], replicates=200)
+    df = fx(spark, sf, "fx_scored").dropna(subset=["cvss", "epss_0", "days_to_poc_exploit", "exploit_count"])
+    return bootstrap_correlation(df, BOOTSTRAP_PAIRS)
 
 
 # A18 (rows-only)

@@ -27,5 +27,5 @@ def query(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from riskspan.plans import (q_core, q_clean, q_cvss, q_joins,  # noqa: F401
+    from riskspan.plans import (q_core, q_clean, q_cohorts, q_cvss, q_joins,  # noqa: F401
                                 q_files, q_sources, q_stats)

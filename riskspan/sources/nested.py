@@ -4,102 +4,133 @@ type profiles (P15).
 
 Known fields are read with typed Spark expressions.  The any-depth path
 search (a path ``a.b.c`` matches ``a``, then ``b`` anywhere below it, then
-``c`` anywhere below that) has no built-in equivalent, so it runs as a small
-per-document Python helper inside an Arrow-batched pandas UDF over the JSON
-text; Spark partitions and schedules the documents.
+``c`` anywhere below that) is one expression as well: it opens the document
+level by level, each object or list into its members.
 """
 
 from __future__ import annotations
 
-import json
+import re
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskspan.catalog import CVE_FIELD_PATHS
+from riskspan.catalog import CVE_FIELD_PATHS, POC_FIELDS
 
 
-# --- S4: any-depth path search -------------------------------------------
-def path_hits(doc, path: str) -> list:
-    """Values that ``path`` reaches in a parsed document, in match order.
+# --- S4 / S9: any-depth path search ---------------------------------------
+# A node is an object or list still to be searched: its place among the
+# members on the way (places sort in match order), its JSON text, the number of
+# keys matched, and whether it is last in every list on the way.
+_NODE = "struct<at: array<int>, text: string, done: int, live: boolean>"
+_HIT = "struct<at: array<int>, items: array<string>, listed: boolean, live: boolean>"
 
-    Each pending item is (order, node, number of keys matched on the way).  A
-    node that holds the next key opens a match one level deeper; unless that
-    key is the last one, which ends the search of its object, the search for
-    the same key also goes on below.  ``order`` sorts a match that goes
-    deeper before the ones that look further among the object's members.
+
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _is_container(v: Column) -> Column:
+    return F.substring(F.to_json(v), 1, 1).isin("{", "[")
+
+
+def _text(v: Column) -> Column:
+    """Text of a value: strings as they are, null as null, others as JSON."""
+    return F.when(~F.is_variant_null(v), F.variant_get(v, "$", "string"))
+
+
+def _opened(node: Column, keys: Column, marks: Column, again: bool) -> Column:
+    """struct(hit, nodes) of one node."""
+    key, last = F.element_at(keys, node["done"] + 1), node["done"] == F.size(keys) - 1
+
+    def child(place, text, value, done, live):
+        # nothing below a text that lacks the next key; a string may look like a container
+        open_ = F.substring(text, 1, 1).isin("{", "[") & F.contains(text, F.element_at(marks, done + 1)) & _is_container(value)
+        return F.when(open_, F.struct(F.concat(node["at"], F.array(place)).alias("at"), text.alias("text"), done.alias("done"), live.alias("live")))
+
+    def members(pairs, inside):
+        return F.transform(pairs, lambda m, i: child(i, m["text"], m["value"], node["done"], inside(i)))
+
+    none = F.array().cast(f"array<{_NODE}>")
+    no_hit = F.lit(None).cast(_HIT)
+
+    def of_list(parts):
+        return F.struct(no_hit.alias("hit"), members(parts, lambda i: node["live"] & (i == F.size(parts) - 1)).alias("nodes"))
+
+    def of_object(maps):
+        there = F.map_contains_key(maps["texts"], key)
+        value = F.try_element_at(maps["values"], key)
+        listed = F.try_variant_get(value, "$", "array<variant>")
+        items = F.when(listed.isNotNull(), F.transform(listed, _text)).otherwise(F.array(_text(value)))
+        hit = F.when(there & last, F.struct(node["at"].alias("at"), items.alias("items"), listed.isNotNull().alias("listed"), node["live"].alias("live")))
+        deeper = F.when(there & ~last, F.array(child(F.lit(-1), F.try_element_at(maps["texts"], key), value, node["done"] + 1, node["live"])))
+        pairs = F.arrays_zip(F.map_values(maps["texts"]).alias("text"), F.map_values(maps["values"]).alias("value"))
+        beside = ~there | ~last if again else ~there
+        return F.struct(hit.alias("hit"), F.concat(F.coalesce(deeper, none), F.when(beside, members(pairs, lambda i: node["live"])).otherwise(none)).alias("nodes"))
+
+    text = node["text"]
+    return F.when(F.substring(text, 1, 1) == "[", _let(F.arrays_zip(F.from_json(text, "array<string>").alias("text"),
+                                                                   F.from_json(text, "array<variant>").alias("value")), of_list)) \
+        .otherwise(_let(F.struct(F.from_json(text, "map<string,string>").alias("texts"), F.from_json(text, "map<string,variant>").alias("values")), of_object))
+
+
+def path_hits(json_col, path: str, again: bool = True) -> Column:
+    """``array<struct<at, items, listed, live>>``: what ``path`` reaches in a
+    JSON text, in match order; ``items``: the value's text, or those of the
+    items of a list.  Null for a text that is not JSON.
+
+    A node that holds the next key opens a match one level deeper; with
+    ``again`` (S4), unless that key is the last one, the search for the same
+    key goes on among all its members as well, so hits may repeat; without
+    (S9), only nodes that lack the key are searched further.  ``live`` hits
+    end a search of alternatives: of a list only the last item decides.
     """
-    keys = path.split(".")
-    pending, hits = [((), doc, 0)], []
-    while pending:
-        order, node, done = pending.pop()
-        if isinstance(node, list):
-            pending += [((*order, i), item, done) for i, item in enumerate(node)]
-        elif isinstance(node, dict):
-            value, there = node.get(keys[done]), keys[done] in node
-            if there and done == len(keys) - 1:
-                hits.append((order, value))
-                continue
-            if there:
-                pending.append(((*order, -1), value, done + 1))
-            pending += [((*order, i), member, done) for i, member in enumerate(node.values())]
-    out: list = []
-    for _, value in sorted(hits, key=lambda h: h[0]):
-        out += value if isinstance(value, list) else [value]
-    return out
-
-
-def _last_branch_hit(doc, path: str) -> bool:
-    """Whether a search of ``path`` ends successfully: of a list only its
-    last item counts, of an object any member."""
-    keys = path.split(".")
-    pending = [(doc, 0)]
-    while pending:
-        node, done = pending.pop()
-        if isinstance(node, list):
-            pending += [(node[-1], done)] if node else []
-        elif isinstance(node, dict):
-            if keys[done] in node:
-                if done == len(keys) - 1:
-                    return True
-                pending.append((node[keys[done]], done + 1))
-            pending += [(member, done) for member in node.values()]
-    return False
-
-
-def deep_search(doc, paths: list[str]) -> list:
-    """Values of the alternatives, up to the first whose search succeeds;
-    [None] without any."""
-    out: list = []
-    for path in paths:
-        out += path_hits(doc, path)
-        if _last_branch_hit(doc, path):
-            break
-    return out or [None]
-
-
-def _as_text(v):
-    if v is None or isinstance(v, str):
-        return v
-    return json.dumps(v, sort_keys=True)
-
-
-def deep_search_col(json_col, paths: list[str]) -> Column:
-    """``array<string>`` of any-depth hits for the JSON text column."""
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def _udf(s: pd.Series) -> pd.Series:
-        res = []
-        for txt in s:
-            try:
-                doc = json.loads(txt) if txt is not None else None
-            except ValueError:
-                doc = None
-            res.append(None if doc is None else [_as_text(v) for v in deep_search(doc, paths)])
-        return pd.Series(res)
-    c = F.col(json_col) if isinstance(json_col, str) else json_col
-    return _udf(c)
+    doc = F.col(json_col) if isinstance(json_col, str) else json_col
+    steps = path.split(".")
+    keys = F.array(*[F.lit(k) for k in steps])
+    # how a key stands in the text of a member; keys that JSON may write in several ways have no mark
+    marks = F.array(*[F.lit(f'"{k}"' if re.fullmatch(r"[\w .:$@-]+", k, re.ASCII) else "") for k in steps])
+    text = F.trim(doc, F.lit(" \t\r\n"))
+    root = F.filter(F.array(F.struct(F.array().cast("array<int>").alias("at"), text.alias("text"), F.lit(0).alias("done"), F.lit(True).alias("live"))),
+                    lambda n: F.substring(n["text"], 1, 1).isin("{", "["))
+    start = F.struct(root.alias("nodes"), F.array().cast(f"array<{_HIT}>").alias("hits"))
+
+    def level(state, _):
+        opened = F.transform(state["nodes"], lambda n: _opened(n, keys, marks, again))
+        return _let(opened, lambda o: F.struct(
+            F.filter(F.flatten(F.transform(o, lambda e: e["nodes"])), lambda n: n.isNotNull()).cast(f"array<{_NODE}>").alias("nodes"),
+            F.concat(state["hits"], F.filter(F.transform(o, lambda e: e["hit"]), lambda h: h.isNotNull())).cast(f"array<{_HIT}>").alias("hits")))
+
+    # no document is deeper than it has opening brackets
+    depth = F.length(text) - F.length(F.translate(text, "{[", "")) + 1
+    found = F.aggregate(F.sequence(F.lit(1), depth), start, level, lambda state: F.array_sort(state["hits"]))
+    return F.when(F.try_parse_json(doc).isNotNull(), found)
+
+
+def _items(hits: Column) -> Column:
+    return F.flatten(F.transform(hits, lambda h: h["items"]))
+
+
+def deep_search(json_col, paths: list[str]) -> Column:
+    """``array<string>`` of the values of the alternatives up to the first
+    whose search succeeds; [null] without any; null for a text that is not
+    JSON."""
+    def alternative(path, rest):
+        return _let(path_hits(json_col, path), lambda h: F.when(F.exists(h, lambda x: x["live"]), _items(h)).otherwise(F.concat(_items(h), rest)))
+
+    out = F.array().cast("array<string>")
+    for path in reversed(paths):
+        out = alternative(path, out)
+    return F.when(F.size(out) == 0, F.array(F.lit(None).cast("string"))).otherwise(out)
+
+
+def first_or_flat(json_col, path: str) -> Column:
+    """``array<string>``: the items of all hits if one of them is a list,
+    else the first hit alone; null without any."""
+    return _let(path_hits(json_col, path, again=False), lambda h: F.when(F.exists(h, lambda x: x["listed"]), _items(h))
+                .when(F.size(h) > 0, F.get(h, 0)["items"]))
 
 
 # --- S5: the known fields, typed -------------------------------------------
@@ -204,8 +235,14 @@ def conversation_documents(cwe: DataFrame) -> DataFrame:
     return cwe.select("conv_id", F.to_json(doc).alias("doc"))
 
 
+def _listed(n: str, item: str) -> Column:
+    """``item`` (SQL over i) for i = 1 .. n."""
+    return F.expr(f"case when {n} > 0 then transform(sequence(1, cast({n} as int)), i -> {item}) end")
+
+
 def cve_documents(cve: DataFrame) -> DataFrame:
-    """CVE-record-shaped JSON text per adapter row."""
+    """CVE-record-shaped JSON text per adapter row (fx_cve, or fx_cve_rec for
+    full records)."""
     names = {"cvssV3_1": ("cvss_v3", "cvss_v3_vector"), "cvssV2_0": ("cvss_v2", "cvss_v2_vector"),
              "cvssV4_0": ("cvss_v4", "cvss_v4_vector")}
 
@@ -216,36 +253,67 @@ def cve_documents(cve: DataFrame) -> DataFrame:
                                                     F.col(v).alias("vectorString"))).alias(n) for n in names]
         return F.when(F.col(s).isNotNull(), F.struct(*fields))
     metrics = F.filter(F.array(*[metric(n) for n in names]), lambda m: m.isNotNull())
-    doc = F.struct(
-        F.struct(F.col("cve_id_raw").alias("cveId"), F.col("cve_state").alias("state"),
-                 F.date_format("publish_date", "yyyy-MM-dd'T'HH:mm:ss").alias("datePublished")).alias("cveMetadata"),
-        F.struct(F.struct(F.date_format("public_date", "yyyy-MM-dd'T'HH:mm:ss").alias("datePublic"),
-                          F.array(F.struct(F.lit("en").alias("lang"), F.concat(F.lit("Issue in "), F.col("cve_id")).alias("value"))).alias("descriptions"),
-                          metrics.alias("metrics")).alias("cna")).alias("containers"))
+    second = F.date_format("public_date", "yyyy-MM-dd'T'HH:mm:ss").alias("datePublic")
+    meta = [F.col("cve_id_raw").alias("cveId"), F.col("cve_state").alias("state"),
+            F.date_format("publish_date", "yyyy-MM-dd'T'HH:mm:ss").alias("datePublished")]
+    texts = F.array(F.struct(F.lit("en").alias("lang"), F.concat(F.lit("Issue in "), F.col("cve_id")).alias("value")))
+    cna = [second, texts.alias("descriptions"), metrics.alias("metrics")]
+    adp = []
+    if "n_cwe" in cve.columns:
+        meta.append(F.date_format("reserved", "yyyy-MM-dd'T'HH:mm:ss").alias("dateReserved"))
+        entry = ("named_struct('descriptions', array(named_struct('lang', element_at(array('en', 'EN', 'de', 'english'), cast((k + i) % 4 + 1 as int)), "
+                 "'description', concat('Weakness ', i, ' of ', k), 'cweId', if((k + i) % 5 = 0, null, concat('CWE-', (k * 7 + i) % 900)))))")
+        releases = ("if((k + i) % 3 = 0, null, transform(array(1, 2), j -> named_struct('version', concat(i, '.', j), "
+                    "'status', if((k + j) % 2 = 0, 'affected', 'unaffected'))))")
+        product = (f"named_struct('vendor', concat('vendor ', k % 50 + i), 'product', concat('product ', k, '.', i), "
+                   f"'defaultStatus', if((k + i) % 2 = 0, 'affected', 'unknown'), 'versions', {releases})")
+        cna += [_listed("n_cwe", entry).alias("problemTypes"), _listed("n_aff", product).alias("affected"),
+                _listed("n_solutions", "named_struct('lang', 'en', 'value', concat('Update to release ', i))").alias("solutions"),
+                F.when(F.col("discovery").isNotNull(), F.struct(F.col("discovery"))).alias("source")]
+        more = [F.expr("if(k % 6 = 0, array(named_struct('descriptions', array(named_struct('lang', 'en', 'description', 'added', 'cweId', 'CWE-20')))), null)").alias("problemTypes"),
+                F.expr("if(k % 4 = 0, array(named_struct('versions', array(named_struct('versionType', 'semver', 'lessThan', concat('2.', k % 9), "
+                       "'lessThanOrEqual', if(k % 8 = 0, concat('3.', k % 9), null))), 'cpes', if(k % 3 = 0, null, "
+                       "transform(sequence(1, cast(k % 3 as int)), i -> concat('cpe:2.3:a:vendor', k % 50, ':p', i))))), null)").alias("affected"),
+                F.expr("filter(array(if(k % 5 = 0, named_struct('other', named_struct('type', 'ssvc', 'content', named_struct('options', array("
+                       "named_struct('Exploitation', 'PoC', 'Automatable', cast(null as string), 'Technical Impact', cast(null as string)), "
+                       "named_struct('Exploitation', cast(null as string), 'Automatable', 'yes', 'Technical Impact', cast(null as string)), "
+                       "named_struct('Exploitation', cast(null as string), 'Automatable', cast(null as string), 'Technical Impact', 'Partial'))))), null), "
+                       "if(k % 25 = 0, named_struct('other', named_struct('type', 'kev', 'content', cast(null as struct<options: array<struct<"
+                       "Exploitation: string, Automatable: string, `Technical Impact`: string>>>))), null)), m -> m is not null)").alias("metrics")]
+        adp = [F.array(F.struct(*more)).alias("adp")]
+    doc = F.struct(F.struct(*meta).alias("cveMetadata"), F.struct(F.struct(*cna).alias("cna"), *adp).alias("containers"))
     return cve.select("k", F.to_json(doc).alias("doc"))
 
 
-def poc_listings(events: DataFrame, name: Column) -> DataFrame:
-    """PoC listings (JSON arrays): the events of a user and hour."""
+def poc_listings(events: DataFrame, name: Column, backup: Column | None = None) -> DataFrame:
+    """PoC listings (JSON arrays): the events of a user and hour.  Visibility
+    lies below the entry; topics may hold a ``backup`` id."""
+    topics = F.array(F.col("event_type"), backup) if backup is not None else F.array(F.col("event_type"))
     item = F.struct(name.alias("name"),
                     F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("created_at"),
-                    F.array(F.col("event_type")).alias("topics"))
+                    F.date_format(F.expr("ts + interval 1 day"), "yyyy-MM-dd'T'HH:mm:ss").alias("pushed_at"),
+                    (F.col("event_id") % 7).alias("forks_count"),
+                    F.struct(F.when(F.col("event_id") % 2 == 0, "public").otherwise("private").alias("visibility")).alias("repository"),
+                    F.filter(topics, lambda t: t.isNotNull()).alias("topics"))
     return (events.groupBy("user_id", F.date_trunc("hour", "ts").alias("hour"))
                   .agg(F.to_json(F.array_sort(F.collect_list(item))).alias("listing")))
 
 
-POC_SCHEMA = "array<struct<name:string, created_at:string, pushed_at:string, forks_count:long, visibility:string, topics:array<string>>>"
+def poc_extract(listings: DataFrame, json_col: str) -> DataFrame:
+    """Q8: one row per listing: its number of entries, the earliest creation
+    text, and the fields of the catalogue by search (S9)."""
+    found = {name: first_or_flat(json_col, path) for name, path in POC_FIELDS.items()}
+    entries = F.from_json(F.col(json_col), "array<struct<created_at:string>>")
+    return listings.select(
+        F.json_array_length(json_col).cast("long").alias("exploit_count"), F.array_min(entries["created_at"]).alias("earliest_date"),
+        *[(c if name == "poc_topics" else F.get(c, 0)).alias(name) for name, c in found.items()])
 
 
 def poc_file_summary(listings: DataFrame, json_col: str) -> DataFrame:
     """Per listing count, earliest creation text and the first name;
     then rolled up per CVE (sum of counts, earliest date)."""
     from riskspan.operators.joins import exploit_rollup
-    a = F.from_json(F.col(json_col), POC_SCHEMA)
-    per_file = listings.select(F.try_element_at(a["name"], F.lit(1)).alias("cve_id"),
-                               F.size(a).cast("long").alias("exploit_count"),
-                               F.array_min(a["created_at"]).alias("earliest_date"))
-    return exploit_rollup(per_file)
+    return exploit_rollup(poc_extract(listings, json_col).select("cve_id", "exploit_count", "earliest_date"))
 
 
 def platform_records(part: DataFrame) -> DataFrame:

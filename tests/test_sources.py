@@ -1,7 +1,9 @@
 import json
 import os
+import random
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from riskspan.operators.filters import keyword_filter
@@ -9,14 +11,19 @@ from riskspan.sources import cwe as W
 from riskspan.sources import nested as N
 
 
-def test_deep_search_semantics():
+def found(spark, doc, paths):
+    text = json.dumps(doc)
+    return spark.createDataFrame([(text,)], "doc string").select(N.deep_search("doc", paths)).first()[0]
+
+
+def test_deep_search_semantics(spark):
     doc = {"a": {"x": {"b": {"c": 1}}, "c": 9}, "other": [{"a": {"c": [2, 3]}}]}
-    assert N.deep_search(doc, ["a.c"]) == [9, 2, 3]
-    assert N.deep_search(doc, ["a.b.c"]) == [1]
-    assert N.deep_search(doc, ["nope.c"]) == [None]
-    assert N.deep_search(doc, ["nope", "a.c"]) == [9, 2, 3]
+    assert found(spark, doc, ["a.c"]) == ["9", "2", "3"]
+    assert found(spark, doc, ["a.b.c"]) == ["1"]
+    assert found(spark, doc, ["nope.c"]) == [None]
+    assert found(spark, doc, ["nope", "a.c"]) == ["9", "2", "3"]
     # a non-final hit descends and the dict's values are searched again: duplicates
-    assert N.deep_search({"a": {"a": {"c": 1}}}, ["a.c"]) == [1, 1]
+    assert found(spark, {"a": {"a": {"c": 1}}}, ["a.c"]) == ["1", "1"]
 
 
 def test_json_scan_rejects_broken_file(spark):
@@ -67,15 +74,100 @@ def test_cwe_xml_children(spark):
     assert plats == [("79", "Language", "C"), ("79", "Technology", None)]
 
 
-def test_search_order_and_list_ends():
-    # a match that goes deeper comes before the other members
-    assert N.deep_search({"x": {"a": {"b": 1}}, "a": {"b": 2}}, ["a.b"]) == [2, 1]
+def test_search_order_and_list_ends(spark):
+    # a match that goes deeper comes before the other members; members keep their order
+    assert found(spark, {"x": {"a": {"b": 1}}, "a": {"b": 2}}, ["a.b"]) == ["2", "1"]
+    assert found(spark, {"z": {"b": 1}, "c": {"b": 2}, "a": {"b": 3}}, ["b"]) == ["1", "2", "3"]
     # of a list only the last item decides whether the next path is tried
     doc = {"l": [{"a": 1}, {"z": 0}], "b": 5}
-    assert N.deep_search(doc, ["l.a", "b"]) == [1, 5]
-    assert N.deep_search({"l": [{"z": 0}, {"a": 1}], "b": 5}, ["l.a", "b"]) == [1]
-    assert N.deep_search({"a": {"a": 3}}, ["a"]) == [{"a": 3}]
-    assert N.deep_search([], ["a"]) == [None]
+    assert found(spark, doc, ["l.a", "b"]) == ["1", "5"]
+    assert found(spark, {"l": [{"z": 0}, {"a": 1}], "b": 5}, ["l.a", "b"]) == ["1"]
+    assert found(spark, {"a": {"a": 3}}, ["a"]) == ['{"a":3}']
+    assert found(spark, [], ["a"]) == [None]
+
+
+def plain_search(doc, keys, again):
+    """Nested recursion over parsed values, hits in match order."""
+    if isinstance(doc, list):
+        return [h for item in doc for h in plain_search(item, keys, again)]
+    if not isinstance(doc, dict):
+        return []
+    if keys[0] in doc and len(keys) == 1:
+        return [doc[keys[0]]]
+    deeper = plain_search(doc[keys[0]], keys[1:], again) if keys[0] in doc else []
+    beside = [h for v in doc.values() for h in plain_search(v, keys, again)] if again or keys[0] not in doc else []
+    return deeper + beside
+
+
+def test_search_of_random_documents(spark):
+    rng = random.Random(8)
+
+    def value(depth):
+        kind = rng.random()
+        if depth == 0 or kind < 0.25:
+            return rng.choice([1, 2.5, "t", "{x", "[", "", None, True, "a\"b"])
+        if kind < 0.45:
+            return [value(depth - 1) for _ in range(rng.randint(0, 3))]
+        return {rng.choice("abcd"): value(depth - 1) for _ in range(rng.randint(0, 3))}
+
+    def text(v):
+        return v if v is None or isinstance(v, str) else json.dumps(v, separators=(",", ":"), sort_keys=True)
+
+    docs = [value(6) for _ in range(150)]
+    df = spark.createDataFrame([(i, json.dumps(d)) for i, d in enumerate(docs)] + [(-1, "{broken"), (-2, None)], "i int, doc string")
+    for path in ("a", "a.b", "c.a.d"):
+        rows = df.select("i", N.path_hits("doc", path)["items"].alias("every"), N.first_or_flat("doc", path).alias("first")).collect()
+        for r in rows:
+            if r.i < 0:
+                assert r.every is None and r.first is None
+                continue
+            hits = plain_search(docs[r.i], path.split("."), True)
+            assert [x for h in r.every for x in h] == [text(x) for h in hits for x in (h if isinstance(h, list) else [h])]
+            own = plain_search(docs[r.i], path.split("."), False)
+            flat = [text(x) for h in own for x in (h if isinstance(h, list) else [h])]
+            assert r.first == (flat if any(isinstance(h, list) for h in own) else flat[:1] or None)
+
+
+def test_deep_documents(spark):
+    doc = '{"a":' * 60 + '{"end": [1, 2]}' + "}" * 60
+    df = spark.createDataFrame([(doc,), (" \n" + doc,)], "doc string")
+    assert [r[0] for r in df.select(N.first_or_flat("doc", "a.end")).collect()] == [["1", "2"]] * 2
+
+
+def test_poc_fields_and_backup_ids(spark):
+    from riskspan.plans.jobs import poc_clean
+    listings = [[{"name": "x CVE-2021-1234 y", "created_at": "2021-03-01T00:00:00Z", "forks_count": 3, "topics": ["poc"]},
+                 {"name": "z", "created_at": "2021-02-01T00:00:00Z", "owner": {"visibility": "public"}, "topics": ["a", "b"]}],
+                [{"name": "no id", "created_at": "2022-01-01T00:00:00Z", "topics": ["exploit", " cve-2020-99 ", "cve-2020-7777"]}],
+                [{"name": "none", "created_at": "2022-01-01T00:00:00Z", "topics": []}]]
+    df = spark.createDataFrame([(json.dumps(x),) for x in listings], "listing string")
+    rows = N.poc_extract(df, "listing").collect()
+    assert [(r.exploit_count, r.earliest_date, r.cve_id, r.poc_forks, r.poc_visibility, r.poc_topics) for r in rows] == [
+        (2, "2021-02-01T00:00:00Z", "x CVE-2021-1234 y", "3", "public", ["poc", "a", "b"]),
+        (1, "2022-01-01T00:00:00Z", "no id", None, None, ["exploit", " cve-2020-99 ", "cve-2020-7777"]),
+        (1, "2022-01-01T00:00:00Z", "none", None, None, [])]
+    cleaned = poc_clean(N.poc_extract(df, "listing"))
+    assert cleaned.columns == ["exploit_count", "earliest_date", "cve_id"]
+    assert sorted(r.cve_id for r in cleaned.collect()) == ["CVE-2020-7777", "CVE-2021-1234"]
+
+
+def test_record_tables(spark):
+    from riskspan.plans.jobs import cve_record_tables
+    from riskspan.sources.files import save_tables
+    doc = {"cveMetadata": {"cveId": " cve-2024-1000 ", "state": "PUBLISHED"}, "containers": {"cna": {
+        "descriptions": [{"lang": "en", "value": "one"}], "affected": [{"vendor": "v", "product": "p"}, {"vendor": "w"}],
+        "problemTypes": [{"descriptions": [{"lang": "EN", "description": "d", "cweId": "CWE-1"}, {"lang": "fr", "description": "e"}]}]}}}
+    rejected = {"cveMetadata": {"cveId": "CVE-2024-1001", "state": "REJECTED"}}
+    df = spark.createDataFrame([(json.dumps(doc),), (json.dumps(rejected),)], "doc string")
+    folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    tables = cve_record_tables(df, folder)
+    assert sorted(os.listdir(folder)) == ["cve", "cve_cwe_connection", "cve_product", "extracted"]
+    assert [r.cve_id for r in tables["cve"].collect()] == ["CVE-2024-1000"]
+    assert [(r.cve_id, r.cwe_id, r.cwe_desc) for r in tables["cve_cwe_connection"].collect()] == [("CVE-2024-1000", ["CWE-1"], ["d"])]
+    assert [(r.vendor, r["product"]) for r in tables["cve_product"].collect()] == [(["v", "w"], ["p"])]
+    child = spark.createDataFrame([("CVE-2024-1000",), ("CVE-1999-0001",), (None,)], "cve_id string")
+    with pytest.raises(ValueError, match="CVE-1999-0001"):
+        save_tables({"cve": tables["cve"], "child": child}, tempfile.mkdtemp(prefix="run-", dir="/tmp"), parent="cve", key="cve_id")
 
 
 def test_typed_fields_of_a_record(spark):

@@ -154,18 +154,77 @@ def test_value_ranks_with_outlier_and_groups(spark):
         assert got[(r.g, r.v)] == (r.before, r.rank)
 
 
-def test_log_buckets_are_monotone(spark):
-    from riskspan.operators.ranks import log_bucket
+def test_parts_are_monotone_and_bounded(spark):
+    """Values crowded anywhere (near zero, far from it, in a narrow range)
+    spread over parts of about the same size."""
     from pyspark.sql import functions as F
-    import random
-    rng = random.Random(3)
-    xs = [0.0, 1e-12, -1e-12, 1e300, -1e300, 0.1, 0.25, 0.5, 1.0, 2.0, 4.0, float("inf"), float("-inf"), float("nan")]
-    xs += [s * rng.random() * 10 ** rng.randint(-9, 9) for s in (1, -1) for _ in range(500)]
-    xs += [s * v for s in (1, -1) for k in range(-30, 31) for v in (2.0 ** k * (1 - 2 ** -53), 2.0 ** k, 2.0 ** k * (1 + 2 ** -52))]
-    rows = spark.createDataFrame([(x,) for x in xs], "v double").select("v", log_bucket(F.col("v")).alias("b")).orderBy("v").collect()
-    assert [r.b for r in rows] == sorted(r.b for r in rows)
-    near = spark.createDataFrame([(i * 1e-9,) for i in range(1, 20000)], "v double")
-    assert near.groupBy(log_bucket(F.col("v"))).count().agg(F.max("count")).first()[0] < 10
+    from riskspan.operators.ranks import cut_points, part_of
+    rng = np.random.default_rng(3)
+    groups = {0: np.arange(20000) * 1e-9, 1: 1.7e15 + np.arange(20000), 2: np.append(rng.normal(0, 1, 20000), [1e300, -1e300, np.inf, -np.inf]),
+              3: np.arange(50.0), 4: np.append(np.arange(20000.0), np.nan)}
+    df = spark.createDataFrame([(g, float(v)) for g, vs in groups.items() for v in vs], "g int, v double")
+    cuts = cut_points(df.withColumnRenamed("v", "p"), ["g"], part=1000)
+    rows = df.join(cuts, "g", "left").select("g", "v", part_of("v", "cuts_p").alias("b")).orderBy("g", "v").collect()
+    for g, vs in groups.items():
+        parts = [r.b for r in rows if r.g == g]
+        assert parts == sorted(parts)
+        assert len(set(parts)) == (1 if g == 3 else -(-len(vs) // 1000))
+        assert max(np.bincount(parts)) < 2000
+
+
+def test_value_ranks_in_parts(spark):
+    rng = np.random.default_rng(9)
+    pdf = pd.DataFrame({"g": rng.integers(0, 2, 3000), "v": np.append(1.6e15 + rng.integers(0, 900, 2999), 0.0)})
+    got = {(r.g, r.value): (r.before, r.rank, r.total) for r in value_ranks(spark.createDataFrame(pdf), "v", ["g"], part=40).collect()}
+    pdf["rank"] = pdf.groupby("g")["v"].rank(method="average")
+    pdf["before"] = pdf.groupby("g")["v"].rank(method="min") - 1
+    pdf["total"] = pdf.groupby("g")["v"].transform("size")
+    for r in pdf.drop_duplicates(["g", "v"]).itertuples():
+        assert got[(r.g, r.v)] == (r.before, r.rank, r.total)
+
+
+def test_dominance_with_hot_values(spark):
+    """Two x values against very many y values: blocks stay bounded, results
+    exact; vector weights share the sorting."""
+    from riskspan.operators import dominance as D
+    rng = np.random.default_rng(4)
+    y = np.append(rng.permutation(3000) * 1.0, np.zeros(500))
+    x = np.append(rng.integers(0, 2, 3000), rng.integers(0, 40, 500)) * 1.0
+    cells = pd.DataFrame({"pair": 0, "x": x, "y": y}).groupby(["pair", "x", "y"]).size().rename("n").reset_index()
+    sizes = []
+
+    def weights(t):
+        sizes.append(t.num_rows)
+        n = t["n"].to_numpy().astype(float)
+        return np.stack([n, 2 * n], axis=1)
+
+    df = spark.createDataFrame(cells)
+    got = {r.lane: r for r in D.dominance_sums(df, ["pair"], 100, weights).collect()}
+    c, q = cells[["x", "y", "n"]].to_numpy(dtype=float), 0.0
+    for i in range(len(c)):
+        q += c[i, 2] * c[(c[:, 0] < c[i, 0]) & (c[:, 1] < c[i, 1]), 2].sum()
+    assert got[0].concordant == q and got[1].concordant == 4 * q and got[0].n == 3500
+    for axis in "xy":
+        t = cells.groupby(axis)["n"].sum()
+        assert got[0][f"{axis}_t2"] == (t * (t - 1) / 2).sum() and got[0][f"{axis}_v2"] == (t * (t - 1) * (t - 2)).sum()
+    # the tasks themselves: no block beyond a few times its share
+    from pyspark.sql import functions as F
+    from riskspan.operators.ranks import cut_points, part_of
+    point = F.struct("x", (-F.col("y")).alias("y"))
+    cuts = cut_points(df.select("pair", point.alias("p")), ["pair"], 100)
+    largest = df.join(cuts, "pair").withColumn("p", point).groupBy(part_of("p", "cuts_p").alias("b")).count().agg(F.max("count")).first()[0]
+    assert largest < 400
+
+
+def test_concordant_pairs_by_brute_force():
+    from riskspan.operators.dominance import concordant
+    rng = np.random.default_rng(6)
+    for n in (0, 1, 5, 32, 33, 64, 100, 1000):
+        y, w = rng.integers(0, max(1, n // 3), n) * 0.5, rng.integers(0, 5, (n, 3)) * 1.0
+        want = np.zeros(3)
+        for b in range(n):
+            want += w[b] * w[:b][y[:b] < y[b]].sum(axis=0)
+        assert concordant(y, w).tolist() == want.tolist()
 
 
 def test_bootstrap_of_tied_rows(spark):
