@@ -7,6 +7,8 @@ collected to the driver.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,12 +37,24 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def small_batches(df: DataFrame) -> DataFrame:
-    """Bounds the bytes of an Arrow batch for what follows in the session:
-    ten thousand rows, the default bound, can be any number of bytes."""
+    """Bounds the bytes of an Arrow batch: ten thousand rows, the default
+    bound, can be any number of bytes.  A side effect on the caller's session:
+    the setting stays, since it is read when the plan runs."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return df
 
 
+_CACHES: dict[str, dict] = {}
+
+
+def worker_cache(owner: str) -> dict:
+    """What an operator keeps between tasks in this Python worker.  What other
+    operators kept goes: workers serve one stage after the other."""
+    for other in [k for k in _CACHES if k != owner]:
+        del _CACHES[other]
+    return _CACHES.setdefault(owner, {})
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back, which
     cuts the lineage and survives lost executors."""
@@ -68,39 +82,123 @@ def byte_codes(seed: int) -> np.ndarray:
 class Rolling:
     """Fingerprints of all windows of a sequence of 64-bit codes.
 
-    ``sum(code[i] * base**(i - start))`` modulo 2**64 by prefix sums, times a
-    mixing step; the powers are made once and grow with the longest sequence.
+    ``sum(code[i] * base**(i - start))`` by prefix sums, times a mixing step;
+    here modulo 2**64, in ``PrimeRolling`` modulo a prime.  Powers are kept for
+    the first ``KEPT`` places; those further on are a kept one times a power of
+    ``base**KEPT``.
     """
 
+    KEPT = 1 << 18
+
     def __init__(self, base: int):
-        self.base = _U(base | 1)
-        self.inverse = _U(pow(int(self.base), -1, 1 << 64))
-        self._grow(1 << 10)
-
-    def _grow(self, n: int):
-        self.power = np.full(n, self.base, dtype=_U)
-        self.power[0] = 1
-        np.multiply.accumulate(self.power, out=self.power)
-        self.back = np.full(n, self.inverse, dtype=_U)
-        self.back[0] = 1
-        np.multiply.accumulate(self.back, out=self.back)
+        self.base = base | 1
+
+    def _inverse(self) -> int:
+        return pow(self.base, -1, 1 << 64)
+
+    def times(self, a, b):
+        return a * b
+
+    def reduced(self, codes: np.ndarray) -> np.ndarray:
+        return codes
+
+    def summed(self, terms: np.ndarray) -> np.ndarray:
+        return np.cumsum(terms, dtype=_U)
+
+    def plus(self, a, b):
+        return a + b
+
+    def minus(self, a, b):
+        return a - b
+
+    def _powers(self, base: int) -> np.ndarray:
+        out = np.ones(1, _U)
+        step = np.full(1, base, _U)
+        while len(out) < self.KEPT:
+            out = np.concatenate([out, self.times(out, step)])
+            step = self.times(step, step)
+        return out
+
+    @cached_property
+    def power(self) -> np.ndarray:
+        return self._powers(self.base)
+
+    @cached_property
+    def back(self) -> np.ndarray:
+        return self._powers(self._inverse())
+
+    def _far(self, kept: np.ndarray, count: int) -> np.ndarray:
+        """Powers of (kept[-1] * kept[1]) = base**KEPT, ``count`` of them."""
+        step, out = self.times(kept[-1:], kept[1:2]), [np.ones(1, _U)]
+        for _ in range(count - 1):
+            out.append(self.times(out[-1], step))
+        return np.concatenate(out)
 
     def prefix(self, codes: np.ndarray) -> np.ndarray:
         """Prefix sums with a leading zero."""
         n = len(codes)
-        if n >= len(self.power):
-            self._grow(max(n + 1, 2 * len(self.power)))
-        out = np.empty(n + 1, dtype=_U)
-        out[0] = 0
-        np.cumsum(codes * self.power[:n], out=out[1:])
+        out = np.zeros(n + 1, dtype=_U)
+        far = self._far(self.power, -(-n // self.KEPT)) if n > self.KEPT else None
+        for k, lo in enumerate(range(0, n, self.KEPT)):
+            piece = self.reduced(codes[lo:lo + self.KEPT])
+            terms = self.times(piece, self.power[:len(piece)])
+            if k:
+                terms = self.times(terms, far[k])
+            out[lo + 1:lo + 1 + len(piece)] = self.plus(self.summed(terms), out[lo])
         return out
 
     def spans(self, prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Fingerprint of codes[start:end) for every pair."""
-        return mix64((prefix[end] - prefix[start]) * self.back[start] + (end - start).astype(_U))
+        start = np.asarray(start)
+        value = self.minus(prefix[end], prefix[start])
+        if len(prefix) <= self.KEPT:
+            value = self.times(value, self.back[start])
+        else:
+            far = self._far(self.back, len(prefix) // self.KEPT + 1)
+            value = self.times(self.times(value, self.back[start % self.KEPT]), far[start // self.KEPT])
+        return mix64(value + (end - start).astype(_U))
+
+
+class PrimeRolling(Rolling):
+    """Modulo the prime 2**61 - 1, for which no pair of texts is the same
+    whatever the base (modulo 2**64 some are, from 1024 codes on)."""
+
+    P = (1 << 61) - 1
+
+    def __init__(self, base: int):
+        self.base = base % self.P
+
+    def _inverse(self) -> int:
+        return pow(self.base, -1, self.P)
+
+    def reduced(self, x: np.ndarray) -> np.ndarray:
+        x = (x & _U(self.P)) + (x >> _U(61))
+        return np.where(x >= _U(self.P), x - _U(self.P), x)
+
+    def times(self, a, b):
+        # halves of 31 bits: (2**31 * x + y) * (2**31 * u + v), and 2**61 = 1
+        low = _U((1 << 31) - 1)
+        x, y, u, v = a >> _U(31), a & low, b >> _U(31), b & low
+        cross = x * v + y * u
+        return self.reduced(x * u * _U(2) + (cross >> _U(30)) + ((cross & _U((1 << 30) - 1)) << _U(31)) + y * v)
+
+    def summed(self, terms: np.ndarray) -> np.ndarray:
+        # halves of 32 bits: no sum of up to 2**18 of them leaves 64 bits
+        low = np.cumsum(terms & _U((1 << 32) - 1), dtype=_U)
+        high = self.reduced(np.cumsum(terms >> _U(32), dtype=_U))
+        # times 2**32 is a turn by 32 of 61 bits
+        high = ((high << _U(32)) & _U(self.P)) | (high >> _U(29))
+        return self.plus(high, self.reduced(low))
+
+    def plus(self, a, b):
+        return self.reduced(a + b)
+
+    def minus(self, a, b):
+        return self.reduced(a + (_U(self.P) - b))
 
 
-ROLL_A = Rolling(0x9E3779B97F4A7C15)
+# equality of both decides; the first alone holds for any texts
+ROLL_A = PrimeRolling(0x9E3779B97F4A7C15)
 ROLL_B = Rolling(0xC2B2AE3D27D4EB4F)
 CODE_A, CODE_B = byte_codes(0x51ED270B), byte_codes(0x2545F491)
 

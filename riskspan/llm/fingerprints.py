@@ -28,10 +28,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskspan.operators.ranks import cut_points, part_of
+
 K, S = 4, 2
 # characters of the longest word that is one symbol
 LONG = 32
-# ids in one window, on average
+# ids in one window, on average (more where that made over 512 windows)
 STRETCH = 4096
 
 
@@ -84,17 +86,19 @@ def print_sql(a: str, text: str) -> str:
 
 
 def next_ids(ids: DataFrame) -> DataFrame:
-    """(doc_id, next_id): the next larger id, after the largest the smallest."""
-    n, lo, hi = ids.agg(F.count(F.lit(1)), F.min("doc_id"), F.max("doc_id")).first()
-    if not n:
-        return ids.select("doc_id", F.col("doc_id").alias("next_id"))
-    width = max(1, -(-(hi - lo + 1) * STRETCH // n))
-    # decimals: the distance of two longs may need more than a long
-    stretch = F.expr(f"cast((cast(doc_id as decimal(20,0)) - ({lo}BD)) div {width}BD as long)")
-    ids = ids.withColumn("stretch", stretch)
-    # one row for each stretch of ids
+    """(doc_id, next_id): the next larger id, after the largest the smallest.
+
+    ``ids`` holds each id once.  They are cut into stretches at sampled points
+    of their own, so far ids and crowds of them alike make stretches of about
+    the same size, and each stretch is one window.
+    """
+    ids = ids.select("doc_id", F.lit(0).alias("g"))
+    cuts = cut_points(ids.withColumnRenamed("doc_id", "p"), ["g"], STRETCH).drop("parts")
+    ids = ids.join(cuts, "g", "left").select("doc_id", part_of("doc_id", "cuts_p").alias("stretch"))
+    # a row for each stretch
     firsts = ids.groupBy("stretch").agg(F.min("doc_id").alias("first"))
-    follow = firsts.select("stretch", F.coalesce(F.lead("first").over(Window.orderBy("stretch")), F.lit(lo)).alias("after"))
+    every = Window.orderBy("stretch").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    follow = firsts.select("stretch", F.coalesce(F.lead("first").over(Window.orderBy("stretch")), F.min("first").over(every)).alias("after"))
     own = F.lead("doc_id").over(Window.partitionBy("stretch").orderBy("doc_id"))
     return ids.withColumn("own", own).join(follow, "stretch") \
         .select("doc_id", F.coalesce("own", "after").alias("next_id"))

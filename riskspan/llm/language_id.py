@@ -28,11 +28,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from riskspan.llm.common import CODE_A, Rolling, carried, uncarried
+from riskspan.llm.common import CODE_A, Rolling, carried, uncarried, worker_cache
 
 BUCKETS = 1 << 15
 GRAMS = (1, 2, 3, 4)
@@ -196,10 +196,14 @@ def fit_language(docs: DataFrame, teach: Column, sample_docs: int = 250, sample_
     part = F.create_map(*[x for k, n in shares.items() for x in (F.lit(k), F.lit(min(1.0, 2.0 * sample_docs / n)))])
     drawn = known.select(F.col(lang).alias("lang"), turn.alias("turn"), F.col(text).alias("text")) \
         .where(F.pmod("turn", F.lit(1 << 20)) < part[F.col("lang")] * (1 << 20))
-    words = F.filter(F.split(F.lower("text"), r"\s+"), lambda w: w != "")
+    # white space as str.split() has it, which splits texts to be labelled
+    words = F.filter(F.split(F.lower("text"), r"(?U)[\s\x1c-\x1f]+"), lambda w: w != "")
     drawn = drawn.withColumn("words", words).where(F.size("words") > 0) \
         .withColumn("at", F.pmod("turn", F.greatest(F.size("words") - sample_words, F.lit(0)) + 1).cast("int")) \
         .select("lang", "turn", F.slice("words", F.col("at") + 1, F.lit(sample_words)).alias("words"))
+    # a share can be no smaller than one hash, whatever the number of texts
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("turn", "words"))
+    drawn = drawn.withColumn("nth", nth).where(F.col("nth") <= sample_docs)
     texts: dict[str, list] = {}
     for r in drawn.collect():
         texts.setdefault(r["lang"], []).append((r["turn"], r["words"]))
@@ -207,12 +211,10 @@ def fit_language(docs: DataFrame, teach: Column, sample_docs: int = 250, sample_
     return fit_crf(sample) if sample else None
 
 
-_ROWS: dict[str, tuple[dict, np.ndarray]] = {}
-
-
 def _word_rows(model: LanguageModel, words: list[str]):
     """Evidence rows of the words, from a bounded cache."""
-    place, rows = _ROWS.get(model.key, ({}, np.zeros((0, len(model.languages)), np.float32)))
+    held = worker_cache("language")
+    place, rows = held.get(model.key, ({}, np.zeros((0, len(model.languages)), np.float32)))
     if len(place) > CACHE_WORDS:
         place, rows = {}, rows[:0]
     new = list(set(words).difference(place))
@@ -223,8 +225,8 @@ def _word_rows(model: LanguageModel, words: list[str]):
         more[~letters] = np.nan  # no letter: no evidence, no vote
         place.update(zip(new, range(len(rows), len(rows) + len(new))))
         rows = np.concatenate([rows, more])
-    _ROWS.clear()
-    _ROWS[model.key] = (place, rows)
+    held.clear()
+    held[model.key] = (place, rows)
     return place, rows
 
 

@@ -14,10 +14,14 @@ are one node.  Inverted lists of the retained values give the candidates:
   whose sketch is least unusual.  Overlaps of the two sketches estimate the
   similarity; candidates that pass are verified on full sets, and links make
   components.
-* Remaining pairs: lists whose nodes are still in several components are cut
-  into blocks of bounded size, and pairs of blocks are compared inside tasks:
-  sketches first, then full sets of what passes.  Only a spanning forest of
-  the links found leaves a task, never all pairs.
+* Remaining pairs: in a list whose nodes are still in several components, the
+  nodes outside its largest component are its *open* ones; pairs without an
+  open node are in one component already.  Nodes are cut into bands by set
+  size (linked sets are in the same or neighbouring bands) and bands into
+  blocks of bounded size; a node goes into its own block, an open node also
+  into the blocks it may have links in.  Tasks compare sketches first, then
+  full sets of what passes.  Only a spanning forest of the links found leaves
+  a task, never all pairs.
 
 Components are spread by smallest labels with pointer jumping.
 
@@ -38,11 +42,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from riskspan.llm.common import (LOWER, ROLL_A, carried, mix64, slices, small_batches, stored, text_bytes, uncarried,
-                                 word_codes, words_of)
+                                 word_codes, words_of, worker_cache)
 
 SKETCH = 64
-# Nodes of a list that meet in one unit of work, from each of two blocks.
-BLOCK = 512
+# Nodes, and open nodes beside them, of a list that meet in one unit of work.
+BLOCK, OPEN_BLOCK = 1024, 2048
+# Values whose bits are held at the same time.
+VALUES = 1 << 15
+# Hub rounds: each takes a new hub for every list that is still open.
+ROUNDS = 3
 
 
 def needed(n: int, percent: int) -> int:
@@ -85,6 +93,7 @@ def _set_key(s: np.ndarray) -> tuple[int, int]:
 def _signer(names: list[str], words: int, keep: str):
     """Batches with n_shingles, h1, h2 and, by ``keep``, sketch or full set."""
     def run(batches):
+        worker_cache("near_dedup")
         for batch in batches:
             raw, offsets = text_bytes(batch["text"])
             sets = []
@@ -129,58 +138,79 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def _lists(column) -> list[np.ndarray]:
+    """The lists of an Arrow column of longs, as views of its values."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    values, at = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
+    return [values[lo:hi] for lo, hi in zip(at[:-1].tolist(), at[1:].tolist())]
+
+
 def _common_counts(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """|sets[i] & sets[j]| for the given pairs, by bit rows over the values
-    that at least two of the sets hold."""
+    that at least two of the sets hold, some of the values at a time."""
+    out = np.zeros(len(i), np.int64)
     flat = np.concatenate(sets)
+    if not len(flat):
+        return out
     owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    values, column, count = np.unique(flat, return_inverse=True, return_counts=True)
-    column = column.reshape(-1)
-    shared = count > 1
-    place = np.cumsum(shared) - 1
-    keep = shared[column]
-    owner, column = owner[keep], place[column[keep]]
-    width = max(1, -(-int(shared.sum()) // 64))
-    bits = np.zeros((len(sets), width), np.uint64)
-    np.bitwise_or.at(bits, (owner, column >> 6), np.uint64(1) << (column & 63).astype(np.uint64))
-    out = np.empty(len(i), np.int64)
-    step = max(1, (4 << 20) // width)
-    for at in range(0, len(i), step):
-        out[at:at + step] = np.bitwise_count(bits[i[at:at + step]] & bits[j[at:at + step]]).sum(axis=1)
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], owner[order]
+    new = np.append(True, flat[1:] != flat[:-1])
+    shared = ~(new & np.append(new[1:], True))
+    owner, column = owner[shared], np.cumsum(new[shared]) - 1
+    width = max(1, VALUES // 64)
+    for first in range(0, int(column[-1]) + 1 if len(column) else 0, VALUES):
+        lo, hi = np.searchsorted(column, (first, first + VALUES))
+        own, bit = owner[lo:hi], column[lo:hi] - first
+        wide = min(width, (int(bit[-1]) >> 6) + 1)
+        bits = np.zeros((len(sets), wide), np.uint64)
+        np.bitwise_or.at(bits, (own, bit >> 6), np.uint64(1) << (bit & 63).astype(np.uint64))
+        step = max(1, (1 << 21) // wide)
+        for at in range(0, len(i), step):
+            out[at:at + step] += np.bitwise_count(bits[i[at:at + step]] & bits[j[at:at + step]]).sum(axis=1, dtype=np.int64)
     return out
 
 
 def _open_pairs(t: pa.Table, percent: int):
-    """Pairs of a unit that are in different components, of fitting size, in
-    their first common list, and whose sketches overlap enough."""
+    """Pairs (node of the block, open node) of a unit that are in different
+    components, of fitting size, in their first common list, and whose
+    sketches overlap enough; a pair of open nodes only where the block's node
+    has the larger number."""
     v = t["v"][0].as_py()
-    side, comp = t["side"].to_numpy(), t["comp"].to_numpy()
+    guest, open_, node, comp = (t[c].to_numpy() for c in ("guest", "open", "node", "comp"))
     n, need = t["n"].to_numpy(), t["need"].to_numpy()
-    x, y = t["x"][0].as_py(), t["y"][0].as_py()
-    left, right = np.flatnonzero(side == x), np.flatnonzero(side == y)
+    left, right = np.flatnonzero(~guest), np.flatnonzero(guest)
     none = np.zeros(0, np.int64)
     if not len(left) or not len(right):
         return none, none
-    ok = comp[left][:, None] != comp[right][None, :]
-    ok &= np.minimum(n[left][:, None], n[right][None, :]) * 100 >= percent * np.maximum(n[left][:, None], n[right][None, :])
-    if x == y:
-        ok &= np.triu(np.ones(ok.shape, bool), 1)
-    a, b = np.nonzero(ok)
-    i, j = left[a], right[b]
+    found = []
+    step = max(1, (1 << 20) // len(right))
+    for at in range(0, len(left), step):
+        own = left[at:at + step]
+        ok = comp[own][:, None] != comp[right][None, :]
+        ok &= np.minimum(n[own][:, None], n[right][None, :]) * 100 >= percent * np.maximum(n[own][:, None], n[right][None, :])
+        ok &= ~open_[own][:, None] | (node[own][:, None] > node[right][None, :])
+        a, b = np.nonzero(ok)
+        found.append((own[a], right[b]))
+    i, j = (np.concatenate(x) for x in zip(*found))
     if not len(i):
         return none, none
-    prefixes = [np.asarray(p, np.int64) for p in t["prefix"].to_pylist()]
+    used, place = np.unique(np.concatenate([i, j]), return_inverse=True)
+    own = t.take(pa.array(used))
+    i, j = place[:len(i)], place[len(i):]
+    prefixes = _lists(own["prefix"])
     earlier = [p[:int(np.flatnonzero(p == v)[0])] for p in prefixes]
     first = _common_counts(earlier, i, j) == 0 if any(map(len, earlier)) else np.ones(len(i), bool)
     i, j = i[first], j[first]
     if not len(i):
         return none, none
-    sketches = [np.asarray(p, np.int64) for p in t["sketch"].to_pylist()]
-    enough = _common_counts(sketches, i, j) >= np.maximum(need[i], need[j])
-    return i[enough], j[enough]
+    sketches = _lists(own["sketch"])
+    enough = _common_counts(sketches, i, j) >= np.maximum(need[used[i]], need[used[j]])
+    return used[i[enough]], used[j[enough]]
 
 
-_UNIT = "v long, x int, y int, side int, node long, comp long, n long, need int, prefix array<long>, sketch array<long>"
+_UNIT = ("v long, band int, block int, part int, guest boolean, open boolean, node long, comp long, n long, need int, "
+         "prefix array<long>, sketch array<long>")
 
 
 def _screen(percent: int):
@@ -196,7 +226,7 @@ def _link(percent: int):
         i, j = _open_pairs(t, percent)
         edges = []
         if len(i):
-            sets = [np.asarray(s, np.int64) for s in t["set"].to_pylist()]
+            sets = _lists(t["set"])
             n, node, comp = t["n"].to_numpy(), t["node"].to_pylist(), t["comp"].to_pylist()
             common = _common_counts(sets, i, j)
             linked = 100 * common >= percent * (n[i] + n[j] - common)
@@ -235,7 +265,7 @@ def _links(reps: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFr
     listed = prefixes.select("node", "n", "odd", F.explode("prefix").alias("v"))
     hubs = listed.groupBy("v").agg(F.count(F.lit(1)).alias("m"), F.min(F.struct("odd", "node", "n")).alias("hub")).where("m > 1")
     hubs = stored(hubs, "lists")
-    members = stored(listed.join(hubs, "v").select("v", "m", "node", "n", F.col("hub.node").alias("hub"),
+    members = stored(listed.join(hubs, "v").select("v", "node", "n", "odd", F.col("hub.node").alias("hub"),
                                                    F.col("hub.n").alias("hub_n")), "members")
     # full sets of all nodes that are in a list
     wanted = members.select("node").distinct().join(reps.select("node", "doc", "h1", "h2"), "node") \
@@ -250,30 +280,55 @@ def _links(reps: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFr
             pairs = pairs.join(table.select(F.col("node").alias(k), F.col(col).alias(f"{col}_{k}")), k)
         return pairs
 
-    pairs = members.where((F.col("node") != F.col("hub")) & (F.least("n", "hub_n") * 100 >= percent * F.greatest("n", "hub_n"))) \
-        .select(F.col("node").alias("a"), F.col("hub").alias("b"), F.col("n").alias("na"), F.col("hub_n").alias("nb")).distinct()
     least = F.when(F.greatest("na", "nb") <= small, F.ceil(F.greatest("na", "nb") * percent / 100)).otherwise(F.lit(large))
-    likely = both(pairs, sketches, "sketch").where(F.size(F.array_intersect("sketch_a", "sketch_b")) >= least) \
-        .select("a", "b", "na", "nb")
     common = F.size(F.array_intersect("set_a", "set_b"))
-    star = both(likely, full, "set").withColumn("common", common) \
-        .where(100 * F.col("common") >= percent * (F.col("na") + F.col("nb") - F.col("common"))).select("a", "b")
-    star = stored(star, "star")
-    comps = components(star)
-    # lists that still hold several components, cut into pairs of blocks
-    open_ = members.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    split = open_.groupBy("v").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("v")
-    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
-    units = open_.join(split, "v").select("v", "node", "comp", "n", blocks.alias("blocks")) \
-        .withColumn("side", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")) \
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
-        .select("v", F.least("side", "other").alias("x"), F.greatest("side", "other").alias("y"), "side", "node", "comp", "n")
-    units = units.join(prefixes.select("node", "need", "prefix"), "node").join(sketches, "node") \
-        .select("v", "x", "y", "side", "node", "comp", "n", "need", "prefix", "sketch")
-    passed = units.groupBy("v", "x", "y").applyInArrow(_screen(percent), _UNIT)
-    more = stored(passed.join(full, "node").select("v", "x", "y", "side", "node", "comp", "n", "need", "prefix", "sketch", "set")
-                  .groupBy("v", "x", "y").applyInArrow(_link(percent), "a long, b long"), "links")
-    return star.unionByName(more)
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        pairs = pairs.where(F.least("na", "nb") * 100 >= percent * F.greatest("na", "nb")).distinct()
+        likely = both(pairs, sketches, "sketch").where(F.size(F.array_intersect("sketch_a", "sketch_b")) >= least) \
+            .select("a", "b", "na", "nb")
+        return both(likely, full, "set").withColumn("common", common) \
+            .where(100 * F.col("common") >= percent * (F.col("na") + F.col("nb") - F.col("common"))).select("a", "b")
+
+    links = stored(linked(members.where(F.col("node") != F.col("hub"))
+                          .select(F.col("node").alias("a"), F.col("hub").alias("b"), F.col("n").alias("na"), F.col("hub_n").alias("nb"))), "star")
+    open_ = _open_lists(members, components(links))
+    for _ in range(ROUNDS - 1):
+        # the least unusual open node of a list is its next hub
+        hubs = open_.where("open").groupBy("v").agg(F.min(F.struct("odd", "node", "n", "comp")).alias("next"))
+        pairs = open_.join(hubs, "v").where(F.col("comp") != F.col("next.comp")).select(
+            F.col("node").alias("a"), F.col("next.node").alias("b"), F.col("n").alias("na"), F.col("next.n").alias("nb"))
+        links = stored(links.unionByName(linked(pairs)), "star")
+        open_ = _open_lists(members, components(links))
+    # linked sets differ in size by less than a band
+    band = F.floor(F.log(F.col("n") + 0.0) / (1.001 * math.log(100 / percent) + 1e-9)).cast("int")
+    open_ = open_.withColumn("band", band)
+    sizes = open_.groupBy("v", "band").agg(F.count(F.lit(1)).alias("mb"))
+    guests = open_.where("open").groupBy("v").agg(F.ceil(F.count(F.lit(1)) / OPEN_BLOCK).cast("int").alias("parts"))
+    sizes = sizes.join(guests, "v").select("v", "band", F.ceil(F.col("mb") / BLOCK).cast("int").alias("blocks"), "parts")
+    code = F.xxhash64("node")
+    hosts = open_.join(sizes, ["v", "band"]).select(
+        "v", "band", F.pmod(code, F.col("blocks")).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
+        F.lit(False).alias("guest"), "open", "node", "comp", "n")
+    visits = open_.where("open").withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1))).join(sizes, ["v", "band"])
+    visits = visits.select("v", "band", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
+                           F.pmod(code, F.col("parts")).cast("int").alias("part"), F.lit(True).alias("guest"), "open", "node", "comp", "n")
+    units = hosts.unionByName(visits).join(prefixes.select("node", "need", "prefix"), "node").join(sketches, "node") \
+        .select("v", "band", "block", "part", "guest", "open", "node", "comp", "n", "need", "prefix", "sketch")
+    unit = ["v", "band", "block", "part"]
+    passed = units.groupBy(*unit).applyInArrow(_screen(percent), _UNIT)
+    more = stored(passed.join(full, "node").select(*unit, "guest", "open", "node", "comp", "n", "need", "prefix", "sketch", "set")
+                  .groupBy(*unit).applyInArrow(_link(percent), "a long, b long"), "links")
+    return links.unionByName(more)
+
+
+def _open_lists(members: DataFrame, comps: DataFrame) -> DataFrame:
+    """Entries of the lists that hold several components, with ``comp`` and
+    ``open``: outside the list's largest component."""
+    entries = members.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node")).select("v", "node", "n", "odd", "comp")
+    counts = entries.groupBy("v", "comp").agg(F.count(F.lit(1)).alias("c"))
+    largest = counts.groupBy("v").agg(F.count(F.lit(1)).alias("several"), F.max(F.struct("c", "comp"))["comp"].alias("main")).where("several > 1")
+    return stored(entries.join(largest.select("v", "main"), "v").select("v", "node", "n", "odd", "comp", (F.col("comp") != F.col("main")).alias("open")), "open")
 
 
 def _classes(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from riskspan.llm.bpe import byte_letters
-from riskspan.llm.common import small_batches, stored
+from riskspan.llm.common import small_batches, stored, worker_cache
 
 CACHE_WORDS = 150_000
 # ASCII separators that str.split() takes for white space and the tokenizer does not
@@ -170,13 +170,11 @@ class WordEncoder:
                 for t, w in zip(texts, split)]
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
-
-
 def encoder(path: str) -> WordEncoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+    held = worker_cache("packing")
+    if path not in held:
+        held[path] = WordEncoder(path)
+    return held[path]
 
 
 def _pieces(path: str, capacity: int, closing: int, with_ids: bool):

@@ -22,14 +22,16 @@ from riskspan.llm.suffix_dedup import remove_repeated_bytes
 from riskspan.llm.vector_search import top_inner_products, whole_vectors
 
 MIN_LINES = 2
+# a line of so many bytes (some 15 words) is a passage by itself
+LONE_BYTES = 80
 
 
 def op1_line_dedup(spark, sf_dir):
-    out = remove_repeated_lines(documents(spark, sf_dir).select("doc_id", "text"), MIN_LINES)
+    out = remove_repeated_lines(documents(spark, sf_dir).select("doc_id", "text"), MIN_LINES, lone_bytes=LONE_BYTES)
     return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256"))
 
 
-OP1_SQL = """
+OP1_SQL = f"""
 with d as (select doc_id, string_split(text, chr(10)) as ls from documents where text is not null),
 starts as (
   select doc_id, i, ls[i] || chr(10) || ls[i + 1] as run
@@ -38,8 +40,11 @@ later as (
   select doc_id, i from (
     select doc_id, i, row_number() over (partition by run order by doc_id, i) as nth from starts)
   where nth > 1),
-gone as (select distinct doc_id, p from (select doc_id, unnest([i, i + 1]) as p from later)),
 lines as (select doc_id, unnest(range(1, len(ls) + 1)) as p, unnest(ls) as line from d),
+lone as (
+  select doc_id, p from (select doc_id, p, row_number() over (partition by line order by doc_id, p) as nth from lines where strlen(line) >= {LONE_BYTES})
+  where nth > 1),
+gone as (select distinct doc_id, p from (select doc_id, unnest([i, i + 1]) as p from later union all select doc_id, p from lone)),
 kept as (
   select l.doc_id, count(*) as n_lines, count(g.p) as n_removed,
     coalesce(string_agg(case when g.p is null then l.line end, chr(10) order by l.p), '') as kept_text

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from riskspan.llm.common import ROLL_A, ROLL_B, mix64, pair_dtype, slices, text_bytes, total_bytes
+from riskspan.llm.common import ROLL_A, ROLL_B, mix64, pair_dtype, slices, text_bytes, total_bytes, worker_cache
 
 # Text bytes that one group holds on average.
 GROUP_BYTES = 6 << 20
@@ -258,6 +258,7 @@ class Repeats:
 
     # -- per-group steps -------------------------------------------------
     def _slices(self, table: pa.Table):
+        worker_cache("repeats")
         raw, offsets = text_bytes(table["text"])
         for lo, hi in slices(offsets):
             part = raw[offsets[lo]:offsets[hi]]
@@ -379,12 +380,13 @@ class Repeats:
         def bucket(dtype):
             return lambda table: _repeated_keys(table, dtype)
 
-        replies = dealt.groupBy("gid").applyInArrow(one, KEYS).groupBy("bucket") \
+        # a bucket for each group: a task's share does not grow with the input
+        replies = dealt.groupBy("gid").applyInArrow(one, KEYS).repartition(groups, "bucket").groupBy("bucket") \
             .applyInArrow(bucket(np.dtype("<u8")), FLAGS)
         replies = dealt.groupBy("gid").cogroup(replies.groupBy("gid")).applyInArrow(two, KEYS) \
-            .groupBy("bucket").applyInArrow(_stretch_replies, FLAGS)
+            .repartition(groups, "bucket").groupBy("bucket").applyInArrow(_stretch_replies, FLAGS)
         replies = dealt.groupBy("gid").cogroup(replies.groupBy("gid")).applyInArrow(three, KEYS) \
-            .groupBy("bucket").applyInArrow(bucket(pair_dtype()), FLAGS)
+            .repartition(groups, "bucket").groupBy("bucket").applyInArrow(bucket(pair_dtype()), FLAGS)
         return dealt.groupBy("gid").cogroup(replies.groupBy("gid")).applyInArrow(end, schema)
 
 

@@ -32,7 +32,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskspan.llm.common import CODE_A, CODE_B, ROLL_A, carried, uncarried
+from riskspan.llm.common import CODE_A, CODE_B, ROLL_A, Rolling, carried, uncarried
 from riskspan.llm.repeats import Repeats, Slice
 
 TRIGGER = 8
@@ -40,6 +40,10 @@ PERIOD = 40
 CORE = 64
 
 
+# chooses triggers only; which bytes are equal is not its business
+ROLL_T = Rolling(0xD6E8FEB86659FD93)
+
+
 @dataclass
 class Parser:
     window: int
@@ -55,7 +59,8 @@ class Parser:
         lo0, hi0 = offsets[:-1], np.maximum(last, offsets[:-1])
         if not (hi0 > lo0).any():
             return Slice((0, 0), offsets, a, codes, none, none, none, np.zeros(0, np.uint64))
-        here = (a[TRIGGER:] - a[:-TRIGGER]) * ROLL_A.back[:n - TRIGGER + 1]
+        spot = np.arange(n - TRIGGER + 1)
+        here = ROLL_T.spans(ROLL_T.prefix(CODE_A[raw]), spot, spot + TRIGGER)
         phrase = np.flatnonzero(here < np.uint64((1 << 64) // self.period))
         # a trigger counts where its core lies in the same text
         text = np.searchsorted(offsets, phrase, "right") - 1

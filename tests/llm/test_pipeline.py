@@ -30,5 +30,5 @@ def test_stages_in_order_and_columns(spark):
 def test_registered(spark):
     queries = __spark_entry__.queries()
     assert queries["pipeline"] is corpus_pipeline.run
-    assert sum(n.startswith("op") and n[2].isdigit() for n in queries) == 10
+    assert sum(n.startswith("op") and n[2].isdigit() for n in queries) == 13
     assert corpus_pipeline.run(spark, SF).count() > 0
