@@ -17,6 +17,7 @@ the text are read; an empty table gives an empty result.
 from __future__ import annotations
 
 import json
+import re
 import zlib
 
 import numpy as np
@@ -29,12 +30,25 @@ from pyspark.sql.types import LongType
 from riskspan.llm.bpe import byte_letters
 from riskspan.llm.common import small_batches, stored, worker_cache
 
-CACHE_WORDS = 150_000
+# words, and pretokens, of each of two generations in the cache
+CACHE_WORDS = 100_000
+# documents whose words are looked up together (a batch is bounded in bytes as well)
+DOCS_AT_ONCE = 2048
 # ASCII separators that str.split() takes for white space and the tokenizer does not
-_SEPARATORS = ("\x1c", "\x1d", "\x1e", "\x1f")
+_SEPARATORS = re.compile("[\x1c-\x1f]")
+# texts without these have the ids of their lower case (below U+0250 it goes letter by letter)
+_ODD = re.compile("[\u0130\u0250-\U0010ffff]|<\\|")
 # FIXED VALUES: the published pattern that splits a word into pretokens
 _PRETOKENS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+# a word of letters, with signs behind it or not, that splits into these two parts
+_SIMPLE = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]{1,100})([.,;:!?)\"]*)")
 _NEVER = 1 << 62
+
+
+def _plain(text: str) -> bool:
+    return "<|" not in text if text.isascii() else not _ODD.search(text)
+
+
 _SLOTS, _SPREAD, _SHIFT = 1 << 18, 0x1E3779B97F4A7C15, 40
 
 
@@ -70,8 +84,8 @@ class WordEncoder:
         self.inner, self.last = np.zeros(256, np.int64), np.zeros(256, np.int64)
         for letter, byte in byte_letters().items():
             self.inner[byte], self.last[byte] = vocab[letter], vocab[letter + end]
-        self.known: dict[str, bytes] = {}
-        self.cached: dict[str, bytes] = {}
+        self.known, self.known_before = {}, {}
+        self.cached, self.cached_before = {}, {}
 
     def _by_library(self, texts: list[str]) -> list[bytes]:
         if self.library is None:
@@ -136,35 +150,57 @@ class WordEncoder:
         return out
 
     def _learn(self, new: list[str]):
-        known, cached, find = self.known, self.cached, _PRETOKENS.findall
-        other, split, fresh = [], [], set()
+        """Ids of new words; a word is one or two pretokens most of the time."""
+        known, find, simple = self.known, _PRETOKENS.findall, _SIMPLE.fullmatch
+        alone, pairs, other, split, fresh = [], [], [], [], set()
         for word in new:
+            parts = simple(word)
+            if parts:
+                if parts[2]:
+                    pairs.append((word, parts[1].lower(), parts[2]))
+                else:
+                    alone.append(word)
             # below U+0250 texts are in normal form and lower case goes letter by letter
-            if len(word) > 100 or "<|" in word or not (word.isascii() or max(word) < "\u0250" and "\u0130" not in word):
+            elif len(word) > 100 or "<|" in word or not (word.isascii() or max(word) < "\u0250" and "\u0130" not in word):
                 other.append(word)
-                continue
-            tokens = find(word.lower())
-            split.append((word, tokens))
-            fresh.update(tokens)
+            else:
+                tokens = find(word.lower())
+                split.append((word, tokens))
+                fresh.update(tokens)
+        lower = "\n".join(alone).lower().split("\n") if alone else []
+        fresh.update(lower)
+        fresh.update([p[1] for p in pairs], [p[2] for p in pairs])
+        if len(self.cached) > CACHE_WORDS:
+            self.cached, self.cached_before = {}, self.cached
+        cached = self.cached
+        fresh.difference_update(cached)
+        for token in fresh & self.cached_before.keys():
+            cached[token] = self.cached_before[token]
+            fresh.discard(token)
         by_size: dict[int, list[str]] = {}
-        for token in fresh.difference(cached):
-            by_size.setdefault(len(token.encode("utf-8")), []).append(token)
+        for token in fresh:
+            by_size.setdefault(len(token) if token.isascii() else len(token.encode("utf-8")), []).append(token)
         for size, tokens in by_size.items():
             data = np.frombuffer("".join(tokens).encode("utf-8"), np.uint8).reshape(len(tokens), size)
             cached.update(zip(tokens, self._merge_all(data)))
+        known.update(zip(alone, map(cached.__getitem__, lower)))
+        for word, x, y in pairs:
+            known[word] = cached[x] + cached[y]
         for word, tokens in split:
-            known[word] = cached[tokens[0]] if len(tokens) == 1 else b"".join([cached[t] for t in tokens])
+            known[word] = b"".join([cached[t] for t in tokens])
         known.update(zip(other, self._by_library(other) if other else []))
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        split = [None if any(c in t for c in _SEPARATORS) else t.split() for t in texts]
+        split = [None if _SEPARATORS.search(t) else (t.lower() if _plain(t) else t).split() for t in texts]
         words = set().union(*[w for w in split if w]) if split else set()
-        if len(self.known) > CACHE_WORDS:  # keep what these texts use
-            self.known = {w: self.known[w] for w in words if w in self.known}
-        if len(self.cached) > CACHE_WORDS:
-            self.cached = {}
-        self._learn(list(words.difference(self.known)))
+        if len(self.known) > CACHE_WORDS:
+            self.known, self.known_before = {}, self.known
+        words.difference_update(self.known)
+        for word in words & self.known_before.keys():
+            self.known[word] = self.known_before[word]
+            words.discard(word)
+        self._learn(list(words))
         known = self.known
         return [self._by_library([t])[0] if w is None else b"".join([known[x] for x in w])
                 for t, w in zip(texts, split)]
@@ -182,8 +218,8 @@ def _pieces(path: str, capacity: int, closing: int, with_ids: bool):
         enc = encoder(path)
         close = np.asarray([closing], "<u4").tobytes()
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for at in range(0, batch.num_rows, DOCS_AT_ONCE):
+                part = batch.slice(at, DOCS_AT_ONCE)
                 docs, texts = part["doc_id"].to_pylist(), [t or "" for t in part["text"].to_pylist()]
                 rows: list[tuple] = []
                 for doc, ids in zip(docs, enc.ids(texts)):
