@@ -394,3 +394,45 @@ CVE_SUBTABLES = {
     "cve_product": ["vendor", "product", "prod_status", "prod_defaultStatus", "prod_version", "prod_version_type",
                     "prod_lessThan", "prod_lessThanOrEqual", "cpe"],
 }
+
+# FIXED VALUES: column types of the weakness subtables; the label that platform rows carry
+CWE_SUBTABLE_TYPES = {
+    "related cwe table": {"string": ["cwe_id", "cwe_related_id"], "category": ["cwe_nature_of_rel", "source_table"]},
+    "cwe consequence table": {"string": ["cwe_id", "cwe_consequence_scope", "cwe_consequence_impact", "cwe_consequence_note"],
+                              "category": ["source_table"]},
+    "cwe detection table": {"string": ["cwe_id", "cwe_detect_desc", "cwe_detect_effect_notes"],
+                            "category": ["cwe_detect_method", "cwe_detect_effectiveness", "source_table"]},
+    "cwe mitigation table": {"string": ["cwe_id", "cwe_miti_desc", "cwe_miti_effect_notes"],
+                             "category": ["cwe_miti_phase", "cwe_miti_effect", "source_table"]},
+    "cwe platform table": {"string": ["cwe_id"], "category": ["type", "name", "class", "prevalence", "source_table"]},
+}
+CWE_PLATFORM_SOURCE = "related_cwe_table"
+
+# FIXED VALUES: column types of the cleaned tables, and list columns of which the first item counts
+CVE_TYPES = {
+    "string": ["cve_id", "cve_desc", "solution", "cvss_v2_vector", "cvss_v3_vector", "cvss_v4_vector"],
+    "float": ["cvss"],
+    "datetime": ["mitre_cve_res_date", "public_date"],
+    "boolean": ["kev"],
+}
+
+CVE_FIRST_ITEM = ["cve_id", "cve_desc", "cve_state", "cve_discovery",
+                  "ssvc_exploitation", "ssvc_automatable", "ssvc_tech_impact"]
+
+NVD_TYPES = {"string": ["cve_id", "cvss_vector"], "datetime": ["date_published"],
+             "float": ["cvss"], "category": ["cvss_src"]}
+
+KEV_TYPES = {"string": ["cve_id", "vendor", "product", "cve_name", "cve_short_desc",
+                        "required_action", "notes"],
+             "datetime": ["kev_date_published", "due_date"], "category": ["known_use"]}
+
+POC_TYPES = {"string": ["cve_id"], "integer": ["exploit_count", "poc_forks"],
+             "datetime": ["earliest_date"], "category": ["poc_visibility"]}
+
+# FIXED VALUES: ICS advisory column renames
+ICS_RENAMES = {"cve_description": "cve_desc", "u_sys_created": "advisory_date", "u_sfp_cluster": "sfp_id",
+               "u_old_cat": "cwe_name", "u_new_cat": "new_cwe_cat", "u_other_cat": "impossible_to_cat_cwes",
+               "u_product_type": "product_type"}
+
+# FIXED VALUES: version that a CVSS column name stands for
+CVSS_COLUMN_VERSIONS = {"v2": "V2", "v3": "V3", "v3_1": "V3_1", "v4": "V4"}

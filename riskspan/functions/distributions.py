@@ -54,6 +54,32 @@ def log_norm_sf(x: Column) -> Column:
     return F.when(x >= 0, tail).otherwise(F.log1p(-F.exp(tail)))
 
 
+# FIXED VALUES: Wichura's normal quantile AS 241 (published constants): middle and tails
+_PPF_MIDDLE = ([3.3871328727963666080e0, 1.3314166789178437745e2, 1.9715909503065514427e3, 1.3731693765509461125e4,
+                4.5921953931549871457e4, 6.7265770927008700853e4, 3.3430575583588128105e4, 2.5090809287301226727e3],
+               [1.0, 4.2313330701600911252e1, 6.8718700749205790830e2, 5.3941960214247511077e3,
+                2.1213794301586595867e4, 3.9307895800092710610e4, 2.8729085735721942674e4, 5.2264952788528545610e3])
+_PPF_TAIL = ([1.42343711074968357734e0, 4.63033784615654529590e0, 5.76949722146069140550e0, 3.64784832476320460504e0,
+              1.27045825245236838258e0, 2.41780725177450611770e-1, 2.27238449892691845833e-2, 7.74545014278341407640e-4],
+             [1.0, 2.05319162663775882187e0, 1.67638483018380384940e0, 6.89767334985100004550e-1,
+              1.48103976427480074590e-1, 1.51986665636164571966e-2, 5.47593808499534494600e-4, 1.05075007164441684324e-9])
+
+
+def ppf_sql(p: str) -> str:
+    """SQL of the normal quantile of ``p`` between e**-25 and 1 - e**-25."""
+    def ratio(coefs, r):
+        def poly(cs):
+            out = repr(cs[-1])
+            for c in reversed(cs[:-1]):
+                out = f"({out} * {r} + {c!r})"
+            return out
+        return f"{poly(coefs[0])} / {poly(coefs[1])}"
+    q = f"({p} - 0.5)"
+    middle = f"{q} * {ratio(_PPF_MIDDLE, f'(0.180625 - {q} * {q})')}"
+    tail = ratio(_PPF_TAIL, f"(sqrt(-ln(least({p}, 1 - {p}))) - 1.6)")
+    return f"(case when abs({q}) <= 0.425 then {middle} else sign({q}) * {tail} end)"
+
+
 def norm_ppf(p: float) -> float:
     from statistics import NormalDist
     return NormalDist().inv_cdf(p)

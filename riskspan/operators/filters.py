@@ -3,7 +3,7 @@ checks (P14)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskspan.catalog import CASE_INSENSITIVE_KEYWORDS, CASE_SENSITIVE_KEYWORDS
@@ -36,8 +36,8 @@ def keyword_filter(df: DataFrame, field: str, sensitive=CASE_SENSITIVE_KEYWORDS,
 
     A plain ``filter(matched.isNotNull())`` is pushed below the projection
     and the regex scan runs twice per text; emitting the 0-or-1 hit through
-    ``explode`` keeps it to one evaluation.  The regex is CPU-bound, so an
-    input with fewer partitions than cores is spread first.
+    ``explode`` keeps it to one evaluation.  The regex is CPU-bound: a caller
+    whose input has fewer partitions than cores deals it out first.
     """
     if field not in df.columns:
         raise ValueError(f'Column "{field}" not found in DataFrame.')
@@ -60,10 +60,16 @@ def hash_sample(df: DataFrame, key: str, fraction: float, seed: int = 1945) -> D
     return df.filter(_seeded(key, seed) < fraction * (1 << 32))
 
 
-def hash_sample_n(df: DataFrame, key: str, n: int, seed: int = 1945) -> DataFrame:
-    """Fixed-size sample: the n rows with the smallest seeded hash (a top-n,
-    computed as per-partition top-n then a final merge)."""
-    return df.orderBy(_seeded(key, seed), F.col(key)).limit(n)
+def hash_sample_n(df: DataFrame, key: str, n: int, seed: int = 1945, group_cols: list[str] | tuple = ()) -> DataFrame:
+    """Fixed-size sample: the n rows with the smallest seeded hash, of every
+    group where ``group_cols`` are given.  Rows of one key are told apart by
+    their whole content, so the cut is the same in every run.  Each task passes
+    on n rows (of a group) at most."""
+    order = [_seeded(key, seed), F.col(key), F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])]
+    if not group_cols:
+        return df.orderBy(*order).limit(n)
+    nth = F.row_number().over(Window.partitionBy(*group_cols).orderBy(*order))
+    return df.withColumn("_nth", nth).where(F.col("_nth") <= n).drop("_nth")
 
 
 # P14 -------------------------------------------------------------------------

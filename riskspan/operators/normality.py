@@ -12,14 +12,11 @@ from __future__ import annotations
 
 import math
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from riskspan.catalog import AD_CRITICAL_BASE, AD_SIGNIFICANCE
-from riskspan.functions.distributions import log_norm_sf, norm_cdf, norm_ppf
+from riskspan.functions.distributions import log_norm_sf, norm_cdf, norm_ppf, norm_sf, ppf_sql
 from riskspan.operators.ranks import value_ranks
 
 
@@ -71,77 +68,70 @@ def ks_standard_normal(df: DataFrame, col: str, group_cols=()) -> DataFrame:
 
 
 # A20 ------------------------------------------------------------------------
-def _swilk(x: np.ndarray):
-    """Shapiro-Wilk W and p-value (Royston's approximation, n in 3..5000)."""
-    x = np.sort(np.asarray(x, dtype=float))
-    n = len(x)
-    if n < 3:
-        return float("nan"), float("nan")
-    rng = x[-1] - x[0]
-    if rng <= 0:
-        return float("nan"), float("nan")
-    m = np.array([norm_ppf((i - 0.375) / (n + 0.25)) for i in range(1, n + 1)])
-    mm = float(np.sum(m * m))
-    u = 1.0 / math.sqrt(n)
-    a = np.zeros(n)
-    if n == 3:
-        a[-1] = math.sqrt(0.5)
-    else:
-        c = m / math.sqrt(mm)
-        an = c[-1] + 0.221157 * u - 0.147981 * u**2 - 2.071190 * u**3 + 4.434685 * u**4 - 2.706056 * u**5
-        if n > 5:
-            an1 = c[-2] + 0.042981 * u - 0.293762 * u**2 - 1.752461 * u**3 + 5.682633 * u**4 - 3.582633 * u**5
-            phi = (mm - 2 * m[-1] ** 2 - 2 * m[-2] ** 2) / (1 - 2 * an**2 - 2 * an1**2)
-            a = m / math.sqrt(phi)
-            a[-1], a[-2] = an, an1
-        else:
-            phi = (mm - 2 * m[-1] ** 2) / (1 - 2 * an**2)
-            a = m / math.sqrt(phi)
-            a[-1] = an
-        a[: n // 2] = -a[::-1][: n // 2]
-    a[0] = -a[-1]
-    if n % 2 == 1:
-        a[n // 2] = 0.0
-    w = float(np.dot(a, x) ** 2 / np.sum((x - x.mean()) ** 2))
-    w = min(w, 1.0)
-    if n == 3:
-        p = max(0.0, 6.0 / math.pi * (math.asin(math.sqrt(w)) - math.asin(math.sqrt(0.75))))
-        return w, p
-    if n <= 11:
-        gamma = 0.459 * n - 2.273
-        mu = 0.544 - 0.39978 * n + 0.025054 * n**2 - 0.0006714 * n**3
-        sig = math.exp(1.3822 - 0.77857 * n + 0.062767 * n**2 - 0.0020322 * n**3)
-        y = -math.log(gamma - math.log1p(-w)) if w < 1 else float("inf")
-    else:
-        ln = math.log(n)
-        mu = -1.5861 - 0.31082 * ln - 0.083751 * ln**2 + 0.0038915 * ln**3
-        sig = math.exp(-0.4803 - 0.082676 * ln + 0.0030302 * ln**2)
-        y = math.log1p(-w) if w < 1 else float("-inf")
-    z = (y - mu) / sig
-    p = 0.5 * math.erfc(z / math.sqrt(2.0))
-    return w, p
+# FIXED VALUES: Royston's polynomials (AS R94): the two end weights in 1/sqrt(n), and the
+# normalizing transformation of W for up to 11 values (in n) and beyond (in ln n)
+LAST_WEIGHT = [0.0, 0.221157, -0.147981, -2.071190, 4.434685, -2.706056]
+NEXT_WEIGHT = [0.0, 0.042981, -0.293762, -1.752461, 5.682633, -3.582633]
+FEW_GAMMA, FEW_MEAN, FEW_LOG_SD = [-2.273, 0.459], [0.544, -0.39978, 0.025054, -0.0006714], [1.3822, -0.77857, 0.062767, -0.0020322]
+MANY_MEAN, MANY_LOG_SD = [-1.5861, -0.31082, -0.083751, 0.0038915], [-0.4803, -0.082676, 0.0030302]
+
+
+def poly_sql(coefs: list[float], x: str) -> str:
+    out = repr(coefs[-1])
+    for c in reversed(coefs[:-1]):
+        out = f"({out} * {x} + {c!r})"
+    return out
+
+
+def swilk_sql() -> dict[str, str]:
+    """W, and the normal score of its p-value, from sums over the ordered
+    values of a group: n, mm = sum of squared expected order statistics m, mx
+    = sum of m * x, ml and mk the largest two m, x1, x2, xk, xl the first and
+    last two values, ss the sum of squares about the mean."""
+    u = "(1 / sqrt(n))"
+    last = f"(case when n = 3 then sqrt(0.5) else ml / sqrt(mm) + {poly_sql(LAST_WEIGHT, u)} end)"
+    after = f"(mk / sqrt(mm) + {poly_sql(NEXT_WEIGHT, u)})"
+    # of the inner weights m / sqrt(phi) the outer places are taken out
+    one = f"(mm - 2 * ml * ml) / (1 - 2 * {last} * {last})"
+    two = f"(mm - 2 * ml * ml - 2 * mk * mk) / (1 - 2 * {last} * {last} - 2 * {after} * {after})"
+    slope = (f"(case when n = 3 then {last} * (xl - x1) when n <= 5 then (mx - ml * (xl - x1)) / sqrt({one}) + {last} * (xl - x1) "
+             f"else (mx - ml * (xl - x1) - mk * (xk - x2)) / sqrt({two}) + {last} * (xl - x1) + {after} * (xk - x2) end)")
+    few = f"(-ln({poly_sql(FEW_GAMMA, 'n')} - ln(1 - w)) - ({poly_sql(FEW_MEAN, 'n')})) / exp({poly_sql(FEW_LOG_SD, 'n')})"
+    many = f"(ln(1 - w) - ({poly_sql(MANY_MEAN, 'ln(n)')})) / exp({poly_sql(MANY_LOG_SD, 'ln(n)')})"
+    return {"w": f"least(1.0, {slope} * {slope} / ss)", "z": f"(case when n <= 11 then {few} else {many} end)"}
 
 
 def shapiro_wilk(df: DataFrame, col: str, group_cols=(), max_n: int = 5000) -> DataFrame:
-    """Per group: n, W and p.  Null W and p where a group has more than
-    ``max_n`` values (the approximation ends there) or fewer than three;
-    only groups within the limit are gathered."""
+    """Per group: n, W and p (Royston's approximation).  Null W and p where a
+    group has more than ``max_n`` values (the approximation ends there), fewer
+    than three, or equal values only; only groups within the limit are ordered.
+
+    The weights of the statistic follow from a value's place, so W is one
+    grouped aggregate over (place, value).
+    """
     g = list(group_cols)
     gnames = g if g else ["_g"]
     base = df if g else df.withColumn("_g", F.lit(0))
-    base = base.select(*gnames, F.col(col).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    sizes = base.groupBy(*gnames).agg(F.count(F.lit(1)).alias("n"))
-    out_schema = T.StructType([base.schema[c] for c in gnames] + [
-        T.StructField("statistic", T.DoubleType()), T.StructField("p_value", T.DoubleType())])
-
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        w, p = _swilk(pdf["_v"].to_numpy())
-        return pd.DataFrame([{c: pdf[c].iloc[0] for c in gnames} | {"statistic": w, "p_value": p}])
-
-    small = base.join(sizes.where(F.col("n") <= max_n), gnames, "left_semi")
-    tested = small.groupBy(*gnames).applyInPandas(fn, out_schema)
-    finite = [F.when(~F.isnan(c), F.col(c)).alias(c) for c in ("statistic", "p_value")]
-    return sizes.join(tested, gnames, "left").select(*g, "n", *finite)
+    base = base.select(*gnames, F.col(col).cast("double").alias("x")).filter(F.col("x").isNotNull() & ~F.isnan("x"))
+    sizes = base.groupBy(*gnames).agg(F.count(F.lit(1)).alias("n"), F.avg("x").alias("mean"))
+    small = base.join(sizes.where(F.col("n").between(3, max_n)), gnames)
+    placed = small.withColumn("i", F.row_number().over(Window.partitionBy(*gnames).orderBy("x"))) \
+        .withColumn("m", F.expr(ppf_sql("(i - 0.375D) / (n + 0.25D)")))
+
+    def at(place, name):
+        return F.max(F.when(F.col("i") == place, F.col(name)))
+
+    n = F.col("n")
+    sums = placed.groupBy(*gnames, "n").agg(
+        F.sum(F.col("m") * F.col("m")).alias("mm"), F.sum(F.col("m") * F.col("x")).alias("mx"), at(n, "m").alias("ml"), at(n - 1, "m").alias("mk"),
+        at(F.lit(1), "x").alias("x1"), at(F.lit(2), "x").alias("x2"), at(n - 1, "x").alias("xk"), at(n, "x").alias("xl"),
+        F.sum((F.col("x") - F.col("mean")) * (F.col("x") - F.col("mean"))).alias("ss"))
+    sql = swilk_sql()
+    tested = sums.where("xl > x1").withColumn("w", F.expr(sql["w"])).withColumn("z", F.when(F.col("w") < 1, F.expr(sql["z"])))
+    exact = F.greatest(F.lit(0.0), 6 / math.pi * (F.asin(F.sqrt("w")) - math.asin(math.sqrt(0.75))))
+    p = F.when(n == 3, exact).when(F.col("z").isNotNull(), norm_sf(F.col("z"))).otherwise(F.lit(1.0))
+    return sizes.select(*gnames, "n").join(tested.select(*gnames, F.col("w").alias("statistic"), p.alias("p_value")), gnames, "left") \
+        .select(*g, "n", "statistic", "p_value")
 
 
 # A23 ------------------------------------------------------------------------

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskspan.catalog import (COMPILED_COLUMNS, CVE_CATEGORY_MAP, CVE_SUBTABLES, CVSS_COMPILE_MAP,
-                              KEV_RENAMES, NVD_VERSION_LABELS)
+from riskspan.catalog import (COMPILED_COLUMNS, CVE_CATEGORY_MAP, CVE_FIRST_ITEM, CVE_SUBTABLES, CVE_TYPES, CVSS_COMPILE_MAP,
+                              ICS_RENAMES, KEV_RENAMES, KEV_TYPES, NVD_TYPES, NVD_VERSION_LABELS, POC_TYPES)
 from riskspan.functions import clean as C
 from riskspan.functions import cvss as V
 from riskspan.functions.dates import add_days, days_between, earliest_date
@@ -15,15 +15,6 @@ from riskspan.operators.joins import left_join_indicator
 from riskspan.sources import files as FS
 from riskspan.sources import nested as N
 
-CVE_TYPES = {
-    "string": ["cve_id", "cve_desc", "solution", "cvss_v2_vector", "cvss_v3_vector", "cvss_v4_vector"],
-    "float": ["cvss"],
-    "datetime": ["mitre_cve_res_date", "public_date"],
-    "boolean": ["kev"],
-}
-
-CVE_FIRST_ITEM = ["cve_id", "cve_desc", "cve_state", "cve_discovery",
-                  "ssvc_exploitation", "ssvc_automatable", "ssvc_tech_impact"]
 CVE_SUBTABLE_COLS = [c for cols in CVE_SUBTABLES.values() for c in cols]
 
 
@@ -133,10 +124,6 @@ def cve_scores(df: DataFrame) -> DataFrame:
 
 
 # Q12 ------------------------------------------------------------------------
-NVD_TYPES = {"string": ["cve_id", "cvss_vector"], "datetime": ["date_published"],
-             "float": ["cvss"], "category": ["cvss_src"]}
-
-
 def nvd_clean(df: DataFrame) -> DataFrame:
     df = (df.withColumn("cvss_version", C.replace_values("cvss_version", NVD_VERSION_LABELS))
             .withColumnRenamed("cvss_version", "cvss_src")
@@ -146,11 +133,6 @@ def nvd_clean(df: DataFrame) -> DataFrame:
 
 
 # Q10 ------------------------------------------------------------------------
-KEV_TYPES = {"string": ["cve_id", "vendor", "product", "cve_name", "cve_short_desc",
-                        "required_action", "notes"],
-             "datetime": ["kev_date_published", "due_date"], "category": ["known_use"]}
-
-
 def kev_clean(df: DataFrame) -> DataFrame:
     df = df.withColumnsRenamed({k: v for k, v in KEV_RENAMES.items() if k in df.columns})
     df = C.convert_types(df, KEV_TYPES)
@@ -160,10 +142,6 @@ def kev_clean(df: DataFrame) -> DataFrame:
 
 
 # Q9 -------------------------------------------------------------------------
-POC_TYPES = {"string": ["cve_id"], "integer": ["exploit_count", "poc_forks"],
-             "datetime": ["earliest_date"], "category": ["poc_visibility"]}
-
-
 def poc_clean(df: DataFrame) -> DataFrame:
     """Validate IDs (topics list as backup), keep valid rows, drop listing
     detail columns, dedupe, trim, types."""
@@ -216,11 +194,6 @@ def compiled_dataset(exploits: DataFrame, cves: DataFrame, epss: DataFrame,
 
 
 # Q13 ------------------------------------------------------------------------
-ICS_RENAMES = {"cve_description": "cve_desc", "u_sys_created": "advisory_date", "u_sfp_cluster": "sfp_id",
-               "u_old_cat": "cwe_name", "u_new_cat": "new_cwe_cat", "u_other_cat": "impossible_to_cat_cwes",
-               "u_product_type": "product_type"}
-
-
 def ics_clean(df: DataFrame) -> DataFrame:
     df = C.drop_by_pattern(df, prefixes=("cvss_",), suffixes=("Impact", "Priv", "Required", "updated"),
                            names=("accessVector", "complexity"))

@@ -14,7 +14,7 @@ from riskspan.operators.cohorts import METHODS, cohort_mask, cohort_matrix
 from riskspan.plans.fixtures import cte, fx
 from riskspan.plans.registry import query
 
-# the cohorts of the analysis: name and condition (the same text on both engines)
+# FIXED VALUES: the cohorts of the analysis, name and condition (the same text on both engines)
 COHORTS = {
     "full_dataset": "true",
     "cvss>=7": "cvss_score >= 7.0",
@@ -33,6 +33,7 @@ COHORTS = {
     "time_to_patch>90": "time_to_patch > 90",
     "high_risk": "high_risk = 1",
 }
+# FIXED VALUES: conditions that are counted in each cohort
 COUNTS = {
     "cvss_geq_7": "cvss_score >= 7",
     "exploitability_geq_5": "exploitability_score >= 5",
@@ -46,6 +47,7 @@ def _coded(c: str, codes: dict[str, int]) -> str:
     return f"(case {c} " + " ".join(f"when '{k}' then {v}" for k, v in codes.items()) + " end)"
 
 
+# FIXED VALUES: codes of answers, and values that are averaged
 YES_NO = {"Yes": 1, "No": 2}
 MEANS = {
     "days_to_publish": "days_to_publish",
@@ -68,6 +70,7 @@ MEANS = {
     "threat_actor_attribution": "threat_actor_attribution",
     "securegrid_score": "securegrid_score",
 }
+# FIXED VALUES: columns that are correlated, and with what
 COLUMNS = {
     "cvss": "cvss_score",
     "exploitability_score": "exploitability_score",

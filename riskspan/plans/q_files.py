@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from riskspan.catalog import CVE_FIELD_PATHS, CVE_SUBTABLES
+from riskspan.catalog import CVE_FIELD_PATHS, CVE_SUBTABLES, CWE_PLATFORM_SOURCE
 from riskspan.functions import clean as C
 from riskspan.functions.numeric import impute_scores
 from riskspan.plans.fixtures import cte, cve_id_sql, fx, register_tables, table
@@ -169,22 +169,99 @@ def q_cve_deep_search(spark, sf):
     return docs.select("k", *[F.array_join(N.deep_search("doc", paths), "|").alias(c) for c, paths in found.items()])
 
 
-# S10 (rows-only)
-@query("cwe_xml_scan")
-def q_cwe_xml_scan(spark, sf):
+def _weaknesses(spark, sf):
+    """Weakness elements of a written catalogue of XML files."""
     path = scratch_dir(spark, "cwexml")
     W.write_weakness_catalog(W.weakness_xml(fx(spark, sf, "fx_cwe")), "conv_id", path)
-    return W.extract_weaknesses(W.read_weaknesses(spark, path)).select(
-        "cwe_id", "cwe_name", F.length("cwe_desc").alias("desc_chars"), "cwe_desc_extended",
-        F.array_join("cwe_related_id", ",").alias("related"), F.array_join("cwe_consequence_scope", ",").alias("scope"))
+    return W.read_weaknesses(spark, path)
+
+
+def _lead(c: str) -> str:
+    return f"coalesce(trim(regexp_extract({c}, '^[^<]*')), '')"
+
+
+def _over_turns(item: str, rows: str = "range(1, len(roles) + 1)") -> str:
+    return f"list_transform({rows}, lambda i: {item})"
+
+
+FIRST_TWO = "range(1, least(len(roles), 2) + 1)"
+CWE_LISTS = {
+    "cwe_related_id": _over_turns("cast(conv_id * 100 + i - 1 as varchar)"), "cwe_nature_of_rel": "roles",
+    "cwe_consequence_scope": "roles", "cwe_consequence_impact": _over_turns("concat('Read ', roles[i])"), "cwe_consequence_note": _over_turns("''"),
+    "cwe_detect_method": "roles", "cwe_detect_desc": _over_turns("concat('Check ', i - 1)"), "cwe_detect_effectiveness": _over_turns("'High'"),
+    "cwe_detect_effect_notes": _over_turns("case when i % 2 = 1 then 'None' else '' end"),
+    "cwe_miti_phase": _over_turns("roles[i]", FIRST_TWO), "cwe_miti_desc": _over_turns("concat('Fix ', i - 1)", FIRST_TWO),
+    "cwe_miti_effect": _over_turns("''", FIRST_TWO), "cwe_miti_effect_notes": _over_turns("''", FIRST_TWO)}
+CWE_SCALARS = {"cwe_id": "cast(conv_id as varchar)", "cwe_name": "roles[1]", "cwe_desc": _lead("texts[1]"), "cwe_desc_extended": _lead("texts[2]"),
+               "cwe_bg_details": "concat('Known since ', conv_id % 30 + 1990)", "cwe_introduction": "'Implementation'",
+               "cwe_exploit_likelihood": "case when len(roles) > 3 then 'High' else '' end"}
+
+
+# All fields, lists joined
+@query("cwe_xml_scan", cte("fx_cwe") + "select " + ", ".join([f"{e} as {c}" for c, e in CWE_SCALARS.items()] + [
+    f"array_to_string({e}, '|') as {c}" for c, e in CWE_LISTS.items()]) + " from fx_cwe")
+def q_cwe_xml_scan(spark, sf):
+    df = W.extract_weaknesses(_weaknesses(spark, sf))
+    return df.select(*[F.array_join(f.name, "|").alias(f.name) if f.dataType.typeName() == "array" else f.name for f in df.schema.fields])
+
+
+PLATFORM_SQL = """
+select {} as cwe_id, 'Language' as type, roles[1] as name, 'Not Language-Specific' as class, 'Undetermined' as prevalence {} from fx_cwe
+union all select {}, 'Technology', null, 'Web Based', 'Often' {} from fx_cwe"""
 
 
-# S11 from XML (rows-only)
-@query("cwe_platform_scan")
+# S11 from XML
+@query("cwe_platform_scan", cte("fx_cwe") + PLATFORM_SQL.format("cast(conv_id as varchar)", "", "cast(conv_id as varchar)", ""))
 def q_cwe_platform_scan(spark, sf):
-    path = scratch_dir(spark, "cwexml")
-    W.write_weakness_catalog(W.weakness_xml(fx(spark, sf, "fx_cwe")), "conv_id", path)
-    return W.extract_platforms(W.read_weaknesses(spark, path))
+    return W.extract_platforms(_weaknesses(spark, sf))
+
+
+def _cwe_tables(spark, sf):
+    """Q3 + Q4 + Q5: scan, extract, clean, save."""
+    return W.cwe_record_tables(_weaknesses(spark, sf), scratch_dir(spark, "cwe"))
+
+
+# Q3 + Q4
+@query("cwe_pipeline", cte("fx_cwe") + f"""
+select distinct concat('CWE-', conv_id) as cwe_id, {nulls(dtrim('roles[1]'))} as cwe_name, 'Implementation' as cwe_introduction,
+  case when len(roles) > 3 then 'High' end as cwe_exploit_likelihood,
+  {nulls(dtrim(f"trim(concat_ws(' ', {CWE_SCALARS['cwe_desc']}, {CWE_SCALARS['cwe_desc_extended']}, {CWE_SCALARS['cwe_bg_details']}))"))} as cwe_desc_combined
+from fx_cwe""")
+def q_cwe_pipeline(spark, sf):
+    return _cwe_tables(spark, sf)["cwe"]
+
+
+def _cwe_sub_sql(name: str) -> str:
+    cols = W.SUBTABLES[name]
+    return (cte("fx_cwe") + "select distinct cwe_id, " + ", ".join(f"{dtrim(nulls(c))} as {c}" for c in cols) + f", '{name}' as source_table from (select "
+            "concat('CWE-', conv_id) as cwe_id, " + ", ".join(f"unnest({CWE_LISTS[c]}) as {c}" for c in cols) + " from fx_cwe)")
+
+
+# Q3 + Q5: the cleaned subtables
+@query("cwe_related_table", _cwe_sub_sql("related cwe table"))
+def q_cwe_related_table(spark, sf):
+    return _cwe_tables(spark, sf)["related_cwe_table"]
+
+
+@query("cwe_consequence_table", _cwe_sub_sql("cwe consequence table"))
+def q_cwe_consequence_table(spark, sf):
+    return _cwe_tables(spark, sf)["cwe_consequence_table"]
+
+
+@query("cwe_detection_table", _cwe_sub_sql("cwe detection table"))
+def q_cwe_detection_table(spark, sf):
+    return _cwe_tables(spark, sf)["cwe_detection_table"]
+
+
+@query("cwe_mitigation_table", _cwe_sub_sql("cwe mitigation table"))
+def q_cwe_mitigation_table(spark, sf):
+    return _cwe_tables(spark, sf)["cwe_mitigation_table"]
+
+
+@query("cwe_platform_table", cte("fx_cwe") + PLATFORM_SQL.format(
+    "concat('CWE-', conv_id)", f", '{CWE_PLATFORM_SOURCE}' as source_table", "concat('CWE-', conv_id)", f", '{CWE_PLATFORM_SOURCE}'"))
+def q_cwe_platform_table(spark, sf):
+    return _cwe_tables(spark, sf)["cwe_platform_table"]
 
 
 # Q4

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from riskspan.catalog import CASE_INSENSITIVE_KEYWORDS, CASE_SENSITIVE_KEYWORDS
 from riskspan.operators import filters as P
 from riskspan.plans.fixtures import USER_CVE, cte, fx, register_tables, table
+from riskspan.plans.q_core import XDB_SQL
 from riskspan.plans.registry import query
 from riskspan.sources import nested as N
+from riskspan.sources.exploitdb import earliest_exploit
 from riskspan.sources import synth as Y
 
 
@@ -44,6 +46,16 @@ def q_hash_sample(spark, sf):
     return P.hash_sample(fx(spark, sf, "fx_cve"), "cve_id", 0.2).select("k", "cve_id")
 
 
+# Q15: a sample of the CVEs, each with its earliest exploit or none
+@query("exploit_sample_summary", cte("fx_cve", "fx_xdb_rows") + ", " + XDB_SQL + f""",
+picked as (select distinct cve_id from fx_cve where {SEEDED.format('cve_id')} < 0.2 * 4294967296)
+select p.cve_id, x.earliest_date, coalesce(x.exploit_count, 0) as exploit_count, coalesce(x.poc_code, 'NO') as poc_code,
+  x.first_poc_type, x.first_poc_platform, x.first_poc_port, x.verified from picked p left join xdb x using (cve_id)""")
+def q_exploit_sample_summary(spark, sf):
+    picked = P.hash_sample(fx(spark, sf, "fx_cve").select("cve_id"), "cve_id", 0.2)
+    return earliest_exploit(fx(spark, sf, "fx_xdb_rows"), picked)
+
+
 # P14
 @query("consistency_checks", cte("fx_cve", "fx_first_exploit", "fx_epss_hist") + """
 , e as (select f.cve_id, h.epss, case when day(f.earliest_date) % 5 = 0 then null else h.percentile end as percentile
@@ -185,7 +197,11 @@ def q_synth_generate(spark, sf):
     return Y.synth_generate(table(spark, sf, "customer"), "c_custkey", seed=1945)
 
 
-# P15 (rows-only)
-@query("type_profile")
+# P15
+@query("type_profile", """
+select case when props is null then 'null' when not json_valid(props) then 'not json'
+  when json_type(props) = 'OBJECT' then 'OBJECT<' || list_aggregate(list_transform(json_keys(props), lambda k: k || ': ' ||
+    case json_type(props, '$.' || k) when 'UBIGINT' then 'BIGINT' when 'VARCHAR' then 'STRING' else json_type(props, '$.' || k) end), 'string_agg', ', ') || '>'
+  else json_type(props) end as value_type, count(*) as count from events group by 1""")
 def q_type_profile(spark, sf):
     return N.type_profile(table(spark, sf, "events"), "props")

@@ -3,15 +3,20 @@
 from __future__ import annotations
 
 from functools import reduce
+from statistics import NormalDist
 
 from pyspark.sql import functions as F
 
 from riskspan.catalog import SCORE_BIN_EDGES
 from riskspan.operators import correlation as R
 from riskspan.operators import stats as S
+from riskspan.functions.distributions import ppf_sql
 from riskspan.operators.cohorts import cohort_matrix
+from riskspan.operators.normality import swilk_sql
 from riskspan.plans.fixtures import cte, fx, table
+from riskspan.plans.q_cohorts import normal_tail_sql
 from riskspan.plans.q_core import ID_RE
+from riskspan.plans.q_sources import SEEDED
 from riskspan.plans.registry import query
 
 PAIRS = [("cvss", "epss_0"), ("cvss", "days_to_exploit"), ("epss_0", "days_to_exploit")]
@@ -202,10 +207,17 @@ def q_null_profile(spark, sf):
     return df.select("column", "nulls", r6(F.col("pct")).alias("pct"))
 
 
-# A9 (rows-only check)
-@query("table_info")
+SPARK_TYPES = "case data_type when 'BIGINT' then 'bigint' when 'INTEGER' then 'int' when 'DOUBLE' then 'double' when 'VARCHAR' then 'string' when 'DATE' then 'date' when 'BOOLEAN' then 'boolean' else 'timestamp_ntz' end"
+INFO_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
+             "l_linestatus", "l_shipdate"]
+
+
+# A9
+@query("table_info", "\nunion all\n".join(f"""
+select (select count(*) from lineitem) as rows, '{c}' as "column", (select {SPARK_TYPES.replace('data_type', f'typeof({c})')} from lineitem limit 1) as dtype,
+  (select count({c}) from lineitem) as non_null""" for c in INFO_COLS))
 def q_table_info(spark, sf):
-    return S.table_info(table(spark, sf, "lineitem"))
+    return S.table_info(table(spark, sf, "lineitem").select(*INFO_COLS))
 
 
 # A10
@@ -455,35 +467,92 @@ def q_bootstrap_corr(spark, sf):
     return bootstrap_correlation(df, BOOTSTRAP_PAIRS)
 
 
-# A18 (rows-only)
-@query("anderson_darling")
+def _values_sql(c: str) -> str:
+    """Distinct values of a column, ascending, with their rank spans."""
+    return (f"select '{c}' as variable, cast({c} as double) as x, count(*) as t, sum(count(*)) over (order by {c}) - count(*) as b, "
+            f"sum(count(*)) over () as n from fx_risk where {c} is not null group by {c}")
+
+
+VARIABLES = ["cvss", "epss_0", "days_to_exploit"]
+VALUES_SQL = cte("fx_risk") + ", v as (" + " union all ".join(f"select * from ({_values_sql(c)})" for c in VARIABLES) + ")"
+# the normal distribution function by Simpson's rule
+CDF_SQL = f"(case when z < 0 then {normal_tail_sql('z')} / 2 else 1 - {normal_tail_sql('z')} / 2 end)"
+SF_SQL = f"(case when z < 0 then 1 - {normal_tail_sql('z')} / 2 else {normal_tail_sql('z')} / 2 end)"
+
+
+# A18
+@query("anderson_darling", VALUES_SQL + f""",
+m as (select variable, sum(t * x) / sum(t) as mean, sqrt((sum(t * x * x) - sum(t * x) * sum(t * x) / sum(t)) / (sum(t) - 1)) as sd from v group by variable),
+s as (select v.*, (x - mean) / sd as z from v join m using (variable)),
+l as (select *, ln({CDF_SQL}) as below, ln({SF_SQL}) as above from s),
+a as (select variable, max(n) as n, -max(n) - sum(t * (2 * b + t) * below + t * (2.0 * n - 2 * b - t) * above) / max(n) as a2 from l group by variable)
+select variable, cast(n as bigint) as n, round(a2, 1) as statistic, round(0.787 / (1 + 4.0 / n - 25.0 / (n * n)), 3) as critical_value, 5.0 as significance,
+  a2 > round(0.787 / (1 + 4.0 / n - 25.0 / (n * n)), 3) as reject_normal from a""")
 def q_anderson_darling(spark, sf):
     from riskspan.operators.normality import anderson_darling
     df = fx(spark, sf, "fx_risk")
-    return reduce(lambda a, b: a.unionByName(b), [
-        anderson_darling(df, c).select(F.lit(c).alias("variable"), "*") for c in ("cvss", "epss_0", "days_to_exploit")])
+    return reduce(lambda a, b: a.unionByName(b), [anderson_darling(df, c).select(F.lit(c).alias("variable"), "*") for c in VARIABLES]) \
+        .withColumn("statistic", F.round("statistic", 1))
 
 
-# A19 (rows-only)
-@query("ks_normal")
+# A19
+@query("ks_normal", VALUES_SQL + f""", s as (select *, x as z from v), c as (select *, {CDF_SQL} as f from s),
+d as (select variable, max(n) as n, max(greatest((b + t) / n - f, f - b / n)) as d from c group by variable),
+p as (select *, sqrt(n) * d as lam from d)
+select variable, cast(n as bigint) as n, round(d, 5) as statistic, round(case when lam < 0.2 then 1 else least(1, greatest(0,
+  2 * list_sum(list_transform(range(1, 101), lambda k: pow(-1, k - 1) * exp(-2 * k * k * lam * lam))))) end, 5) as p_value from p""")
 def q_ks_normal(spark, sf):
     from riskspan.operators.normality import ks_standard_normal
     df = fx(spark, sf, "fx_risk")
-    return reduce(lambda a, b: a.unionByName(b), [
-        ks_standard_normal(df, c).select(F.lit(c).alias("variable"), "*") for c in ("cvss", "epss_0", "days_to_exploit")])
-
-
-# A20 (rows-only)
-@query("shapiro_wilk")
+    return reduce(lambda a, b: a.unionByName(b), [ks_standard_normal(df, c).select(F.lit(c).alias("variable"), "*") for c in VARIABLES]) \
+        .withColumns({c: F.round(c, 5) for c in ("statistic", "p_value")})
+
+
+# tells the rows of an order apart
+ROW_KEY = ("concat(cast(l_orderkey as varchar(20)), " + ", ".join(
+    f"'-', cast(cast(round({c} * 100) as bigint) as varchar(20))" for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")) + ")")
+
+
+def _shapiro_sql() -> str:
+    sql = swilk_sql()
+    cols = "l_linenumber, variable"
+    return cte("fx_risk") + ", long as (" + " union all ".join(
+        f"select {ROW_KEY} as row_key, l_linenumber, '{c}' as variable, cast({c} as double) as x from fx_risk where {c} is not null"
+        for c in VARIABLES) + f"""),
+s as (select *, row_number() over (partition by {cols} order by {SEEDED.format("row_key")}, row_key) as nth from long),
+o as (select *, row_number() over (partition by {cols} order by x) as i, cast(count(*) over (partition by {cols}) as double) as n,
+      avg(x) over (partition by {cols}) as mean from s where nth <= 5000),
+m as (select *, {ppf_sql("((i - 0.375) / (n + 0.25))")} as m from o),
+g as (select {cols}, n, sum(m * m) as mm, sum(m * x) as mx, max(case when i = n then m end) as ml, max(case when i = n - 1 then m end) as mk,
+  max(case when i = 1 then x end) as x1, max(case when i = 2 then x end) as x2, max(case when i = n - 1 then x end) as xk, max(case when i = n then x end) as xl,
+  sum((x - mean) * (x - mean)) as ss from m group by {cols}, n),
+w as (select *, case when xl > x1 then {sql['w']} end as w from g), z as (select *, {sql['z']} as z from w)
+select {cols}, cast(n as bigint) as n, round(w, 5) as statistic,
+  round(case when w is null then null when z < 0 then 1 - {normal_tail_sql('z')} / 2 else {normal_tail_sql('z')} / 2 end, 5) as p_value from z"""
+
+
+# At most 5000 values of each group and variable, the sampling step before the test
+@query("shapiro_wilk", _shapiro_sql())
 def q_shapiro_wilk(spark, sf):
-    from riskspan.operators.normality import shapiro_wilk
     from riskspan.operators.filters import hash_sample_n
-    df = hash_sample_n(fx(spark, sf, "fx_risk"), "l_orderkey", 5000)  # the sampling step before the test
-    return shapiro_wilk(df, "cvss", ["l_linenumber"])
+    from riskspan.operators.normality import shapiro_wilk
+    values = F.explode(F.array(*[F.struct(F.lit(c).alias("variable"), F.col(c).cast("double").alias("value")) for c in VARIABLES])).alias("v")
+    long = fx(spark, sf, "fx_risk").select(F.expr(ROW_KEY).alias("row_key"), "l_linenumber", values) \
+        .select("row_key", "l_linenumber", "v.*").where("value is not null")
+    out = shapiro_wilk(hash_sample_n(long, "row_key", 5000, group_cols=["l_linenumber", "variable"]), "value", ["l_linenumber", "variable"])
+    return out.withColumns({c: F.round(c, 5) for c in ("statistic", "p_value")})
+
+
+QQ_POINTS = 100
 
 
-# A23 (rows-only)
-@query("qq_table")
+# A23
+@query("qq_table", cte("fx_risk") + f""", q as (
+  select unnest(range(1, {QQ_POINTS + 1})) as k, unnest({[round(NormalDist().inv_cdf((k - 0.5) / QQ_POINTS), 12) for k in range(1, QQ_POINTS + 1)]}) as theoretical,
+    unnest((select quantile_cont(epss_0, {[(k - 0.5) / QQ_POINTS for k in range(1, QQ_POINTS + 1)]}) from fx_risk)) as sample),
+m as (select avg(epss_0) as mean, stddev_samp(epss_0) as sd from fx_risk)
+select cast(k as int) as k, round(theoretical, 6) as theoretical, round(sample, 6) as sample, round(mean + sd * theoretical, 6) as fitted from q, m""")
 def q_qq_table(spark, sf):
     from riskspan.operators.normality import qq_table
-    return qq_table(fx(spark, sf, "fx_risk"), "epss_0", 100)
+    out = qq_table(fx(spark, sf, "fx_risk"), "epss_0", QQ_POINTS)
+    return out.select("k", *[r6(F.col(c)).alias(c) for c in ("theoretical", "sample", "fitted")])

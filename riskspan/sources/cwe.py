@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskspan.catalog import CWE_PLATFORM_SOURCE, CWE_SUBTABLE_TYPES
 from riskspan.functions import clean as C
 
 _ATTRS = "struct<_Name:string,_Class:string,_Prevalence:string>"
@@ -42,8 +43,8 @@ def _firsts(arr: Column, field: str) -> Column:
     return F.transform(F.coalesce(arr, F.array()), lambda e: lead_text(F.get(e[field], 0)))
 
 
-def extract_weaknesses(w: DataFrame) -> DataFrame:
-    """5 scalar + 15 list fields per weakness."""
+def extract_weaknesses(w: DataFrame, *more: Column) -> DataFrame:
+    """5 scalar + 15 list fields per weakness (and ``more`` columns)."""
     cons = F.col("Common_Consequences.Consequence")
     det = F.col("Detection_Methods.Detection_Method")
     mit = F.col("Potential_Mitigations.Mitigation")
@@ -69,17 +70,20 @@ def extract_weaknesses(w: DataFrame) -> DataFrame:
         _firsts(mit, "Phase").alias("cwe_miti_phase"),
         _firsts(mit, "Description").alias("cwe_miti_desc"),
         _firsts(mit, "Effectiveness").alias("cwe_miti_effect"),
-        _firsts(mit, "Effectiveness_Notes").alias("cwe_miti_effect_notes"),
+        _firsts(mit, "Effectiveness_Notes").alias("cwe_miti_effect_notes"), *more,
     )
 
 
+def _platforms(w: DataFrame) -> Column:
+    from riskspan.sources.nested import PLATFORM_TYPES
+    return F.concat(*[F.transform(F.coalesce(w[f"Applicable_Platforms.{t}"], F.array().cast(f"array<{_ATTRS}>")), _tagger(t))
+                      for t in PLATFORM_TYPES])
+
+
 def extract_platforms(w: DataFrame) -> DataFrame:
     """One row per platform element (cwe_id, type, name, class,
     prevalence)."""
-    from riskspan.sources.nested import PLATFORM_TYPES
-    tagged = F.concat(*[F.transform(F.coalesce(F.col(f"Applicable_Platforms.{t}"), F.array().cast(f"array<{_ATTRS}>")),
-                                    _tagger(t)) for t in PLATFORM_TYPES])
-    return w.select(F.trim("_ID").alias("cwe_id"), F.explode(tagged).alias("p")).select("cwe_id", "p.*")
+    return w.select(F.trim("_ID").alias("cwe_id"), F.explode(_platforms(w)).alias("p")).select("cwe_id", "p.*")
 
 
 def _tagger(t: str):
@@ -130,6 +134,31 @@ def subtable_clean(df: DataFrame, types: dict) -> DataFrame:
     return C.trim_strings(df)
 
 
+def platform_clean(platforms: DataFrame) -> DataFrame:
+    """Platform rows with prefixed ids and their label, cleaned as subtables are."""
+    df = platforms.withColumns({"cwe_id": C.prefix_id("cwe_id"), "source_table": F.lit(CWE_PLATFORM_SOURCE)})
+    return subtable_clean(df, CWE_SUBTABLE_TYPES["cwe platform table"])
+
+
+# Q3 + Q4 + Q5 -----------------------------------------------------------------
+def cwe_record_tables(weaknesses: DataFrame, folder: str) -> dict[str, DataFrame]:
+    """Weakness elements -> the cleaned table ``cwe`` and its five cleaned
+    subtables, saved under ``folder``.
+
+    The catalogue is parsed once: the extracted fields and platforms are
+    tables of their own, from which the others are made.  A subtable's id that
+    the main table lacks is an error.
+    """
+    from riskspan.sources.files import save_tables
+    raw = save_tables({"extracted": extract_weaknesses(weaknesses, _platforms(weaknesses).alias("platforms"))}, folder)["extracted"]
+    tables = {"cwe": cwe_clean(raw.drop("platforms"))}
+    for name, sub in cwe_subtables(raw).items():
+        tables[name.replace(" ", "_")] = subtable_clean(sub, CWE_SUBTABLE_TYPES[name])
+    rows = raw.select("cwe_id", F.explode("platforms").alias("p")).select("cwe_id", "p.*")
+    tables["cwe_platform_table"] = platform_clean(rows)
+    return save_tables(tables, folder, parent="cwe", key="cwe_id")
+
+
 # fixture: weakness records shaped like the extraction output --------------
 def weakness_records(cwe: DataFrame) -> DataFrame:
     """Extraction-shaped CWE rows from conversations (aligned lists)."""
@@ -173,6 +202,13 @@ def weakness_xml(cwe: DataFrame) -> DataFrame:
     cons = F.array_join(F.transform(turns, lambda t: F.concat(
         F.lit("<Consequence><Scope>"), t["role"], F.lit("</Scope><Scope>Other</Scope><Impact>Read "), t["role"],
         F.lit("</Impact></Consequence>"))), "")
+    detect = F.array_join(F.transform(turns, lambda t, i: F.concat(
+        F.lit("<Detection_Method><Method>"), t["role"], F.lit("</Method><Description>Check "), i.cast("string"),
+        F.lit("</Description><Effectiveness>High</Effectiveness>"),
+        F.when(i % 2 == 0, F.lit("<Effectiveness_Notes>None</Effectiveness_Notes>")).otherwise(F.lit("")), F.lit("</Detection_Method>"))), "")
+    mitigate = F.array_join(F.transform(F.slice(turns, 1, 2), lambda t, i: F.concat(
+        F.lit("<Mitigation><Phase>"), t["role"], F.lit("</Phase><Phase>Other</Phase><Description> Fix "), i.cast("string"),
+        F.lit("<p>later</p></Description></Mitigation>"))), "")
     xml = F.concat(
         F.lit('<Weakness ID="'), F.col("conv_id").cast("string"), F.lit('" Name="'), F.get("roles", 0), F.lit('">'),
         F.lit("<Description>"), _xml_escape(F.get("texts", 0)), F.lit("</Description>"),
@@ -180,6 +216,11 @@ def weakness_xml(cwe: DataFrame) -> DataFrame:
         F.lit("<p>details</p>tail</Extended_Description>"),
         F.lit("<Related_Weaknesses>"), rel, F.lit("</Related_Weaknesses>"),
         F.lit("<Common_Consequences>"), cons, F.lit("</Common_Consequences>"),
+        F.lit("<Background_Details><Background_Detail>Known since "), (F.col("conv_id") % 30 + 1990).cast("string"),
+        F.lit("</Background_Detail></Background_Details><Modes_Of_Introduction><Introduction><Phase>Implementation</Phase>"
+              "</Introduction></Modes_Of_Introduction>"),
+        F.when(F.size("roles") > 3, F.lit("<Likelihood_Of_Exploit> High </Likelihood_Of_Exploit>")).otherwise(F.lit("")),
+        F.lit("<Detection_Methods>"), detect, F.lit("</Detection_Methods><Potential_Mitigations>"), mitigate, F.lit("</Potential_Mitigations>"),
         F.lit('<Applicable_Platforms><Language Name="'), F.get("roles", 0),
         F.lit('" Class="Not Language-Specific" Prevalence="Undetermined"/><Technology Class="Web Based" '
               'Prevalence="Often"/></Applicable_Platforms>'),
