@@ -99,8 +99,11 @@ class Rolling:
     def times(self, a, b):
         return a * b
 
-    def reduced(self, codes: np.ndarray) -> np.ndarray:
-        return codes
+    def whole(self, x: np.ndarray) -> np.ndarray:
+        return x
+
+    def terms(self, codes: np.ndarray) -> np.ndarray:
+        return codes * self.power[:len(codes)]
 
     def summed(self, terms: np.ndarray) -> np.ndarray:
         return np.cumsum(terms, dtype=_U)
@@ -140,11 +143,10 @@ class Rolling:
         out = np.zeros(n + 1, dtype=_U)
         far = self._far(self.power, -(-n // self.KEPT)) if n > self.KEPT else None
         for k, lo in enumerate(range(0, n, self.KEPT)):
-            piece = self.reduced(codes[lo:lo + self.KEPT])
-            terms = self.times(piece, self.power[:len(piece)])
+            terms = self.terms(codes[lo:lo + self.KEPT])
             if k:
                 terms = self.times(terms, far[k])
-            out[lo + 1:lo + 1 + len(piece)] = self.plus(self.summed(terms), out[lo])
+            out[lo + 1:lo + 1 + len(terms)] = self.plus(self.summed(terms), out[lo])
         return out
 
     def spans(self, prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -156,7 +158,7 @@ class Rolling:
         else:
             far = self._far(self.back, len(prefix) // self.KEPT + 1)
             value = self.times(self.times(value, self.back[start % self.KEPT]), far[start // self.KEPT])
-        return mix64(value + (end - start).astype(_U))
+        return mix64(self.whole(value) + (end - start).astype(_U))
 
 
 class PrimeRolling(Rolling):
@@ -172,9 +174,20 @@ class PrimeRolling(Rolling):
         return pow(self.base, -1, self.P)
 
     def reduced(self, x: np.ndarray) -> np.ndarray:
-        x = (x & _U(self.P)) + (x >> _U(61))
+        """Below 2**61 + 8: enough for the next step, not yet the remainder."""
+        return (x & _U(self.P)) + (x >> _U(61))
+
+    def whole(self, x: np.ndarray) -> np.ndarray:
         return np.where(x >= _U(self.P), x - _U(self.P), x)
 
+    def terms(self, codes: np.ndarray) -> np.ndarray:
+        power = self.power[:len(codes)]
+        if codes.dtype != np.uint32:
+            return self.times(self.reduced(codes), power)
+        # codes below 2**29 need half of the products
+        cross = codes * (power >> _U(31))
+        return self.reduced((cross >> _U(30)) + ((cross & _U((1 << 30) - 1)) << _U(31)) + codes * (power & _U((1 << 31) - 1)))
+
     def times(self, a, b):
         # halves of 31 bits: (2**31 * x + y) * (2**31 * u + v), and 2**61 = 1
         low = _U((1 << 31) - 1)
@@ -194,13 +207,25 @@ class PrimeRolling(Rolling):
         return self.reduced(a + b)
 
     def minus(self, a, b):
-        return self.reduced(a + (_U(self.P) - b))
+        return self.reduced(a + (_U(2 * self.P) - b))
 
 
 # equality of both decides; the first alone holds for any texts
 ROLL_A = PrimeRolling(0x9E3779B97F4A7C15)
 ROLL_B = Rolling(0xC2B2AE3D27D4EB4F)
 CODE_A, CODE_B = byte_codes(0x51ED270B), byte_codes(0x2545F491)
+# codes of bytes for ROLL_A, all different
+SMALL_A = (CODE_A >> _U(35)).astype(np.uint32)
+
+
+def local_hashes(codes: np.ndarray, width: int) -> np.ndarray:
+    """A hash of every run of ``width`` codes, by doubling."""
+    have = 1
+    while have < width:
+        step = min(have, width - have)
+        codes = codes[:-step] * _U(0x9E3779B97F4A7C15) + codes[step:]
+        have += step
+    return codes
 
 
 def text_bytes(column) -> tuple[np.ndarray, np.ndarray]:
@@ -253,7 +278,7 @@ def words_of(raw: np.ndarray, offsets: np.ndarray):
 
 def word_codes(raw: np.ndarray, start: np.ndarray, end: np.ndarray, second: bool = False) -> np.ndarray:
     """A 64-bit code of every word; ``second``: another, unrelated one."""
-    roll, code = (ROLL_B, CODE_B) if second else (ROLL_A, CODE_A)
+    roll, code = (ROLL_B, CODE_B) if second else (ROLL_A, SMALL_A)
     return roll.spans(roll.prefix(code[raw]), start, end)
 
 

@@ -32,7 +32,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskspan.llm.common import CODE_A, CODE_B, ROLL_A, Rolling, carried, uncarried
+from riskspan.llm.common import CODE_A, CODE_B, ROLL_A, SMALL_A, carried, local_hashes, uncarried
 from riskspan.llm.repeats import Repeats, Slice
 
 TRIGGER = 8
@@ -40,10 +40,6 @@ PERIOD = 40
 CORE = 64
 
 
-# chooses triggers only; which bytes are equal is not its business
-ROLL_T = Rolling(0xD6E8FEB86659FD93)
-
-
 @dataclass
 class Parser:
     window: int
@@ -52,15 +48,14 @@ class Parser:
 
     def __call__(self, raw: np.ndarray, offsets: np.ndarray) -> Slice:
         n = len(raw)
-        a, codes = ROLL_A.prefix(CODE_A[raw]), partial(np.take, CODE_B, raw)
+        a, codes = ROLL_A.prefix(SMALL_A[raw]), partial(np.take, CODE_B, raw)
         none = np.zeros(0, np.int64)
         # windows x with x + window inside their text, as runs of places
         last = offsets[1:] - self.window + 1
         lo0, hi0 = offsets[:-1], np.maximum(last, offsets[:-1])
         if not (hi0 > lo0).any():
             return Slice((0, 0), offsets, a, codes, none, none, none, np.zeros(0, np.uint64))
-        spot = np.arange(n - TRIGGER + 1)
-        here = ROLL_T.spans(ROLL_T.prefix(CODE_A[raw]), spot, spot + TRIGGER)
+        here = local_hashes(CODE_A[raw], TRIGGER)
         phrase = np.flatnonzero(here < np.uint64((1 << 64) // self.period))
         # a trigger counts where its core lies in the same text
         text = np.searchsorted(offsets, phrase, "right") - 1
