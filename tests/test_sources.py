@@ -201,3 +201,38 @@ def test_extract_then_clean(spark):
     df = spark.createDataFrame([(json.dumps(doc),), (json.dumps(rejected),)], "doc string")
     rows = cve_clean(N.extract_cve_fields(df, "doc")).collect()
     assert [(r.cve_id, r.cvss, r.kev, r.cve_desc) for r in rows] == [("CVE-2024-1000", 10.0, True, "one")]
+
+
+def test_weakness_tables(spark):
+    d = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    open(f"{d}/cwe.xml", "w").write(
+        '<Weakness_Catalog><Weaknesses><Weakness ID="79" Name=" XSS "><Description>lead</Description>'
+        '<Related_Weaknesses><Related_Weakness Nature="ChildOf" CWE_ID="74"/></Related_Weaknesses>'
+        '<Detection_Methods><Detection_Method><Method>Fuzzing</Method><Effectiveness>High</Effectiveness>'
+        '<Effectiveness_Notes>None</Effectiveness_Notes></Detection_Method></Detection_Methods>'
+        '<Potential_Mitigations><Mitigation><Phase>Build</Phase><Phase>Test</Phase><Description> Do<b>x</b></Description></Mitigation>'
+        '</Potential_Mitigations><Applicable_Platforms><Language Name="C" Prevalence="Often"/></Applicable_Platforms>'
+        '</Weakness><Weakness ID="80" Name="Y"/></Weaknesses></Weakness_Catalog>')
+    folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    tables = W.cwe_record_tables(W.read_weaknesses(spark, d), folder)
+    assert sorted(os.listdir(folder)) == ["cwe", "cwe_consequence_table", "cwe_detection_table", "cwe_mitigation_table", "cwe_platform_table",
+                                          "extracted", "related_cwe_table"]
+    assert sorted(r.cwe_id for r in tables["cwe"].collect()) == ["CWE-79", "CWE-80"]
+    related = {(r.cwe_id, r.cwe_related_id, r.cwe_nature_of_rel) for r in tables["related_cwe_table"].collect()}
+    assert related == {("CWE-79", "74", "ChildOf"), ("CWE-80", None, None)}
+    found = tables["cwe_detection_table"].where("cwe_id = 'CWE-79'").first()
+    assert (found.cwe_detect_method, found.cwe_detect_effectiveness, found.cwe_detect_effect_notes) == ("Fuzzing", "High", None)
+    fix = tables["cwe_mitigation_table"].where("cwe_id = 'CWE-79'").first()
+    assert (fix.cwe_miti_phase, fix.cwe_miti_desc) == ("Build", "Do")
+    assert [tuple(r) for r in tables["cwe_platform_table"].collect()] == [("CWE-79", "Language", "C", None, "Often", "related_cwe_table")]
+
+
+def test_sample_with_its_summary(spark):
+    import datetime as dt
+    from riskspan.sources.exploitdb import earliest_exploit
+    day = dt.date(2020, 1, 2)
+    rows = spark.createDataFrame([("CVE-1", day, "remote", "linux", 0, 1), ("CVE-1", dt.date(2019, 5, 1), "local", "php", 80, 0)],
+                                 "cve_id string, date_published date, exploit_type string, platform string, port int, verified int")
+    cves = spark.createDataFrame([("CVE-1",), ("CVE-2",), ("CVE-2",)], "cve_id string")
+    got = {r.cve_id: (r.exploit_count, r.poc_code, r.first_poc_type, r.verified) for r in earliest_exploit(rows, cves).collect()}
+    assert got == {"CVE-1": (2, "YES", "LOCAL", False), "CVE-2": (0, "NO", None, None)}
