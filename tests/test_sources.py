@@ -236,3 +236,11 @@ def test_sample_with_its_summary(spark):
     cves = spark.createDataFrame([("CVE-1",), ("CVE-2",), ("CVE-2",)], "cve_id string")
     got = {r.cve_id: (r.exploit_count, r.poc_code, r.first_poc_type, r.verified) for r in earliest_exploit(rows, cves).collect()}
     assert got == {"CVE-1": (2, "YES", "LOCAL", False), "CVE-2": (0, "NO", None, None)}
+
+
+def test_keys_of_a_parent_are_not_broadcast(spark):
+    from riskspan.sources.files import _unknown
+    known = spark.createDataFrame([("a", "x" * 50), ("b", "y")], "k string, more string").select("k")
+    lost = _unknown(spark.createDataFrame([("a",), ("c",), ("c",), (None,)], "k string"), known, "k")
+    assert [r.k for r in lost.collect()] == ["c"]
+    assert "Broadcast" not in lost._jdf.queryExecution().executedPlan().toString()
