@@ -166,7 +166,7 @@ def q_cve_deep_search(spark, sf):
     found = {"cwe": ["containers.cweId"], "status": ["containers.nothing", "affected.versions.status"], "cpe": ["adp.cpes"]}
     # the test tables are single row groups: deal the documents out for the search
     docs = N.cve_documents(fx(spark, sf, "fx_cve_rec")).repartition(spark.sparkContext.defaultParallelism)
-    return docs.select("k", *[F.array_join(N.deep_search("doc", paths), "|").alias(c) for c, paths in found.items()])
+    return docs.select("k", *[F.array_join(v, "|").alias(c) for c, v in zip(found, N.deep_searches("doc", found))])
 
 
 def _weaknesses(spark, sf):

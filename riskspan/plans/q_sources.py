@@ -87,7 +87,7 @@ select conv_id, array_to_string(roles, '|') as roles, array_to_string(texts, '|'
 def q_json_deep_search(spark, sf):
     docs = N.conversation_documents(fx(spark, sf, "fx_cwe")).repartition(spark.sparkContext.defaultParallelism)
     found = {"roles": ["meta.role", "thread.text"], "texts": ["role.turns", "thread.text"], "nothing": ["text.meta"]}
-    return docs.select("conv_id", *[F.array_join(N.deep_search("doc", paths), "|").alias(c) for c, paths in found.items()])
+    return docs.select("conv_id", *[F.array_join(v, "|").alias(c) for c, v in zip(found, N.deep_searches("doc", found))])
 
 
 # S8 / S9

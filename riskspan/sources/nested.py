@@ -10,8 +10,11 @@ level by level, each object or list into its members.
 
 from __future__ import annotations
 
+import json
 import re
+import sys
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,66 +23,98 @@ from riskspan.catalog import CVE_FIELD_PATHS, POC_FIELDS
 
 
 # --- S4 / S9: any-depth path search ---------------------------------------
-# A node is an object or list still to be searched: its place among the
-# members on the way (places sort in match order), its JSON text, the number of
-# keys matched, and whether it is last in every list on the way.
-_NODE = "struct<at: array<int>, text: string, done: int, live: boolean>"
-_HIT = "struct<at: array<int>, items: array<string>, listed: boolean, live: boolean>"
-
-
-def _let(value: Column, body) -> Column:
-    """``body(value)`` with ``value`` computed once."""
-    return F.get(F.transform(F.array(value), body), 0)
-
-
-def _is_container(v: Column) -> Column:
-    return F.substring(F.to_json(v), 1, 1).isin("{", "[")
-
-
-def _text(v: Column) -> Column:
-    """Text of a value: strings as they are, null as null, others as JSON."""
-    return F.when(~F.is_variant_null(v), F.variant_get(v, "$", "string"))
-
-
-def _opened(node: Column, keys: Column, marks: Column, again: bool) -> Column:
-    """struct(hit, nodes) of one node."""
-    key, last = F.element_at(keys, node["done"] + 1), node["done"] == F.size(keys) - 1
-
-    def child(place, text, value, done, live):
-        # nothing below a text that lacks the next key; a string may look like a container
-        open_ = F.substring(text, 1, 1).isin("{", "[") & F.contains(text, F.element_at(marks, done + 1)) & _is_container(value)
-        return F.when(open_, F.struct(F.concat(node["at"], F.array(place)).alias("at"), text.alias("text"), done.alias("done"), live.alias("live")))
+_HITS = "array<array<struct<items: array<struct<text: string, json: boolean>>, listed: boolean, live: boolean>>>"
+
+
+class _Number(str):
+    """A number as the document writes it."""
+
+
+_PLAIN_INTEGER = re.compile(r"0|-?[1-9][0-9]{0,17}")
+
+
+def _written(value) -> str:
+    """JSON text of a decoded value."""
+    if isinstance(value, _Number):
+        return value
+    if isinstance(value, dict):
+        return "{" + ",".join([f"{json.dumps(k)}:{_written(v)}" for k, v in value.items()]) + "}"
+    if isinstance(value, list):
+        return "[" + ",".join([_written(v) for v in value]) + "]"
+    return json.dumps(value)
+
+
+def _item(value) -> dict:
+    """A string as it is, null as null; ``json``: the text is still JSON, for
+    Spark to write in its own form."""
+    if isinstance(value, _Number):
+        return {"text": str(value), "json": _PLAIN_INTEGER.fullmatch(value) is None}
+    if isinstance(value, str):
+        # a lone surrogate has no UTF-8
+        return {"text": value if value.isascii() else value.encode("utf-8", "replace").decode(), "json": False}
+    return {"text": None if value is None else _written(value), "json": value is not None}
+
+
+def _hits_in(doc, keys: list[str], again: bool) -> list[dict]:
+    """The hits of one path in a decoded document, in match order."""
+    hits, last = [], len(keys) - 1
+    left = [(doc, 0, True)]
+    while left:
+        node, done, live = left.pop()
+        if isinstance(node, list):
+            end = len(node) - 1
+            left += [(v, done, live and i == end) for i, v in reversed(list(enumerate(node))) if isinstance(v, (dict, list))]
+        elif isinstance(node, dict):
+            there = keys[done] in node
+            if there and done == last:
+                value = node[keys[done]]
+                listed = isinstance(value, list)
+                hits.append({"items": [_item(v) for v in (value if listed else [value])], "listed": listed, "live": live})
+                continue
+            if again or not there:
+                left += [(v, done, live) for v in reversed(node.values()) if isinstance(v, (dict, list))]
+            if there:
+                left.append((node[keys[done]], done + 1, live))
+    return hits
+
+
+def paths_hits(json_col, paths: list[str], again: bool = True) -> Column:
+    """For each of ``paths`` what ``path_hits`` gives; a document is read once
+    for all of them."""
+    doc = F.col(json_col) if isinstance(json_col, str) else json_col
+    keys = [p.split(".") for p in paths]
+    # how a key stands in a text without escapes
+    marks = [[json.dumps(k, ensure_ascii=False) for k in ks] for ks in keys]
 
-    def members(pairs, inside):
-        return F.transform(pairs, lambda m, i: child(i, m["text"], m["value"], node["done"], inside(i)))
+    @F.arrow_udf(_HITS)
+    def search(texts: pa.Array) -> pa.Array:
+        sys.setrecursionlimit(max(sys.getrecursionlimit(), 10_000))  # Spark reads JSON of depth 1000
+        decoder, out = json.JSONDecoder(strict=False, parse_int=_Number, parse_float=_Number), []
+        for text in texts.to_pylist():
+            if text is None:
+                out.append(None)
+                continue
+            wanted = ["\\" in text or all(m in text for m in ms) for ms in marks]
+            root = decoder.raw_decode(text.lstrip(" \t\r\n"))[0] if any(wanted) else None
+            out.append([_hits_in(root, ks, again) if w else [] for ks, w in zip(keys, wanted)])
+        return pa.array(out, _ARROW_HITS)
 
-    none = F.array().cast(f"array<{_NODE}>")
-    no_hit = F.lit(None).cast(_HIT)
+    def text_of(item):
+        return F.when(item["json"], F.variant_get(F.parse_json(item["text"]), "$", "string")).otherwise(item["text"])
 
-    def of_list(parts):
-        return F.struct(no_hit.alias("hit"), members(parts, lambda i: node["live"] & (i == F.size(parts) - 1)).alias("nodes"))
+    found = search(F.when(F.try_parse_json(doc).isNotNull(), doc))
+    return F.transform(found, lambda hits: F.transform(hits, lambda h: F.struct(
+        F.transform(h["items"], text_of).alias("items"), h["listed"].alias("listed"), h["live"].alias("live"))))
 
-    def of_object(maps):
-        there = F.map_contains_key(maps["texts"], key)
-        value = F.try_element_at(maps["values"], key)
-        listed = F.try_variant_get(value, "$", "array<variant>")
-        items = F.when(listed.isNotNull(), F.transform(listed, _text)).otherwise(F.array(_text(value)))
-        hit = F.when(there & last, F.struct(node["at"].alias("at"), items.alias("items"), listed.isNotNull().alias("listed"), node["live"].alias("live")))
-        deeper = F.when(there & ~last, F.array(child(F.lit(-1), F.try_element_at(maps["texts"], key), value, node["done"] + 1, node["live"])))
-        pairs = F.arrays_zip(F.map_values(maps["texts"]).alias("text"), F.map_values(maps["values"]).alias("value"))
-        beside = ~there | ~last if again else ~there
-        return F.struct(hit.alias("hit"), F.concat(F.coalesce(deeper, none), F.when(beside, members(pairs, lambda i: node["live"])).otherwise(none)).alias("nodes"))
 
-    text = node["text"]
-    return F.when(F.substring(text, 1, 1) == "[", _let(F.arrays_zip(F.from_json(text, "array<string>").alias("text"),
-                                                                   F.from_json(text, "array<variant>").alias("value")), of_list)) \
-        .otherwise(_let(F.struct(F.from_json(text, "map<string,string>").alias("texts"), F.from_json(text, "map<string,variant>").alias("values")), of_object))
+_ARROW_HITS = pa.list_(pa.list_(pa.struct([("items", pa.list_(pa.struct([("text", pa.string()), ("json", pa.bool_())]))),
+                                           ("listed", pa.bool_()), ("live", pa.bool_())])))
 
 
 def path_hits(json_col, path: str, again: bool = True) -> Column:
-    """``array<struct<at, items, listed, live>>``: what ``path`` reaches in a
-    JSON text, in match order; ``items``: the value's text, or those of the
-    items of a list.  Null for a text that is not JSON.
+    """``array<struct<items, listed, live>>``: what ``path`` reaches in a JSON
+    text, in match order; ``items``: the value's text, or those of the items of
+    a list.  Null for a text that is not JSON.
 
     A node that holds the next key opens a match one level deeper; with
     ``again`` (S4), unless that key is the last one, the search for the same
@@ -87,50 +122,52 @@ def path_hits(json_col, path: str, again: bool = True) -> Column:
     (S9), only nodes that lack the key are searched further.  ``live`` hits
     end a search of alternatives: of a list only the last item decides.
     """
-    doc = F.col(json_col) if isinstance(json_col, str) else json_col
-    steps = path.split(".")
-    keys = F.array(*[F.lit(k) for k in steps])
-    # how a key stands in the text of a member; keys that JSON may write in several ways have no mark
-    marks = F.array(*[F.lit(f'"{k}"' if re.fullmatch(r"[\w .:$@-]+", k, re.ASCII) else "") for k in steps])
-    text = F.trim(doc, F.lit(" \t\r\n"))
-    root = F.filter(F.array(F.struct(F.array().cast("array<int>").alias("at"), text.alias("text"), F.lit(0).alias("done"), F.lit(True).alias("live"))),
-                    lambda n: F.substring(n["text"], 1, 1).isin("{", "["))
-    start = F.struct(root.alias("nodes"), F.array().cast(f"array<{_HIT}>").alias("hits"))
-
-    def level(state, _):
-        opened = F.transform(state["nodes"], lambda n: _opened(n, keys, marks, again))
-        return _let(opened, lambda o: F.struct(
-            F.filter(F.flatten(F.transform(o, lambda e: e["nodes"])), lambda n: n.isNotNull()).cast(f"array<{_NODE}>").alias("nodes"),
-            F.concat(state["hits"], F.filter(F.transform(o, lambda e: e["hit"]), lambda h: h.isNotNull())).cast(f"array<{_HIT}>").alias("hits")))
-
-    # no document is deeper than it has opening brackets
-    depth = F.length(text) - F.length(F.translate(text, "{[", "")) + 1
-    found = F.aggregate(F.sequence(F.lit(1), depth), start, level, lambda state: F.array_sort(state["hits"]))
-    return F.when(F.try_parse_json(doc).isNotNull(), found)
+    return F.get(paths_hits(json_col, [path], again), 0)
 
 
 def _items(hits: Column) -> Column:
     return F.flatten(F.transform(hits, lambda h: h["items"]))
 
 
+def deep_searches(json_col, fields: dict[str, list[str]]) -> list[Column]:
+    """For each field an ``array<string>`` of the values of its
+    alternatives up to the first whose search succeeds; [null] without any;
+    null for a text that is not JSON."""
+    hits = paths_hits(json_col, [p for paths in fields.values() for p in paths])
+
+    def alternative(place, rest):
+        found = F.get(hits, place)
+        return F.when(F.exists(found, lambda x: x["live"]), _items(found)).otherwise(F.concat(_items(found), rest))
+
+    columns, at = [], 0
+    for name, paths in fields.items():
+        out = F.array().cast("array<string>")
+        for place in reversed(range(at, at + len(paths))):
+            out = alternative(place, out)
+        at += len(paths)
+        columns.append(F.when(F.size(out) == 0, F.array(F.lit(None).cast("string"))).otherwise(out).alias(name))
+    return columns
+
+
 def deep_search(json_col, paths: list[str]) -> Column:
-    """``array<string>`` of the values of the alternatives up to the first
-    whose search succeeds; [null] without any; null for a text that is not
-    JSON."""
-    def alternative(path, rest):
-        return _let(path_hits(json_col, path), lambda h: F.when(F.exists(h, lambda x: x["live"]), _items(h)).otherwise(F.concat(_items(h), rest)))
+    """``deep_searches`` for one field."""
+    return deep_searches(json_col, {"found": paths})[0]
+
+
+def first_or_flats(json_col, fields: dict[str, str]) -> list[Column]:
+    """For each field (a path) an ``array<string>``: the items of all hits
+    if one of them is a list, else the first hit alone; null without any."""
+    hits = paths_hits(json_col, list(fields.values()), again=False)
+
+    def column(found):
+        return F.when(F.exists(found, lambda x: x["listed"]), _items(found)).when(F.size(found) > 0, F.get(found, 0)["items"])
 
-    out = F.array().cast("array<string>")
-    for path in reversed(paths):
-        out = alternative(path, out)
-    return F.when(F.size(out) == 0, F.array(F.lit(None).cast("string"))).otherwise(out)
+    return [column(F.get(hits, i)).alias(name) for i, name in enumerate(fields)]
 
 
 def first_or_flat(json_col, path: str) -> Column:
-    """``array<string>``: the items of all hits if one of them is a list,
-    else the first hit alone; null without any."""
-    return _let(path_hits(json_col, path, again=False), lambda h: F.when(F.exists(h, lambda x: x["listed"]), _items(h))
-                .when(F.size(h) > 0, F.get(h, 0)["items"]))
+    """``first_or_flats`` for one field."""
+    return first_or_flats(json_col, {"found": path})[0]
 
 
 # --- S5: the known fields, typed -------------------------------------------
@@ -302,7 +339,7 @@ def poc_listings(events: DataFrame, name: Column, backup: Column | None = None)
 def poc_extract(listings: DataFrame, json_col: str) -> DataFrame:
     """Q8: one row per listing: its number of entries, the earliest creation
     text, and the fields of the catalogue by search (S9)."""
-    found = {name: first_or_flat(json_col, path) for name, path in POC_FIELDS.items()}
+    found = dict(zip(POC_FIELDS, first_or_flats(json_col, POC_FIELDS)))
     entries = F.from_json(F.col(json_col), "array<struct<created_at:string>>")
     return listings.select(
         F.json_array_length(json_col).cast("long").alias("exploit_count"), F.array_min(entries["created_at"]).alias("earliest_date"),

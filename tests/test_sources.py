@@ -244,3 +244,17 @@ def test_keys_of_a_parent_are_not_broadcast(spark):
     lost = _unknown(spark.createDataFrame([("a",), ("c",), ("c",), (None,)], "k string"), known, "k")
     assert [r.k for r in lost.collect()] == ["c"]
     assert "Broadcast" not in lost._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_document_is_read_once_for_all_fields(spark):
+    doc = '{"a": {"n": 1.50}, "b": [{"n": 1e5}, {"n": -0}, {"n": 123456789012345678901234567890}], "c": {"n": {"z": [1, 2.0], "y": "\\u00e9"}}}'
+    df = spark.createDataFrame([(doc,), ("{broken",), ('{"a": 1, "a": 2}',)], "doc string")
+    out = df.select(*N.deep_searches("doc", {"one": ["a.n"], "more": ["b.nothing", "b.n"], "none": ["x"], "object": ["c.n"]}))
+    rows = out.collect()
+    assert rows[0].one == ["1.5"] and rows[0].none == [None]
+    assert rows[0].more == ["100000.0", "0", "123456789012345678901234567890"]
+    assert rows[0].object == ['{"y":"\u00e9","z":[1,2]}']
+    assert all(v is None for r in rows[1:] for v in r)
+    # one call in one Python stage
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython [search(") == 1 and plan.split("ArrowEvalPython [")[1].split("\n")[0].count("search(") == 1
