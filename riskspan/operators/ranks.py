@@ -29,19 +29,35 @@ MOST_PARTS = 512
 SAMPLED = 32
 
 
+def _sampled(points: DataFrame, sizes: DataFrame, g: list[str], names: list[str]) -> DataFrame:
+    """The different points of the groups in ``sizes`` whose hash is below the
+    group's ``_top``."""
+    near = points.join(sizes.select(*g, "_top"), g).where(F.col("_top").isNull() | (F.xxhash64(*names) <= F.col("_top")))
+    return near.select(*g, *names).distinct()
+
+
+def _large_groups(points: DataFrame, g: list[str], part: int, names: list[str]) -> DataFrame:
+    """(g, parts, _top): at most a row for every ``part`` points; ``_top``: the
+    hash below which twice the sample's share of the points lies, null where
+    that is more than half of them."""
+    sizes = points.groupBy(*g).agg(F.count(F.lit(1)).alias("_m"), F.approx_count_distinct(F.xxhash64(*names)).alias("_d")).where(F.col("_m") > part)
+    share = 2.0 * MOST_PARTS * SAMPLED / F.col("_d")
+    return sizes.select(*g, F.least(F.lit(MOST_PARTS), F.ceil(F.col("_m") / part)).cast("int").alias("parts"),
+                        F.when(share < 0.5, (share * 2.0 ** 64 - 2.0 ** 63).cast("long")).alias("_top"))
+
+
 def cut_points(points: DataFrame, g: list[str], part: int = PART, names: list[str] = ("p",)) -> DataFrame:
     """(g, parts, cuts_<name>...): for every group with more than ``part`` rows the
     ascending points that cut it into parts of about ``part`` rows, for each
     of the (orderable, row-wise different) columns ``names``.
 
-    The sample are the rows with the smallest hashes; each task passes on as
-    many rows of a group as the sample has at most.
+    The sample are the different points with the smallest hashes.  Points
+    whose hash is beyond about twice the sample's share are left out where they
+    are read, so no task gets more of a group than some samples' worth.
     """
-    sizes = points.groupBy(*g).agg(F.count(F.lit(1)).alias("_m")).where(F.col("_m") > part)
-    sizes = sizes.select(*g, F.least(F.lit(MOST_PARTS), F.ceil(F.col("_m") / part)).cast("int").alias("parts"))
-    large = points.join(sizes.select(*g), g, "left_semi")
+    sizes = F.broadcast(_large_groups(points, g, part, names))
     turn = Window.partitionBy(*g).orderBy(F.xxhash64(*names), *names)
-    sample = large.withColumn("_nth", F.row_number().over(turn)).where(F.col("_nth") <= MOST_PARTS * SAMPLED)
+    sample = _sampled(points, sizes, g, names).withColumn("_nth", F.row_number().over(turn)).where(F.col("_nth") <= MOST_PARTS * SAMPLED)
     lists = sample.groupBy(*g).agg(*[F.sort_array(F.collect_list(c)).alias(f"_{c}") for c in names])
 
     def cuts(c):
@@ -72,7 +88,7 @@ def value_ranks(df: DataFrame, col: str, group_cols: list[str] | tuple = (), val
              .groupBy(*g, F.col(col).alias(value_name))
              .agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("n")))
     cuts = cut_points(vc.select(*g, F.col(value_name).alias("p")), g, part or PART).drop("parts")
-    vb = vc.join(cuts, g, "left").withColumn("_b", part_of(f"`{value_name}`", "cuts_p")).drop("cuts_p")
+    vb = vc.join(F.broadcast(cuts), g, "left").withColumn("_b", part_of(f"`{value_name}`", "cuts_p")).drop("cuts_p")
     bt = vb.groupBy(*g, "_b").agg(F.sum("n").alias("_bn"))
     whole = Window.partitionBy(*g)
     w_off = whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
@@ -92,11 +108,11 @@ def row_positions(df: DataFrame, order_by: list[str], name: str = "position", pa
     key = F.struct(*[F.col(f"`{c}`") for c in order_by])
     base = df.withColumns({"_g": F.lit(0), "_key": key})
     cuts = cut_points(base.select("_g", F.col("_key").alias("p")), ["_g"], part).drop("parts")
-    placed = base.join(cuts, "_g", "left").withColumn("_b", part_of("_key", "cuts_p")).drop("cuts_p")
+    placed = base.join(F.broadcast(cuts), "_g", "left").withColumn("_b", part_of("_key", "cuts_p")).drop("cuts_p")
     whole = Window.partitionBy("_g")
     before = whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = placed.groupBy("_g", "_b").agg(F.count(F.lit(1)).alias("_n")).select(
         "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"), F.sum("_n").over(whole).alias(f"{name}_total"))
     inside = Window.partitionBy("_b").orderBy("_key")
-    ranked = placed.withColumn("_nth", F.row_number().over(inside)).join(offsets, "_b")
+    ranked = placed.withColumn("_nth", F.row_number().over(inside)).join(F.broadcast(offsets), "_b")
     return ranked.select(*[F.col(f"`{c}`") for c in df.columns], (F.col("_off") + F.col("_nth") - 1).alias(name), f"{name}_total")

@@ -223,11 +223,12 @@ def null_map(df: DataFrame, order_by: list[str], tiles: int = 100) -> DataFrame:
     """(tile, column, rows, nulls): the rows in the order of ``order_by`` cut
     into ``tiles`` runs of the same length (one more row in some), and the
     nulls of each column in each."""
-    flags = [F.struct(F.lit(f.name).alias("column"), _is_null(f).alias("gone")) for f in df.schema.fields]
+    flags = [_is_null(f) for f in df.schema.fields]
     placed = row_positions(df.select(*[F.col(f"`{c}`") for c in order_by], F.array(*flags).alias("_flags")), order_by, "_at")
     tile = F.floor(F.col("_at") * tiles / F.col("_at_total")).cast("int")
+    named = F.array(*[F.struct(F.lit(c).alias("column"), F.get("_flags", i).alias("gone")) for i, c in enumerate(df.columns)])
     # counts by tile and column fold on the map side
-    return placed.select(tile.alias("tile"), F.explode("_flags").alias("f")).groupBy("tile", F.col("f.column").alias("column")) \
+    return placed.select(tile.alias("tile"), F.explode(named).alias("f")).groupBy("tile", F.col("f.column").alias("column")) \
         .agg(F.count(F.lit(1)).alias("rows"), F.count_if("f.gone").alias("nulls"))
 
 

@@ -264,3 +264,17 @@ def test_anderson_darling_far_tail(spark):
 def test_shapiro_needs_a_sample_above_its_limit(spark):
     df = spark.range(0, 6000).selectExpr("id % 2 as g", "cast(id as double) as v")
     assert [r.statistic for r in shapiro_wilk(df, "v", ["g"], max_n=100).collect()] == [None, None]
+
+
+def test_samples_are_thinned_before_they_are_ordered(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    from riskspan.operators import ranks as R
+    monkeypatch.setattr(R, "MOST_PARTS", 8)
+    monkeypatch.setattr(R, "SAMPLED", 8)
+    df = spark.range(20000).select((F.col("id") % 2).alias("g"), F.col("id").alias("p"))
+    sizes = R._large_groups(df, ["g"], 1000, ["p"])
+    assert R._sampled(df, sizes, ["g"], ["p"]).count() < 2 * 4 * 64
+    cuts = {r.g: r.cuts_p for r in R.cut_points(df, ["g"], 1000).collect()}
+    smallest = df.where("g = 1").orderBy(F.xxhash64("p")).limit(64).collect()
+    own = sorted(r.p for r in smallest)
+    assert cuts[1] == [own[i * 64 // 8] for i in range(1, 8)] and len(cuts[0]) == 7
