@@ -46,6 +46,12 @@ def keyword_filter(df: DataFrame, field: str, sensitive=CASE_SENSITIVE_KEYWORDS,
 
 
 # P13 -------------------------------------------------------------------------
+# Parts of the hash range whose rows are counted, and the rows of a group that
+# is worth it.
+HASH_PARTS = 4096
+LARGE_GROUP = 10_000
+
+
 def _seeded(key: str, seed: int) -> Column:
     """First 32 bits of the MD5 of the key's text and the seed, a hash that
     other engines have too."""
@@ -63,13 +69,32 @@ def hash_sample(df: DataFrame, key: str, fraction: float, seed: int = 1945) -> D
 def hash_sample_n(df: DataFrame, key: str, n: int, seed: int = 1945, group_cols: list[str] | tuple = ()) -> DataFrame:
     """Fixed-size sample: the n rows with the smallest seeded hash, of every
     group where ``group_cols`` are given.  Rows of one key are told apart by
-    their whole content, so the cut is the same in every run.  Each task passes
-    on n rows (of a group) at most."""
+    their whole content, so the cut is the same in every run.
+
+    Of a large group only rows whose hash is in the lowest of ``HASH_PARTS``
+    parts of the hash range, as many parts as hold n rows, are shuffled and
+    ordered: a first pass counts the rows of each part."""
     order = [_seeded(key, seed), F.col(key), F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])]
     if not group_cols:
         return df.orderBy(*order).limit(n)
     nth = F.row_number().over(Window.partitionBy(*group_cols).orderBy(*order))
-    return df.withColumn("_nth", nth).where(F.col("_nth") <= n).drop("_nth")
+    return _low_hashes(df, key, n, seed, group_cols).withColumn("_nth", nth).where(F.col("_nth") <= n).drop("_nth")
+
+
+def _low_hashes(df: DataFrame, key: str, n: int, seed: int, group_cols: list[str] | tuple) -> DataFrame:
+    """``df`` without rows that cannot be among the n of their group with the
+    smallest seeded hash."""
+    group = Window.partitionBy(*group_cols)
+    rows = df.withColumn("_part", F.coalesce(F.floor(_seeded(key, seed) / ((1 << 32) // HASH_PARTS)), F.lit(-1)))
+    before = F.coalesce(F.sum("_n").over(group.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    counted = rows.groupBy(*group_cols, "_part").agg(F.count(F.lit(1)).alias("_n")) \
+        .select("*", before.alias("_before"), F.sum("_n").over(group).alias("_all"))
+    # at most a row for every LARGE_GROUP rows
+    large = counted.where((F.col("_all") > max(n, LARGE_GROUP)) & (F.col("_before") < n)).groupBy(*group_cols).agg(F.max("_part").alias("_last")) \
+        .select(*[F.col(f"`{c}`").alias(f"_g{i}") for i, c in enumerate(group_cols)], "_last")
+    same = [rows[f"`{c}`"].eqNullSafe(F.col(f"_g{i}")) for i, c in enumerate(group_cols)]
+    near = rows.join(F.broadcast(large), same, "left").where(F.col("_last").isNull() | (F.col("_part") <= F.col("_last")))
+    return near.select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 # P14 -------------------------------------------------------------------------

@@ -278,3 +278,18 @@ def test_samples_are_thinned_before_they_are_ordered(spark, monkeypatch):
     smallest = df.where("g = 1").orderBy(F.xxhash64("p")).limit(64).collect()
     own = sorted(r.p for r in smallest)
     assert cuts[1] == [own[i * 64 // 8] for i in range(1, 8)] and len(cuts[0]) == 7
+
+
+def test_hash_sample_orders_low_hashes_only(spark, monkeypatch):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    from riskspan.operators import filters as P
+    monkeypatch.setattr(P, "LARGE_GROUP", 100)
+    df = spark.range(6000).select(F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("g"), F.when(F.col("id") % 500 > 0, F.col("id")).alias("k"),
+                                  (F.col("id") % 7).alias("v")).union(spark.createDataFrame([(9, i, 0) for i in range(50)], "g long, k long, v long"))
+    near = P._low_hashes(df, "k", 40, 1945, ["g"])
+    assert near.where("g is null").count() < 120 and near.where("g = 9").count() == 50
+    nth = F.row_number().over(Window.partitionBy("g").orderBy(P._seeded("k", 1945), "k", F.xxhash64("g", "k", "v")))
+    want = df.withColumn("nth", nth).where("nth <= 40").drop("nth")
+    got = P.hash_sample_n(df, "k", 40, group_cols=["g"])
+    assert got.count() == 160 and got.exceptAll(want).count() == 0
