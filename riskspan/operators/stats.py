@@ -343,13 +343,14 @@ def linear_fit(df: DataFrame, x: str, y: str) -> DataFrame:
 # A25 ------------------------------------------------------------------------
 def box_stats(df: DataFrame, col: str, group: str | None = None, k: float = 1.5) -> DataFrame:
     """Quartiles, whiskers (furthest data within 1.5 IQR of the box) and
-    outlier counts per group: two grouped aggregates joined on the group."""
+    outlier counts per group: two grouped aggregates joined on the group (a
+    box plot has a few groups, so their boxes are broadcast)."""
     g = [group] if group else []
     base = df.filter(F.col(col).isNotNull())
     q = exact_quantiles(base, col, (0.25, 0.5, 0.75), g, ["q1", "median", "q3"])
     q = q.withColumns({"lo_fence": F.col("q1") - k * (F.col("q3") - F.col("q1")),
                        "hi_fence": F.col("q3") + k * (F.col("q3") - F.col("q1"))})
-    j = base.join(q, on=g) if g else base.withColumns(
+    j = base.join(F.broadcast(q), on=g) if g else base.withColumns(
         {c: q.select(c).scalar() for c in ("n", "q1", "median", "q3", "lo_fence", "hi_fence")})
     inside = (F.col(col) >= F.col("lo_fence")) & (F.col(col) <= F.col("hi_fence"))
     return j.groupBy(*g, "n", "q1", "median", "q3").agg(

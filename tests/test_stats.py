@@ -293,3 +293,15 @@ def test_hash_sample_orders_low_hashes_only(spark, monkeypatch):
     want = df.withColumn("nth", nth).where("nth <= 40").drop("nth")
     got = P.hash_sample_n(df, "k", 40, group_cols=["g"])
     assert got.count() == 160 and got.exceptAll(want).count() == 0
+
+
+def test_boxes_are_broadcast_to_the_rows(spark):
+    from riskspan.operators.stats import box_stats
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = box_stats(spark.createDataFrame([("a", float(i)) for i in range(10)] + [("b", 1.0)], "g string, v double"), "v", "g")
+        assert {r.g: (r.n, r.whisker_hi) for r in out.collect()} == {"a": (10, 9.0), "b": (1, 1.0)}
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert "rightHint=(strategy=broadcast)" in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
