@@ -26,6 +26,7 @@ from riskspan.operators.correlation import kendall_pvalue, tau_b
 from riskspan.operators.dominance import dominance_sums
 from riskspan.operators.ranks import PART, cut_points, part_of
 from riskspan.operators.stats import pct
+from riskspan.session import cut_lineage
 
 METHODS = ("pearson", "spearman", "kendall")
 
@@ -87,7 +88,7 @@ def rank_vectors(values: DataFrame, count: int, part: int = PART) -> DataFrame:
     lane = [F.sum(F.when(F.expr(f"shiftright(mask, {i}) & 1 = 1"), F.col("n")).otherwise(F.lit(0))).alias(f"n{i}") for i in lanes]
     vc = values.groupBy("col", "value").agg(*lane)
     cuts = cut_points(vc.select("col", F.col("value").alias("p")), ["col"], part).drop("parts")
-    vb = vc.join(cuts, "col", "left").withColumn("b", part_of("value", "cuts_p")).drop("cuts_p")
+    vb = vc.join(F.broadcast(cuts), "col", "left").withColumn("b", part_of("value", "cuts_p")).drop("cuts_p")
     whole = Window.partitionBy("col")
     before = whole.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = vb.groupBy("col", "b").agg(*[F.sum(f"n{i}").alias(f"p{i}") for i in lanes]).select(
@@ -157,6 +158,8 @@ def cohort_matrix(df: DataFrame, cohorts: Mapping[str, Column], counts: Mapping[
     entry = F.explode(F.array(*[F.struct(F.lit(p).alias("pair"), F.lit(i).alias("cx"), F.lit(j).alias("cy"), F.col(f"x{i}").alias("x"),
                                          F.col(f"x{j}").alias("y")) for p, (i, j) in enumerate(places)])).alias("e")
     cells = whole.select("mask", entry).select("mask", "e.*").groupBy("pair", "cx", "cy", "x", "y", "mask").agg(F.count(F.lit(1)).alias("n"))
+    # ranks, Spearman and Kendall read the cells several times: they are counted once
+    cells = cut_lineage(cells)
     # a column's values, from the first pair that has it
     first = {c: next((p, side) for p, ij in enumerate(places) for side, k in zip("xy", ij) if k == c) for c in sorted({k for ij in places for k in ij})}
     taken = [F.struct(F.lit(c).alias("col"), F.col(side).alias("value")) for c, (p, side) in first.items()]

@@ -148,7 +148,7 @@ def dominance_sums(cells: DataFrame, g: list[str], part: int, weights: Callable[
     """
     points = cells.select(*g, F.struct("x", (-F.col("y")).alias("y")).alias("px"), F.struct("y", (-F.col("x")).alias("x")).alias("py"))
     cuts = cut_points(points, g, part, ["px", "py"])
-    base = cells.join(cuts, g, "left").withColumns({
+    base = cells.join(F.broadcast(cuts), g, "left").withColumns({
         "px": F.struct("x", (-F.col("y")).alias("y")), "py": F.struct("y", (-F.col("x")).alias("x"))})
     base = base.select(*cells.columns, part_of("px", "cuts_px").alias("kx"), part_of("py", "cuts_py").alias("ky"),
                        F.col("cuts_px").isNull().alias("alone"))

@@ -97,3 +97,11 @@ def test_histogram_modes(spark):
     assert bins(bins=3, transform="sqrt")[-1] == (2, 1, 2.0, 3.0)
     with pytest.raises(ValueError):
         S.histogram_bins(df, "v", edges=[1, 1])
+
+
+def test_cells_are_counted_once(spark):
+    df = spark.createDataFrame([(i % 5, (i * 7) % 11) for i in range(60)], "a int, b int")
+    out = cohort_matrix(df, {"all": F.lit(True)}, {}, {}, {"a": F.col("a"), "b": F.col("b")}, [("a", "b")], ("spearman", "kendall"))
+    assert out.first().cnt == 60
+    # the plan that is left reads the rows for the facts only
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD [a#") == 1
