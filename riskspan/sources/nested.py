@@ -23,8 +23,6 @@ from riskspan.catalog import CVE_FIELD_PATHS, POC_FIELDS
 
 
 # --- S4 / S9: any-depth path search ---------------------------------------
-_HITS = "array<array<struct<items: array<struct<text: string, json: boolean>>, listed: boolean, live: boolean>>>"
-
 
 class _Number(str):
     """A number as the document writes it."""
@@ -78,15 +76,21 @@ def _hits_in(doc, keys: list[str], again: bool) -> list[dict]:
     return hits
 
 
-def paths_hits(json_col, paths: list[str], again: bool = True) -> Column:
-    """For each of ``paths`` what ``path_hits`` gives; a document is read once
-    for all of them."""
+_ITEMS = pa.list_(pa.struct([("text", pa.string()), ("json", pa.bool_())]))
+_ITEMS_SQL = "array<struct<text: string, json: boolean>>"
+
+
+def _marks(keys: list[str]) -> list[str]:
+    """How keys stand in a text without escapes."""
+    return [json.dumps(k, ensure_ascii=False) for k in keys]
+
+
+def _search(json_col, result: str, arrow: pa.DataType, of_document) -> Column:
+    """``of_document`` of every JSON text: it gets a function that gives the
+    hits of the keys of a path.  A document is read once."""
     doc = F.col(json_col) if isinstance(json_col, str) else json_col
-    keys = [p.split(".") for p in paths]
-    # how a key stands in a text without escapes
-    marks = [[json.dumps(k, ensure_ascii=False) for k in ks] for ks in keys]
 
-    @F.arrow_udf(_HITS)
+    @F.arrow_udf(result)
     def search(texts: pa.Array) -> pa.Array:
         sys.setrecursionlimit(max(sys.getrecursionlimit(), 10_000))  # Spark reads JSON of depth 1000
         decoder, out = json.JSONDecoder(strict=False, parse_int=_Number, parse_float=_Number), []
@@ -94,21 +98,21 @@ def paths_hits(json_col, paths: list[str], again: bool = True) -> Column:
             if text is None:
                 out.append(None)
                 continue
-            wanted = ["\\" in text or all(m in text for m in ms) for ms in marks]
-            root = decoder.raw_decode(text.lstrip(" \t\r\n"))[0] if any(wanted) else None
-            out.append([_hits_in(root, ks, again) if w else [] for ks, w in zip(keys, wanted)])
-        return pa.array(out, _ARROW_HITS)
+            root = decoder.raw_decode(text.lstrip(" \t\r\n"))[0]
+            escapes = "\\" in text
 
-    def text_of(item):
-        return F.when(item["json"], F.variant_get(F.parse_json(item["text"]), "$", "string")).otherwise(item["text"])
+            def hits(keys, marks, again):
+                return _hits_in(root, keys, again) if escapes or all(m in text for m in marks) else []
+            out.append(of_document(hits))
+        return pa.array(out, arrow)
 
-    found = search(F.when(F.try_parse_json(doc).isNotNull(), doc))
-    return F.transform(found, lambda hits: F.transform(hits, lambda h: F.struct(
-        F.transform(h["items"], text_of).alias("items"), h["listed"].alias("listed"), h["live"].alias("live"))))
+    return search(F.when(F.try_parse_json(doc).isNotNull(), doc))
 
 
-_ARROW_HITS = pa.list_(pa.list_(pa.struct([("items", pa.list_(pa.struct([("text", pa.string()), ("json", pa.bool_())]))),
-                                           ("listed", pa.bool_()), ("live", pa.bool_())])))
+def _texts(items: Column) -> Column:
+    def text_of(item):
+        return F.when(item["json"], F.variant_get(F.parse_json(item["text"]), "$", "string")).otherwise(item["text"])
+    return F.when(F.exists(items, lambda i: i["json"]), F.transform(items, text_of)).otherwise(items["text"])
 
 
 def path_hits(json_col, path: str, again: bool = True) -> Column:
@@ -122,31 +126,35 @@ def path_hits(json_col, path: str, again: bool = True) -> Column:
     (S9), only nodes that lack the key are searched further.  ``live`` hits
     end a search of alternatives: of a list only the last item decides.
     """
-    return F.get(paths_hits(json_col, [path], again), 0)
+    keys = path.split(".")
+    marks = _marks(keys)
+    arrow = pa.list_(pa.struct([("items", _ITEMS), ("listed", pa.bool_()), ("live", pa.bool_())]))
+    found = _search(json_col, f"array<struct<items: {_ITEMS_SQL}, listed: boolean, live: boolean>>", arrow, lambda hits: hits(keys, marks, again))
+    return F.transform(found, lambda h: F.struct(_texts(h["items"]).alias("items"), h["listed"].alias("listed"), h["live"].alias("live")))
 
 
-def _items(hits: Column) -> Column:
-    return F.flatten(F.transform(hits, lambda h: h["items"]))
+def _fields(json_col, names, of_document) -> list[Column]:
+    """A column for each name from ``of_document``'s lists of items."""
+    found = _search(json_col, f"array<{_ITEMS_SQL}>", pa.list_(_ITEMS), of_document)
+    return [_texts(F.get(found, i)).alias(name) for i, name in enumerate(names)]
 
 
 def deep_searches(json_col, fields: dict[str, list[str]]) -> list[Column]:
     """For each field an ``array<string>`` of the values of its
     alternatives up to the first whose search succeeds; [null] without any;
     null for a text that is not JSON."""
-    hits = paths_hits(json_col, [p for paths in fields.values() for p in paths])
+    wanted = [[(p.split("."), _marks(p.split("."))) for p in paths] for paths in fields.values()]
 
-    def alternative(place, rest):
-        found = F.get(hits, place)
-        return F.when(F.exists(found, lambda x: x["live"]), _items(found)).otherwise(F.concat(_items(found), rest))
+    def values(hits, paths):
+        items = []
+        for keys, marks in paths:
+            found = hits(keys, marks, True)
+            items += [i for h in found for i in h["items"]]
+            if any(h["live"] for h in found):
+                break
+        return items or [{"text": None, "json": False}]
 
-    columns, at = [], 0
-    for name, paths in fields.items():
-        out = F.array().cast("array<string>")
-        for place in reversed(range(at, at + len(paths))):
-            out = alternative(place, out)
-        at += len(paths)
-        columns.append(F.when(F.size(out) == 0, F.array(F.lit(None).cast("string"))).otherwise(out).alias(name))
-    return columns
+    return _fields(json_col, fields, lambda hits: [values(hits, paths) for paths in wanted])
 
 
 def deep_search(json_col, paths: list[str]) -> Column:
@@ -157,12 +165,14 @@ def deep_search(json_col, paths: list[str]) -> Column:
 def first_or_flats(json_col, fields: dict[str, str]) -> list[Column]:
     """For each field (a path) an ``array<string>``: the items of all hits
     if one of them is a list, else the first hit alone; null without any."""
-    hits = paths_hits(json_col, list(fields.values()), again=False)
+    wanted = [(p.split("."), _marks(p.split("."))) for p in fields.values()]
 
-    def column(found):
-        return F.when(F.exists(found, lambda x: x["listed"]), _items(found)).when(F.size(found) > 0, F.get(found, 0)["items"])
+    def values(found):
+        if any(h["listed"] for h in found):
+            return [i for h in found for i in h["items"]]
+        return found[0]["items"] if found else None
 
-    return [column(F.get(hits, i)).alias(name) for i, name in enumerate(fields)]
+    return _fields(json_col, fields, lambda hits: [values(hits(keys, marks, False)) for keys, marks in wanted])
 
 
 def first_or_flat(json_col, path: str) -> Column:
