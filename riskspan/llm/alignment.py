@@ -28,6 +28,7 @@ import hashlib
 import os
 import re
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +44,8 @@ from riskspan.llm.common import carried, stored, uncarried
 # a time are encoded.
 CACHE_PIECES, CACHE_CHARS = 120_000, 8 << 20
 LEARNED = 4096
+# Pieces that side A encodes as one text.
+JOINED = 64
 SHIFT = 32  # a pair of ids as one long: A's id above B's
 
 _CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -105,6 +108,22 @@ def _rows(flat: np.ndarray, offsets: np.ndarray, which: np.ndarray) -> tuple[np.
     return flat[at], ends
 
 
+def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """The lists, one after the other, and their sizes."""
+    return np.fromiter(chain.from_iterable(lists), np.int64), np.fromiter(map(len, lists), np.int64, len(lists))
+
+
+def _given_back(tokens, flat: np.ndarray, count: np.ndarray, raw: bytes, size: np.ndarray) -> np.ndarray:
+    """Whether the ``count`` tokens of each piece have its ``size`` bytes."""
+    parts = list(map(tokens.__getitem__, flat.tolist()))
+    made = b"".join(parts)
+    had = _sums(np.fromiter(map(len, parts), np.int64, len(parts)), np.append(0, np.cumsum(count)))
+    if made == raw and (had == size).all():
+        return np.ones(len(size), bool)
+    to, at = np.cumsum(had).tolist(), np.cumsum(size).tolist()
+    return np.array([made[i:j] == raw[k:m] for i, j, k, m in zip([0, *to], to, [0, *at], at)], bool)
+
+
 class Lists:
     """A list column that grows by batches of lists."""
 
@@ -139,6 +158,9 @@ class Side:
         for i, token in self.bytes_a.items():
             self.size_a[i] = len(token)
         self.size_b = np.array([len(t) for t in self.bytes_b], np.int64)
+        # ids with what follows one in the text of the groups
+        self.ids = max(len(self.size_a), len(self.size_b))
+        self.words = [f"{i}{mark}" for mark in ",|;\n" for i in range(self.ids)]
         # a token of B across a word's border would make cuts wrong
         self.cuts = not any(re.search("[^▁]▁", p) for p in pieces)
 
@@ -171,38 +193,55 @@ class Aligner:
             return text.split(" ")
         return _CUT.split(text)
 
+    def _encoded_a(self, pieces: list[str], raw: bytes, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces and how many each has.  Joined again by single
+        spaces, pieces have the same tokens, since none crosses such a place."""
+        texts = []
+        for k in range(0, len(pieces), JOINED):
+            text = " " + " ".join(pieces[k:k + JOINED])
+            apart = _WIDE.search(text) or text[-1].isspace()
+            texts += [" " + p for p in pieces[k:k + JOINED]] if apart else [text]
+        side = self.side
+        flat, _ = _flat([e.ids for e in side.a.encode_batch_fast(texts, add_special_tokens=False)])
+        if b"".join(map(side.bytes_a.__getitem__, flat.tolist())) == raw:
+            at, ends = np.cumsum(side.size_a[flat]), np.cumsum(size)
+            last = np.searchsorted(at, ends)
+            if (at[last] == ends).all():
+                return flat, np.diff(last, prepend=-1)
+        return _flat([e.ids for e in side.a.encode_batch_fast([" " + p for p in pieces], add_special_tokens=False)])
+
     def learn(self, pieces: list[str]):
         """Encode and align pieces that are not known yet."""
         side = self.side
-        a = [e.ids for e in side.a.encode_batch_fast([" " + p for p in pieces], add_special_tokens=False)]
-        b = side.b.encode(pieces, out_type=int, num_threads=1)
-        whole = np.empty(len(pieces), bool)
-        for k, (p, x, y) in enumerate(zip(pieces, a, b)):
-            raw = b" " + p.encode()
-            whole[k] = b"".join(map(side.bytes_a.__getitem__, x)) == raw == b"".join(map(side.bytes_b.__getitem__, y))
-            if not whole[k]:
-                a[k], b[k] = [], []
-        flat_a, flat_b = (np.fromiter((i for ids in encoded for i in ids), np.int64) for encoded in (a, b))
-        size_a, size_b = (np.array([len(ids) for ids in encoded], np.int64) for encoded in (a, b))
+        raw = (" " + " ".join(pieces)).encode()
+        size = 1 + np.fromiter(map(len, pieces) if raw.isascii() else (len(p.encode()) for p in pieces), np.int64, len(pieces))
+        flat_a, size_a = self._encoded_a(pieces, raw, size)
+        flat_b, size_b = _flat(side.b.encode(pieces, out_type=int, num_threads=1))
+        whole = _given_back(side.bytes_a, flat_a, size_a, raw, size) & _given_back(side.bytes_b, flat_b, size_b, raw, size)
+        if not whole.all():
+            flat_a, flat_b = flat_a[np.repeat(whole, size_a)], flat_b[np.repeat(whole, size_b)]
+            size_a, size_b = size_a * whole, size_b * whole
         # all pieces at once: offsets in their joined bytes
         at_a, at_b = common_ends(np.cumsum(side.size_a[flat_a]), np.cumsum(side.size_b[flat_b]))
         first_a, first_b = np.cumsum(size_a) - size_a, np.cumsum(size_b) - size_b
         owner = np.searchsorted(first_a + size_a, at_a, "right")
         groups = np.bincount(owner, minlength=len(pieces))
-        cut_a, cut_b = at_a + 1 - first_a[owner], at_b + 1 - first_b[owner]
         self.ids_a.add(flat_a, size_a)
         self.ids_b.add(flat_b, size_b)
-        self.cut_a.add(cut_a, groups)
-        self.cut_b.add(cut_b, groups)
+        self.cut_a.add(at_a + 1 - first_a[owner], groups)
+        self.cut_b.add(at_b + 1 - first_b[owner], groups)
         self.pairs.add(flat_a[at_a] << SHIFT | flat_b[at_b], groups)
         self.whole = np.append(self.whole, whole)
-        ends, cuts_a, cuts_b = np.cumsum(groups), cut_a.tolist(), cut_b.tolist()
-        for k, stop in enumerate(ends.tolist()):
-            x, y, i, j, out = list(map(str, a[k])), list(map(str, b[k])), 0, 0, []
-            for g in range(stop - int(groups[k]), stop):
-                out.append(f"{','.join(x[i:cuts_a[g]])}|{','.join(y[j:cuts_b[g]])}")
-                i, j = cuts_a[g], cuts_b[g]
-            self.text.append(";".join(out))
+        # the tokens in the order of the text: A's, then B's of each group
+        in_a, in_b = np.diff(at_a, prepend=-1), np.diff(at_b, prepend=-1)
+        mark_a, mark_b = np.zeros((2, max(len(flat_a), len(flat_b))), np.int64)
+        mark_a[at_a], mark_b[at_b] = 1, 2
+        mark_b[at_b[np.diff(owner, append=-1) != 0]] = 3
+        words = np.empty(len(flat_a) + len(flat_b), np.int64)
+        words[np.arange(len(flat_a)) + np.repeat(at_b + 1 - in_b, in_a)] = mark_a[:len(flat_a)] * side.ids + flat_a
+        words[np.arange(len(flat_b)) + np.repeat(at_a + 1, in_b)] = mark_b[:len(flat_b)] * side.ids + flat_b
+        lines = iter("".join(map(side.words.__getitem__, words.tolist())).split("\n"))
+        self.text += [next(lines) if n else "" for n in groups.tolist()]
 
     def numbers(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of all pieces of the texts and the offsets of the texts;
@@ -212,11 +251,10 @@ class Aligner:
         held, new = [], []
         for text in texts:
             parts = self.pieces(text) if text else []
-            for p in parts:
-                if p not in self.number:
-                    self.number[p] = len(self.number)
-                    self.chars += len(p)
-                    new.append(p)
+            for p in set(parts).difference(self.number):
+                self.number[p] = len(self.number)
+                self.chars += len(p)
+                new.append(p)
             held.append(np.fromiter(map(self.number.__getitem__, parts), np.int32, len(parts)))
             if len(new) >= LEARNED:
                 self.learn(new)

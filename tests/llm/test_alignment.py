@@ -108,6 +108,33 @@ def test_gallop():
         assert a[i].tolist() == b[j].tolist() == sorted(set(a.tolist()) & set(b.tolist()))
 
 
+def test_pieces_are_encoded_together(monkeypatch, sides):
+    """Side A gets joined pieces, unless a border has more white space."""
+    class Counting:
+        given = 0
+
+        def encode_batch_fast(self, texts, **kw):
+            Counting.given += len(texts)
+            return plain.encode_batch_fast(texts, **kw)
+
+    aligner = alignment.Aligner(A, B)
+    plain = aligner.side.a
+    monkeypatch.setattr(aligner.side, "a", Counting())
+    rng = random.Random(3)
+    words = list(dict.fromkeys("".join(rng.choice("aeéstr1'.") for _ in range(rng.randint(1, 9))) for _ in range(2000)))
+    odd = [" lead", "trail ", "in  side", "\n", "a▁b", "日本語", "\u3000x", "tab\t"]
+    for pieces, most in [(words, len(words) // alignment.JOINED + 1), (words[:100] + odd + words[100:300], 300)]:
+        Counting.given = 0
+        aligner.clear()
+        aligner.learn(pieces)
+        assert Counting.given <= most
+        for k, piece in enumerate(pieces):
+            a, b = sides(piece)
+            own = [side.flat[side.offsets[k]:side.offsets[k + 1]].tolist() for side in (aligner.ids_a, aligner.ids_b)]
+            assert own == [[i for i, _ in a], [i for i, _ in b]], piece
+            assert aligner.whole[k] == bool(a) and bool(aligner.text[k]) == bool(a)
+
+
 def test_clashing_and_empty(spark):
     docs = clashing(messy(spark))
     out = link_counts(docs, A, B)
