@@ -273,7 +273,8 @@ def _links(reps: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFr
     texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("doc"))).select("node", "w1", "w2", "text")
     full = _signed(texts, words, "set", ["node", "w1", "w2"]).where("w1 = h1 and w2 = h2")
     full = stored(full.groupBy("node").agg(F.first("set").alias("set")), "sets")
-    sketches = reps.select("node", "sketch")
+    # a set is in the order of the hash, so it begins with its sketch
+    sketches = full.select("node", F.slice("set", 1, SKETCH).alias("sketch"))
 
     def both(pairs: DataFrame, table: DataFrame, col: str) -> DataFrame:
         for k in ("a", "b"):
@@ -368,7 +369,10 @@ def near_dedup_stage(docs: DataFrame, words: int = 5, percent: int = 80) -> Data
     base = carried(docs)
     rows = _signed(base.withColumn("id", F.col("row.doc_id").cast("long")), words, "", ["row", "text", "id"])
     alone = rows.where("n_shingles = 0").select("row", "text")
-    rows = rows.where("n_shingles > 0").join(classes.where("leads"), ["h1", "h2"]) \
-        .where(F.col("id").eqNullSafe(F.col("component_id")))
-    first = rows.groupBy("h1", "h2").agg(F.min_by(F.struct("row", "text"), "text").alias("first"))
+    # plain equality of all keys, by which rows are grouped too: texts are shuffled once
+    key = ["h1", "h2", "known", "none"]
+    rows = rows.where("n_shingles > 0").withColumns({"known": F.coalesce("id", F.lit(0)), "none": F.col("id").isNull()})
+    leads = classes.where("leads").select("h1", "h2", F.coalesce("component_id", F.lit(0)).alias("known"),
+                                          F.col("component_id").isNull().alias("none"))
+    first = rows.join(leads, key).groupBy(*key).agg(F.min_by(F.struct("row", "text"), "text").alias("first"))
     return uncarried(first.select("first.row", "first.text").unionByName(alone), docs)

@@ -2,10 +2,12 @@ import collections
 import random
 import re
 
+import pyarrow as pa
 import pytest
 
 from riskspan.llm import queries as Q
-from riskspan.llm.near_dedup import components, near_dedup_stage, near_duplicates, needed
+from riskspan.llm.common import text_bytes
+from riskspan.llm.near_dedup import _shingle_sets, components, near_dedup_stage, near_duplicates, needed
 from tests.llm.data import clashing, empty, messy, messy_rows, words, write_tables
 
 LOWER = str.maketrans({chr(i): chr(i + 32) for i in range(65, 91)})
@@ -84,6 +86,29 @@ def test_stage_keeps_one_of_each_group(spark):
     assert len(kept) == len(set(kept)) == len({k for k, s in zip(root, sets) if s})
 
 
+def test_stage_shuffles_texts_once(spark):
+    """What is joined by set and id is grouped where it lies.  One row of a
+    group stays: the smallest id's smallest text; a null id is not 0."""
+    one, two = "a b c d e f g h", "A b c d e f g h"
+    rows = [(7, one), (0, two), (0, one), (None, one), (0, one), (None, "k l m n o p"), (None, "K l m n o p")]
+    bound = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = near_dedup_stage(spark.createDataFrame(rows, "doc_id long, text string"))
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", bound)
+    above, join, _ = plan.partition("SortMergeJoin")
+    assert join and "Aggregate" in above and "Exchange" not in above
+    assert collections.Counter(map(tuple, out.collect())) == collections.Counter([(0, two), (None, "K l m n o p")])
+
+
+def test_sets_begin_with_their_sketch():
+    raw, offsets = text_bytes(pa.array([t for _, t in family(5)]))
+    for s in _shingle_sets(raw, offsets, 5):
+        assert (s[1:] > s[:-1]).all()
+
+
 def test_components_of_chains(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 90), (90, 95), (7, 7)]
     got = {r.node: r.comp for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
