@@ -11,8 +11,8 @@ that end a group are a link.
 Texts are cut before single spaces between other characters: neither side has
 a token across such a place, so pieces are encoded and aligned once and used
 again (a bounded cache only saves work).  A link's count over all texts needs
-one exchange of (pair, count) rows that are summed for each Arrow batch
-before; texts are not shuffled.
+one exchange of (pair, count) rows that are summed for each block of about
+``SLICE_BYTES`` of texts before; texts are not shuffled.
 
 Defined cases: null and empty texts, and texts whose bytes a side does not
 give back, have no tokens, zeros and an empty digest, and count for no link;
@@ -32,13 +32,14 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
 from riskspan.llm.bpe import byte_letters
-from riskspan.llm.common import carried, stored, uncarried
+from riskspan.llm.common import carried, slices, stored, uncarried
 
 # Cached pieces are dropped beyond so many, or so many characters; so many at
 # a time are encoded.
@@ -278,57 +279,75 @@ def _list(values: np.ndarray, kind) -> pa.ListArray:
 
 _MADE = [("n_a", LongType()), ("n_b", LongType()), ("n_groups", LongType()), ("n_links", LongType()),
          ("groups_sha256", StringType())]
-# A block is an Arrow batch: its rows, their pieces (numbers within the block;
-# starts: where a row's begin), the links of the pieces as places in the
-# block's list of different pairs, and how often each pair occurs.
-_BLOCK = [("starts", IntegerType()), ("pieces", IntegerType()), ("links_at", IntegerType()), ("links", IntegerType()),
-          ("pairs", LongType()), ("times", LongType())]
+# A block is a slice of an Arrow batch: its rows, the different pairs of ids
+# that their links have and how often each occurs (``pairs``, ``times``), and
+# for every row the places of its own pairs in that list and how often it has
+# each (``places``, ``uses``: whole numbers as bytes; starts: where a row's begin).
+_BLOCK = [("starts", ArrayType(IntegerType())), ("places", BinaryType()), ("uses", BinaryType()),
+          ("pairs", ArrayType(LongType())), ("times", ArrayType(LongType()))]
+# Blocks are read in groups of about so many bytes.
+GROUP_BYTES = 8 << 20
+
+
+def _packed(values: np.ndarray) -> bytes:
+    """Whole numbers in the smallest width that holds them all."""
+    return values.astype(np.min_scalar_type(int(values.max())) if len(values) else np.uint8).tobytes()
+
+
+def _unpacked(data: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(data, f"u{len(data) // n}") if n else np.zeros(0, np.uint8)
+
+
+def _block(aligner: Aligner, row: pa.Array, texts: list[str | None], kind: pa.DataType) -> pa.RecordBatch:
+    pieces, ends = aligner.numbers(texts)
+    sizes = [np.diff(side.offsets) for side in (aligner.ids_a, aligner.ids_b, aligner.pairs)]
+    n_a, n_b, n_groups = (_sums(s[pieces], ends) for s in sizes)
+    digests = []
+    for lo, hi in zip(ends[:-1].tolist(), ends[1:].tolist()):
+        text = ";".join(map(aligner.text.__getitem__, pieces[lo:hi].tolist()))
+        digests.append(hashlib.sha256(text.encode()).hexdigest() if hi > lo else "")
+    own, place = np.unique(pieces, return_inverse=True)
+    links, links_at = _rows(aligner.pairs.flat, aligner.pairs.offsets, own)
+    pairs, links = np.unique(links, return_inverse=True)
+    links, _ = _rows(links.reshape(-1), links_at, place.reshape(-1))
+    links += np.repeat(np.arange(len(texts)) * len(pairs), n_groups)
+    held, uses = np.unique(links, return_counts=True)
+    owner, held = np.divmod(held, max(len(pairs), 1))
+    starts = np.append(0, np.cumsum(np.bincount(owner, minlength=len(texts))))
+    times = np.bincount(held, uses, len(pairs)).astype(np.int64)
+    made = [pa.array(n_a), pa.array(n_b), pa.array(n_groups), pa.array(n_groups), pa.array(digests, pa.string())]
+    rows = pa.StructArray.from_arrays([row, *made], fields=list(kind))
+    columns = [pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows), _list(starts, pa.int32()),
+               pa.array([_packed(held)]), pa.array([_packed(uses)]), _list(pairs, pa.int64()), _list(times, pa.int64())]
+    return pa.RecordBatch.from_arrays(columns, names=["rows", *[n for n, _ in _BLOCK]])
 
 
 def _blocks(path_a: str, path_b: str, kind: pa.DataType):
     def run(batches):
         aligner = Aligner(path_a, path_b)
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            pieces, ends = aligner.numbers(batch["text"].to_pylist())
-            sizes = [np.diff(side.offsets) for side in (aligner.ids_a, aligner.ids_b, aligner.pairs)]
-            n_a, n_b, n_groups = (_sums(s[pieces], ends) for s in sizes)
-            digests = []
-            for lo, hi in zip(ends[:-1].tolist(), ends[1:].tolist()):
-                text = ";".join(map(aligner.text.__getitem__, pieces[lo:hi].tolist()))
-                digests.append(hashlib.sha256(text.encode()).hexdigest() if hi > lo else "")
-            own, place, uses = np.unique(pieces, return_inverse=True, return_counts=True)
-            links, links_at = _rows(aligner.pairs.flat, aligner.pairs.offsets, own)
-            pairs, links = np.unique(links, return_inverse=True)
-            times = np.bincount(links, np.repeat(uses, np.diff(links_at)), len(pairs)).astype(np.int64)
-            made = [pa.array(n_a), pa.array(n_b), pa.array(n_groups), pa.array(n_groups), pa.array(digests, pa.string())]
-            row = batch["row"].cast(kind[0].type) if batch["row"].type != kind[0].type else batch["row"]
-            rows = pa.StructArray.from_arrays([row, *made], fields=list(kind))
-            columns = [pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows)]
-            arrays = (ends, place.reshape(-1), links_at, links.reshape(-1), pairs, times)
-            columns += [_list(x, pa.int64() if t == LongType() else pa.int32()) for x, (_, t) in zip(arrays, _BLOCK)]
-            yield pa.RecordBatch.from_arrays(columns, names=["rows", *[n for n, _ in _BLOCK]])
+            row, text = batch["row"], batch["text"]
+            row = row.cast(kind[0].type) if row.type != kind[0].type else row
+            size = pc.fill_null(pc.binary_length(text), 0).to_numpy(zero_copy_only=False)
+            for lo, hi in slices(np.append(0, np.cumsum(size, dtype=np.int64))):
+                yield _block(aligner, row.slice(lo, hi - lo), text.slice(lo, hi - lo).to_pylist(), kind)
 
     return run
 
 
-def _counted(batches):
-    """Rows of blocks with sums over the counts of their links."""
-    for batch in batches:
-        for i in range(batch.num_rows):
-            one = batch.slice(i, 1)
-            rows = one["rows"].flatten()
-            ends, pieces, links_at, links = (one[k].flatten().to_numpy(zero_copy_only=False)
-                                             for k in ("starts", "pieces", "links_at", "links"))
-            counts = one["counts"].flatten()
-            n, best = (counts.field(k).to_numpy(zero_copy_only=False).astype(np.int64) if len(counts)
-                       else np.zeros(0, np.int64) for k in ("n", "best"))
-            sums = [_sums(_sums(v[links], links_at)[pieces], ends) for v in (best, n)]
-            fields = rows.flatten()
-            names = [rows.type[k].name for k in range(rows.type.num_fields)]
-            yield pa.RecordBatch.from_arrays([*fields, pa.array(sums[0]), pa.array(sums[1])],
-                                             names=[*names, "n_best", "count_sum"])
+def _counted(blocks: pa.Table, counts: pa.Table) -> pa.Table:
+    """The rows of one block with sums over the counts of their links."""
+    one = blocks.combine_chunks().to_batches()[0]
+    starts, pairs = (one[k].flatten().to_numpy(zero_copy_only=False) for k in ("starts", "pairs"))
+    places, uses = (_unpacked(one[k][0].as_py(), starts[-1]) for k in ("places", "uses"))
+    at, sums = counts["place"].to_numpy(), []
+    for k in ("best", "n"):
+        each = np.zeros(len(pairs), np.int64)
+        each[at] = counts[k].to_numpy()
+        sums.append(_sums(each[places] * uses.astype(np.int64), starts))
+    rows = one["rows"].flatten()
+    names = [rows.type[k].name for k in range(rows.type.num_fields)]
+    return pa.Table.from_arrays([*rows.flatten(), *map(pa.array, sums)], names=[*names, "n_best", "count_sum"])
 
 
 def _row_type(base: DataFrame) -> StructType:
@@ -342,20 +361,21 @@ def link_counts(docs: DataFrame, path_a: str, path_b: str, text: str = "text") -
     how many links have the pair) and ``groups_sha256``."""
     base = carried(docs, text)
     row = _row_type(base)
-    schema = StructType([StructField("rows", ArrayType(row)), *[StructField(n, ArrayType(t)) for n, t in _BLOCK]])
+    schema = StructType([StructField("rows", ArrayType(row)), *[StructField(n, t) for n, t in _BLOCK]])
     kind = pa.struct(list(to_arrow_schema(row)))
     blocks = stored(base.mapInArrow(_blocks(path_a, path_b, kind), schema)
-                    .withColumn("gid", F.monotonically_increasing_id()), "blocks")
+                    .withColumn("gid", F.monotonically_increasing_id()), "blocks", GROUP_BYTES)
     entries = blocks.select("gid", F.posexplode(F.arrays_zip("pairs", "times")).alias("place", "e")) \
         .select("gid", "place", F.col("e.pairs").alias("pair"), F.col("e.times").alias("times"))
     totals = stored(entries.groupBy("pair").agg(F.sum("times").alias("n")), "pairs") \
         .withColumn("b", F.col("pair").bitwiseAND((1 << SHIFT) - 1))
     top = totals.groupBy("b").agg(F.max("n").alias("top"))
     known = totals.join(top, "b").select("pair", "n", (F.col("n") == F.col("top")).cast("int").alias("best"))
-    answers = entries.join(known, "pair").groupBy("gid") \
-        .agg(F.array_sort(F.collect_list(F.struct("place", "n", "best"))).alias("counts"))
-    out = StructType([*row.fields, StructField("n_best", LongType()), StructField("count_sum", LongType())])
-    found = blocks.join(answers, "gid", "left").mapInArrow(_counted, out)
+    answers = entries.join(known, "pair").select(F.col("gid").alias("of"), "place", "n", "best")
+    out = StructType([*blocks.schema["rows"].dataType.elementType.fields, StructField("n_best", LongType()),
+                      StructField("count_sum", LongType())])
+    # a block meets the counts of its pairs as a sorted stream, not as one more list
+    found = blocks.groupBy("gid").cogroup(answers.groupBy("of")).applyInArrow(_counted, out)
     names = [n for n, _ in _MADE] + ["n_best", "count_sum"]
     # the text is not carried along: it is no column of the result
     rest = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() != text.lower()])
